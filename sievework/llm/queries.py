@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import quality_rules, secret_scan, simhash_dedup, source_mixing
+from . import decontamination, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mixing, suffix_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op2_token_files": token_files.op2_token_files,
+    "op3_benchmark_decontamination": decontamination.op3_benchmark_decontamination,
     "op4_simhash_near_dedup": simhash_dedup.op4_simhash_near_dedup,
+    "op5_quality_classifier": quality_classifier.op5_quality_classifier,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_source_mixing": source_mixing.op10_source_mixing,
 }
 
