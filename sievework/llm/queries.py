@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mixing, suffix_dedup, token_files, toxicity
+from . import decontamination, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mixing, suffix_dedup, token_files, toxicity, warc_derivatives
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash_near_dedup": simhash_dedup.op4_simhash_near_dedup,
     "op5_quality_classifier": quality_classifier.op5_quality_classifier,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_warc_derivatives": warc_derivatives.op7_warc_derivatives,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_source_mixing": source_mixing.op10_source_mixing,
@@ -19,5 +20,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan.OP1_SQL,
     "op6_quality_rules": quality_rules.OP6_SQL,
+    "op7_warc_derivatives": warc_derivatives.OP7_SQL,
     "op10_source_mixing": source_mixing.OP10_SQL,
 }

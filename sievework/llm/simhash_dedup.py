@@ -241,6 +241,23 @@ def near_duplicates(docs: DataFrame, columns: list[str], size: int = 4, radius:
     return rows.join(lookup, "fp").select(*[f"`{c}`" for c in columns], "fp", "component")
 
 
+def keep_one(docs: DataFrame, size: int = 5, radius: int = RADIUS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input without near copies: of each group the row with the least id stays (a null id only if no other).
+
+    Of equal rows one stays.  The texts move once, to meet the chosen (id, text hash).
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    keyed = docs.select(row, F.col(f"`{id_col}`").alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"), F.col(text).alias("_text"))
+    rows = written(with_fingerprint(keyed, ["_id", "_h"], size, "_text"), "fingerprints")
+    first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("_id"), F.col("_h").alias("_h")))
+    distinct = written(rows.groupBy("fp").agg(first.alias("best")), "codes")
+    comps = written(connected_components(hamming_links(distinct.select("fp"), radius)), "components")
+    grouped = distinct.join(comps, distinct["fp"] == comps["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
+    chosen = grouped.select(F.col("best._id").alias("_cid"), F.col("best._h").alias("_ch"))
+    met = keyed.drop("_text").join(chosen, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_h") == F.col("_ch")))
+    return met.dropDuplicates(["_cid", "_ch"]).select("_row.*")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = near_duplicates(docs, ["doc_id"])
