@@ -4,27 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN: dict[str, str] = {}
-_SHIPPED: set[str] = set()
-
+from ..shipping import ship_package  # noqa: F401  used by the operators
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, once for each application (executors need not have it installed)."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in package.rglob("*.py"):
-            z.write(f, f.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _SHIPPED.add(context.applicationId)
+_OWN: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

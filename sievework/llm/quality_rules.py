@@ -110,7 +110,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(F.filter(w, lambda x: F.endswith(x, F.lit("!!")))).cast("long").alias("n_shouted"),
         grams.alias("_grams"),
     )
-    return counted.select(*kept, *metrics[:-1], _repeat_words(F.col("_words"), F.col("n_words"), F.col("_grams")).alias("n_repeat_words"))
+    found = F.struct(*metrics[:-1], _repeat_words(F.col("_words"), F.col("n_words"), F.col("_grams")).alias("n_repeat_words"))
+    # a one-row generator keeps later filters from being pushed into, and copying, these expressions
+    return counted.select(*kept, F.explode_outer(F.array(found)).alias("_m")).select(*kept, "_m.*")
 
 
 def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
