@@ -19,7 +19,6 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,21 +29,26 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import textkernels as tk
 from .common import ship_package, work_dir, written
 
 SEQ_LEN = 2048
 ROWS_PER_BATCH = 64
-KNOWN_WORDS = 400_000  # bound of a worker's word memory
-_ENCODERS: dict[str, WordEncoder] = {}
-#: A space with white space on both sides (or at the end) belongs to a run that must not be cut.
-_RUN = re.compile(r"\s \s|\s \Z")
+MOST_PIECES = 1_000_000  # bound of a worker's memory of pieces
+_ENCODERS: dict[str, PieceEncoder] = {}
 
 
-class WordEncoder:
-    """Encodes texts with a ``tokenizers`` file, remembering the ids of words seen before.
+class PieceEncoder:
+    """Encodes texts with a ``tokenizers`` file, remembering the ids of pieces seen before.
 
     Byte-level pre-tokenization never joins what stands on both sides of a space that
-    follows a non-space, so a text's ids are the ids of its space-led words in order.
+    follows a non-space, or of a line break between non-spaces, so a text's ids are the ids
+    of its space-led words and line breaks in order.  Texts with other runs of white space
+    are one piece.  Pieces are found, hashed and put together again as arrays; only unknown
+    ones become strings.  These are encoded together, joined by what separates them anyway,
+    and told apart by the ids that begin a piece.
+
+    ``MOST_PIECES`` bounds the memory: beyond it the less used pieces are forgotten.
     """
 
     def __init__(self, path: str):
@@ -52,34 +56,116 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian bytes."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known, cut, whole = self.known, [], []
-        for i, t in enumerate(texts):
-            words = t.replace(" ", "\0 ").split("\0") if "\0" not in t and not _RUN.search(t) else None
-            cut.append(words)
-            if words is None:
-                whole.append(i)
-        new = {w for words in cut if words for w in words}.difference(known)
-        if new:
-            new_words = list(new)
-            known.update(zip(new_words, self._ids(new_words), strict=True))
-        out = [b"".join(map(known.__getitem__, words)) if words is not None else b"" for words in cut]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]) if whole else [], strict=True):
-            out[i] = ids
-        return out
-
-
-def encoder(path: str) -> WordEncoder:
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.leads = np.zeros(max(vocab.values()) + 1, bool)
+        self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # tokens that begin with a space
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self._set({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype), np.zeros(0, np.int64))
+
+    def _set(self, rows: dict[int, int], starts: np.ndarray, sizes: np.ndarray, pool: np.ndarray, uses: np.ndarray) -> None:
+        """rows: piece hash to number; a piece's ids are pool[start : start + size]."""
+        self.rows, self.starts, self.sizes, self.pool, self.uses = rows, starts, sizes, pool, uses
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """The pieces in an order of their own: their numbers, how many ids each has, and all ids."""
+        kinds: list[list[int]] = [[], [], []]  # space-led words, bare words, others
+        for k, p in enumerate(pieces):
+            word = p[1:] if p[:1] == " " else p
+            kinds[2 if word.split() != [word] else word is p].append(k)
+        sizes, flat = [], []
+        for kind, between in ((0, ""), (1, "\n")):
+            for lo in range(0, len(kinds[kind]), 4096):
+                some = [pieces[k] for k in kinds[kind][lo : lo + 4096]]
+                ids = self._ids([between.join(some)])[0]
+                if kind == 0:
+                    size = np.diff(np.append(np.flatnonzero(self.leads[ids]), len(ids)))
+                else:
+                    gap = ids == self.line[0]
+                    size = np.diff(np.concatenate([[-1], np.flatnonzero(gap), [len(ids)]])) - 1
+                    ids = ids[~gap]
+                if len(size) != len(some) or len(self.line) != 1:  # a piece held a separator's id
+                    parts = self._ids(some)
+                    size, ids = np.array([len(x) for x in parts]), np.concatenate(parts)
+                sizes.append(size)
+                flat.append(ids)
+        parts = self._ids([pieces[k] for k in kinds[2]])
+        sizes.append(np.array([len(x) for x in parts], np.int64))
+        return kinds[0] + kinds[1] + kinds[2], np.concatenate(sizes).astype(np.int64), np.concatenate([*flat, *parts, np.zeros(0, self.dtype)])
+
+    def _forget(self) -> None:
+        order = np.argsort(-self.uses, kind="stable")[: MOST_PIECES // 3]
+        keep = np.sort(order[self.uses[order] > 1])
+        pool = [self.pool[s : s + n] for s, n in zip(self.starts[keep].tolist(), self.sizes[keep].tolist(), strict=True)]
+        number = np.full(len(self.uses), -1, np.int64)
+        number[keep] = np.arange(len(keep))
+        rows = {h: int(number[r]) for h, r in self.rows.items() if number[r] >= 0}
+        sizes = self.sizes[keep]
+        self._set(rows, np.cumsum(sizes) - sizes, sizes, np.concatenate([*pool, np.zeros(0, self.dtype)]), np.ones(len(keep), np.int64))
+
+    @staticmethod
+    def _pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Starts of all pieces of a chunk's rows (at least one for each row that is not empty)."""
+        n = len(data)
+        space = tk.IS_SPACE[data] | ((data >= 0x1C) & (data <= 0x1F))
+        odd = space.copy()
+        odd[:-1] &= space[1:]
+        odd[-1:] = False
+        first = offsets[:-1]
+        inside = first[(first > 0) & (first < n)]
+        odd[inside - 1] = False  # neighbours in different rows
+        wide = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+        after = [data[np.minimum(wide + k, n - 1)] for k in (0, 1, 2)]
+        blank = (after[0] == 0xC2) & ((after[1] == 0x85) | (after[1] == 0xA0)) | (after[0] == 0xE1) & (after[1] == 0x9A) | (after[0] == 0xE3) & (after[1] == 0x80) & (after[2] == 0x80)
+        blank |= (after[0] == 0xE2) & ((after[1] == 0x81) & (after[2] == 0x9F) | (after[1] == 0x80) & ((after[2] <= 0x8A) | (after[2] == 0xA8) | (after[2] == 0xA9) | (after[2] == 0xAF)))
+        odd[wide[blank]] = True
+        start = (data == 0x20) | (data == 0x0A)
+        start[1:] |= data[:-1] == 0x0A
+        whole = np.unique(np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1)
+        for r in whole.tolist():
+            start[offsets[r] : offsets[r + 1]] = False
+        start[first[first < n]] = True
+        return np.flatnonzero(start)
+
+    def encode(self, column: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of the column's rows: their ids, each row closed by ``end_id``, and the number of ids of each row."""
+        for _, data, offsets in tk.chunks(column, 2 << 20):
+            n = len(offsets) - 1
+            if not len(data):
+                yield np.full(n, end_id, self.dtype), np.ones(n, np.int64)
+                continue
+            starts = self._pieces(data, offsets)
+            ends = np.append(starts[1:], len(data))
+            h = tk.mix(tk.word_hashes(data, starts, ends) ^ (ends - starts).astype(np.uint64))
+            distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
+            if len(self.rows) + len(distinct) > MOST_PIECES:
+                self._forget()
+            keys = distinct.tolist()
+            new = [k for k, x in enumerate(keys) if x not in self.rows]
+            if new:
+                raw = data.tobytes()
+                order, sizes, ids = self._encode_pieces([raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+                base = len(self.starts)
+                self.rows.update((keys[new[k]], base + j) for j, k in enumerate(order))
+                places = len(self.pool) + np.cumsum(sizes) - sizes
+                self._set(self.rows, np.append(self.starts, places), np.append(self.sizes, sizes), np.append(self.pool, ids), np.append(self.uses, np.zeros(len(new), np.int64)))
+            row = np.fromiter(map(self.rows.__getitem__, keys), np.int64, len(keys))
+            self.uses[row] += 1
+            row = row[back]
+            size = self.sizes[row]
+            upto = np.cumsum(size)
+            at = np.arange(upto[-1]) + np.repeat(self.starts[row] - (upto - size), size)
+            ids = self.pool[at]
+            pieces_before = np.searchsorted(starts, offsets)
+            tokens_before = np.append(0, upto)[pieces_before]
+            yield np.insert(ids, tokens_before[1:], end_id), np.diff(tokens_before) + 1
+
+
+def encoder(path: str) -> PieceEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
 
 
@@ -143,30 +229,26 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, seq_len:
         store.create_dir(folder, recursive=True)
         names = [f"{folder}/part-{part:05d}.arrows", f"{folder}/part-{part:05d}.docs.arrows"]
         drafts = [f"{folder}/.{uuid.uuid4().hex}" for _ in names]
-        end = np.array([end_id], enc.dtype).tobytes()
         ids, firsts, counts, packer, sink = [], [], [], None, None
         for b in batches:
-            for at in range(0, b.num_rows, 256):  # bounds the ids held at once
-                piece = b.slice(at, 256)
-                if packer is None:
-                    sink = store.open_output_stream(drafts[0])
-                    packer = _Packer(sink, enc.dtype, seq_len)
-                for doc, x in zip(piece.column(0).to_pylist(), enc.encode(piece.column(1).to_pylist()), strict=True):
-                    ids.append(doc)
-                    firsts.append(packer.n_tokens)
-                    counts.append(len(x) // enc.dtype.itemsize + 1)
-                    packer.add(x)
-                    packer.add(end)
+            if packer is None:
+                sink = store.open_output_stream(drafts[0])
+                packer = _Packer(sink, enc.dtype, seq_len)
+            ids.append(b.column(0))
+            for found, n in enc.encode(b.column(1), end_id):
+                firsts.append(packer.n_tokens + np.cumsum(n) - n)
+                counts.append(n)
+                packer.add(found.tobytes())
         if packer is None:
             return
         packer.close()
         sink.close()
-        docs_table = pa.table({"doc_id": pa.array(ids, pa.int64()), "first": pa.array(firsts, pa.int64()), "n_tokens": pa.array(counts, pa.int64())})
+        docs_table = pa.table({"doc_id": pa.chunked_array(ids), "first": np.concatenate(firsts), "n_tokens": np.concatenate(counts)})
         with store.open_output_stream(drafts[1]) as out, pa.ipc.new_stream(out, docs_table.schema) as w:
-            w.write_table(docs_table)
+            w.write_table(docs_table.combine_chunks())
         for draft, name in zip(drafts, names, strict=True):
             _finish(store, draft, name)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n_tokens": pa.array([packer.n_tokens], pa.int64()), "n_docs": pa.array([len(ids)], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n_tokens": pa.array([packer.n_tokens], pa.int64()), "n_docs": pa.array([docs_table.num_rows], pa.int64())})
 
     parts = written(ranged.mapInArrow(run, "part int, n_tokens long, n_docs long"), "token-manifest")
     # one row per file: the running total is over the manifest, not over documents
@@ -214,11 +296,11 @@ def read_documents(manifest: DataFrame, path: str) -> DataFrame:
                         a, n = a + len(piece), n - len(piece)
                     crcs[i] = crc
                 yield pa.RecordBatch.from_arrays(
-                    [docs.column(0).combine_chunks(), pa.array(firsts + base), pa.array(counts), pa.array(crcs), pa.array(np.full(len(firsts), part, np.int32)), pa.array(firsts)],
+                    [pa.concat_arrays(docs.column(0).chunks), pa.array(firsts + base), pa.array(counts), pa.array(crcs), pa.array(np.full(len(firsts), part, np.int32)), pa.array(firsts)],
                     ["doc_id", "start", "n_tokens", "ids_crc32", "part", "first"],
                 )
 
-    return manifest.select("part", "base").repartition("part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, part int, first long")
+    return manifest.select("part", "base").repartitionByRange(max(1, manifest.count()), "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, part int, first long")
 
 
 def default_tokenizer() -> str:
