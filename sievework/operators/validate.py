@@ -142,7 +142,7 @@ def validate_fix(examples: DataFrame, found: DataFrame, tasks: tuple[str, ...] |
 
 def bad_examples_detail(examples: DataFrame, found: DataFrame, chars: int = 200) -> DataFrame:
     """(example_id, task_id, user_message, issues, calls) of examples with a critical or high issue."""
-    found = found.repartition("example_id")  # all three joins below are on it
+    found = found.repartition("example_id", "check")
     listed = found.groupBy("example_id").agg(F.sort_array(F.collect_list(F.concat_ws(":", "severity", "check"))).alias("issues"))
     calls = tool_calls(examples).groupBy("example_id").agg(
         F.sort_array(F.collect_list(F.concat(F.coalesce("name", F.lit("?")), F.lit("("), F.coalesce(F.array_join(F.sort_array(F.map_keys("arguments")), ","), F.lit("")), F.lit(")")))).alias("calls")

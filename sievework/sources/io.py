@@ -35,7 +35,9 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{EXAMPLE}, _corrupt_record string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    schema = f"{EXAMPLE}, _corrupt_record string"
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("r.*")
 
 
 def scan_tolerant(spark: SparkSession, path: str) -> DataFrame:
