@@ -39,11 +39,16 @@ _HIDDEN = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>"
 
 def digest(c: Column) -> Column:
     """``sha1:`` and the base-32 form of a string's SHA-1, as WARC writes it."""
-    h = F.sha1(c.cast("binary"))
-    five = lambda i: F.conv(F.substring(h, F.lit(1) + i * 5, F.lit(5)), 16, 10).cast("long")  # noqa: E731  20 bits
-    letter = lambda v, k: F.substring(F.lit(_BASE32), F.shiftright(v, 15 - 5 * k).bitwiseAND(F.lit(31)).cast("int") + 1, F.lit(1))
-    parts = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.concat(*[letter(five(i), k) for k in range(4)]))
-    return F.concat(F.lit("sha1:"), F.array_join(parts, ""))
+
+    def letter(h: Column, i: Column) -> Column:
+        """The i-th of 32 letters: five of the twenty bits that five hex digits hold."""
+        bits = F.conv(F.substring(h, F.floor(i / 4).cast("int") * 5 + 1, F.lit(5)), 16, 10).cast("int")
+        place = F.call_function("shiftright", bits, F.lit(15) - 5 * (i % 4)).bitwiseAND(F.lit(31)) + 1
+        return F.substring(F.lit(_BASE32), place, F.lit(1))
+
+    # the hash enters through a one-element array, so that it is computed once and not for each letter
+    letters = F.transform(F.array(F.sha1(c.cast("binary"))), lambda h: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: letter(h, i)), ""))
+    return F.concat(F.lit("sha1:"), F.get(letters, 0))
 
 
 def record_id(*parts: Column) -> Column:
