@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..shipping import ship_package  # noqa: F401  used by the operators
 
@@ -37,6 +38,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+HEAVY_SHARE = 1000
+
+
+def join_heavy(rows: DataFrame, lookup: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``lookup`` (one row per ``key``, ``count`` of its rows) when a key may hold very many rows.
+
+    At most ``HEAVY_SHARE`` keys hold over a thousandth of the rows, so their part of the
+    lookup is bounded and broadcast; the rows of all other keys meet theirs in a shuffle.
+    """
+    heavy = F.col(count) * HEAVY_SHARE > total
+    hot, cold = lookup.where(heavy).drop(count), lookup.where(~heavy).drop(count)
+    met = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return met.unionByName(rest)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's context cleaner drop shuffle files of frames that nobody holds any more.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernels as tk
-from .common import ship_package, written
+from .common import join_heavy, ship_package, written
 from .components import connected_components
 
 RADIUS = 4
@@ -233,12 +233,12 @@ def near_duplicates(docs: DataFrame, columns: list[str], size: int = 4, radius:
     """``columns`` (the first is the id), ``fp`` and ``component`` (the smallest id reachable), a row per input row."""
     rows = written(with_fingerprint(docs, columns, size, text), "fingerprints")
     ident = F.col(f"`{columns[0]}`")
-    distinct = written(rows.groupBy("fp").agg(F.min(ident).alias("_least")), "codes")
+    distinct = written(rows.groupBy("fp").agg(F.min(ident).alias("_least"), F.count("*").alias("_n")), "codes")
     comps = written(connected_components(hamming_links(distinct.select("fp"), radius)), "components")
     named = comps.join(distinct, comps["node"] == distinct["fp"]).groupBy("root").agg(F.min("_least").alias("_name"))
     moved = comps.join(named, "root").select(F.col("node").alias("fp"), "_name")
-    lookup = distinct.join(moved, "fp", "left").select("fp", F.coalesce("_name", "_least").alias("component"))
-    return rows.join(lookup, "fp").select(*[f"`{c}`" for c in columns], "fp", "component")
+    lookup = written(distinct.join(moved, "fp", "left").select("fp", "_n", F.coalesce("_name", "_least").alias("component")), "names")
+    return join_heavy(rows, lookup, "fp", "_n", rows.count()).select(*[f"`{c}`" for c in columns], "fp", "component")
 
 
 def keep_one(docs: DataFrame, size: int = 5, radius: int = RADIUS, id_col: str = "doc_id", text: str = "text") -> DataFrame:

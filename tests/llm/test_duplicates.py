@@ -48,6 +48,17 @@ def test_fingerprints_and_edges(spark):
     assert s.near_duplicates(empty(spark), ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_heavy_keys_join_like_any_other(spark, monkeypatch, share):
+    from sievework.llm import common
+
+    monkeypatch.setattr(common, "HEAVY_SHARE", share)
+    rows = spark.createDataFrame([(i, 0 if i < 20 else i) for i in range(40)], "i long, k long")
+    lookup = rows.groupBy("k").count().selectExpr("k", "k + 1 AS v", "count")
+    got = common.join_heavy(rows, lookup, "k", "count", 40).collect()
+    assert sorted((r["i"], r["v"]) for r in got) == [(i, (0 if i < 20 else i) + 1) for i in range(40)]
+
+
 def family(n, seed):
     r = random.Random(seed)
     out = []
