@@ -52,6 +52,7 @@ RULES = (
     SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 20, hints=("private key-----",), base=False),
 )
 
+SALTS = 16
 _FINDING = "struct<kind:string,start:int,end:int>"
 
 
@@ -131,7 +132,10 @@ class BlobLedger:
         one = one.where(F.col("f.kind").isin(*current_kinds) & F.array_contains(F.col("rules"), F.element_at(key_of, F.col("f.kind"))))
         by_blob = one.groupBy("blob").agg(F.collect_set("f").alias("findings"))
         paths = versions.select(*ids, F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("blob"))
-        joined = paths.join(by_blob, "blob", "left")
+        # a blob may have very many paths: they are salted, and the few blobs with findings repeated for each salt
+        salted = paths.withColumn("_salt", F.pmod(F.xxhash64(*ids), F.lit(SALTS)).cast("int"))
+        each = by_blob.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(each, ["blob", "_salt"], "left").drop("_salt")
         return joined.withColumn("findings", F.coalesce("findings", F.expr(f"cast(array() as array<{_FINDING}>)")))
 
 
