@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.io import shared_folder
+from ..sources.io import shared_folder, stored
 from .aggregates import tool_jaccard
 
 EPSILON = 1e-9  # so that the order of summation cannot flip a pair at the threshold
@@ -31,7 +31,7 @@ def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[s
     words = text.select("task_id", "example_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))).alias("term"))
     if stop_words:
         words = words.where(~F.col("term").isin(*stop_words))
-    tf = words.groupBy("task_id", "example_id", "term").agg(F.count("*").alias("tf"))
+    tf = stored(words.groupBy("task_id", "example_id", "term").agg(F.count("*").alias("tf")), "term-counts")
     terms = tf.groupBy("task_id", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     rank = F.row_number().over(Window.partitionBy("task_id").orderBy(F.desc("total"), "term"))
     vocabulary = terms.withColumn("_r", rank).where(F.col("_r") <= max_features).join(n, "task_id").select("task_id", "term", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
@@ -64,9 +64,11 @@ def fold_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def duplicate_pairs(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, **how) -> DataFrame:
     """(task_id, a, b, cosine) of representatives whose texts and tool sets are both similar."""
-    vectors = tfidf_vectors(rows, **how)  # counts and idf are over all rows
     reps, _ = fold_copies(rows)
-    pairs = cosine_pairs(vectors.join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w"), threshold)
+    reps = stored(reps.select("example_id", "tools"), "representatives")
+    vectors = tfidf_vectors(rows, **how)  # counts and idf are over all rows
+    vectors = stored(vectors.join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w"), "vectors")
+    pairs = cosine_pairs(vectors, threshold)
     ta, tb = reps.select(F.col("example_id").alias("a"), F.col("tools").alias("_ta")), reps.select(F.col("example_id").alias("b"), F.col("tools").alias("_tb"))
     both = pairs.join(ta, "a").join(tb, "b")
     return both.where(tool_jaccard(F.col("_ta"), F.col("_tb")) >= tool_threshold).select("task_id", "a", "b", "cosine")

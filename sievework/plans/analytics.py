@@ -13,7 +13,7 @@ from ..operators import scores as sc
 from ..operators import validate as va
 from ..operators import versions as ve
 from .conversation import _SFT, CALLS, ISSUES
-from .fixtures import agent_examples, examples, fx, nested, sql
+from .fixtures import agent_examples, agent_table, examples, fx, nested, sql
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -167,7 +167,7 @@ def a14(spark, d):
 @query("a15_bad_examples_by_task", sql(_AG, ISSUES + """, b AS (SELECT * FROM issues WHERE severity IN ('critical', 'high')), t AS (SELECT task_id, count(DISTINCT example_id) AS n_bad FROM b GROUP BY task_id ORDER BY n_bad DESC, task_id LIMIT 10)
   SELECT b.task_id, "check", count(*) AS n, any_value(n_bad) AS n_bad FROM b JOIN t ON b.task_id = t.task_id GROUP BY b.task_id, "check" """))
 def a15(spark, d):
-    return ag.bad_examples_by_task(va.issues(agent_examples(spark, d)))
+    return ag.bad_examples_by_task(va.issues(agent_table(spark, d)))
 
 
 @query("u03_tool_set_jaccard", sql(_AG, r""", s AS (SELECT e.example_id, e.task_id, coalesce(list_distinct(flatten(list(regexp_extract_all(content, '"name"\s*:\s*"(\w+)"', 1)) FILTER (role = 'assistant'))), []) AS t FROM fx_agent_ex e LEFT JOIN fx_agent_msgs m ON e.example_id = m.example_id GROUP BY e.example_id, e.task_id),
@@ -182,7 +182,7 @@ def u03(spark, d):
 @query("u04_novelty_check", sql(_AG, CALLS + """, sg AS (SELECT e.example_id, e.task_id, e.split, coalesce(array_to_string((list(coalesce(name, '') ORDER BY turn, call_no) FILTER (valid))[:3], '>'), '') AS s FROM fx_agent_ex e LEFT JOIN calls c ON e.example_id = c.example_id GROUP BY e.example_id, e.task_id, e.split)
   SELECT task_id, bool_or((task_id, s) NOT IN (SELECT (task_id, s) FROM sg WHERE split = 'train')) AS is_novel FROM sg WHERE split = 'val' AND task_id IN (SELECT task_id FROM sg WHERE split = 'train' GROUP BY task_id HAVING count(*) >= 5) GROUP BY task_id"""))
 def u04(spark, d):
-    e = agent_examples(spark, d)
+    e = agent_table(spark, d)
     return ag.novelty_check(e.where("split = 'val'"), e.where("split = 'train'"))
 
 
@@ -398,7 +398,7 @@ _QG = ISSUES + ", per AS (SELECT DISTINCT example_id FROM issues), qg AS (SELECT
 
 
 def _quality(spark, d):
-    e = agent_examples(spark, d)
+    e = agent_table(spark, d)
     return de.quality_gate(va.structural_summary(e, va.issues(e)))
 
 

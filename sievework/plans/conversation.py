@@ -8,7 +8,7 @@ from .. import refdata as rd
 from ..functions import text as tx
 from ..operators import features as ft
 from ..operators import validate as va
-from .fixtures import agent_examples, examples, fx, nested, sql
+from .fixtures import agent_examples, agent_table, examples, fx, nested, sql
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -226,7 +226,7 @@ for _make, _names in _MAKERS.items():
   SELECT 'examples' AS kind, unnest(['total', 'clean', 'with_issues', 'critical_high']) AS name, unnest([count(*), count(*) FILTER (bad IS NULL), count(bad), count(*) FILTER (bad)]) AS n FROM fx_agent_ex e LEFT JOIN per ON e.example_id = per.example_id
   UNION ALL SELECT 'severity', severity, count(*) FROM issues GROUP BY severity UNION ALL SELECT 'check', "check", count(*) FROM issues GROUP BY "check" """))
 def v20(spark, d):
-    e = agent_examples(spark, d)
+    e = agent_table(spark, d)
     return va.validate_report(e, va.issues(e))
 
 
@@ -236,12 +236,12 @@ def v20(spark, d):
   c AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY check_n DESC, "check") AS check_rank FROM per)
   SELECT t2.task_id, n, CAST(rank AS INT) AS rank, "check", check_n, CAST(check_rank AS INT) AS check_rank FROM t2 JOIN c ON t2.task_id = c.task_id WHERE check_rank <= 3"""))
 def l01(spark, d):
-    return va.worst_tasks(va.issues(agent_examples(spark, d))).select("task_id", "n", "rank", "check", "check_n", "check_rank")
+    return va.worst_tasks(va.issues(agent_table(spark, d))).select("task_id", "n", "rank", "check", "check_n", "check_rank")
 
 
 @query("v21_validate_fix", sql(_EX, ISSUES + " SELECT example_id FROM fx_agent_ex WHERE example_id NOT IN (SELECT example_id FROM issues WHERE severity IN ('critical', 'high'))"))
 def v21(spark, d):
-    e = agent_examples(spark, d)
+    e = agent_table(spark, d)
     return va.validate_fix(e, va.issues(e)).select("example_id")
 
 
@@ -252,7 +252,7 @@ def v21(spark, d):
   SELECT b.example_id, e.task_id, substr(coalesce(u.content, ''), 1, 200) AS user_message, i.issues, array_to_string(list_sort(l), '|') AS calls
   FROM b JOIN fx_agent_ex e ON b.example_id = e.example_id LEFT JOIN u ON b.example_id = u.example_id JOIN i ON b.example_id = i.example_id LEFT JOIN c ON b.example_id = c.example_id"""))
 def v22(spark, d):
-    e = agent_examples(spark, d)
+    e = agent_table(spark, d)
     out = va.bad_examples_detail(e, va.issues(e))
     return out.select("example_id", "task_id", "user_message", F.array_join("issues", "|").alias("issues"), F.array_join("calls", "|").alias("calls"))
 
@@ -293,11 +293,11 @@ def v27(spark, d):
 
 @query("v28_issue_breakdown", sql(_EX, ISSUES + ' SELECT "check", count(*) AS n, count(DISTINCT example_id) AS examples FROM issues GROUP BY "check"'))
 def v28(spark, d):
-    return va.issue_breakdown(va.issues(agent_examples(spark, d)))
+    return va.issue_breakdown(va.issues(agent_table(spark, d)))
 
 
 @query("v29_structural_summary", sql(_EX, ISSUES + """, per AS (SELECT example_id, bool_or(severity = 'critical') AS c FROM issues GROUP BY example_id)
   SELECT count(*) AS total, count(*) FILTER (c IS NULL) AS clean, count(*) FILTER (c) AS critical FROM fx_agent_ex e LEFT JOIN per ON e.example_id = per.example_id"""))
 def v29(spark, d):
-    e = agent_examples(spark, d)
+    e = agent_table(spark, d)
     return va.structural_summary(e, va.issues(e))

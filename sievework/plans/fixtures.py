@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.io import stored
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations", "benchmark", "pages", "embeddings")
 
 _TASK = "'task_' || lpad(CAST({} % 23 AS STRING), 2, '0')"
@@ -128,6 +130,11 @@ def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested(fx(spark, sf_dir, "fx_msgs"), "pos", "task_id", "split", "source")
 
 
+def agent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stored table, for queries that read it several times."""
+    return stored(agent_examples(spark, sf_dir), "agent-examples")
+
+
 def agent_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool-using conversations, some of them without any message."""
     some = nested(fx(spark, sf_dir, "fx_agent_msgs"), "pos", "task_id", "split")

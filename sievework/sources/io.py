@@ -34,6 +34,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that is read several times to the shared folder, and read it from there."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     schema = f"{EXAMPLE}, _corrupt_record string"
     lines = spark.read.text(path).where(F.trim("value") != "")
