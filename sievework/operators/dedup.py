@@ -23,12 +23,12 @@ EPSILON = 1e-9  # so that the order of summation cannot flip a pair at the thres
 def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[str, ...] = ()) -> DataFrame:
     """(task_id, example_id, term, w): unit vectors; tasks with one row of text have none.
 
-    Terms are lower-cased runs of two or more word characters; the ``max_features`` most
+    Terms are lower-cased runs of two or more letters, digits or underscores; the ``max_features`` most
     frequent of a task count (ties by term); idf = ln((1 + n) / (1 + df)) + 1.
     """
     text = rows.where(F.trim("text") != "")
     n = text.groupBy("task_id").agg(F.count("*").alias("n")).where("n > 1")
-    words = text.select("task_id", "example_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))).alias("term"))
+    words = text.select("task_id", "example_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))).alias("term"))
     if stop_words:
         words = words.where(~F.col("term").isin(*stop_words))
     tf = stored(words.groupBy("task_id", "example_id", "term").agg(F.count("*").alias("tf")), "term-counts")
@@ -42,12 +42,17 @@ def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[s
 
 def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(task_id, a, b, cosine) with a < b, of all pairs at or above the threshold; exact."""
-    t = threshold - EPSILON
+    t, cut = threshold - EPSILON, max(threshold - 0.1, 0.0)
     freq = vectors.groupBy("task_id", "term").agg(F.count("*").alias("df"))
-    before = Window.partitionBy("task_id", "example_id").orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
+    doc = Window.partitionBy("task_id", "example_id")
+    before = doc.orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
     ordered = vectors.join(freq, ["task_id", "term"]).withColumn("_norm2", F.sum(F.col("w") * F.col("w")).over(before))
-    indexed = ordered.where(F.col("_norm2") >= t * t).select("task_id", "term", "example_id")
-    pairs = indexed.toDF("task_id", "term", "a").join(indexed.toDF("task_id", "term", "b"), ["task_id", "term"]).where("a < b").select("task_id", "a", "b").distinct()
+    skipped = F.sqrt(F.coalesce(F.max(F.when(F.col("_norm2") < cut * cut, F.col("_norm2"))).over(doc), F.lit(0.0)))
+    indexed = ordered.withColumn("_skipped", skipped).where(F.col("_norm2") >= cut * cut).select("task_id", "term", "example_id", "w", "_skipped")
+    # what indexed terms give, plus the most that the skipped ones of the later cut can add
+    met = indexed.toDF("task_id", "term", "a", "wa", "sa").join(indexed.toDF("task_id", "term", "b", "wb", "sb"), ["task_id", "term"]).where("a < b")
+    part = met.groupBy("task_id", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("part"), F.first("sa").alias("sa"), F.first("sb").alias("sb"))
+    pairs = part.where(F.col("part") + F.greatest("sa", "sb") >= t).select("task_id", "a", "b")
     va, vb = vectors.toDF("task_id", "a", "term", "wa"), vectors.toDF("task_id", "b", "term", "wb")
     dots = pairs.join(va, ["task_id", "a"]).join(vb, ["task_id", "b", "term"]).groupBy("task_id", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
     return dots.where(F.col("cosine") >= t)
