@@ -3,9 +3,9 @@
 Rows are (example_id, pos, task_id, text, tools array<string>).  The similarity join is an
 equi-join on (task, term) with an exact prefix filter: terms go in one global order, most
 frequent first, and a document is indexed only by the terms from where its running norm
-reaches the threshold.  Two unit vectors with cosine >= threshold share an indexed term on
-both sides (if not, all shared terms lie in the prefix of the one that is cut later, whose
-norm is below the threshold), so no pair is lost and frequent terms are mostly not joined.
+reaches a cut a little below the threshold.  The products of shared indexed terms, plus
+the skipped norm of the document that is cut later, bound a pair's cosine from above:
+only pairs whose bound reaches the threshold are verified, and no pair is lost.
 Equal texts are folded to one representative before the join, so copies never multiply.
 """
 
