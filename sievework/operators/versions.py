@@ -91,7 +91,7 @@ def consistently_weak(bench: DataFrame, last: int = 5, least: int = 2, below: fl
     recent = bench.select("version").distinct().orderBy(F.desc("version")).limit(last)
     rows = bench.join(F.broadcast(recent), "version")
     hist = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("version", F.floor(F.col("score") * 100).alias("p")))), lambda x: F.concat(F.lit("v"), x["version"].cast("string"), F.lit(":"), x["p"].cast("string"))), " ")
-    return rows.groupBy("task_id").agg(F.count("*").alias("n"), F.avg("score").alias("avg_score"), hist.alias("history")).where((F.col("n") >= least) & (F.col("avg_score") < below))
+    return rows.groupBy("task_id").agg(F.count("*").alias("n"), F.avg("score").alias("avg_score"), hist.alias("history")).where((F.col("n") >= least) & (F.round("avg_score", 9) < below))
 
 
 def eval_rollup(bench: DataFrame) -> DataFrame:

@@ -280,7 +280,7 @@ def a18(spark, d):
     return ve.snapshot_range(fx(spark, d, "fx_snapshot"))
 
 
-@query("a19_consistently_weak", sql("fx_bench", _LAST3 + """ SELECT task_id, count(*) AS n, round(avg(score), 6) AS avg_score, string_agg('v' || b.version || ':' || CAST(floor(score * 100) AS BIGINT), ' ' ORDER BY b.version) AS history FROM fx_bench b JOIN lv ON b.version = lv.version WHERE r <= 5 GROUP BY task_id HAVING count(*) >= 2 AND avg(score) < 0.5"""))
+@query("a19_consistently_weak", sql("fx_bench", _LAST3 + """ SELECT task_id, count(*) AS n, round(avg(score), 6) AS avg_score, string_agg('v' || b.version || ':' || CAST(floor(score * 100) AS BIGINT), ' ' ORDER BY b.version) AS history FROM fx_bench b JOIN lv ON b.version = lv.version WHERE r <= 5 GROUP BY task_id HAVING count(*) >= 2 AND round(avg(score), 9) < 0.5"""))
 def a19(spark, d):
     return _round(ve.consistently_weak(fx(spark, d, "fx_bench")), "avg_score")
 
