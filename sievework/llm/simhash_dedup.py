@@ -27,17 +27,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkernels as tk
-from .common import join_heavy, ship_package, written
+from .common import join_heavy, release_shuffles, ship_package, written
 from .components import connected_components
 
 RADIUS = 4
 NODE_LIMIT = 4096  # fingerprints below an upper node before it is split
 LEVELS = 3  # upper levels; each fixes a block of the bits left by the one above
 GROUP = 64  # fingerprints in a group node
+COMMON = 4  # documents of the sample that hold a shingle before it is sorted last
+COMMON_LIMIT = 200_000  # shingles known to be common
+SLICE = 256  # rows whose shingles are held at once
+BLOCK = 500_000  # shingles in a block of a candidate group; a task holds two
 
 
 # ---- fingerprints ------------------------------------------------------------------
@@ -241,18 +245,194 @@ def near_duplicates(docs: DataFrame, columns: list[str], size: int = 4, radius:
     return join_heavy(rows, lookup, "fp", "_n", rows.count()).select(*[f"`{c}`" for c in columns], "fp", "component")
 
 
-def keep_one(docs: DataFrame, size: int = 5, radius: int = RADIUS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+# ---- the exact join of the pipeline -------------------------------------------------
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``SLICE`` rows, so that not all shingles of a batch are held at once."""
+    for b in batches:
+        for lo in range(0, b.num_rows, SLICE):
+            yield b.slice(lo, SLICE)
+
+
+def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the distinct word shingles of each row, in order of both."""
+    rows, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    digest = xxhash.xxh64_intdigest
+    for row, data, offsets in tk.chunks(column):
+        data, s, e, r = _shingle_spans(data, offsets, size)
+        if not len(s):
+            continue
+        raw = data.tobytes()
+        h = np.array([digest(raw[a:b], 42) for a, b in zip(s.tolist(), e.tolist(), strict=True)], np.uint64)
+        order = np.lexsort((h, r))
+        h, r = h[order], r[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])])
+        rows.append(row + r[new])
+        hashes.append(h[new])
+    return np.concatenate(rows), np.concatenate(hashes)
+
+
+def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
+    """Hashes of shingles that many documents seem to hold, the rarer first; from one document in 16.
+
+    They come last in the order of a prefix.  Any order finds every pair, so the sample and the limit only save work.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(b.column(0), size)[1].view(np.int64))], ["g"])
+
+    some = texts.where(F.pmod("_h", F.lit(16)) == 0).select("_text").mapInArrow(run, "g long")
+    found = some.groupBy("g").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "g").limit(COMMON_LIMIT)
+    return np.ascontiguousarray(found.toArrow().column("g").to_numpy()[::-1]).view(np.uint64)
+
+
+def _with_prefix(keyed: DataFrame, size: int, common: np.ndarray) -> DataFrame:
+    """_id, _h, ``node`` (digest of the shingle set), ``n`` (its size), ``prefix`` and ``common`` (how many of the prefix, its last ones, are common).
+
+    Two sets with a similarity of 0.8 share at least 0.8 n shingles of either, so whatever
+    the order, the first n // 5 + 1 of one and of the other have one in common.
+    """
+    by_hash = np.argsort(common)
+    known = common[by_hash]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            r, h = shingle_sets(b.column(2), size)
+            n = np.bincount(r, minlength=b.num_rows)
+            ends = np.cumsum(n)
+            raw = h.tobytes()
+            node = np.array([xxhash.xxh64_intdigest(raw[8 * (e - k) : 8 * e], 7) if k else 0 for k, e in zip(n.tolist(), ends.tolist(), strict=True)], np.uint64)
+            rank = np.zeros(len(h), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                rank = np.where(known[at] == h, by_hash[at] + 1, 0)
+            order = np.lexsort((h, rank, r))
+            order = order[np.arange(len(h)) - (ends - n)[r] <= n[r] // 5]
+            first, late = h[order], np.bincount(r[order], rank[order] > 0, minlength=b.num_rows).astype(np.int64)
+            cuts = np.concatenate([[0], np.cumsum(np.where(n > 0, n // 5 + 1, 0))]).astype(np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(first.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node.view(np.int64)), pa.array(n.astype(np.int64)), prefix, pa.array(late)], ["_id", "_h", "node", "n", "prefix", "common"])
+
+    return keyed.select("_id", "_h", "_text").mapInArrow(run, f"_id {keyed.schema['_id'].dataType.simpleString()}, _h long, node long, n long, prefix array<long>, common long")
+
+
+def _candidates(sets: DataFrame) -> DataFrame:
+    """Links (a, b) whose components hold every pair of sets with a similarity of 0.8.
+
+    Such sets differ in at most a ninth of their sizes' sum.  Pairs that meet in a shingle not
+    known as common are counted, and go where their prefixes alone differ in more: up to the
+    lesser of the prefixes' ends all of that prefix is seen, and the other up to its last shared place.
+    Common shingles are only left in prefixes of sets that have little else; those are chained.
+    """
+    held = sets.select("node", "n", "common", F.size("prefix").alias("p"), F.posexplode("prefix").alias("at", "g"))
+    rare = held.where("at < p - common").select("g", "node", "n", "common", "p", "at")
+    one, two = (rare.select("g", *[F.col(c).alias(c + k) for c in rare.columns[1:]]) for k in "12")
+    met = one.join(two, "g").where("node1 < node2 AND 5 * least(n1, n2) >= 4 * greatest(n1, n2)")
+    same = [F.first(c + k).alias(c + k) for k in "12" for c in ("n", "common", "p")]
+    met = met.groupBy("node1", "node2").agg(F.count("*").alias("both"), F.max("at1").alias("at1"), F.max("at2").alias("at2"), *same)
+    met = met.where("9 * (least(p1 + at2 + 1, at1 + 1 + p2) - 2 * (both + least(common1, common2))) <= n1 + n2")
+    before = Window.partitionBy("g").orderBy("n", "node")
+    chained = held.where("at >= p - common").select("node", "n", F.lag("node").over(before).alias("b"), F.lag("n").over(before).alias("m"))
+    return met.select(F.col("node1").alias("a"), F.col("node2").alias("b")).union(chained.where("5 * m >= 4 * n").select("node", "b").distinct())
+
+
+def similar_roots(owner: np.ndarray, hashes: np.ndarray, m: int) -> np.ndarray:
+    """For ``m`` sets given as (owner, hash) in order of owner: a representative of each one's component at 0.8.
+
+    A search from a set looks only at those that no component has yet, so groups of near copies do not compare all pairs.
+    """
+    n = np.bincount(owner, minlength=m)
+    ends = np.cumsum(n)
+    ids = np.unique(hashes, return_inverse=True)[1]
+    alive, root = np.ones(m, bool), np.arange(m)
+    left, indexed, place, post = m, None, None, None
+    for s in range(m):
+        if not alive[s]:
+            continue
+        alive[s], left, todo = False, left - 1, [s]
+        while todo and left:
+            if indexed is None or 2 * left < indexed:
+                kept = np.flatnonzero(alive[owner])
+                kept = kept[np.argsort(ids[kept], kind="stable")]
+                post, indexed = owner[kept], left
+                place = np.searchsorted(ids[kept], np.arange(ids.max(initial=0) + 2))
+            i = todo.pop()
+            mine = ids[ends[i] - n[i] : ends[i]]
+            count = place[mine + 1] - place[mine]
+            at = np.repeat(place[mine] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            both = np.bincount(post[at], minlength=m)
+            hit = np.flatnonzero(alive & (5 * both >= 4 * (n[i] + n - both)))
+            alive[hit], root[hit] = False, s
+            left -= len(hit)
+            todo.extend(hit.tolist())
+    return root
+
+
+def _similar_links(size: int):
+    """Arrow batches of (part, node, text) with each part's rows together -> (a, b) links to representatives."""
+
+    def emit(held: list) -> pa.RecordBatch:
+        nodes = np.concatenate([x[0] for x in held])
+        base = np.cumsum([0, *[len(x[0]) for x in held]])
+        owner = np.concatenate([x[1] + at for x, at in zip(held, base, strict=False)])
+        root = similar_roots(owner, np.concatenate([x[2] for x in held]), len(nodes))
+        moved = nodes != nodes[root]
+        return _pairs(nodes[moved], nodes[root][moved])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for b in _slices(batches):
+            keys = b.column(0).to_numpy(zero_copy_only=False)
+            nodes = b.column(1).to_numpy(zero_copy_only=False)
+            r, h = shingle_sets(b.column(2), size)
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if keys[lo] != part:
+                    if held:
+                        yield emit(held)
+                    part, held = keys[lo], []
+                x, y = np.searchsorted(r, [lo, hi])
+                held.append((nodes[lo:hi], r[x:y] - lo, h[x:y]))
+        if held:
+            yield emit(held)
+
+    return run
+
+
+def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """The input without near copies: of each group the row with the least id stays (a null id only if no other).
 
-    Of equal rows one stays.  The texts move once, to meet the chosen (id, text hash).
+    Groups are the components of all pairs whose sets of ``size``-word shingles have a Jaccard
+    similarity of 0.8 or more.  Candidate groups are found from prefixes of the sets and compared
+    exactly, in parts of two blocks of about ``block`` shingles.
+    Of equal rows one stays.
     """
+    ship_package(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     keyed = docs.select(row, F.col(f"`{id_col}`").alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"), F.col(text).alias("_text"))
-    rows = written(with_fingerprint(keyed, ["_id", "_h"], size, "_text"), "fingerprints")
     first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("_id"), F.col("_h").alias("_h")))
-    distinct = written(rows.groupBy("fp").agg(first.alias("best")), "codes")
-    comps = written(connected_components(hamming_links(distinct.select("fp"), radius)), "components")
-    grouped = distinct.join(comps, distinct["fp"] == comps["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
+    rows = _with_prefix(keyed, size, _common_shingles(keyed.select("_h", "_text"), size))
+    sets = written(rows.groupBy("node").agg(first.alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("common").alias("common")), "sets")
+    release_shuffles(docs.sparkSession)
+
+    near = written(_candidates(sets), "candidates")
+    release_shuffles(docs.sparkSession)
+    groups = written(connected_components(near).join(sets.select("node", "best", "n"), "node"), "groups")
+    blocks = groups.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("k"))
+    mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: j != F.col("mine"))
+    parts = F.when(F.col("k") == 1, F.array(F.lit("0.0"))).otherwise(F.transform(others, lambda j: F.concat_ws(".", F.least(j, "mine"), F.greatest(j, "mine"))))
+    dealt = groups.join(blocks, "root").withColumn("mine", mine)
+    dealt = written(dealt.select("root", "node", F.col("best._id").alias("_cid"), F.col("best._h").alias("_ch"), parts.alias("parts")), "parts")
+    texts = keyed.select("_id", "_h", "_text").join(dealt, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_h") == F.col("_ch")))
+    texts = texts.select(F.explode("parts").alias("part"), "root", "node", "_text").select(F.concat_ws(".", "root", "part").alias("part"), "node", "_text")
+    links = texts.repartition("part").sortWithinPartitions("part").mapInArrow(_similar_links(size), "a long, b long")
+    comps = written(connected_components(links), "components")
+    release_shuffles(docs.sparkSession)
+
+    grouped = sets.select("node", "best").join(comps, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
     chosen = grouped.select(F.col("best._id").alias("_cid"), F.col("best._h").alias("_ch"))
     met = keyed.drop("_text").join(chosen, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_h") == F.col("_ch")))
     return met.dropDuplicates(["_cid", "_ch"]).select("_row.*")

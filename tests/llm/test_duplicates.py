@@ -106,6 +106,43 @@ def test_keep_one(spark):
     assert s.keep_one(empty(spark)).count() == 0
 
 
+def jaccard_rows():
+    """Documents with near copies at similarities about 0.8, the way that edits of words make them."""
+    r = random.Random(5)
+    rows = []
+    for group in range(12):
+        words = [f"w{r.randrange(5000)}" for _ in range(r.choice([30, 120, 400]))]
+        for _ in range(6):
+            copy = list(words)
+            for _ in range(r.randrange(1, max(2, len(words) // 30))):
+                copy[r.randrange(len(copy))] = f"x{r.randrange(10**6)}"
+            rows.append((len(rows) * 7 % 72, " ".join(copy)))
+    return rows
+
+
+def brute_kept(rows, size=5):
+    sets = []
+    for _, t in rows:
+        w = t.lower().split()
+        sets.append({" ".join(w[i : i + size]) for i in range(len(w) - size + 1)})
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    return sorted(min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in set(group))
+
+
+@pytest.mark.parametrize("block", [500_000, 300])
+def test_keep_one_is_the_join_at_080(spark, block):
+    rows = jaccard_rows()
+    want = brute_kept(rows)
+    assert 12 < len(want) < len(rows)
+    assert sorted(r["doc_id"] for r in s.keep_one(docs(spark, rows), block=block).collect()) == want
+
+
 def brute_repeats(rows, match=200):
     raw = [(t or "").encode() for _, t in rows]
     seen = Counter(b[i : i + match] for b in raw for i in range(len(b) - match + 1))
