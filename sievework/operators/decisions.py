@@ -12,8 +12,8 @@ def decide(external: tuple[str, ...] = rd.EXTERNAL_TASKS) -> Column:
     """The action for a row of signals (task_id, bench, judge, n, prev, regressed).
 
     The order of the tests is part of the meaning.  After the tests on n (under 30, and 80
-    or more) only 30 <= n < 80 is left, so later tests on n < 30 or n > 100 never fire;
-    they are kept in place.
+    or more) only 30 <= n < 80 is left, so later tests on n < 30 or n > 100 could never
+    fire and are left out.
     """
     bench, judge, n = F.col("bench"), F.col("judge"), F.col("n")
     low = bench <= 0.3
@@ -27,11 +27,8 @@ def decide(external: tuple[str, ...] = rd.EXTERNAL_TASKS) -> Column:
         .when((bench == 0) & (n >= 50) & (judge >= 4.5) & F.col("task_id").isin(*external), "INFRASTRUCTURE")
         .when((bench == 0) & (n >= 50) & (judge >= 4.5), "REGENERATE")
         .when(low & (judge > 0) & (judge < 3.5), "REGENERATE")
-        .when(low & (n < 30), "GENERATE")
         .when(low & (n >= 50) & ((judge >= 4.5) | (judge == 0)), "ADVERSARIAL")
         .when(low, "GENERATE")
-        .when(n > 100, "TRIM")
-        .when(n < 30, "GENERATE")
         .otherwise("LEAVE_ALONE")
     )
 

@@ -4,31 +4,37 @@ Rows are (example_id, pos, task_id, text, tools array<string>).  The similarity
 equi-join on (task, term) with an exact prefix filter: terms go in one global order, most
 frequent first, and a document is indexed only by the terms from where its running norm
 reaches a cut a little below the threshold.  The products of shared indexed terms, plus
-the skipped norm of the document that is cut later, bound a pair's cosine from above:
-only pairs whose bound reaches the threshold are verified, and no pair is lost.
+what the skipped terms of the document that is cut earlier can add, bound a pair's cosine from above:
+only pairs whose bound reaches the threshold are verified, and no pair is lost.  Long
+posting lists are met in numbered blocks, so that a frequent term is no hot task.
 Equal texts are folded to one representative before the join, so copies never multiply.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.io import shared_folder, stored
 from .aggregates import tool_jaccard
 
+POSTINGS = 1000  # rows of a posting list in a block
 EPSILON = 1e-9  # so that the order of summation cannot flip a pair at the threshold
 
 
-def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[str, ...] = ()) -> DataFrame:
+def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[str, ...] | str = ()) -> DataFrame:
     """(task_id, example_id, term, w): unit vectors; tasks with one row of text have none.
 
     Terms are lower-cased runs of two or more letters, digits or underscores; the ``max_features`` most
-    frequent of a task count (ties by term); idf = ln((1 + n) / (1 + df)) + 1.
+    frequent of a task count (ties by term); idf = ln((1 + n) / (1 + df)) + 1.  ``stop_words``
+    are left out: a tuple, or the name of one of Spark's own lists ("english").
     """
     text = rows.where(F.trim("text") != "")
     n = text.groupBy("task_id").agg(F.count("*").alias("n")).where("n > 1")
     words = text.select("task_id", "example_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))).alias("term"))
+    if isinstance(stop_words, str):
+        stop_words = tuple(StopWordsRemover.loadDefaultStopWords(stop_words))
     if stop_words:
         words = words.where(~F.col("term").isin(*stop_words))
     tf = stored(words.groupBy("task_id", "example_id", "term").agg(F.count("*").alias("tf")), "term-counts")
@@ -42,17 +48,31 @@ def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[s
 
 def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(task_id, a, b, cosine) with a < b, of all pairs at or above the threshold; exact."""
-    t, cut = threshold - EPSILON, max(threshold - 0.1, 0.0)
+    t, cut = threshold - EPSILON, max(threshold - 0.07, 0.0)
     freq = vectors.groupBy("task_id", "term").agg(F.count("*").alias("df"))
     doc = Window.partitionBy("task_id", "example_id")
     before = doc.orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
     ordered = vectors.join(freq, ["task_id", "term"]).withColumn("_norm2", F.sum(F.col("w") * F.col("w")).over(before))
     skipped = F.sqrt(F.coalesce(F.max(F.when(F.col("_norm2") < cut * cut, F.col("_norm2"))).over(doc), F.lit(0.0)))
     indexed = ordered.withColumn("_skipped", skipped).where(F.col("_norm2") >= cut * cut).select("task_id", "term", "example_id", "w", "_skipped")
-    # what indexed terms give, plus the most that the skipped ones of the later cut can add
-    met = indexed.toDF("task_id", "term", "a", "wa", "sa").join(indexed.toDF("task_id", "term", "b", "wb", "sb"), ["task_id", "term"]).where("a < b")
-    part = met.groupBy("task_id", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("part"), F.first("sa").alias("sa"), F.first("sb").alias("sb"))
-    pairs = part.where(F.col("part") + F.greatest("sa", "sb") >= t).select("task_id", "a", "b")
+    indexed = stored(indexed, "postings")
+    blocks = indexed.groupBy("task_id", "term").agg(F.count("*").alias("_c")).where("_c > 1").select("task_id", "term", F.ceil(F.col("_c") / POSTINGS).cast("int").alias("_k"))
+    held = indexed.join(blocks, ["task_id", "term"]).withColumn("_mine", F.pmod(F.xxhash64("example_id"), F.col("_k")).cast("int"))
+    # a row meets every block of its list once: as the first of a pair of blocks or as the second
+    ahead, behind = F.sequence("_mine", F.col("_k") - 1), F.sequence(F.lit(0), "_mine")
+    one = held.select("task_id", "term", F.col("_mine").alias("_i"), F.explode(ahead).alias("_j"), F.col("example_id").alias("x"), F.col("w").alias("wx"), F.col("_skipped").alias("sx"))
+    two = held.select("task_id", "term", F.explode(behind).alias("_i"), F.col("_mine").alias("_j"), F.col("example_id").alias("y"), F.col("w").alias("wy"), F.col("_skipped").alias("sy"))
+    met = one.join(two, ["task_id", "term", "_i", "_j"]).where("x <> y AND (_i <> _j OR x < y)")
+    first = F.col("x") < F.col("y")
+    pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
+    met = met.select("task_id", pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("wx", "wy").alias("wa"), pick("wy", "wx").alias("wb"), pick("sx", "sy").alias("sa"), pick("sy", "sx").alias("sb"))
+    part = met.groupBy("task_id", "a", "b").agg(
+        F.sum(F.col("wa") * F.col("wb")).alias("part"), F.sum(F.col("wa") * F.col("wa")).alias("qa"), F.sum(F.col("wb") * F.col("wb")).alias("qb"), F.first("sa").alias("sa"), F.first("sb").alias("sb")
+    )
+    # beyond the earlier cut one has its skipped norm and the other at most what the met terms leave of 1
+    left = lambda q: F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0 + EPSILON) - F.col(q)))
+    rest = F.greatest(F.col("sa") * left("qb"), F.col("sb") * left("qa"))
+    pairs = part.where(F.col("part") + rest >= t).select("task_id", "a", "b")
     va, vb = vectors.toDF("task_id", "a", "term", "wa"), vectors.toDF("task_id", "b", "term", "wb")
     dots = pairs.join(va, ["task_id", "a"]).join(vb, ["task_id", "b", "term"]).groupBy("task_id", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
     return dots.where(F.col("cosine") >= t)

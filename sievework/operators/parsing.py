@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,6 +17,9 @@ MSG = "array<struct<role:string,content:string>>"
 GENERATED = f"struct<user_message:string,user:string,prompt:string,turns:{MSG},conversation:{MSG}>"
 JUDGE = "struct<score:int,criteria_met:array<int>,issues:array<string>,reasoning:string>"
 TOOL_ROLES = ("tool", "tool_result", "function")
+_DECODER = json.JSONDecoder()
+_FENCE_OPEN = re.compile(r"^```(?:json)?\s*", re.MULTILINE)
+_FENCE_CLOSE = re.compile(r"\s*```$", re.MULTILINE)
 
 
 def json_arrays(raw: Column, item: str = GENERATED) -> Column:
@@ -78,35 +82,32 @@ def normalise_judge_response(raw: Column) -> Column:
 
 
 def first_object(text: str | None) -> str | None:
-    """The first JSON object in a text, as canonical JSON: whole, else by matching braces, else without trailing commas."""
-    import re
+    """The first JSON object in a text, as canonical JSON; null where there is none.
 
-    bare = re.sub(r"```(?:json)?", "", text or "").strip()
-    start = bare.find("{")
-    if start < 0:
-        return None
-    depth, quoted, escaped, end = 0, False, False, len(bare)
-    for i in range(start, len(bare)):
-        c = bare[i]
-        if escaped:
-            escaped = False
-        elif quoted:
-            escaped, quoted = c == "\\", c != '"'
-        elif c == '"':
-            quoted = True
-        elif c in "{}":
-            depth += 1 if c == "{" else -1
-            if not depth:
-                end = i + 1
-                break
-    for candidate in (bare, bare[start:end], re.sub(r",\s*([}\]])", r"\1", bare[start:end])):
+    Code fences at line starts and line ends go.  Then the whole text is tried, every brace in
+    turn as the start of an object, and at last the span from the first to the last brace
+    without its trailing commas.
+    """
+    bare = _FENCE_CLOSE.sub("", _FENCE_OPEN.sub("", (text or "").strip()).strip()).strip()
+    value = _parsed(bare)
+    at = bare.find("{")
+    first, last = at, bare.rfind("}")
+    while value is None and at >= 0:
         try:
-            value = json.loads(candidate)
-        except ValueError:
-            continue
-        if isinstance(value, dict):
-            return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-    return None
+            value = _DECODER.raw_decode(bare, at)[0]
+        except (ValueError, RecursionError):
+            at = bare.find("{", at + 1)
+    if value is None and 0 <= first < last:
+        value = _parsed(re.sub(r",\s*([}\]])", r"\1", bare[first : last + 1]))
+    return None if value is None else json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def _parsed(text: str) -> dict | None:
+    try:
+        value = json.loads(text)
+    except (ValueError, RecursionError):
+        return None
+    return value if isinstance(value, dict) else None
 
 
 def extract_json_object(df: DataFrame, raw: str, into: str = "object") -> DataFrame:
@@ -142,7 +143,7 @@ def sections(docs: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "heading").agg(F.max_by("content", "no").alias("content"))
 
 
-#: Where documents name the files they expect.
+#: Where documents name the files they expect.  ``[^\n]`` stands for a dot, since Java's dot also stops at other line ends.
 FILE_PATTERNS = (
     r"(?i)(?:Output|File|Save|Write|Create)[^\n]*?[`\"]([a-zA-Z0-9_./\-]+\.[a-z]{1,5})[`\"]",
     r"(?i)(?:save|write|create)[^\n]*?(?:as|to|called)\s+[`\"]?([a-zA-Z0-9_./\-]+\.[a-z]{1,5})[`\"]?",
@@ -156,7 +157,7 @@ def expected_files(body: Column) -> Column:
 
 
 def expected_values(body: Column) -> Column:
-    """Answers in table rows ``| number | answer |`` and quoted words after expected, must, should or correct."""
+    """Answers in table rows ``| number | answer |`` and quoted words after expected, must, should or correct (fixed patterns)."""
     cells = F.filter(F.transform(F.regexp_extract_all(body, F.lit(r"\|\s*\d+\s*\|\s*([^\n]+?)\s*\|"), F.lit(1)), tx.strip), lambda v: (v != "") & (v != "Expected Answer") & ~F.startswith(v, F.lit("---")))
     quoted = F.transform(F.regexp_extract_all(body, F.lit(r"(?i)(?:expected|must|should|correct)[^\n]*?[`\"]([^`\"]+)[`\"]"), F.lit(1)), tx.strip)
     return F.concat(cells, F.filter(quoted, lambda v: (v != "") & (F.length(v) < 100)))

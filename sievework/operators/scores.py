@@ -1,8 +1,8 @@
 """Score joins, filters with floors, rebalancing, splits and score statistics (J, F, W, A07-A09).
 
 Examples here are flat: (example_id, pos, task_id, user_prefix, source, ...); scores are
-(task_id, user_prefix, score) with one row per key.  Every per-task order is a window on
-(task_id, pos) and each uses a rank only, so partitions stream and nothing is collected.
+(task_id, user_prefix, score) with one row per key.  "The first k of a task" never sorts a
+task's rows in one place: see ``mark_first``.
 """
 
 from __future__ import annotations
@@ -11,6 +11,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["task_id", "user_prefix"]
+BUCKETS = 4096
+
+
+def hash_bucket(order: Column) -> Column:
+    """The bucket of a hexadecimal hash: its first three digits."""
+    return F.conv(F.substring(order, 1, 3), 16, 10).cast("long")
+
+
+def mark_first(df: DataFrame, key: list[str], order: list[Column], bucket: Column, limits: DataFrame | None = None, n_first: Column | None = None) -> DataFrame:
+    """``df`` with ``_in``: whether the row is among the first k of its ``key`` by ``order``.
+
+    k is ``n_first``, over ``_n`` (the key's rows) and the columns of ``limits`` (one row per
+    key).  ``bucket`` has to rise with the order.  Counts by bucket tell in which bucket a key's
+    k-th row lies; rows of other buckets are settled by comparison where they are, and only
+    the rows of that one bucket are ranked, so a key with a third of all rows is no hot task.
+    """
+    rows = df.withColumn("_b", bucket)
+    per = rows.groupBy(*key, "_b").agg(F.count("*").alias("_c"))
+    whole = Window.partitionBy(*key)
+    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    sums = per.withColumns({"_n": F.sum("_c").over(whole), "_upto": F.sum("_c").over(upto)})
+    if limits is not None:
+        sums = sums.join(limits, key, "left")
+    sums = sums.withColumn("_k", n_first.cast("long"))
+    ends = (F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k"))
+    # a key without an edge takes all of its rows (k beyond its size) or none
+    plan = sums.groupBy(*key).agg(F.max(F.col("_k") >= F.col("_n")).alias("_all"), F.max(F.when(ends, F.col("_b"))).alias("_edge"), F.max(F.when(ends, F.col("_k") - F.col("_upto") + F.col("_c"))).alias("_left"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")) for k in key]
+    met = rows.alias("r").join(plan.alias("p"), same, "left").select("r.*", "p._edge", "p._left", "p._all")
+    at_edge = (F.col("_b") == F.col("_edge")) & ~F.col("_all")
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    ranked = met.where(at_edge).withColumn("_in", rank <= F.col("_left"))
+    settled = met.where(~F.coalesce(at_edge, F.lit(False))).withColumn("_in", F.col("_all") | F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False)))
+    return settled.unionByName(ranked).drop("_b", "_edge", "_left", "_all")
+
+
+def _position_bucket(df: DataFrame, pos: str = "pos") -> Column:
+    """A bucket that rises with the file position, from the least and greatest one."""
+    low, high = df.agg(F.min(pos), F.max(pos)).first()
+    if low is None:
+        return F.lit(0).cast("long")
+    return F.floor((F.col(pos) - low) / F.lit(max(1.0, (high - low + 1) / BUCKETS))).cast("long")
 
 
 def with_scores(examples: DataFrame, scores: DataFrame, default: float | None = 3.0) -> DataFrame:
@@ -44,15 +86,15 @@ def filter_min_score(examples: DataFrame, scores: DataFrame, least: float = 3.0)
     return with_scores(examples, scores, 5.0).where(F.col("score") >= least)
 
 
-def keep_with_floor(scored: DataFrame, least: float, floor: Column | int, partition: str = "task_id") -> DataFrame:
+def keep_with_floor(scored: DataFrame, least: float, floor: Column | int, limits: DataFrame | None = None) -> DataFrame:
     """Low-scored rows go, unless they are among the first ``floor`` of their task in file order.
 
     The closed form of a running "keep while fewer than floor are kept": unscored, or score
-    >= least, or rank <= floor.
+    >= least, or rank <= floor.  ``floor`` may use ``_n`` (the task's rows) and columns of ``limits``.
     """
-    rank = F.row_number().over(Window.partitionBy(partition).orderBy("pos"))
     limit = F.lit(floor) if isinstance(floor, int) else floor
-    return scored.withColumn("_rank", rank).where(~F.col("scored") | (F.col("score") >= least) | (F.col("_rank") <= limit)).drop("_rank")
+    marked = mark_first(scored, ["task_id"], [F.col("pos")], _position_bucket(scored), limits, limit)
+    return marked.where(~F.col("scored") | (F.col("score") >= least) | F.col("_in")).drop("_in")
 
 
 def filter_score_baseline(examples: DataFrame, scores: DataFrame, baseline: DataFrame, least: float = 3.0, tasks: tuple[str, ...] | None = None, slack: int = 5, min_per_task: int = 30) -> DataFrame:
@@ -60,13 +102,12 @@ def filter_score_baseline(examples: DataFrame, scores: DataFrame, baseline: Data
 
     Tasks outside ``tasks``, and tasks with at most ``min_per_task + slack`` rows, are untouched.
     """
-    w = Window.partitionBy("task_id")
-    df = with_scores(examples, scores, None).withColumn("_n", F.count("*").over(w)).join(baseline.select("task_id", F.col("n").alias("_floor")), "task_id", "left")
+    df = with_scores(examples, scores, None)
     held = F.col("_n") <= min_per_task + slack
     if tasks is not None:
         held = held | ~F.col("task_id").isin(*tasks)
     floor = F.when(held, F.col("_n")).otherwise(F.coalesce("_floor", F.lit(0)))
-    return keep_with_floor(df, least, floor).drop("_n", "_floor")
+    return keep_with_floor(df, least, floor, baseline.select("task_id", F.col("n").alias("_floor")))
 
 
 def filter_score_force(examples: DataFrame, scores: DataFrame, least: float = 3.0, tasks: tuple[str, ...] | None = None, floor: int = 15) -> DataFrame:
@@ -101,8 +142,10 @@ def rebalance_plan(examples: DataFrame, target: int) -> DataFrame:
 
 def trim_first_n(examples: DataFrame, task: str, n: int) -> DataFrame:
     """The first ``n`` rows of one task in each split file; other tasks untouched."""
-    rank = F.row_number().over(Window.partitionBy("split", "task_id").orderBy("pos"))
-    return examples.withColumn("_rank", rank).where((F.col("task_id") != task) | (F.col("_rank") <= n)).drop("_rank")
+    mine = F.coalesce(F.col("task_id") == task, F.lit(False))
+    own = examples.where(mine)
+    first = mark_first(own, ["split"], [F.col("pos")], _position_bucket(own), None, F.lit(n)).where("_in").drop("_in")
+    return examples.where(~mine).unionByName(first)
 
 
 def shuffle_order(id_col: str, seed: str) -> Column:
@@ -110,10 +153,10 @@ def shuffle_order(id_col: str, seed: str) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(seed)))
 
 
-def _split(examples: DataFrame, n_val: Column, seed: str) -> DataFrame:
-    w = Window.partitionBy("task_id")
-    ranked = examples.withColumn("_n", F.count("*").over(w)).withColumn("_rank", F.row_number().over(w.orderBy(shuffle_order("example_id", seed), "example_id")))
-    return ranked.withColumn("split", F.when(F.col("_rank") <= n_val, F.lit("val")).otherwise(F.lit("train"))).drop("_n", "_rank")
+def _split(examples: DataFrame, n_val: Column, seed: str, limits: DataFrame | None = None) -> DataFrame:
+    h = shuffle_order("example_id", seed)
+    marked = mark_first(examples, ["task_id"], [h, F.col("example_id")], hash_bucket(h), limits, n_val)
+    return marked.withColumn("split", F.when(F.col("_in"), F.lit("val")).otherwise(F.lit("train"))).drop("_in")
 
 
 def stratified_split(examples: DataFrame, share: float = 0.1, least: int = 2, seed: str = "s") -> DataFrame:
@@ -131,8 +174,7 @@ def split_fill_val(new: DataFrame, existing: DataFrame, target: int = 50, share:
     """Fill each task's val up to max(2, round(target * share)) given the rows it has."""
     goal = max(2, round(target * share))
     has = existing.where("split = 'val'").groupBy("task_id").agg(F.count("*").alias("_has"))
-    joined = new.drop("split").join(has, "task_id", "left")
-    return _split(joined, F.greatest(F.lit(0), F.lit(goal) - F.coalesce("_has", F.lit(0))), seed).drop("_has")
+    return _split(new.drop("split"), F.greatest(F.lit(0), F.lit(goal) - F.coalesce("_has", F.lit(0))), seed, has)
 
 
 def best_in_cluster(members: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def call_issues(calls: DataFrame, signatures=rd.TOOL_SIGNATURES, typos=rd.TOOL_T
 
 def required_tool_issues(examples: DataFrame, required: dict[str, tuple[str, ...]] = rd.REQUIRED_TOOLS) -> DataFrame:
     """Tools that an example's task asks for and it never calls (unknown names count as called)."""
-    wanted = F.element_at(F.create_map(*[x for t, r in required.items() for x in (F.lit(t), F.array(*map(F.lit, r)))]), F.col("task_id"))
+    wanted = F.element_at(F.create_map(*[x for t, r in required.items() for x in (F.lit(t), F.array(*map(F.lit, r)).cast("array<string>"))]), F.col("task_id"))
     lacking = F.array_except(wanted, call_names(F.col("messages"), invalid=None))
     rows = examples.where(F.size("messages") > 0).select("example_id", "task_id", F.explode(lacking).alias("detail"))
     return rows.select("example_id", "task_id", F.lit("high").alias("severity"), F.lit("missing_required_tool").alias("check"), "detail")

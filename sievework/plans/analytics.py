@@ -37,12 +37,17 @@ def _tasks(spark):
     return rd.task_table(spark)
 
 
-_REG = f"reg(task_id, ordinal) AS (VALUES {', '.join(f'({chr(39)}{t}{chr(39)}, {i})' for i, t in enumerate(rd.TASK_IDS))})"
-_FILL = f", {_REG}, cnt AS (SELECT r.task_id, r.ordinal, coalesce(c.n, 0) AS n FROM reg r LEFT JOIN (SELECT task_id, count(*) AS n FROM fx_ex WHERE example_id % 5 <> 0 GROUP BY task_id) c ON r.task_id = c.task_id)"
+def _registry(tasks):
+    return f"reg(task_id, ordinal) AS (VALUES {', '.join(f'({chr(39)}{t}{chr(39)}, {i})' for i, t in enumerate(tasks))})"
+
+
+_REG = _registry(rd.TASK_IDS)
+_WIDE = tuple(f"task_{i:02d}" for i in range(26))  # with tasks that have no rows
+_FILL = f", {_registry(_WIDE)}, cnt AS (SELECT r.task_id, r.ordinal, coalesce(c.n, 0) AS n FROM reg r LEFT JOIN (SELECT task_id, count(*) AS n FROM fx_ex GROUP BY task_id) c ON r.task_id = c.task_id)"
 
 
 def _counts(spark, d):
-    return ag.zero_fill(ag.count_per_task(fx(spark, d, "fx_ex").where("example_id % 5 <> 0")), _tasks(spark))
+    return ag.zero_fill(ag.count_per_task(fx(spark, d, "fx_ex")), rd.task_table(spark, _WIDE))
 
 
 @query("a01_count_per_task", sql("fx_ex", " SELECT task_id, count(*) AS n FROM fx_ex GROUP BY task_id"))

@@ -41,9 +41,11 @@ def _log(spark, d):
 _SCORED = r""", sl AS (SELECT run_id, regexp_extract(line, '(task_\d{2}\w*):\s*([0-9.]+)/100', 1) AS task_id, CAST(regexp_extract(line, '(task_\d{2}\w*):\s*([0-9.]+)/100', 2) AS DOUBLE) / 100 AS score FROM fx_log WHERE regexp_matches(line, '(task_\d{2}\w*):\s*([0-9.]+)/100'))"""
 
 
-@query("p27_parse_model_version", sql("fx_bench", " SELECT version, task_id, version AS parsed FROM fx_bench"))
+@query("p27_parse_model_version", sql("fx_bench", " SELECT version, task_id, CASE WHEN version % 4 < 2 THEN version END AS parsed FROM fx_bench"))
 def p27(spark, d):
-    named = fx(spark, d, "fx_bench").withColumn("name", F.concat(F.lit("agent-8b-v"), F.col("version").cast("string")))
+    v = F.col("version").cast("string")
+    names = F.array(F.concat(F.lit("agent-8b-v"), v), F.concat(F.lit("agent-v2-v"), v), F.concat(F.lit("agent-v"), v, F.lit("-beta")), F.concat(F.lit("agentv"), v))
+    named = fx(spark, d, "fx_bench").withColumn("name", F.element_at(names, (F.col("version") % 4 + 1).cast("int")))
     return named.select("version", "task_id", lg.model_version(F.col("name")).cast("long").alias("parsed"))
 
 
@@ -120,14 +122,31 @@ def p15(spark, d):
     return out.select("custom_id", F.get("messages", 0)["content"].alias("user_message"), F.size("messages").alias("n"))
 
 
-@query("p16_extract_json_array", sql("fx_generated", " SELECT custom_id, CASE WHEN conv_id % 7 = 0 THEN 0 ELSE 1 END AS n FROM fx_generated"))
+@query("p16_extract_json_array", sql("fx_generated", " SELECT custom_id, CASE WHEN conv_id % 7 = 0 THEN 0 WHEN conv_id % 3 = 0 THEN 3 WHEN conv_id % 3 = 1 THEN 2 ELSE 1 END AS n FROM fx_generated"))
 def p16(spark, d):
-    return fx(spark, d, "fx_generated").select("custom_id", F.coalesce(F.size(ps.json_arrays(F.col("raw_text"))), F.lit(0)).alias("n")).withColumn("n", F.greatest("n", F.lit(0)))
-
-
-@query("p17_extract_json_object", """SELECT event_id, '{"k":' || regexp_extract(props, '([0-9]+)', 1) || '}' AS object FROM events""")
+    array = F.regexp_extract("raw_text", r"(?s)(\[.*\])", 1)
+    item = F.regexp_extract("raw_text", r"(?s)\[(.*)\]", 1)
+    two = F.concat(F.lit("["), item, F.lit(", "), item, F.lit("]"))
+    fenced = F.concat("raw_text", F.lit("\nand\n```\n"), two, F.lit("\n```"))  # two blocks, three objects
+    raw = F.expr("conv_id % 7 = 0"), F.expr("conv_id % 3 = 0"), F.expr("conv_id % 3 = 1")
+    shaped = F.when(raw[0], F.col("raw_text")).when(raw[1], fenced).when(raw[2], F.concat(F.lit("Sure: "), two, F.lit(" done"))).otherwise(array)
+    out = fx(spark, d, "fx_generated").select("custom_id", F.coalesce(F.size(ps.json_arrays(shaped)), F.lit(0)).alias("n"))
+    return out.withColumn("n", F.greatest("n", F.lit(0)))
+
+
+@query("p17_extract_json_object", """SELECT event_id, CASE event_id % 6 WHEN 0 THEN '{"k":' || k || '}' WHEN 1 THEN '{"a":{"k":' || k || '}}' WHEN 2 THEN '{"k":' || k || ',"t":"```json {"}' WHEN 3 THEN '{"k":[' || k || ',' || event_id || ']}' WHEN 4 THEN '{"k":' || k || ',"text":"}"}' END AS object
+  FROM (SELECT event_id, regexp_extract(props, '([0-9]+)', 1) AS k FROM events) t""")
 def p17(spark, d):
-    raw = F.concat(F.lit("Here it is: "), F.regexp_replace("props", r"\}", ",}"), F.lit(" hope it helps }"))
+    k, event = F.regexp_extract("props", "([0-9]+)", 1), F.col("event_id").cast("string")
+    shapes = [
+        F.concat(F.lit("Here it is: "), F.regexp_replace("props", r"\}", ",}"), F.lit(" hope it helps")),  # a trailing comma
+        F.concat(F.lit("I use {foo} first. "), F.lit('{"a": '), "props", F.lit("} and {bar}")),  # stray braces on both sides
+        F.concat(F.lit('```json\n{"t": "```json {", "k": '), k, F.lit("}\n```")),  # a fence inside a string
+        F.concat(F.lit('{"k": ['), k, F.lit(", "), event, F.lit(",], }")),  # several trailing commas
+        F.concat(F.lit('{ not yet {"text": "}", "k": '), k, F.lit("} the end")),  # a brace that never closes
+        F.concat(F.lit("no object { in "), k),
+    ]
+    raw = F.element_at(F.array(*shapes), (F.col("event_id") % 6 + 1).cast("int"))
     e = spark.read.parquet(f"{d}/events.parquet").select("event_id", raw.alias("raw"))
     return ps.extract_json_object(e, "raw").select("event_id", "object")
 
@@ -299,8 +318,11 @@ def s04(spark, d):
 def s05(spark, d):
     path = io.fresh_path(spark, "scores")
     entry = F.struct(F.concat_ws("|", "task_id", "user_prefix").alias("key"), F.struct("score").alias("value"))
-    maps = fx(spark, d, "fx_scores").groupBy(F.col("task_id").alias("task")).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
-    maps.write.partitionBy("task").text(path)  # one map file for each task
+    rows = fx(spark, d, "fx_scores")
+    parts = rows.groupBy("task_id").agg(F.ceil(F.count("*") / 1000).alias("parts"))  # map files of about 1000 entries
+    part = F.pmod(F.xxhash64("user_prefix"), F.col("parts")).alias("part")
+    maps = rows.join(parts, "task_id").groupBy(F.col("task_id").alias("task"), part).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    maps.repartition("task", "part").write.partitionBy("task", "part").text(path)
     return io.scan_scores(spark, path).select("task_id", "user_prefix", "score")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import registry
 from ..operators import scores as sc
 from .fixtures import fx, sql
 
@@ -34,9 +35,11 @@ def j01(spark, d):
     return sc.with_scores(_docs(spark, d), fx(spark, d, "fx_scores")).select("example_id", "task_id", "score", "scored")
 
 
-@query("j02_prune_stale_scores", sql(_DS, " SELECT task_id, user_prefix, score FROM fx_scores s WHERE EXISTS (SELECT 1 FROM fx_docs d WHERE d.pos % 3 <> 0 AND d.task_id = s.task_id AND d.user_prefix = s.user_prefix)"))
+@query("j02_prune_stale_scores", sql(_DS, ", ss AS (SELECT task_id, user_prefix, score FROM fx_scores UNION ALL SELECT 'old-' || task_id, user_prefix, score + 1 FROM fx_scores) SELECT task_id, user_prefix, score FROM ss WHERE EXISTS (SELECT 1 FROM fx_docs d WHERE d.task_id = ss.task_id AND d.user_prefix = ss.user_prefix)"))
 def j02(spark, d):
-    return sc.prune_stale_scores(fx(spark, d, "fx_scores").select("task_id", "user_prefix", "score"), _docs(spark, d).where("pos % 3 <> 0"))
+    scores = fx(spark, d, "fx_scores").select("task_id", "user_prefix", "score")
+    stale = scores.select(F.concat(F.lit("old-"), "task_id").alias("task_id"), "user_prefix", (F.col("score") + 1).alias("score"))
+    return sc.prune_stale_scores(scores.union(stale), _docs(spark, d))
 
 
 @query("j03_unscored_examples", sql(_DS, _J + " SELECT example_id, task_id FROM js WHERE score IS NULL"))
@@ -44,6 +47,21 @@ def j03(spark, d):
     return sc.unscored(_docs(spark, d), fx(spark, d, "fx_scores")).select("example_id", "task_id")
 
 
+@query("j03_score_with", sql(_DS, _J + """, k AS (SELECT task_id, user_prefix, CAST(length(arg_min(d.user_message, d.pos)) % 5 + 1 AS INT) AS score FROM fx_docs d WHERE NOT EXISTS (SELECT 1 FROM fx_scores s WHERE s.task_id = d.task_id AND s.user_prefix = d.user_prefix) GROUP BY task_id, user_prefix)
+  SELECT task_id, user_prefix, CAST(score AS INT) AS score, false AS fresh FROM fx_scores UNION ALL SELECT task_id, user_prefix, score, true FROM k"""))
+def j03_score_with(spark, d):
+    """Resume: keys without a score go through a scorer (here one that looks at the length alone)."""
+
+    def scorer(texts):
+        import pandas as pd
+
+        return pd.DataFrame({"score": texts.str.len() % 5 + 1, "reasoning": "length"})
+
+    known = fx(spark, d, "fx_scores").select("task_id", "user_prefix", "score")
+    out = registry.score_with(fx(spark, d, "fx_docs"), scorer, known, "user_message")
+    return out.select("task_id", "user_prefix", "score", F.col("reasoning").isNotNull().alias("fresh"))
+
+
 @query("f01_filter_by_task", sql("fx_docs", " SELECT example_id, task_id FROM fx_docs WHERE task_id = 'src3'"))
 def f01(spark, d):
     return sc.filter_by_task(_docs(spark, d), "src3").select("example_id", "task_id")

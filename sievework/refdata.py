@@ -1,13 +1,13 @@
 """Reference data of the tool-conversation domain, replaceable by parameter in every operator.
 
-Fixed values, equal to the domain's own lists.
+Task ids are neutral (``task_00`` to ``task_22``); tables marked as fixed values hold the domain's own content.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Tool name: (required arguments, optional arguments).
+#: Fixed values.  Tool name: (required arguments, optional arguments).
 TOOL_SIGNATURES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "read_file": (("path",), ("file_path", "filepath")),
     "write_file": (("path", "content"), ("file_path", "filepath")),
@@ -28,7 +28,7 @@ TOOL_SIGNATURES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "install_skill": (("name",), ("skill_name", "skill")),
 }
 
-#: Wrong tool name: the tool that was meant.
+#: Fixed values.  Wrong tool name: the tool that was meant.
 TOOL_TYPOS = {
     "image": "generate_image", "create_image": "generate_image", "gen_image": "generate_image", "image_gen": "generate_image",
     "execute_python": "run_python", "exec_python": "run_python", "python": "run_python",
@@ -39,27 +39,57 @@ TOOL_TYPOS = {
     "email": "draft_email", "send_email": "draft_email",
     "find_email": "search_emails", "email_search": "search_emails", "email_lookup": "search_emails",
     "calendar": "create_calendar_event",
-    "memory_read": "read_memory", "get_memory": "read_memory",
-    "memory_write": "write_memory", "set_memory": "write_memory", "store_memory": "write_memory",
+    "memory_read": "read_memory", "memory_write": "write_memory", "get_memory": "read_memory",
+    "set_memory": "write_memory", "store_memory": "write_memory",
 }
 
 WRITE_TOOLS = ("write_file", "draft_email", "create_calendar_event", "generate_image", "write_memory")
 
-#: Neutral task ids; the domain's own registry is passed in their place.
+#: Neutral task ids; a registry of one's own is passed in their place.
 TASK_IDS = tuple(f"task_{i:02d}" for i in range(23))
-REQUIRED_TOOLS = {"task_01": ("write_file",), "task_02": ("web_search",), "task_05": ("read_file", "write_file"), "task_09": ("create_directory", "write_file"), "task_13": ("generate_image",), "task_16": ("list_files", "read_file", "write_file"), "task_21": ("read_file",)}
+#: Fixed values.  Task: the tools its examples have to call.
+REQUIRED_TOOLS: dict[str, tuple[str, ...]] = {
+    "task_01": ("write_file",),
+    "task_02": ("web_search",),
+    "task_03": ("write_file",),
+    "task_04": ("write_file",),
+    "task_05": ("read_file", "write_file"),
+    "task_06": ("web_search",),
+    "task_07": ("write_file",),
+    "task_08": ("read_file", "write_file"),
+    "task_09": ("create_directory", "write_file"),
+    "task_10": ("write_file",),
+    "task_11": ("read_file", "write_file"),
+    "task_12": (),
+    "task_13": ("generate_image",),
+    "task_14": ("read_file", "write_file"),
+    "task_15": ("read_file", "write_file"),
+    "task_16": ("list_files", "read_file", "write_file"),
+    "task_17": ("list_files", "read_file"),
+    "task_18": ("web_search", "write_file"),
+    "task_19": ("read_file", "write_file"),
+    "task_20": ("read_file", "write_file"),
+    "task_21": ("read_file",),
+    "task_22": (),
+}
 TOOL_REQUIRED_TASKS = tuple(t for t in TASK_IDS if t not in ("task_00", "task_03"))
-EXPECTED_VALUES = {"task_08": ("f1.txt",), "task_19": ("c0", "c1"), "task_21": ("f2.txt", "SKILL.md")}
+#: Fixed values.  Task: what its examples have to mention.
+EXPECTED_VALUES: dict[str, tuple[str, ...]] = {
+    "task_08": ("June 1, 2024",),
+    "task_21": ("5,705", "2,999", "SKILL.md", "February 7, 2026"),
+    "task_19": ("119,900", "47,960", "Alice Chen", "Widget B"),
+}
 EXTERNAL_TASKS = ("task_02", "task_04", "task_06", "task_13", "task_18")
 EXEMPT_TASKS = ("task_00",)
 HARD_TASKS = ("task_02", "task_09", "task_16")
 
-#: Variation id: whether it rehearses an error.
+#: Fixed values.  Variation id: whether it rehearses an error.
 VARIATIONS = {
     "happy_formal": False, "happy_casual": False, "vague_input": False, "error_recovery": True, "multi_tool_chain": False,
     "terse": False, "detailed_user": False, "one_clarification": False, "self_correction": False,
 }
 
+#: How a complete message ends, by the first and by the second validator, and contents that stand for a missing result.
 TERMINALS = ".!?\"')}>"
 TERMINALS_RECORD = ".!?\")}'`"
 PLACEHOLDERS = ("...", "TODO", "placeholder", "result")

@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EXAMPLE = "task_id string, source string, messages array<struct<role:string,content:string>>"
@@ -85,15 +85,22 @@ def scan_model_history(spark: SparkSession, path: str) -> DataFrame:
 def scan_log(spark: SparkSession, path: str, latest: bool = False) -> DataFrame:
     """Text logs as (run_id, line_no, line), one run per file; ``latest``: the file modified last.
 
-    The run is the folder's ``run_id=`` or else the file's name.  Each file is read whole by
-    one task to number its lines; logs are far below a task's memory.
+    The run is the folder's ``run_id=`` or else the file's name.  Large logs are read in
+    splits: a line's number is its place in its split plus the lines of earlier splits, so no
+    file is gathered or sorted by one task.
     """
-    files = spark.read.text(path, wholetext=True)
-    run = F.col("run_id").cast("string") if "run_id" in files.columns else F.col("_metadata.file_name")
-    files = files.select(run.alias("run_id"), F.col("_metadata.file_modification_time").alias("at"), "value")
+    raw = spark.read.text(path)
+    run = F.col("run_id").cast("string") if "run_id" in raw.columns else F.col("_metadata.file_name")
+    meta = F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    lines = raw.select(run.alias("run_id"), *meta, F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
     if latest:
-        files = files.join(F.broadcast(files.agg(F.max(F.struct("at", "run_id")).alias("m")).select("m.run_id")), "run_id", "left_semi")
-    return files.select("run_id", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("line_no", "line"))
+        newest = raw.select(F.col("_metadata.file_modification_time").alias("at"), run.alias("run_id")).agg(F.max(F.struct("at", "run_id")).alias("m"))
+        lines = lines.join(F.broadcast(newest.select("m.run_id")), "run_id", "left_semi")
+    lines = stored(lines, "log-lines")  # ids are fixed from here on
+    blocks = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    base = blocks.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).select("file", "block", "base")
+    return lines.join(base, ["file", "block"]).select("run_id", (F.col("id") + F.col("base")).cast("int").alias("line_no"), "line")
 
 
 def scan_task_docs(spark: SparkSession, path: str, glob: str = "task_*.md") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,18 +38,32 @@ def guardrails(stream: DataFrame, window: int = 15, least: int = 8) -> DataFrame
     """(session_id, turn, failures, looping) for each action of a log (session_id, turn, action, status, added).
 
     Keyed state holds the errors in a row (blocked actions neither count nor reset) and one
-    letter for each of the last ``window`` actions, so it never grows with the log.
+    letter for each of the last ``window`` actions, so it never grows with the log.  A
+    session's actions of one micro-batch may come in any order: they are held as nine bytes
+    each until they are sorted, and put out in pieces; the source's ``maxFilesPerTrigger``
+    bounds a micro-batch.
     """
+    piece = 50_000
+
+    def coded(f: pd.DataFrame) -> np.ndarray:
+        """0 other, 1 error, 2 success; plus 4 for a generation that added something and 8 for a training."""
+        ok = f["status"] == "success"
+        code = np.where(f["status"] == "error", 1, 0) + 2 * ok
+        return (code + 4 * ((f["action"] == "generate_data") & ok & (f["added"] > 0)) + 8 * (f["action"] == "train")).to_numpy(np.uint8)
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n, codes = state.get if state.exists else (0, "")
-        out = []
-        for r in pd.concat(list(frames)).sort_values("turn").itertuples():
-            n = n + 1 if r.status == "error" else 0 if r.status == "success" else n
-            code = "g" if r.action == "generate_data" and r.status == "success" and r.added > 0 else "t" if r.action == "train" else "."
-            codes = (codes + code)[-window:]
-            out.append((key[0], r.turn, n, len(codes) >= window and codes.count("g") >= least and "t" not in codes))
+        turns, kinds = zip(*((f["turn"].to_numpy(np.int64), coded(f)) for f in frames), strict=True)
+        turn, kind = np.concatenate(turns), np.concatenate(kinds)
+        order = np.argsort(turn, kind="stable")
+        for at in range(0, len(order), piece):
+            out = []
+            for k in order[at : at + piece].tolist():
+                c = int(kind[k])
+                n = n + 1 if c & 1 else 0 if c & 2 else n
+                codes = (codes + ("g" if c & 4 else "t" if c & 8 else "."))[-window:]
+                out.append((key[0], int(turn[k]), n, len(codes) >= window and codes.count("g") >= least and "t" not in codes))
+            yield pd.DataFrame(out, columns=["session_id", "turn", "failures", "looping"])
         state.update((n, codes))
-        yield pd.DataFrame(out, columns=["session_id", "turn", "failures", "looping"])
 
     return stream.groupBy("session_id").applyInPandasWithState(step, GUARDRAILS, "failures int, codes string", "append", GroupStateTimeout.NoTimeout)

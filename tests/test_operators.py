@@ -69,7 +69,7 @@ def test_validators(spark, chat, found):
 
 def test_short_conversations_and_the_exempt_task(spark):
     chat = [("system", "s"), ("user", "u"), ("assistant", "a")]
-    assert checks(spark, chat, "task_06") == ["too_short", "very_short_content"]
+    assert checks(spark, chat, "task_12") == ["too_short", "very_short_content"]
     assert checks(spark, chat, "task_00") == []
 
 
@@ -215,3 +215,61 @@ def test_latest_log(spark, tmp_path):
         os.utime(tmp_path / name, (1000 + i, 1000 + i))
     rows = io.scan_log(spark, f"file://{tmp_path}", latest=True).orderBy("line_no").collect()
     assert [(r["run_id"], r["line_no"], r["line"]) for r in rows] == [("a.log", 0, "one"), ("a.log", 1, "a.log")]
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ('I use {foo} first. {"a": 1}', '{"a":1}'),
+        ('{"a": "```json"}', '{"a":"```json"}'),
+        ('{ open {"a": {"b": 2}} and {', '{"a":{"b":2}}'),
+        ('x {"a": [1,], } y', '{"a":[1]}'),
+        ('first {"a": 1} then {"b": 2}', '{"a":1}'),
+        ("{" * 5000, None),
+    ],
+)
+def test_every_brace_is_tried(text, found):
+    assert ps.first_object(text) == found
+
+
+@pytest.mark.parametrize("limit", [0, 1, 7, 60, 1000])
+def test_mark_first_is_a_rank(spark, limit):
+    r = random.Random(limit)
+    rows = [(i, r.choice(["hot", "hot", "a", "b", None]), r.randint(0, 10**9)) for i in range(300)]
+    df = spark.createDataFrame(rows, "i long, k string, o long")
+    got = {x["i"] for x in sc.mark_first(df, ["k"], [F.col("o"), F.col("i")], F.floor(F.col("o") / 1e8), None, F.lit(limit)).where("_in").collect()}
+    want = set()
+    for k in {x[1] for x in rows}:
+        want |= {i for _, i in sorted((o, i) for i, own, o in rows if own == k)[:limit]}
+    assert got == want
+
+
+def test_long_posting_lists_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dd, "POSTINGS", 3)
+    test_prefix_filter_loses_no_pair(spark, 5)
+
+
+def test_operators_by_name(spark):
+    from sievework.operators.registry import OPERATORS, apply
+
+    assert {"validate_fix", "rebalance", "filter_min_score", "cosine_pairs", "scores_of_lines"} <= set(OPERATORS)
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "task_id string, x int")
+    assert apply(df, "filter_by_task", task="b").collect()[0]["x"] == 2
+    with pytest.raises(KeyError):
+        apply(df, "no_such_operator")
+
+
+def test_score_with_resumes_and_survives_a_bad_scorer(spark):
+    import pandas as pd
+
+    from sievework.operators.registry import score_with
+
+    ex = spark.createDataFrame([(0, "t", "p", "x"), (1, "t", "p", "y"), (2, "t", "q", "zz")], "pos long, task_id string, user_prefix string, text string")
+    known = spark.createDataFrame([("t", "p", 4)], "task_id string, user_prefix string, score int")
+    rows = score_with(ex, lambda b: pd.DataFrame({"score": b.str.len()}), known).collect()
+    assert sorted((r["user_prefix"], r["score"]) for r in rows) == [("p", 4), ("q", 2)]
+
+    def broken(batch):
+        raise ValueError("no model")
+
+    assert {(r["score"], r["error"]) for r in score_with(ex, broken).collect()} == {(0, "no model")}
