@@ -48,7 +48,7 @@ def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[s
 
 def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(task_id, a, b, cosine) with a < b, of all pairs at or above the threshold; exact."""
-    t, cut = threshold - EPSILON, max(threshold - 0.07, 0.0)
+    t, cut = threshold - EPSILON, max(threshold - 0.04, 0.0)
     freq = vectors.groupBy("task_id", "term").agg(F.count("*").alias("df"))
     doc = Window.partitionBy("task_id", "example_id")
     before = doc.orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
