@@ -34,21 +34,52 @@ from .common import ship_package, work_dir, written
 
 SEQ_LEN = 2048
 ROWS_PER_BATCH = 64
-MOST_PIECES = 1_000_000  # bound of a worker's memory of pieces
+MOST_PIECES = 1_000_000  # bounds of a worker's memory of pieces: how many,
+POOL_BYTES = 64 << 20  # their ids and bytes,
+LONGEST_PIECE = 64  # and the bytes of one
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
+class _Buffer:
+    """A growing array; room doubles, so appending never copies more than it adds on average."""
+
+    def __init__(self, dtype):
+        self.data, self.n = np.zeros(1024, dtype), 0
+
+    def view(self) -> np.ndarray:
+        return self.data[: self.n]
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.data):
+            room = np.zeros(max(n, 2 * len(self.data)), self.data.dtype)
+            room[: self.n] = self.view()
+            self.data = room
+        self.data[self.n : n] = values
+        self.n = n
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after the other."""
+    upto = np.cumsum(sizes)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(starts - (upto - sizes), sizes)
+
+
 class PieceEncoder:
     """Encodes texts with a ``tokenizers`` file, remembering the ids of pieces seen before.
 
-    Byte-level pre-tokenization never joins what stands on both sides of a space that
-    follows a non-space, or of a line break between non-spaces, so a text's ids are the ids
-    of its space-led words and line breaks in order.  Texts with other runs of white space
-    are one piece.  Pieces are found, hashed and put together again as arrays; only unknown
-    ones become strings.  These are encoded together, joined by what separates them anyway,
-    and told apart by the ids that begin a piece.
-
-    ``MOST_PIECES`` bounds the memory: beyond it the less used pieces are forgotten.
+    Byte-level pre-tokenization cuts before a run of white space, before the run's last
+    character if a word follows, and after that character unless it is a space.  A text's
+    ids are those of its pieces between these cuts, in order.  Runs with white space beyond
+    ASCII are not cut, and a text that holds an added token of the vocabulary is one piece.
+    Pieces are found, hashed and put together again as arrays; only unknown ones become
+    strings.  These are encoded together, joined by what separates them anyway, and told
+    apart by the ids that begin a piece.  A hash never stands for a piece unseen: bytes are
+    compared, within a chunk and with what is remembered.
+
+    A piece of more than ``LONGEST_PIECE`` bytes is never remembered, and beyond
+    ``MOST_PIECES`` pieces or ``POOL_BYTES`` bytes the less used ones are forgotten, so what a worker
+    keeps does not grow with the corpus.
     """
 
     def __init__(self, path: str):
@@ -60,11 +91,29 @@ class PieceEncoder:
         self.leads = np.zeros(max(vocab.values()) + 1, bool)
         self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # tokens that begin with a space
         self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self._set({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype), np.zeros(0, np.int64))
-
-    def _set(self, rows: dict[int, int], starts: np.ndarray, sizes: np.ndarray, pool: np.ndarray, uses: np.ndarray) -> None:
-        """rows: piece hash to number; a piece's ids are pool[start : start + size]."""
-        self.rows, self.starts, self.sizes, self.pool, self.uses = rows, starts, sizes, pool, uses
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self._clear()
+
+    def _clear(self) -> None:
+        """rows: piece hash to number k; a piece's ids are pool[starts[k] : starts[k] + sizes[k]], its bytes text[places[k] : places[k] + lengths[k]]."""
+        self.rows: dict[int, int] = {}
+        self.starts, self.sizes, self.places, self.lengths, self.uses = (_Buffer(np.int64) for _ in range(5))
+        self.pool, self.text = _Buffer(self.dtype), _Buffer(np.uint8)
+
+    def held_bytes(self) -> int:
+        """Bytes of ids and pieces that are remembered."""
+        return self.pool.n * self.dtype.itemsize + self.text.n
+
+    def _remember(self, hashes: list[int], sizes: np.ndarray, ids: np.ndarray, lengths: np.ndarray, text: np.ndarray) -> None:
+        base = self.starts.n
+        self.rows.update(zip(hashes, range(base, base + len(hashes)), strict=True))
+        self.starts.add(self.pool.n + np.cumsum(sizes) - sizes)
+        self.places.add(self.text.n + np.cumsum(lengths) - lengths)
+        self.sizes.add(sizes)
+        self.lengths.add(lengths)
+        self.uses.add(np.zeros(len(hashes), np.int64))
+        self.pool.add(ids)
+        self.text.add(text)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -96,39 +145,75 @@ class PieceEncoder:
         return kinds[0] + kinds[1] + kinds[2], np.concatenate(sizes).astype(np.int64), np.concatenate([*flat, *parts, np.zeros(0, self.dtype)])
 
     def _forget(self) -> None:
-        order = np.argsort(-self.uses, kind="stable")[: MOST_PIECES // 3]
-        keep = np.sort(order[self.uses[order] > 1])
-        pool = [self.pool[s : s + n] for s, n in zip(self.starts[keep].tolist(), self.sizes[keep].tolist(), strict=True)]
-        number = np.full(len(self.uses), -1, np.int64)
+        """Keep the more used half of what the bounds allow, by use and then by age."""
+        uses, weight = self.uses.view(), self.sizes.view() * self.dtype.itemsize + self.lengths.view()
+        order = np.argsort(-uses, kind="stable")[: MOST_PIECES // 3]
+        order = order[np.cumsum(weight[order]) <= POOL_BYTES // 2]
+        keep = np.sort(order[uses[order] > 1])
+        number = np.full(len(uses), -1, np.int64)
         number[keep] = np.arange(len(keep))
-        rows = {h: int(number[r]) for h, r in self.rows.items() if number[r] >= 0}
-        sizes = self.sizes[keep]
-        self._set(rows, np.cumsum(sizes) - sizes, sizes, np.concatenate([*pool, np.zeros(0, self.dtype)]), np.ones(len(keep), np.int64))
-
-    @staticmethod
-    def _pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        hashes = sorted(((int(number[r]), h) for h, r in self.rows.items() if number[r] >= 0))
+        sizes, lengths = self.sizes.view()[keep], self.lengths.view()[keep]
+        ids = self.pool.view()[_spans(self.starts.view()[keep], sizes)]
+        text = self.text.view()[_spans(self.places.view()[keep], lengths)]
+        self._clear()
+        self._remember([h for _, h in hashes], sizes, ids, lengths, text)
+        self.uses.view()[:] = 1
+
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Starts of all pieces of a chunk's rows (at least one for each row that is not empty)."""
         n = len(data)
-        space = tk.IS_SPACE[data] | ((data >= 0x1C) & (data <= 0x1F))
-        odd = space.copy()
-        odd[:-1] &= space[1:]
-        odd[-1:] = False
-        first = offsets[:-1]
-        inside = first[(first > 0) & (first < n)]
-        odd[inside - 1] = False  # neighbours in different rows
+        blank = tk.IS_SPACE[data]
+        odd = (data >= 0x1C) & (data <= 0x1F)  # white space to some, not to all
         wide = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
-        after = [data[np.minimum(wide + k, n - 1)] for k in (0, 1, 2)]
-        blank = (after[0] == 0xC2) & ((after[1] == 0x85) | (after[1] == 0xA0)) | (after[0] == 0xE1) & (after[1] == 0x9A) | (after[0] == 0xE3) & (after[1] == 0x80) & (after[2] == 0x80)
-        blank |= (after[0] == 0xE2) & ((after[1] == 0x81) & (after[2] == 0x9F) | (after[1] == 0x80) & ((after[2] <= 0x8A) | (after[2] == 0xA8) | (after[2] == 0xA9) | (after[2] == 0xAF)))
-        odd[wide[blank]] = True
-        start = (data == 0x20) | (data == 0x0A)
-        start[1:] |= data[:-1] == 0x0A
-        whole = np.unique(np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1)
-        for r in whole.tolist():
-            start[offsets[r] : offsets[r + 1]] = False
-        start[first[first < n]] = True
+        one, two = data[np.minimum(wide + 1, n - 1)], data[np.minimum(wide + 2, n - 1)]
+        lead = data[wide]
+        short = (lead == 0xC2) & ((one == 0x85) | (one == 0xA0))
+        long = (lead == 0xE1) & (one == 0x9A) & (two == 0x80) | (lead == 0xE3) & (one == 0x80) & (two == 0x80)
+        long |= (lead == 0xE2) & ((one == 0x81) & (two == 0x9F) | (one == 0x80) & ((two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF)))
+        for k in range(3):
+            odd[np.minimum(wide[long] + k, n - 1)] = True
+        for k in range(2):
+            odd[np.minimum(wide[short] + k, n - 1)] = True
+        edge = np.zeros(n + 1, bool)
+        edge[offsets] = True
+        # runs of white space within a row: [first, last]
+        space = blank | odd
+        opens, closes = space.copy(), space.copy()
+        opens[1:] &= ~space[:-1] | edge[1:-1]
+        closes[:-1] &= ~space[1:] | edge[1:-1]
+        first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+        spoilt = np.append(0, np.cumsum(odd))
+        pure = spoilt[last + 1] == spoilt[first]
+        first, last = first[pure], last[pure]
+        followed = ~edge[last + 1]
+        start = edge[:n].copy()
+        start[first] = True
+        start[last[followed]] = True
+        after = last[followed & (data[last] != 0x20)] + 1
+        start[after] = True
+        raw = data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                r = int(np.searchsorted(offsets, at, "right")) - 1
+                start[offsets[r] + 1 : offsets[r + 1]] = False
+                at = raw.find(token, int(offsets[r + 1]))
         return np.flatnonzero(start)
 
+    def _known(self, keys: list[int], data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The remembered number of each piece, -1 for none, -2 where another piece has its hash."""
+        row = np.array([self.rows.get(k, -1) for k in keys], np.int64)
+        met = np.flatnonzero(row >= 0)
+        r = row[met]
+        same = self.lengths.view()[r] == lengths[met]
+        row[met[~same]] = -2
+        met, r = met[same], r[same]
+        own, kept = data[_spans(starts[met], lengths[met])], self.text.view()[_spans(self.places.view()[r], lengths[met])]
+        wrong = np.unique(np.repeat(np.arange(len(met)), lengths[met])[own != kept])
+        row[met[wrong]] = -2
+        return row
+
     def encode(self, column: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of the column's rows: their ids, each row closed by ``end_id``, and the number of ids of each row."""
         for _, data, offsets in tk.chunks(column, 2 << 20):
@@ -137,29 +222,42 @@ class PieceEncoder:
                 yield np.full(n, end_id, self.dtype), np.ones(n, np.int64)
                 continue
             starts = self._pieces(data, offsets)
-            ends = np.append(starts[1:], len(data))
-            h = tk.mix(tk.word_hashes(data, starts, ends) ^ (ends - starts).astype(np.uint64))
+            lengths = np.diff(np.append(starts, len(data)))
+            h = tk.mix(tk.word_hashes(data, starts, starts + lengths) ^ lengths.astype(np.uint64))
             distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
-            if len(self.rows) + len(distinct) > MOST_PIECES:
+            alike = lengths[first[back]] == lengths
+            if not alike.all() or not np.array_equal(data[_spans(starts[first[back]], lengths)], data):
+                # two pieces of the chunk have one hash: number the pieces by their bytes
+                raw, seen = data.tobytes(), {}
+                h = np.array([seen.setdefault(raw[a : a + k], len(seen)) for a, k in zip(starts.tolist(), lengths.tolist(), strict=True)], np.uint64)
+                distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
+            if len(self.rows) + len(distinct) > MOST_PIECES or self.held_bytes() > POOL_BYTES:
                 self._forget()
-            keys = distinct.tolist()
-            new = [k for k, x in enumerate(keys) if x not in self.rows]
-            if new:
-                raw = data.tobytes()
-                order, sizes, ids = self._encode_pieces([raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
-                base = len(self.starts)
-                self.rows.update((keys[new[k]], base + j) for j, k in enumerate(order))
-                places = len(self.pool) + np.cumsum(sizes) - sizes
-                self._set(self.rows, np.append(self.starts, places), np.append(self.sizes, sizes), np.append(self.pool, ids), np.append(self.uses, np.zeros(len(new), np.int64)))
-            row = np.fromiter(map(self.rows.__getitem__, keys), np.int64, len(keys))
-            self.uses[row] += 1
-            row = row[back]
-            size = self.sizes[row]
-            upto = np.cumsum(size)
-            at = np.arange(upto[-1]) + np.repeat(self.starts[row] - (upto - size), size)
-            ids = self.pool[at]
-            pieces_before = np.searchsorted(starts, offsets)
-            tokens_before = np.append(0, upto)[pieces_before]
+            keys, at, size = distinct.tolist(), starts[first], lengths[first]
+            row = self._known(keys, data, at, size)
+            brief = size <= LONGEST_PIECE
+            raw = data.tobytes() if (row < 0).any() else b""
+            base, text_base = (self.starts.n, self.pool.n), self.text.n
+            for keep in (True, False):  # what is only used here comes last and goes again
+                new = np.flatnonzero((row == -1) & brief if keep else (row == -2) | (row == -1) & ~brief)
+                if not len(new):
+                    continue
+                order, sizes, ids = self._encode_pieces([raw[x : x + k].decode() for x, k in zip(at[new].tolist(), size[new].tolist(), strict=True)])
+                new = new[order]
+                row[new] = self.starts.n + np.arange(len(new))
+                self._remember([keys[k] for k in new.tolist()] if keep else [-1 - k for k in range(len(new))], sizes, ids, size[new], data[_spans(at[new], size[new])])
+                if keep:
+                    base, text_base = (self.starts.n, self.pool.n), self.text.n
+            self.uses.view()[row] += 1
+            of = row[back]
+            counts = self.sizes.view()[of]
+            ids = self.pool.view()[_spans(self.starts.view()[of], counts)]
+            for k in range(self.starts.n - base[0]):
+                del self.rows[-1 - k]
+            for b in (self.starts, self.sizes, self.places, self.lengths, self.uses):
+                b.n = base[0]
+            self.pool.n, self.text.n = base[1], text_base
+            tokens_before = np.append(0, np.cumsum(counts))[np.searchsorted(starts, offsets)]
             yield np.insert(ids, tokens_before[1:], end_id), np.diff(tokens_before) + 1
 
 
@@ -267,12 +365,12 @@ def open_tokens(path: str, part: int) -> tuple[pa.Table, pa.Table]:
     return tables[0], tables[1]
 
 
-def sequence(tokens: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of the k-th sequence; the ids are a view of the file."""
+def sequence(tokens: pa.Table, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+    """Ids and mask of the k-th sequence, both views of the file (the mask is an Arrow array over its bits)."""
     batch, k = divmod(k, ROWS_PER_BATCH)
     ids, mask = (tokens.column(c).chunk(batch) for c in (0, 1))
     n = ids.type.list_size
-    return ids.values.to_numpy(zero_copy_only=True)[k * n : (k + 1) * n], mask.values.slice(k * n, n).to_numpy(zero_copy_only=False)
+    return ids.values.to_numpy(zero_copy_only=True)[k * n : (k + 1) * n], mask.values.slice(k * n, n)
 
 
 def read_documents(manifest: DataFrame, path: str) -> DataFrame:
