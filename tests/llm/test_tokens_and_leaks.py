@@ -5,6 +5,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
+import pytest
 from edge import TEXTS, docs, empty
 from tokenizers import Tokenizer
 
@@ -19,8 +21,8 @@ def brute_ids(text):
 
 def test_piecewise_ids_are_the_tokenizers_ids():
     r = random.Random(3)
-    letters = [*"ab .\n\t 1'é!", "<|endoftext|>", " ", "Ġ"]
-    texts = ["", " ", "\n", "a  b", "a   b", " \n a", "a \n", "it's  'tis\n\n  x", "“a” b…　 c", "a\nb\n", *["".join(r.choice(letters) for _ in range(r.randint(0, 12))) for _ in range(400)]]
+    letters = [*"ab .\n\t\r 1'é!\x1c\x0b", "\u00a0", "\u3000", "\u2028", "<|endoftext|>", " ", "Ġ"]
+    texts = ["", " ", "\n", "a  b", "a   b", " \n a", "a \n", "it's  'tis\n\n  x", "“a” b…　 c", "a\nb\n", *["".join(r.choice(letters) for _ in range(r.randint(0, 12))) for _ in range(1500)]]
     encoder, got = t.encoder(t.default_tokenizer()), []
     for ids, n in encoder.encode(pa.array(texts), 0):
         got += np.split(ids, np.cumsum(n)[:-1])
@@ -38,6 +40,27 @@ def test_forgetting_pieces_changes_nothing(monkeypatch):
         assert ids.tolist() == brute_ids(x)
 
 
+def test_memory_of_pieces_is_bounded(monkeypatch):
+    monkeypatch.setattr(t, "POOL_BYTES", 40_000)
+    monkeypatch.setattr(t, "MOST_PIECES", 3000)
+    encoder = t.PieceEncoder(t.default_tokenizer())
+    for k in range(60):  # indented and CRLF texts, no two alike, and long runs without a blank
+        texts = [f"def f{k}_{i}():\r\n    return  {k * i}\r\n\tx{i}  =  'a{k}'\n\n" + "z" * (90 + i) for i in range(40)]
+        for ids, n in encoder.encode(pa.array(texts), 0):
+            pass
+        assert encoder.held_bytes() <= 40_000 + 40 * 400 and len(encoder.rows) <= 3000
+        assert max(encoder.lengths.view(), default=0) <= t.LONGEST_PIECE
+    assert np.split(ids, np.cumsum(n)[:-1])[-1].tolist() == brute_ids(texts[-1])
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(t.tk, "word_hashes", lambda data, starts, ends, table=None: (ends - starts).astype(np.uint64) % np.uint64(3))
+    encoder = t.PieceEncoder(t.default_tokenizer())
+    for x in ("one two six ten", "abc de fgh", "two one abc", "one two six ten"):
+        (ids, _), = encoder.encode(pa.array([x]), 0)
+        assert ids.tolist() == brute_ids(x)
+
+
 def test_files_round_trip(spark):
     frame, path = docs(spark), work_dir(spark, "tokens")
     manifest = t.write_token_files(frame, path, t.default_tokenizer(), seq_len=64)
@@ -56,7 +79,8 @@ def test_files_round_trip(spark):
         for k in range(tokens.num_rows):
             ids, mask = t.sequence(tokens, k)
             assert len(ids) == 64 and not ids.flags.owndata, "a view of the file"
-            flat.append(ids[mask])
+            assert mask.buffers()[1].address == tokens.column(1).chunk(k // t.ROWS_PER_BATCH).values.buffers()[1].address
+            flat.append(ids[mask.to_numpy(zero_copy_only=False)])
         assert sum(map(len, flat)) == row["n_tokens"]
         total += row["n_tokens"]
     assert total == start
@@ -96,7 +120,7 @@ def test_leaks_in_blocks_of_the_benchmark(spark, monkeypatch):
 
 def test_blocks_find_all_within_the_radius():
     r = random.Random(1)
-    index = d.BenchmarkIndex(list(range(30)), [" ".join(f"{k}x{i}" for i in range(20)) for k in range(30)])
+    index = d.BenchmarkIndex(list(range(30)), [" ".join(f"{k}x{i}" for i in range(20)) for k in range(30)], d.Weights(30, np.zeros(0, np.uint64), np.zeros(0)))
     prints = np.array([int(p) ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 26))) for p in index.prints for _ in range(20)], np.uint64)
     win, item, apart = index.near_items(20, prints)
     got = {(int(a), int(b)): int(c) for a, b, c in zip(win, item, apart, strict=True)}
@@ -109,3 +133,50 @@ def test_leak_edges(spark):
     assert d.find_leaks(docs(spark), bench(spark, [])).count() == 0
     assert d.find_leaks(docs(spark), bench(spark, ["", None])).count() == 0
     assert d.drop_leaks(docs(spark), bench(spark)).count() == len(TEXTS)
+
+
+def brute_leaks(rows, items, threshold=0.8):
+    """All (row, item) with a window of the item's size that holds enough of its weight, whatever the fingerprints."""
+    import math
+    import re
+    from collections import Counter
+
+    split = lambda t: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", pa.compute.utf8_lower(pa.scalar(t or "")).as_py())
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)])
+    known = {k: grams(w) for k, t in items if (w := split(t))}
+    df = Counter(g for c in known.values() for g in c)
+    weight = lambda g: math.log1p(len(known) / df[g])
+    found = {}
+    for i, t in rows:
+        words = split(t)
+        for k, c in known.items():
+            size, total = len(split(dict(items)[k])), sum(n * weight(g) for g, n in c.items())
+            for at in range(max(1, len(words) - size + 1)):
+                w = words[at : at + size]
+                have = grams(w) if len(w) >= 5 or len(w) == size else Counter()
+                sim = sum(min(n, have[g]) * weight(g) for g, n in c.items()) / total
+                if sim >= threshold and sim > found.get((i, k), 0):
+                    found[i, k] = sim
+    return found
+
+
+@pytest.mark.parametrize("chars", [10**9, 400, 1])
+def test_leaks_are_those_of_brute_force_whatever_the_blocks(spark, monkeypatch, chars):
+    r = random.Random(8)
+    monkeypatch.setattr(d, "BLOCK_CHARS", chars)
+    common = [" ".join(r.choices("the cat sat on a mat by an old door of our house".split(), k=9)) for _ in range(4)]
+    items = [(k, f"{r.choice(common)} {' '.join(f'i{k}w{j}' for j in range(r.randint(3, 30)))} {r.choice(common)}") for k in range(25)]
+    items += [(25, "ΟΔΟΣ ΜΕΓΑΛΗ ΚΑΙ ΣΚΟΤΕΙΝΗ ΣΤΗΝ ΠΟΛΗ ΤΗΣ ΘΕΣΣΑΛΟΝΙΚΗΣ"), (26, "İSTANBUL IŞIK İÇİN ÇOK BÜYÜK BİR ŞEHİR OLARAK BİLİNİR"), (27, items[3][1]), (28, "few words")]
+    rows = [(0, items[25][1]), (1, f"pre {items[26][1]} post"), (2, None), (3, ""), (4, "Few, WORDS! and more of them than that")]
+    for n in range(60):
+        k, w = r.randrange(25), []
+        for x in items[k][1].split():
+            w += [] if r.random() < 0.02 else [x] if r.random() < 0.98 else ["other"]
+        rows.append((10 + n, " ".join([*(f"b{n}x{j}" for j in range(r.randint(0, 20))), *w, "tail"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in d.find_leaks(df, spark.createDataFrame(items, "item_id long, text string").repartition(3)).collect()}
+    want = brute_leaks(rows, items)
+    assert got.keys() <= want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    assert len(got) >= 0.95 * len(want) and {(0, 25), (1, 26), (4, 28)} <= got.keys()
+    kept = {x["doc_id"] for x in d.drop_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert kept == {i for i, _ in rows} - {i for i, _ in got}
