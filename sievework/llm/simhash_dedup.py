@@ -36,7 +36,6 @@ from .components import connected_components
 
 RADIUS = 4
 NODE_LIMIT = 4096  # fingerprints below an upper node before it is split
-LEVELS = 3  # upper levels; each fixes a block of the bits left by the one above
 GROUP = 64  # fingerprints in a group node
 COMMON = 4  # documents of the sample that hold a shingle before it is sorted last
 COMMON_LIMIT = 200_000  # shingles known to be common
@@ -210,27 +209,26 @@ def _below(nodes: DataFrame, width: int, radius: int) -> DataFrame:
     return nodes.select("fp", F.explode(F.array(*children)).alias("n")).select("n.path", "n.rest", "fp")
 
 
-def hamming_links(codes: DataFrame, radius: int = RADIUS, node_limit: int = NODE_LIMIT, levels: int = LEVELS) -> DataFrame:
+def hamming_links(codes: DataFrame, radius: int = RADIUS, node_limit: int = NODE_LIMIT) -> DataFrame:
     """``codes`` (fp long, distinct) -> links (a, b) whose components are those of all pairs within ``radius`` bits."""
     ship_package(codes.sparkSession)
     nodes, width, links = codes.select(F.lit("").alias("path"), F.col("fp").alias("rest"), "fp"), 64, None
-    for level in range(levels):
+    while True:
         nodes = _below(nodes, width, radius)
         width -= min(_block_widths(width, radius + 1))  # rest never has more bits
+        # a node of w open bits has at most 2**w fingerprints, so splitting ends by itself
+        more = width > radius and 1 << min(width, 62) > node_limit
         cold = nodes
-        if level < levels - 1:
+        if more:
             hot = written(nodes.groupBy("path").count().where(F.col("count") > node_limit).select("path"), "hot-nodes")
             more = not hot.isEmpty()
             if more:
-                cold, nodes = nodes.join(hot, "path", "left_anti"), nodes.join(hot, "path", "left_semi")
-        else:
-            more = False
+                cold, nodes = nodes.join(hot, "path", "left_anti"), written(nodes.join(hot, "path", "left_semi"), "split-nodes")
         sorted_ = cold.select("path", "fp").repartition("path").sortWithinPartitions("path")
         part = sorted_.mapInArrow(_node_links(radius), "a long, b long")
         links = part if links is None else links.union(part)
         if not more:
-            break
-    return links
+            return links
 
 
 def near_duplicates(docs: DataFrame, columns: list[str], size: int = 4, radius: int = RADIUS, text: str = "text") -> DataFrame:
@@ -239,8 +237,8 @@ def near_duplicates(docs: DataFrame, columns: list[str], size: int = 4, radius:
     ident = F.col(f"`{columns[0]}`")
     distinct = written(rows.groupBy("fp").agg(F.min(ident).alias("_least"), F.count("*").alias("_n")), "codes")
     comps = written(connected_components(hamming_links(distinct.select("fp"), radius)), "components")
-    named = comps.join(distinct, comps["node"] == distinct["fp"]).groupBy("root").agg(F.min("_least").alias("_name"))
-    moved = comps.join(named, "root").select(F.col("node").alias("fp"), "_name")
+    named = comps.join(distinct, comps["node"] == distinct["fp"]).groupBy("root").agg(F.min("_least").alias("_name"), F.count("*").alias("_c"))
+    moved = join_heavy(comps, written(named, "roots"), "root", "_c", comps.count()).select(F.col("node").alias("fp"), "_name")
     lookup = written(distinct.join(moved, "fp", "left").select("fp", "_n", F.coalesce("_name", "_least").alias("component")), "names")
     return join_heavy(rows, lookup, "fp", "_n", rows.count()).select(*[f"`{c}`" for c in columns], "fp", "component")
 
@@ -420,11 +418,11 @@ def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str =
     near = written(_candidates(sets), "candidates")
     release_shuffles(docs.sparkSession)
     groups = written(connected_components(near).join(sets.select("node", "best", "n"), "node"), "groups")
-    blocks = groups.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("k"))
+    blocks = written(groups.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("k"), F.count("*").alias("_c")), "group-sizes")
     mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: j != F.col("mine"))
     parts = F.when(F.col("k") == 1, F.array(F.lit("0.0"))).otherwise(F.transform(others, lambda j: F.concat_ws(".", F.least(j, "mine"), F.greatest(j, "mine"))))
-    dealt = groups.join(blocks, "root").withColumn("mine", mine)
+    dealt = join_heavy(groups, blocks, "root", "_c", groups.count()).withColumn("mine", mine)
     dealt = written(dealt.select("root", "node", F.col("best._id").alias("_cid"), F.col("best._h").alias("_ch"), parts.alias("parts")), "parts")
     texts = keyed.select("_id", "_h", "_text").join(dealt, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_h") == F.col("_ch")))
     texts = texts.select(F.explode("parts").alias("part"), "root", "node", "_text").select(F.concat_ws(".", "root", "part").alias("part"), "node", "_text")
