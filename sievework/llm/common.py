@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,21 +28,39 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     The files outlive lost executors, and later steps never recompute what led to them.
+    Spark drops the shuffle files of the write as soon as it is done.
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and that nothing reads any more."""
+    for t in tables:
+        store, folder = fs.FileSystem.from_uri(t._work_path)
+        store.delete_dir(folder)
 
 
 HEAVY_SHARE = 1000
 
 
-def join_heavy(rows: DataFrame, lookup: DataFrame, key: str, count: str, total: int) -> DataFrame:
+def join_heavy(rows: DataFrame, lookup: DataFrame, key: str | list[str], count: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``lookup`` (one row per ``key``, ``count`` of its rows) when a key may hold very many rows.
 
     At most ``HEAVY_SHARE`` keys hold over a thousandth of the rows, so their part of the
@@ -50,17 +69,6 @@ def join_heavy(rows: DataFrame, lookup: DataFrame, key: str, count: str, total:
     heavy = F.col(count) * HEAVY_SHARE > total
     hot, cold = lookup.where(heavy).drop(count), lookup.where(~heavy).drop(count)
     met = rows.join(F.broadcast(hot), key)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    names = [key] if isinstance(key, str) else key
+    rest = rows.join(F.broadcast(hot.select(*names)), key, "left_anti").join(cold, key)
     return met.unionByName(rest)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's context cleaner drop shuffle files of frames that nobody holds any more.
-
-    The cleaner works off collected references, so long multi-phase jobs ask for a
-    collection between phases; otherwise all phases' shuffle files pile up on disk.
-    """
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -1,27 +1,31 @@
-"""Suffix-array dedup (operator 8): long repeats found with a logarithmic family of sorted suffix runs.
+"""Suffix-array dedup (operator 8): long repeats found with a logarithmic index family of suffix arrays.
 
 A byte goes if a string of ``MATCH`` bytes that covers it also starts anywhere else.
 Texts are UTF-8 bytes and matches never cross documents.
 
-Sampling.  A window is a start with the ``MATCH`` bytes after it.  Its key is the least
-hash of the ``GRAM``-byte strings inside, so equal windows have equal keys wherever they
-stand, and neighbouring windows mostly share theirs: a document is a row of segments, each
-a run of windows with one key, about one for 85 bytes.  The suffix at a segment stands for
-its windows, which makes the runs sparse suffix arrays.  They are ordered by the key (a
-fingerprint of the suffix's head) and not by letters: only equality of ``MATCH`` bytes
-matters here, and a hash order spreads evenly over tasks.
-
-The family.  Each batch of documents becomes a sorted run: key, number of suffixes, least
-and greatest fingerprint of their whole segment.  A new run is scanned against the levels
-it does not merge with; levels of equal size merge, so a family of n batches has at most
-log2(n) + 1 levels and each suffix is rewritten log2(n) times.
-
-Decision.  A key with one suffix cannot repeat.  Where all suffixes of a key have the same
-segment, all its windows repeat.  Else one segment for each distinct content is fetched and
-its windows are compared; copies never gather in one task, and keys with very many distinct
-segments are compared by counting window hashes in a shuffle.
-
-Hashes have 64 bits and act together with the key, which has 64 more.
+Sparse suffix arrays.  A full suffix array of a corpus is many times its size, so suffixes
+are sampled: a window is a start with the ``MATCH`` bytes after it, and its anchor is the
+place in it of the ``GRAM``-byte string with the least hash.  Equal windows have their anchors
+at the same place inside, so looking at anchors loses no repeat; neighbouring windows
+mostly share theirs, which leaves about one suffix for 50 bytes.  A suffix array holds the
+suffixes that begin at anchors in the order of their letters: their heads (first ``GRAM``
+letters), with the number of suffixes that have this head and the least and greatest
+fingerprint of the segments (runs of windows with one anchor) around them.
+
+The family.  Each batch of documents gets a suffix array of its own, range-partitioned and
+sorted by letters.  A new array is merge-scanned against the levels it does not merge with
+for heads that both have (no string of ``MATCH`` bytes repeats without its anchor's head);
+levels of equal size merge, so n batches make at most log2(n) + 1 levels and each suffix is
+rewritten log2(n) times.
+
+Long matches.  A head with one suffix cannot repeat.  Where all suffixes of a head have one
+segment, all its windows repeat.  Else one segment for each distinct content is fetched, in
+the order of letters, and a task builds the suffix array of their windows by doubling
+prefixes (8, 16, ... letters): windows of one rank agree in all ``MATCH`` letters, bytes and
+not hashes deciding.  Copies never gather in one task, and heads whose segments are more
+than ``HOT_BYTES`` are compared by counting 128-bit window fingerprints in a shuffle.
+
+Contents of segments with one head are told apart by 64-bit fingerprints.
 
 Defined results: a null text is empty; documents under ``MATCH`` bytes lose nothing; rows
 that repeat in full count as two places; null ids are ordinary; an empty table gives an
@@ -39,12 +43,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernels as tk
-from .common import release_shuffles, ship_package, written
+from .common import discard, join_heavy, ship_package, written
 
 MATCH = 200
 GRAM = 32
-BATCHES = 2
-HOT_KEY = 20_000  # distinct segments of a key that a task compares in memory
+BATCH_SUFFIXES = 1 << 28  # about 16 GB of text
+HOT_BYTES = 1 << 20  # of a head's distinct segments that a task compares in memory
 
 
 def sliding(values: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
@@ -61,15 +65,15 @@ def sliding(values: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarr
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, match: int = MATCH, gram: int = GRAM):
-    """(row, start, windows, key, content, tied) of the segments of a chunk's rows.
+    """(row, start, windows, anchor, content, tied) of the segments of a chunk's rows; ``anchor`` is a place in the chunk.
 
-    ``tied``: the key's string occurs more than once in the row, so windows of one segment may be equal.
+    ``tied``: the anchor's string occurs more than once in the row, so windows of one segment may be equal.
     """
     width = match - gram + 1
     n = len(data) - match + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
+        return none, none, none, none, np.zeros(0, np.uint64), np.zeros(0, bool)
     prefix = tk.prefix_hash(tk.BYTES[data])
     grams = tk.mix((prefix[gram:] - prefix[:-gram]) * tk.powers(len(prefix))[1][: len(prefix) - gram])
     key = sliding(grams, width, np.minimum, (1 << 64) - 1)
@@ -92,86 +96,117 @@ def segments(data: np.ndarray, offsets: np.ndarray, match: int = MATCH, gram: in
     shown = np.where(valid, key, np.uint64(0))
     most = sliding(np.concatenate([np.zeros(width - 1, np.uint64), shown, np.zeros(width - 1, np.uint64)]), width, np.maximum, 0)
     least = np.flatnonzero(grams == most[: len(grams)])
+    # a segment's anchor is the first place from its start on that has its least hash
+    at = np.searchsorted(least, start)
+    while (late := np.flatnonzero(grams[least[at]] != k)).size:
+        at[late] += 1
     own = np.searchsorted(offsets, least, "right") - 1
     salted = np.sort(tk.mix(grams[least] ^ (own.astype(np.uint64) << np.uint64(32))))
     again = np.unique(salted[1:][salted[1:] == salted[:-1]])
     tied = np.isin(tk.mix(k ^ (row.astype(np.uint64) << np.uint64(32))), again) if len(again) else np.zeros(len(k), bool)
-    return row, start - offsets[row], count, k, content, tied
+    return row, start - offsets[row], count, least[at], content, tied
+
 
+def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(_id, uid, text): id and text hash name a row's text; ranges found for them hold for it."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(t).alias("uid"), t.alias("text"))
 
-def _uid(id_col: str, text: str):
-    """A row's own number: ranges found for it hold for its text."""
-    return F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(text), F.lit("")))
+
+def _fixed_binary(rows: np.ndarray) -> pa.Array:
+    n, width = rows.shape
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
 def suffixes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(uid, start, windows, key, content, tied): the sampled suffixes of all rows."""
+    """(_id, uid, start, windows, head, content, tied): the sampled suffixes of all rows."""
     ship_package(docs.sparkSession)
+    wanted = _rows(docs, id_col, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            uid = b.column(0).to_numpy()
-            for first, data, offsets in tk.chunks(b.column(1)):
-                row, start, count, key, content, tied = segments(data, offsets)
+            for first, data, offsets in tk.chunks(b.column(2)):
+                row, start, count, anchor, content, tied = segments(data, offsets)
                 if len(row):
+                    heads = np.lib.stride_tricks.sliding_window_view(data, GRAM)[anchor]
+                    own = pa.array(first + row)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(uid[first + row]), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(tied)],
-                        ["uid", "start", "windows", "key", "content", "tied"],
+                        [b.column(0).take(own), b.column(1).take(own), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), _fixed_binary(heads), pa.array(content.view(np.int64)), pa.array(tied)],
+                        ["_id", "uid", "start", "windows", "head", "content", "tied"],
                     )
 
-    return docs.select(_uid(id_col, text).alias("uid"), F.col(text).alias("text")).mapInArrow(run, "uid long, start int, windows int, key long, content long, tied boolean")
+    return wanted.mapInArrow(run, f"_id {wanted.schema['_id'].dataType.simpleString()}, uid long, start int, windows int, head binary, content long, tied boolean")
 
 
 class LevelFamily:
-    """Sorted runs of sampled suffixes in levels of doubling size."""
+    """Suffix arrays (head, n, low, high, tied) in the order of letters, in levels of doubling size."""
 
     def __init__(self) -> None:
-        self.levels: list[tuple[int, DataFrame]] = []  # (batches merged, run)
+        self.levels: list[tuple[int, DataFrame]] = []  # (batches merged, array)
         self.matches: list[DataFrame] = []
 
     @staticmethod
-    def _merged(rows: DataFrame) -> DataFrame:
-        run = rows.groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("tied").alias("tied"))
-        return written(run.sortWithinPartitions("key"), "suffix-run")
+    def _array(rows: DataFrame) -> DataFrame:
+        """Equal heads as one entry (counted where they are first), all in the order of letters."""
+        heads = rows.groupBy("head").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("tied").alias("tied"))
+        return written(heads.repartitionByRange("head").sortWithinPartitions("head"), "suffix-array")
 
     def add(self, batch: DataFrame) -> None:
-        """Index a batch of suffixes: scan its run against the levels and merge equal ones."""
-        one = batch.select("key", F.lit(1).cast("long").alias("n"), F.col("content").alias("low"), F.col("content").alias("high"), "tied")
-        run, size = self._merged(one), 1
+        """Index a batch of suffixes: scan its array against the levels and merge equal ones."""
+        array, size = self._array(batch.select("head", F.lit(1).cast("long").alias("n"), F.col("content").alias("low"), F.col("content").alias("high"), "tied")), 1
         merging, at = [], size
         for s, level in reversed(self.levels):
             if s != at:
                 break
             merging.append(level)
             at *= 2
-        for _, level in self.levels[: len(self.levels) - len(merging)]:
-            met = run.join(level.toDF("key", "n_", "low_", "high_", "tied_"), "key")
-            both = met.select("key", F.col("n") + F.col("n_"), F.least("low", "low_"), F.greatest("high", "high_"), F.col("tied") | F.col("tied_"))
-            self.matches.append(written(both.toDF("key", "n", "low", "high", "tied"), "suffix-match"))
-        for level in merging:  # merging meets every key of both runs, so it is their scan as well
-            run, size = self._merged(run.union(level)), size * 2
-        self.levels = [*self.levels[: len(self.levels) - len(merging)], (size, run)]
+        kept = self.levels[: len(self.levels) - len(merging)]
+        for _, level in kept:
+            met = array.join(level.toDF("head", "n_", "low_", "high_", "tied_").hint("merge"), "head")
+            both = met.select("head", F.col("n") + F.col("n_"), F.least("low", "low_"), F.greatest("high", "high_"), F.col("tied") | F.col("tied_"))
+            self.matches.append(written(both.toDF("head", "n", "low", "high", "tied"), "suffix-matches"))
+        for level in merging:  # merging meets every head of both arrays, so it is their scan as well
+            merged = self._array(array.union(level))
+            discard(array, level)
+            array, size = merged, size * 2
+        self.levels = [*kept, (size, array)]
 
     def shared(self) -> DataFrame:
-        """(key, same): keys of more than one suffix, or of one that may repeat itself; ``same``: all have one content."""
+        """(head, n, same): heads of more than one suffix, or of one that may repeat itself; ``same``: all have one segment."""
         rows = None
         for part in [*(r.where("n > 1 OR tied") for _, r in self.levels), *self.matches]:
             rows = part if rows is None else rows.union(part)
-        if len(self.levels) == 1 and not self.matches:
-            keys = rows
-        else:
-            keys = rows.groupBy("key").agg(F.max("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("tied").alias("tied"))
-        return keys.select("key", ((F.col("low") == F.col("high")) & (F.col("n") > 1)).alias("same"))
+        # a head's n counts a level once for each scan that met it; more than one suffix is what matters
+        heads = rows.groupBy("head").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("tied").alias("tied"))
+        return heads.select("head", "n", ((F.col("low") == F.col("high")) & (F.col("n") > 1)).alias("same"))
 
+    def drop(self) -> None:
+        discard(*(r for _, r in self.levels), *self.matches)
 
-def _window_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, window number) of all windows of the rows."""
-    prefix = tk.prefix_hash(tk.BYTES[data])
+
+def _places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in the data, row, window number) of all windows of the rows."""
     count = np.maximum(np.diff(offsets) - MATCH + 1, 0)
     row = np.repeat(np.arange(len(count)), count)
     number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    at = offsets[:-1][row] + number
-    return tk.span_hash(prefix, at, at + MATCH), row, number
+    return offsets[:-1][row] + number, row, number
+
+
+def letter_ranks(data: np.ndarray, at: np.ndarray, length: int = MATCH) -> np.ndarray:
+    """The rank of each string ``data[a : a + length]`` among all in the order of letters; equal strings share it.
+
+    Ranks of 8 letters are made from the bytes, and ranks of w letters, taken w apart, give those of 2 w.
+    """
+    width = 8
+    padded = np.append(data, np.zeros(width, np.uint8)).astype(np.uint64)
+    first = np.zeros(len(data), np.uint64)
+    for k in range(width):
+        first = first << np.uint64(8) | padded[k : k + len(data)]
+    rank = np.unique(first, return_inverse=True)[1]
+    while 2 * width <= length:
+        rank = np.unique(rank[:-width] * (rank.max(initial=0) + 1) + rank[width:], return_inverse=True)[1]
+        width *= 2
+    return np.unique(rank[at] * (rank.max(initial=0) + 1) + rank[at + length - width], return_inverse=True)[1]
 
 
 def _runs(row: np.ndarray, number: np.ndarray, n: int) -> list[list[tuple[int, int]]]:
@@ -188,21 +223,19 @@ _RANGES = "array<struct<s:int,e:int>>"
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, content, n, bytes) with each key's rows together -> (key, content, ranges)."""
+    """(head, content, n, bytes) in the order of heads -> (head, content, n, ranges)."""
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
-        keys = np.array([r[0] for r in rows], np.int64)
-        whole = np.array([r[2] for r in rows]) > 1
-        lengths = np.array([len(r[3]) for r in rows])
-        data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-        h, row, number = _window_hashes(data, np.append(0, np.cumsum(lengths)))
-        h = tk.mix(h ^ keys[row].view(np.uint64))
-        _, back, count = np.unique(h, return_inverse=True, return_counts=True)
-        hit = (count[back] > 1) | whole[row]
+        heads, contents, counts, raw = zip(*rows, strict=True)
+        whole = np.array(counts) > 1
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        at, row, number = _places(np.append(0, np.cumsum([len(x) for x in raw])))
+        rank = letter_ranks(data, at)
+        hit = (np.bincount(rank)[rank] > 1) | whole[row]
         ranges = _runs(row[hit], number[hit], len(rows))
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array([r[1] for r in rows], pa.int64()), pa.array([[{"s": s, "e": e} for s, e in r] for r in ranges], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))],
-            ["key", "content", "ranges"],
+            [pa.array(heads, pa.binary()), pa.array(contents, pa.int64()), pa.array(counts, pa.int64()), pa.array([[{"s": s, "e": e} for s, e in r] for r in ranges], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))],
+            ["head", "content", "n", "ranges"],
         )
 
     held: list[tuple] = []
@@ -218,83 +251,106 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle(held)
 
 
+_OTHER = tk.byte_table(4711)
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, content, n, bytes) -> (key, content, number, h) of every window."""
+    """(head, content, n, bytes) -> (head, content, n, number, h, g) of every window; h and g are independent fingerprints."""
     for b in batches:
-        keys = b.column(0).to_numpy()
-        content = b.column(1).to_numpy()
         for first in range(0, b.num_rows, 256):
-            part = b.column(3).slice(first, 256).to_pylist()
-            h, row, number = _window_hashes(np.frombuffer(b"".join(part), np.uint8), np.append(0, np.cumsum([len(x) for x in part])))
-            h = tk.mix(h ^ keys[first + row].view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[first + row]), pa.array(content[first + row]), pa.array(number.astype(np.int32)), pa.array(h.view(np.int64))], ["key", "content", "number", "h"])
+            part = b.slice(first, 256)
+            raw = part.column(3).to_pylist()
+            data = np.frombuffer(b"".join(raw), np.uint8)
+            at, row, number = _places(np.append(0, np.cumsum([len(x) for x in raw])))
+            h, g = (tk.span_hash(tk.prefix_hash(table[data]), at, at + MATCH).view(np.int64) for table in (tk.BYTES, _OTHER))
+            own = pa.array(row)
+            yield pa.RecordBatch.from_arrays([*(c.take(own) for c in part.columns[:3]), pa.array(number.astype(np.int32)), pa.array(h), pa.array(g)], ["head", "content", "n", "number", "h", "g"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, wanted segments) -> (key, content, n, bytes) of each segment with its windows' bytes."""
+    """(text, wanted segments) -> (head, content, n, bytes) of each segment with its windows' bytes."""
+    names = ["head", "content", "n", "bytes"]
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    held: list[tuple] = []
     for b in batches:
-        keys, contents, counts, data = [], [], [], []
-        for text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            raw = text.encode()
-            for w in wanted:
-                keys.append(w["key"])
-                contents.append(w["content"])
-                counts.append(w["n"])
-                data.append(raw[w["start"] : w["start"] + w["windows"] + MATCH - 1])
-            if len(data) >= 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(contents, pa.int64()), pa.array(counts, pa.int64()), pa.array(data, pa.binary())], ["key", "content", "n", "bytes"])
-                keys, contents, counts, data = [], [], [], []
-        if data:
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(contents, pa.int64()), pa.array(counts, pa.int64()), pa.array(data, pa.binary())], ["key", "content", "n", "bytes"])
-
-
-def repeated_ranges(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text: str = "text", hot_key: int = HOT_KEY) -> DataFrame:
-    """(uid, ranges): the byte ranges of each row that repeat elsewhere, for rows that have any."""
-    spark = docs.sparkSession
-    every = written(suffixes(docs, id_col, text), "suffixes")
+        for text, wanted in zip(b.column(0), b.column(1), strict=True):
+            raw = text.as_py().encode()
+            for w in wanted.as_py():
+                held.append((w["head"], w["content"], w["n"], raw[w["start"] : w["start"] + w["windows"] + MATCH - 1]))
+            if len(held) >= 4096:
+                yield batch(held)
+                held = []
+    if held:
+        yield batch(held)
+
+
+def _same_row(a: str, b: str):
+    return (F.col(f"{a}.uid") == F.col(f"{b}.uid")) & F.col(f"{a}._id").eqNullSafe(F.col(f"{b}._id"))
+
+
+def index_in_batches(every: DataFrame, batches: int) -> LevelFamily:
+    """The family of the suffixes, dealt over batches by their rows."""
     family = LevelFamily()
+    number = F.pmod(F.xxhash64("_id", "uid"), F.lit(batches))
     for k in range(batches):
-        family.add(every.where(F.pmod("uid", F.lit(batches)) == k) if batches > 1 else every)
-        release_shuffles(spark)
-    met = written(every.join(family.shared(), "key"), "shared-suffixes")
-    release_shuffles(spark)
-
-    # one segment for each distinct content of the keys that need a comparison
-    distinct = met.where("NOT same").groupBy("key", "content").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("uid", "start", "windows")])
-    distinct = written(distinct, "contents")
-    wanted = distinct.groupBy("uid").agg(F.collect_list(F.struct("key", "content", "n", "start", "windows")).alias("wanted"))
-    texts = docs.select(_uid(id_col, text).alias("uid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # equal rows share a uid and a text; one of them serves
-    found = texts.join(wanted, "uid").dropDuplicates(["uid"]).select("text", "wanted")
-    contexts = written(found.mapInArrow(_contexts, "key long, content long, n long, bytes binary"), "contexts")
-    release_shuffles(spark)
-    hot = written(distinct.groupBy("key").count().where(F.col("count") > hot_key).select("key"), "hot-keys")
+        family.add(every.where(number == k))
+    return family
+
+
+def repeated_ranges(docs: DataFrame, batches: int | None = None, id_col: str = "doc_id", text: str = "text", hot_bytes: int = HOT_BYTES) -> DataFrame:
+    """(_id, uid, ranges): the byte ranges of each row that repeat elsewhere, for rows that have any.
+
+    ``batches``: how many batches the family is built from; by default a number that grows
+    with the suffixes and leaves at least two levels standing (3, 7, 15, ...).
+    """
+    every = written(suffixes(docs, id_col, text), "suffixes")
+    total = every.count()
+    if batches is None:
+        batches = max(3, (1 << (total // BATCH_SUFFIXES).bit_length()) - 1)
+    family = index_in_batches(every, batches)
+    shared = written(family.shared(), "shared-heads")
+    family.drop()
+    met = written(join_heavy(every, shared, "head", "n", total), "shared-suffixes")
+    discard(every, shared)
+
+    # one segment for each distinct content of the heads that need a comparison
+    distinct = met.where("NOT same").groupBy("head", "content").agg(F.count("*").alias("n"), F.first(F.struct("_id", "uid", "start", "windows")).alias("r"))
+    distinct = written(distinct.select("head", "content", "n", "r.*"), "contents")
+    wanted = distinct.groupBy("_id", "uid").agg(F.collect_list(F.struct("head", "content", "n", "start", "windows")).alias("wanted"))
+    # equal rows give equal segments, whose n tells that there are several
+    found = _rows(docs, id_col, text).alias("t").join(wanted.alias("w"), _same_row("t", "w")).select("t.text", "w.wanted")
+    contexts = written(found.mapInArrow(_contexts, "head binary, content long, n long, bytes binary"), "contexts")
+    sizes = distinct.groupBy("head").agg(F.sum(F.col("windows").cast("long") + MATCH - 1).alias("bytes"))
+    hot = written(sizes.where(F.col("bytes") > hot_bytes).select("head"), "hot-heads")
     some_hot = not hot.isEmpty()
-    mild = contexts.join(hot, "key", "left_anti") if some_hot else contexts
-    ranges = mild.repartition("key").sortWithinPartitions("key").mapInArrow(_compare, f"key long, content long, ranges {_RANGES}")
+    mild = contexts.join(hot, "head", "left_anti") if some_hot else contexts
+    ranges = mild.repartitionByRange("head").sortWithinPartitions("head").mapInArrow(_compare, f"head binary, content long, n long, ranges {_RANGES}")
     if some_hot:
-        many = contexts.join(hot, "key", "left_semi")
-        windows = written(many.select("key", "content", "n", "bytes").mapInArrow(_windows, "key long, content long, number int, h long"), "hot-windows")
-        twice = windows.groupBy("h").count().where("count > 1").select("h")
-        hits = windows.join(twice, "h", "left_semi").select("key", "content", F.struct(F.col("number").alias("s"), (F.col("number") + MATCH).alias("e")).alias("r"))
-        full = many.where("n > 1").select("key", "content", F.struct(F.lit(0).alias("s"), F.length("bytes").alias("e")).alias("r"))
-        ranges = ranges.union(hits.union(full).groupBy("key", "content").agg(F.collect_list("r").alias("ranges")))
-    ranges = written(ranges.where(F.size("ranges") > 0), "content-ranges")
-    release_shuffles(spark)
-
-    whole = met.where("same").select("uid", F.struct(F.col("start").alias("s"), (F.col("start") + F.col("windows") + MATCH - 1).alias("e")).alias("r"))
-    parts = met.where("NOT same").select("uid", "start", "key", "content").join(ranges, ["key", "content"])
-    moved = parts.select("uid", "start", F.explode("ranges").alias("q")).select("uid", F.struct((F.col("start") + F.col("q.s")).alias("s"), (F.col("start") + F.col("q.e")).alias("e")).alias("r"))
-    out = written(whole.union(moved).groupBy("uid").agg(F.collect_list("r").alias("ranges")), "row-ranges")
-    release_shuffles(spark)
+        many = contexts.join(hot, "head", "left_semi")
+        windows = written(many.select("head", "content", "n", "bytes").mapInArrow(_windows, "head binary, content long, n long, number int, h long, g long"), "hot-windows")
+        twice = windows.groupBy("h", "g").count().where("count > 1").select("h", "g")
+        hits = windows.join(twice, ["h", "g"], "left_semi").select("head", "content", "n", F.struct(F.col("number").alias("s"), (F.col("number") + MATCH).alias("e")).alias("r"))
+        full = many.where("n > 1").select("head", "content", "n", F.struct(F.lit(0).alias("s"), F.length("bytes").alias("e")).alias("r"))
+        ranges = ranges.union(hits.union(full).groupBy("head", "content", "n").agg(F.collect_list("r").alias("ranges")))
+    ranges = written(ranges.where(F.size("ranges") > 0).dropDuplicates(["head", "content"]), "content-ranges")
+    discard(contexts, distinct, *([windows] if some_hot else []))
+
+    whole = met.where("same").select("_id", "uid", F.struct(F.col("start").alias("s"), (F.col("start") + F.col("windows") + MATCH - 1).alias("e")).alias("r"))
+    parts = join_heavy(met.where("NOT same").select("_id", "uid", "start", "head", "content"), ranges, ["head", "content"], "n", total)
+    moved = parts.select("_id", "uid", "start", F.explode("ranges").alias("q")).select("_id", "uid", F.struct((F.col("start") + F.col("q.s")).alias("s"), (F.col("start") + F.col("q.e")).alias("e")).alias("r"))
+    out = written(whole.union(moved).groupBy("_id", "uid").agg(F.collect_list("r").alias("ranges")), "row-ranges")
+    discard(met, ranges, hot)
     return out
 
 
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text: str = "text", with_bytes: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, batches: int | None = None, id_col: str = "doc_id", text: str = "text", with_bytes: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept]): each row without its repeated bytes."""
     ranges = repeated_ranges(docs, batches, id_col, text)
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), _uid(id_col, text).alias("uid"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    joined = rows.join(ranges, "uid", "left").select("_id", "_text", "ranges")
+    joined = _rows(docs, id_col, text).alias("t").join(ranges.alias("r"), _same_row("t", "r"), "left").select("t._id", "t.text", "r.ranges")
     kind = joined.schema[0].dataType.simpleString()
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,8 @@ import pytest
 import xxhash
 from edge import TEXTS, docs, empty
 
+from pyspark.sql import functions as F
+
 from sievework.llm import simhash_dedup as s
 from sievework.llm import suffix_dedup as x
 from sievework.llm.components import connected_components
@@ -169,13 +171,12 @@ def repeat_rows():
     return rows
 
 
-@pytest.mark.parametrize(("batches", "hot"), [(1, 20_000), (3, 20_000), (2, 1)])
+@pytest.mark.parametrize(("batches", "hot"), [(1, 1 << 20), (None, 1 << 20), (2, 1), (7, 3000)])
 def test_repeats_match_brute_force(spark, monkeypatch, batches, hot):
     rows = repeat_rows()
-    monkeypatch.setattr(x, "HOT_KEY", hot)
     frame = docs(spark, rows)
     ranges = x.repeated_ranges
-    monkeypatch.setattr(x, "repeated_ranges", lambda *a: ranges(*a, hot_key=hot))
+    monkeypatch.setattr(x, "repeated_ranges", lambda *a: ranges(*a, hot_bytes=hot))
     got = x.remove_repeats(frame, batches).collect()
     assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == brute_repeats(rows)
     for r in got:
@@ -184,10 +185,22 @@ def test_repeats_match_brute_force(spark, monkeypatch, batches, hot):
 
 def test_levels_merge_geometrically(spark):
     every = x.suffixes(docs(spark, repeat_rows()))
-    family_ = x.LevelFamily()
-    for k in range(7):
-        family_.add(every.where(f"pmod(uid, 7) = {k}"))
-    assert [n for n, _ in family_.levels] == [4, 2, 1]
+    family_ = x.index_in_batches(every, 7)
+    assert [n for n, _ in family_.levels] == [4, 2, 1] and len(family_.matches) == 5
+    heads = Counter(bytes(r["head"]) for r in every.collect())
+    for _, level in family_.levels:  # in the order of letters, file by file
+        for part in level.withColumn("file", F.input_file_name()).groupBy("file").agg(F.collect_list("head").alias("h")).collect():
+            assert part["h"] == sorted(part["h"])
+    assert {bytes(r["head"]) for r in family_.shared().collect()} >= {h for h, n in heads.items() if n > 1}
+
+
+def test_ranks_are_those_of_the_letters():
+    r = random.Random(4)
+    data = bytes(r.choice(b"ab") for _ in range(60)) * 9
+    at = np.arange(len(data) - 200)
+    rank = x.letter_ranks(np.frombuffer(data, np.uint8), at)
+    order = {s: k for k, s in enumerate(sorted({data[i : i + 200] for i in at}))}
+    assert rank.tolist() == [order[data[i : i + 200]] for i in at]
 
 
 def test_repeat_edges(spark):
