@@ -2,7 +2,8 @@
 
 Training takes a bounded sample of labelled rows: at most about ``train_rows`` (a
 parameter, whatever the corpus' size), dealt over shards of at least ``SHARD_ROWS`` rows
-whose weights are averaged.  Scoring is a sparse dot product over whole texts in one
+whose weights are averaged.  A shard's rows are put in an order of their own first, so the
+weights do not depend on how rows arrive, and a shard that is trained again gives the same.  Scoring is a sparse dot product over whole texts in one
 narrow pass over all documents.
 """
 
@@ -21,7 +22,7 @@ from .common import ship_package, written
 BITS = 18
 DIMS = 1 << BITS  # then the bias and any dense extras
 SHARD_ROWS = 3000
-MOST_SHARDS = 4
+MOST_SHARDS = 8
 TRAIN_ROWS = 24_000
 
 Sparse = tuple[np.ndarray, np.ndarray]  # feature numbers and values of one document
@@ -85,20 +86,22 @@ class Ftrl:
         return self.weights()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, targets: dict[str, Column], train_rows: int, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, int]:
-    """(text, shard, a 0/1 column for each target) of a hash sample of the labelled rows, and the number of shards.
+def labelled_sample(docs: DataFrame, labels: DataFrame, targets: dict[str, Column], train_rows: int, id_col: str = "doc_id", text: str = "text", most_shards: int = MOST_SHARDS) -> tuple[DataFrame, int]:
+    """(shard, order, id, text, a 0/1 column for each target) of a hash sample of the labelled rows, and the number of shards.
 
-    Each labelled id counts once.  The sample has ``train_rows`` rows on average at most,
+    Each labelled id counts once, however many rows have it (the least text stands for it).  The sample has ``train_rows`` rows on average at most,
     which bounds what is broadcast and what a training task holds.
     """
     rows = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*[F.max(c.cast("int")).alias(k) for k, c in targets.items()]).dropna()
     n = rows.count()
     ppm = 1_000_000 if n <= train_rows else int(1_000_000 * train_rows / n)
-    shards = max(1, min(MOST_SHARDS, min(n, train_rows) // SHARD_ROWS))
+    shards = max(1, min(most_shards, min(n, train_rows) // SHARD_ROWS))
     h = F.xxhash64(F.col(id_col).cast("string"), F.lit("sample"))
     rows = rows.where(F.pmod(h, F.lit(1_000_000)) < ppm).withColumn("shard", F.pmod(F.shiftright(h, 20), F.lit(shards)).cast("int"))
     texts = docs.select(F.col(f"`{id_col}`").alias(id_col), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(rows), id_col).select("text", "shard", *targets), shards
+    met = texts.join(F.broadcast(rows), id_col).groupBy(id_col).agg(F.min("text").alias("text"), *[F.first(c).alias(c) for c in ("shard", *targets)])
+    ident = F.col(id_col).cast("string")
+    return met.select("shard", F.xxhash64(ident, F.lit("order")).alias("order"), ident.alias("id"), "text", *targets), shards
 
 
 def train(sample: DataFrame, shards: int, fit: Callable[[pa.Table], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
@@ -106,27 +109,55 @@ def train(sample: DataFrame, shards: int, fit: Callable[[pa.Table], dict[str, np
 
     What comes to the driver is the models' non-zero weights, bounded by their size.
     """
-    ship_package(sample.sparkSession)
 
-    def run(table: pa.Table) -> pa.Table:
-        names, slots_, values, sizes = [], [], [], []
+    def trained(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for name, w in fit(table).items():
-            at = np.flatnonzero(w)
-            at = np.union1d(at, [len(w) - 1])  # the last one tells the size
-            names += [name] * len(at)
-            slots_.append(at)
-            values.append(w[at])
-            sizes += [len(w)] * len(at)
-        return pa.table({"model": names, "slot": np.concatenate(slots_).astype(np.int64), "w": np.concatenate(values), "size": pa.array(sizes, pa.int64())})
-
-    trained = sample.groupBy("shard").applyInArrow(run, "model string, slot long, w double, size long")
-    mean = written(trained.groupBy("model", "slot").agg((F.sum("w") / shards).alias("w"), F.max("size").alias("size")), "weights")
+            yield weight_rows(name, w)
+
+    # ranges and not hashes of the few shard numbers, so that no two shards share a task
+    dealt = sample.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "order", "id")
+    return mean_weights(written(by_group(dealt, trained, WEIGHTS), "weights"), shards)
+
+
+WEIGHTS = "model string, slot long, w double, size long"
+
+
+def weight_rows(name: str, w: np.ndarray) -> pa.RecordBatch:
+    """The non-zero weights of a model; its last one tells the size."""
+    at = np.union1d(np.flatnonzero(w), [len(w) - 1])
+    return pa.RecordBatch.from_pydict({"model": [name] * len(at), "slot": at, "w": w[at], "size": np.full(len(at), len(w))})
+
+
+def mean_weights(rows: DataFrame, shards: int) -> dict[str, np.ndarray]:
+    """The average over the shards, in an order of summation of its own."""
+    mean = rows.groupBy("model", "slot").agg(F.aggregate(F.sort_array(F.collect_list("w")), F.lit(0.0), lambda a, x: a + x).alias("w"), F.max("size").alias("size"))
     out: dict[str, np.ndarray] = {}
     for r in mean.toLocalIterator():
-        out.setdefault(r["model"], np.zeros(r["size"]))[r["slot"]] = r["w"]
+        out.setdefault(r["model"], np.zeros(r["size"]))[r["slot"]] = r["w"] / shards
     return out
 
 
+def by_group(dealt: DataFrame, each: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``each`` on the rows of every value of the first column, which come sorted by it."""
+    ship_package(dealt.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            own = b.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and held[-1].column(0)[0].as_py() != own[lo]:
+                    yield from each(pa.Table.from_batches(held))
+                    held = []
+                if hi > lo:
+                    held.append(b.slice(lo, hi - lo))
+        if held:
+            yield from each(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, schema)
+
+
 def mapped(docs: DataFrame, id_col: str, text: str, score: Callable[[pa.Array], dict[str, np.ndarray]], schema: str) -> DataFrame:
     """One row per input row: ``id_col`` and the columns that ``score`` gives."""
     ship_package(docs.sparkSession)

@@ -12,11 +12,14 @@ Categories come from the labels: ``junk`` (quality 0), ``toxic``, and ``toxic_pr
 balance (F1) over the out-of-fold predictions.
 
 Defined results: null and empty texts are scored by the biases; without labelled rows all
-probabilities are 0.5 and nothing is toxic; rows are scored one by one, repeated or not.
+probabilities are 0.5 and nothing is toxic; rows are scored one by one, repeated or not; a
+labelled id counts once in training however many rows have it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +27,10 @@ from pyspark.sql import functions as F
 
 from . import linear as li
 from . import textkernels as tk
+from .common import written
 
 FOLDS = 3
+MOST_SHARDS = 2
 #: The chain in its order: category and its label.
 CATEGORIES: dict[str, Column | str] = {"junk": "quality = 0", "toxic": "toxic = 1", "toxic_prose": "toxic = 1 AND quality = 1"}
 
@@ -57,28 +62,6 @@ def _model(extras: int) -> li.Ftrl:
     return li.Ftrl(extras, alpha=0.1, l1=1.0, l2=1.0)
 
 
-def fit_chain(rows: list[li.Sparse], labels: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Weights of each category's model, and ``threshold`` for ``toxic``."""
-    n = len(rows)
-    fold = np.random.default_rng(5).permutation(n) % FOLDS
-    passes = li.epochs(n)
-    earlier: list[list[float]] = [[] for _ in range(n)]
-    out: dict[str, np.ndarray] = {}
-    for k, (name, y) in enumerate(labels.items()):
-        given = [_with(r, e) for r, e in zip(rows, earlier, strict=True)]
-        p = np.full(n, 0.5)
-        for f in range(FOLDS):
-            inside, outside = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
-            w = _model(k).fit([given[i] for i in outside], y[outside], passes)
-            p[inside] = [li.sigmoid(float(w[given[i][0]] @ given[i][1])) for i in inside]
-        out[name] = _model(k).fit(given, y, passes)
-        if name == "toxic":
-            out["threshold"] = np.array([best_threshold(p, y)])
-        for e, q in zip(earlier, p.tolist(), strict=True):
-            e.append(q)
-    return out
-
-
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     """The probability from which on "toxic" has the best F1, held between 0.15 and 0.5; above 1 where no row is toxic.
 
@@ -94,17 +77,68 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return min(max(float((p[order[k]] + below) / 2), 0.15), 0.5)
 
 
-def train_chain(docs: DataFrame, labels: DataFrame, train_rows: int = li.TRAIN_ROWS, categories: dict[str, str] | None = None, id_col: str = "doc_id") -> dict[str, np.ndarray]:
-    wanted = categories or CATEGORIES
-    sample, shards = li.labelled_sample(docs, labels, {k: F.expr(c) for k, c in wanted.items()}, train_rows, id_col)
-    names = list(wanted)
+def _featured(sample: DataFrame, names: list[str]) -> DataFrame:
+    """The sample's texts as feature numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = features(b.column(3))
+            slots = pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], slots, *b.columns[4:]], ["shard", "order", "id", "slots", *names])
+
+    return sample.mapInArrow(run, f"shard int, order long, id string, slots array<int>, {', '.join(f'`{c}` int' for c in names)}")
 
-    def fit(table: pa.Table) -> dict[str, np.ndarray]:
-        rows = features(table.column("text").combine_chunks())
-        return fit_chain(rows, {c: table.column(c).to_numpy().astype(float) for c in names})
 
-    found = li.train(sample, shards, fit)
-    return {c: found.get(c, np.zeros(li.DIMS + 1 + k)) for k, c in enumerate(names)} | {"threshold": found.get("threshold", np.array([1.01]))}
+def _fit_part(k: int, name: str):
+    """Train category ``k`` on a part of a shard: all rows, or all but a fold whose rows are then predicted."""
+
+    def each(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        part = table.column("part")[0].as_py() % (FOLDS + 1)
+        slots = table.column("slots").combine_chunks()
+        ends = slots.offsets.to_numpy() - slots.offsets[0].as_py()
+        flat = slots.flatten().to_numpy().astype(np.int64)
+        earlier = np.array(table.column("earlier").to_pylist(), float).reshape(table.num_rows, k)
+        rows = [_with((s, np.ones(len(s))), e.tolist()) for s, e in zip(np.split(flat, ends[1:-1]), earlier, strict=True)]
+        y = table.column("y").to_numpy().astype(float)
+        inside = table.column("order").to_numpy() % FOLDS == part
+        chosen = np.flatnonzero(~inside)
+        w = _model(k).fit([rows[i] for i in chosen], y[chosen], li.epochs(len(chosen)))
+        if part == FOLDS:
+            b = li.weight_rows(name, w)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(b.num_rows, pa.string()), pa.nulls(b.num_rows, pa.float64())], [*b.schema.names, "id", "p"])
+        elif inside.any():
+            at = np.flatnonzero(inside)
+            p = np.array([li.sigmoid(float(w[rows[i][0]] @ rows[i][1])) for i in at])
+            none = [pa.nulls(len(at), t) for t in (pa.string(), pa.int64(), pa.float64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, table.column("id").combine_chunks().take(pa.array(at)), pa.array(p)], ["model", "slot", "w", "size", "id", "p"])
+
+    return each
+
+
+def train_chain(docs: DataFrame, labels: DataFrame, train_rows: int = li.TRAIN_ROWS, categories: dict[str, str] | None = None, id_col: str = "doc_id", most_shards: int = MOST_SHARDS) -> dict[str, np.ndarray]:
+    """Weights of each category's model, and ``threshold`` for the category ``toxic``.
+
+    Each category is one Spark stage: every shard's folds and its final model are parts of
+    their own, and out-of-fold predictions are joined back as inputs of the next category.
+    """
+    wanted = categories or CATEGORIES
+    names = list(wanted)
+    sample, shards = li.labelled_sample(docs, labels, {k: F.expr(c) for k, c in wanted.items()}, train_rows, id_col, most_shards=most_shards)
+    rows = written(_featured(sample.select("shard", "order", "id", "text", *names), names).withColumn("earlier", F.expr("cast(array() as array<double>)")), "chain-rows")
+    out, threshold = {}, np.array([1.01])
+    for k, name in enumerate(names):
+        parts = rows.select(F.col("shard"), "order", "id", "slots", "earlier", F.col(name).alias("y"), F.explode(F.sequence(F.lit(0), F.lit(FOLDS))).alias("f"))
+        parts = parts.select((F.col("shard") * (FOLDS + 1) + F.col("f")).alias("part"), "order", "id", "slots", "earlier", "y")
+        dealt = parts.repartitionByRange(shards * (FOLDS + 1), "part").sortWithinPartitions("part", "order", "id")
+        found = written(li.by_group(dealt, _fit_part(k, name), f"{li.WEIGHTS}, id string, p double"), "chain")
+        out |= li.mean_weights(found.where("model IS NOT NULL").select("model", "slot", "w", "size"), shards)
+        predicted = found.where("model IS NULL").select("id", "p")
+        if name == "toxic":  # at most the sample's rows, which train_rows bounds
+            got = predicted.join(rows.select("id", F.col(name).alias("y")), "id").select("p", "y").toArrow()
+            threshold = np.array([best_threshold(got.column("p").to_numpy(), got.column("y").to_numpy().astype(float))]) if got.num_rows else threshold
+        if k + 1 < len(names):
+            rows = written(rows.join(predicted, "id", "left").withColumn("earlier", F.concat("earlier", F.array(F.coalesce("p", F.lit(0.5))))).drop("p"), "chain-rows")
+    return {c: out.get(c, np.zeros(li.DIMS + 1 + k)) for k, c in enumerate(names)} | {"threshold": threshold}
 
 
 def score_chain(docs: DataFrame, models: dict[str, np.ndarray], id_col: str = "doc_id", text: str = "text") -> DataFrame:
