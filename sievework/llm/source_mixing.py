@@ -7,12 +7,14 @@ The weights are realised under a token budget: a source's documents are hashed i
 blocks, each epoch takes the blocks in a permutation of its own, and only the block at
 the end of the budget is cut, inside its own permuted order.
 
-Nothing but a few aggregate rows per bisection step reaches the driver.  Blocks bound
-every window, so a source with a third of all rows is dealt over many tasks.
+Nothing but a few aggregate rows per bisection step reaches the driver.  Documents are dealt
+over blocks, so a source with a third of all rows is dealt over many tasks; only a source's
+blocks, at most ``MOST_BLOCKS`` rows, are ordered in one.  Every text is split into words
+once; where the texts go on to the result, those of the cut blocks are split again.
 
 Defined results: a null source is the source ''; a null or empty text has one token (its
-end), so every document can be drawn; repeated rows are drawn independently of each
-other's place; an empty table gives an empty result.
+end), so every document can be drawn; a null id is placed by its text; repeated rows are
+drawn independently of each other's place; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ SPACES = "\t\n\x0b\x0c\r "
 SEED = "mix1"
 LEVELS, PASSES = 5, 6  # bisection steps settled in one Spark job, and jobs
 BLOCK_TOKENS = 1 << 16
+MOST_BLOCKS = 1 << 16  # of a source; beyond, blocks grow
 
 
 def token_count(text: Column) -> Column:
@@ -101,23 +104,28 @@ def mix_sources(
     budget_ratio: float | None = 1.0,
     block_tokens: int = BLOCK_TOKENS,
     id_col: str = "doc_id",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row for each drawn copy: ``_row`` (the input's columns), _tokens, _source, _epoch, _block, _block_order, _doc_order.
+    """One row for each drawn copy: ``_row`` (the input's columns, or those in ``keep`` without the texts), _tokens, _source, _epoch, _block, _block_order, _doc_order.
 
     ``budget_ratio``: the budget as a multiple of the corpus tokens; None takes the least
     budget that shows every document at least once.
     """
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        F.coalesce(F.col("source"), F.lit("")).alias("_source"),
-        token_count(F.col("text")).alias("_tokens"),
-        _hash(F.coalesce(F.col(id_col).cast("string"), F.lit("")), SEED).alias("_h"),
-    )
-    totals = written(source_totals(rows), "mix-totals")
+    h = _hash(F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col("text"), F.lit(""))))), SEED)
+    placed_by = F.coalesce(F.col("source"), F.lit("")).alias("_source"), F.col("text").alias("_text"), h.alias("_h")
+    if keep is not None:
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), *placed_by)
+    else:
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *placed_by)
+    if keep is not None:  # without the texts: a small table of its own
+        rows = head = written(rows.withColumn("_tokens", token_count(F.col("_text"))).drop("_text"), "mix-rows")
+    else:
+        head = written(rows.select("_source", "_h", token_count(F.col("_text")).alias("_tokens")), "mix-rows")
+    totals = written(source_totals(head), "mix-totals")
     n, total = totals.agg(F.count("*"), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     if not n:
-        return rows.withColumns({"_epoch": F.lit(0), "_block": F.lit(0).cast("long"), "_block_order": F.lit(0).cast("long"), "_doc_order": F.col("_h")}).drop("_h")
+        new = {"_epoch": F.lit(0), "_block": F.lit(0).cast("long"), "_block_order": F.lit(0).cast("long"), "_doc_order": F.col("_h"), "_tokens": F.lit(0).cast("long")}
+        return rows.withColumns({k: c for k, c in new.items() if k not in rows.columns}).select("_row", "_source", "_tokens", "_epoch", "_block", "_block_order", "_doc_order")
     keep_all = budget_ratio is None
     shares = totals.select("_source", "tokens", (F.col("tokens") / F.lit(float(total))).alias("p"))
     e = temperature(shares, n, entropy_share, max_repeats, keep_all, budget_ratio or 1.0)
@@ -130,12 +138,13 @@ def mix_sources(
         "_source",
         F.floor(quota / F.col("tokens")).cast("int").alias("_full"),
         (quota % F.col("tokens")).alias("_rest"),
-        F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("long").alias("_blocks"),
+        F.least(F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("long"), F.lit(MOST_BLOCKS)).alias("_blocks"),
     )
-    dealt = rows.join(plan, "_source").withColumn("_block", F.col("_h") % F.col("_blocks"))
+    plan = written(plan, "mix-plan")
+    dealt, heads = (r.join(plan, "_source").withColumn("_block", F.col("_h") % F.col("_blocks")) for r in (rows, head))
 
     # order the blocks for the last, partial epoch and find where the quota ends
-    sizes = dealt.groupBy("_source", "_block").agg(F.sum("_tokens").alias("size"), F.first("_full").alias("_f"), F.first("_rest").alias("_r"))
+    sizes = heads.groupBy("_source", "_block").agg(F.sum("_tokens").alias("size"), F.first("_full").alias("_f"), F.first("_rest").alias("_r"))
     order = _hash(F.col("_source"), F.col("_block"), F.col("_f"), SEED)
     upto = Window.partitionBy("_source").orderBy("order", "_block").rowsBetween(Window.unboundedPreceding, 0)
     cut = sizes.withColumn("order", order).withColumn("end", F.sum("size").over(upto)).select(
@@ -147,6 +156,8 @@ def mix_sources(
     cut = written(cut, "mix-blocks")
     placed = dealt.join(cut, ["_source", "_block"])
     inside = Window.partitionBy("_source", "_block").orderBy("_h", "_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    if keep is None:  # after the join, so that only texts of cut blocks are split here
+        placed = placed.withColumn("_tokens", token_count(F.col("_text"))).drop("_text")
     whole = placed.where(F.col("_left").isNull()).withColumn("_n", F.col("_full") + F.col("_whole").cast("int"))
     edge = placed.where(F.col("_left").isNotNull()).withColumn("_n", F.col("_full") + (F.sum("_tokens").over(inside) <= F.col("_left")).cast("int"))
     drawn = whole.unionByName(edge).where("_n > 0")
@@ -165,7 +176,7 @@ def mixed_documents(docs: DataFrame, max_repeats: float = 1.25) -> DataFrame:
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus' own token budget at 95 % of the highest entropy, at most four repeats."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    mixed = mix_sources(docs)
+    mixed = mix_sources(docs, keep=["doc_id"])
     return mixed.select("_row.doc_id", F.col("_source").alias("source"), F.col("_tokens").alias("n_tokens"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_block_order").alias("block_order"), F.col("_doc_order").alias("doc_order"))
 
 
@@ -176,7 +187,7 @@ def _h(*parts: str) -> str:
 OP10_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) + 1 AS BIGINT) AS n_tokens,
-    {_h("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM documents),
+    {_h("coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))")} AS h FROM documents),
 s AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY source),
 t AS (SELECT CAST(sum(tokens) AS BIGINT) AS total, count(*) AS n FROM s),
 p AS (SELECT source, tokens, CAST(tokens AS DOUBLE) / CAST(total AS DOUBLE) AS p FROM s, t),
@@ -198,7 +209,7 @@ e AS (
     CASE WHEN (SELECT max(1 / p) / count(*) FROM p) <= 4.0 THEN 0.0 ELSE (SELECT hi FROM rep WHERE step = 30) END), 6) AS e),
 q AS (
   SELECT source, tokens, CAST(floor(pow(p, e) / (SELECT sum(pow(p, e)) FROM p, e) * CAST((SELECT total FROM t) AS DOUBLE) * (1 + 1e-9)) AS BIGINT) AS quota,
-    CAST(ceil(tokens / {BLOCK_TOKENS}) AS BIGINT) AS blocks FROM p, e),
+    least(CAST(ceil(tokens / {BLOCK_TOKENS}) AS BIGINT), {MOST_BLOCKS}) AS blocks FROM p, e),
 b AS (SELECT d.*, quota // tokens AS f, quota % tokens AS r, h % blocks AS block FROM d JOIN q USING (source)),
 z AS (SELECT source, block, sum(n_tokens) AS size, any_value(f) AS f, any_value(r) AS r, {_h("source", "block", "any_value(f)")} AS o FROM b GROUP BY source, block),
 c AS (SELECT source, block, size, sum(size) OVER (PARTITION BY source ORDER BY o, block ROWS UNBOUNDED PRECEDING) AS fin FROM z),
