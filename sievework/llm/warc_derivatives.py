@@ -6,8 +6,9 @@ itself and of its page (title, language, links, the source's headers and digests
 ``WARC-Refers-To`` and keep its target URI and date; the metadata names the conversion as
 ``Derived-Conversion``.  Identifiers are name-based, so a rerun makes the same records.
 
-Everything is Spark SQL expressions over one narrow pass; record bytes can be written as
-gzipped members by ``write_warc``.
+The derivatives are Spark SQL expressions over one narrow pass.  ``read_responses`` reads the
+response records of WARC files, ``responses`` makes them of a table of pages, and
+``write_warc`` writes records as gzipped members.
 
 Defined results: a null URL or body counts as empty; an empty page gives empty text and no
 links; a null id is kept; repeated responses give records with equal identifiers; an empty
@@ -16,7 +17,11 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
+import io
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -30,8 +35,8 @@ from .common import ship_package
 DATE = "2024-01-01T00:00:00Z"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-#: The entities of HTML that plain text decodes, ampersand last.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+#: The named entities of HTML that plain text decodes, ampersand last (numeric ones come right before it).
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 #: Elements that end a line of text.
 _BLOCKS = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|title|blockquote|pre)\b[^>]*>"
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>"
@@ -67,12 +72,28 @@ def responses(pages: DataFrame, id_col: str = "page_id", url: str = "url", body:
     return df.withColumn("record_id", record_id(F.lit("response"), F.col("uri"), F.col("date"), F.col("payload_digest")))
 
 
+def _numeric(text: Column) -> Column:
+    """``&#8217;`` and ``&#x2019;`` as their characters; a number that is no character stays as it is."""
+
+    def decoded(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        hexadecimal = F.lower(F.left(digits, F.lit(1))) == "x"
+        code = F.when(hexadecimal, F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).try_cast("int")
+        real = (digits != "") & code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(real, F.concat(char, F.regexp_replace(part, r"^[0-9a-zA-Z]+;", ""))).otherwise(F.concat(F.lit("&#"), part))
+
+    parts = F.transform(F.split(text, "&#"), lambda p, i: F.when(i == 0, p).otherwise(decoded(p)))
+    return F.when(F.contains(text, F.lit("&#")), F.array_join(parts, "")).otherwise(text)
+
+
 def plain_text(html: Column) -> Column:
     """Visible text: hidden elements and tags go, block elements end lines, entities are decoded, blanks are folded."""
     t = F.regexp_replace(F.regexp_replace(html, _HIDDEN, " "), _BLOCKS, "\n")
     t = F.regexp_replace(t, r"<[^>]*>", "")
-    for entity, char in ENTITIES:
+    for entity, char in ENTITIES[:-1]:
         t = F.replace(t, F.lit(entity), F.lit(char))
+    t = F.replace(_numeric(t), F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))
     t = F.regexp_replace(t, r"[ \t\r\f]+", " ")
     return F.regexp_replace(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
 
@@ -131,6 +152,88 @@ def derive(source: DataFrame) -> DataFrame:
     return out.select("id", "r.record_type", "r.record_id", "r.refers_to", "uri", "r.block_digest", "source_digest", "r.headers", "r.block")
 
 
+RESPONSE = "id string, uri string, date string, http_headers string, body string, payload_digest string, block_digest string, record_id string"
+
+
+def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record of an uncompressed WARC stream; ends at the first line that is no record."""
+    while line := stream.readline():
+        if not line.strip():
+            continue
+        if not line.startswith(b"WARC/"):
+            return
+        head: dict[str, str] = {}
+        while (line := stream.readline()).strip():
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            head[name.strip().lower()] = value.strip()
+        yield head, stream.read(int(head.get("content-length", 0)))
+
+
+def _sha1(raw: bytes) -> str:
+    return "sha1:" + base64.b32encode(hashlib.sha1(raw).digest()).decode()
+
+
+def _response(head: dict[str, str], block: bytes) -> tuple:
+    """A row of ``RESPONSE``: identifiers, date and digests as the record states them, digests computed where it states none."""
+    http, gap, body = block.partition(b"\r\n\r\n")
+    kind = re.search(rb"(?im)^content-type:[^\r\n]*charset=[\"']?([\w-]+)", http)
+    try:
+        text = body.decode(kind[1].decode() if kind else "utf-8", "replace")
+    except LookupError:  # a charset that does not exist
+        text = body.decode("utf-8", "replace")
+    rid = head.get("warc-record-id", "")
+    return (
+        rid, head.get("warc-target-uri", "").strip("<>"), head.get("warc-date", ""), http.decode("latin-1") + "\r\n" * bool(gap), text,
+        head.get("warc-payload-digest") or _sha1(body), head.get("warc-block-digest") or _sha1(block), rid,
+    )
+
+
+def read_responses(spark: SparkSession, path: str, glob: str = "*.warc*", batch_bytes: int = 8 << 20) -> DataFrame:
+    """The response records of WARC files (plain or gzip), in the form that ``derive`` takes; ``id`` is the record's own.
+
+    Each file is streamed by one task, a record at a time; a crawl has many files of bounded
+    size.  Other record types are skipped; a truncated last record ends its file.
+    """
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("path")
+    names = [f.split()[0] for f in RESPONSE.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                store, file = fs.FileSystem.from_uri(name)
+                with store.open_input_file(file) as raw:
+                    packed = raw.read(2) == b"\x1f\x8b"
+                    raw.seek(0)
+                    held, size = [], 0
+                    with gzip.open(raw) if packed else io.BufferedReader(raw) as stream:
+                        try:
+                            for head, block in _records(stream):
+                                if head.get("warc-type") == "response":
+                                    held.append(_response(head, block))
+                                    size += len(block)
+                                if size >= batch_bytes:
+                                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names)
+                                    held, size = [], 0
+                        except EOFError:
+                            pass
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names)
+
+    return files.repartition("path").mapInArrow(run, RESPONSE)
+
+
+def response_records(source: DataFrame) -> DataFrame:
+    """(headers, block) of response records, for ``write_warc``."""
+    block = F.concat("http_headers", F.lit("\r\n"), "body")
+    lines = [
+        F.lit("WARC/1.1\r\nWARC-Type: response"), F.concat(F.lit("WARC-Target-URI: "), "uri"), F.concat(F.lit("WARC-Date: "), "date"), F.concat(F.lit("WARC-Record-ID: "), "record_id"),
+        F.concat(F.lit("WARC-Payload-Digest: "), "payload_digest"), F.concat(F.lit("WARC-Block-Digest: "), "block_digest"),
+        F.lit("Content-Type: application/http; msgtype=response"), F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
+    ]
+    return source.select(F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n")).alias("headers"), block.alias("block"))
+
+
 def write_warc(records: DataFrame, path: str) -> DataFrame:
     """Write records as gzip members, one file for each task; (file, n_records, n_bytes) of the files."""
     ship_package(records.sparkSession)
@@ -164,8 +267,13 @@ def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql_text(x: str) -> str:
     t = f"regexp_replace(regexp_replace({x}, '<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<noscript\\b.*?</noscript\\s*>|<template\\b.*?</template\\s*>', ' ', 'gsi'), '</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|title|blockquote|pre)\\b[^>]*>', chr(10), 'gi')"
     t = f"regexp_replace({t}, '<[^>]*>', '', 'g')"
-    for entity, char in ENTITIES:
+    for entity, char in ENTITIES[:-1]:
         t = f"replace({t}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    digits = "regexp_extract(x, '^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});', 1)"
+    code = f"CASE WHEN lower({digits}[1]) = 'x' THEN CAST('0x' || {digits}[2:] AS INT) ELSE CAST({digits} AS INT) END"
+    char = f"CASE WHEN {digits} <> '' AND ({code}) BETWEEN 1 AND 1114111 AND NOT ({code}) BETWEEN 55296 AND 57343 THEN chr({code}) || regexp_replace(x, '^[0-9a-zA-Z]+;', '') ELSE '&#' || x END"
+    t = f"list_transform([{t}], lambda t: string_split(t, '&#')[1] || array_to_string(list_transform(string_split(t, '&#')[2:], lambda x: {char}), ''))[1]"
+    t = f"replace({t}, '{ENTITIES[-1][0]}', '{ENTITIES[-1][1]}')"
     return f"regexp_replace(regexp_replace(regexp_replace({t}, '[ \\t\\r\\f]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
 
 
