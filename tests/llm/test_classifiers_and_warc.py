@@ -137,3 +137,102 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(single) - set(clean) == leaky
     assert set(mixed) == set(clean) and sorted(tokens) == sorted(mixed)
     assert sorted(map(str, corpus_pipeline.run(spark, sf).collect())) == sorted(map(str, frames[-1].collect()))
+
+
+def test_warc_files_are_read_back(spark):
+    path = work_dir(spark, "responses")
+    source = w.responses(pages(spark))
+    w.write_warc(w.response_records(source), path).count()
+    got = w.read_responses(spark, path)
+    same = [c for c in source.columns if c != "id"]
+    assert sorted(map(tuple, got.select(same).collect())) == sorted(map(tuple, source.select(same).collect()))
+    parts = ["record_type", "record_id", "refers_to", "uri", "block_digest", "source_digest", "headers", "block"]
+    assert sorted(map(tuple, w.derive(got).select(parts).collect())) == sorted(map(tuple, w.derive(source).select(parts).collect()))
+
+
+def test_warc_files_of_others(spark, tmp_path):
+    body = "<p>caf\u00e9 &#8217;&#x2019; &#xD800; &amp;#65; &#0; &#65</p>"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=iso-8859-1\r\nX-A: b\r\n\r\n" + body.encode("latin-1")
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Target-URI: <http://a/>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: {len(http)}\r\n\r\n"
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nx\r\n\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(info + head.encode() + http + b"\r\n\r\n")
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(head.encode() + http + b"\r\n\r\n"))
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(head.encode() + http)[:-20])
+    got = w.read_responses(spark, f"file://{tmp_path}")
+    rows = got.collect()
+    assert len(rows) in (2, 3) and {r["body"] for r in rows[:2]} == {body} and {r["uri"] for r in rows} == {"http://a/"}
+    assert {r["payload_digest"] for r in rows} == {"sha1:" + base64.b32encode(hashlib.sha1(body.encode("latin-1")).digest()).decode()}
+    derived = {(r["record_type"]): r for r in w.derive(got).collect()}
+    assert derived["conversion"]["block"] == "caf\u00e9 \u2019\u2019 &#xD800; &#65; &#0; &#65"
+    assert "source-http: X-A: b" in derived["metadata"]["block"] and derived["metadata"]["refers_to"] == "<urn:uuid:1>"
+
+
+def test_warc_of_a_very_long_page(spark):
+    long = "<p>" + "word &amp; " * 200_000 + "</p>" + "<script>" + "x < y;" * 100_000 + "</script>"
+    got = {r["record_type"]: r for r in w.derive(w.responses(pages(spark, [(1, "u", long)]))).collect()}
+    assert got["conversion"]["block"] == ("word & " * 200_000).strip()
+
+
+def test_training_does_not_depend_on_arrival(spark):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    frame = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    again = frame.orderBy(F.desc("doc_id")).repartition(7)
+    assert (q.train_quality(frame, labels) == q.train_quality(again.union(again.limit(50)), labels.repartition(5))).all()
+    one, two = x.train_chain(frame, labels), x.train_chain(again, labels.repartition(5))
+    assert one.keys() == two.keys() and all((one[k] == two[k]).all() for k in one)
+
+
+def plain_ftrl(rows, y, passes, alpha, beta, l1, l2, seed=7):
+    """Follow the regularised leader, one coordinate at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        penalty = l1 if i < li.DIMS else 0.0
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= penalty else -np.sign(zi) * (abs(zi) - penalty) / ((beta + np.sqrt(n.get(i, 0.0))) / alpha + l2)
+
+    rng = np.random.default_rng(seed)
+    for _ in range(passes):
+        for k in rng.permutation(len(rows)).tolist():
+            w = {i: weight(i) for i in rows[k][0].tolist()}
+            g0 = li.sigmoid(sum(w[i] * v for i, v in zip(*(a.tolist() for a in rows[k]), strict=True))) - y[k]
+            for i, v in zip(*(a.tolist() for a in rows[k]), strict=True):
+                g = g0 * v
+                was = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (np.sqrt(was + g * g) - np.sqrt(was)) / alpha * w[i]
+                n[i] = was + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_is_the_plain_algorithm():
+    r = np.random.default_rng(3)
+    rows = [(np.append(np.unique(r.integers(0, 40, 8)), li.DIMS), None) for _ in range(60)]
+    rows = [(i, np.append(r.random(len(i) - 1), 1.0)) for i, _ in rows]
+    y = np.array([float(3 in i or 5 in i) for i, _ in rows])
+    got = li.Ftrl(alpha=0.3, l1=0.2, l2=0.5).fit(rows, y, 4)
+    want = plain_ftrl(rows, y, 4, 0.3, 1.0, 0.2, 0.5)
+    assert np.allclose([got[i] for i in want], list(want.values())) and np.count_nonzero(got) == sum(v != 0 for v in want.values())
+
+
+def test_toxicity_on_rows_it_never_saw(spark):
+    large = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{large}/labels.parquet")
+    frame = spark.read.parquet(f"{large}/documents.parquet").select("doc_id", "text")
+    models = x.train_chain(frame, labels.where(~q.held_out()))
+    got = x.score_chain(frame, models).join(labels.where(q.held_out()), "doc_id").toPandas()
+    assert auc(got.p_toxic.values, got.toxic.values) > 0.9
+    found = got.p_toxic >= models["threshold"][0]
+    assert found[got.toxic == 1].mean() > 0.5 and found[got.toxic == 0].mean() < 0.05
+
+
+def test_held_out_junk_is_told(spark):
+    got = q.op5_quality_classifier(spark, DATA).join(spark.read.parquet(f"{DATA}/labels.parquet"), "doc_id").toPandas()
+    held = got[got.held_out]
+    assert (held[held.quality == 0].predicted == 0).mean() > 0.7
+
+
+def test_repeated_rows_of_one_label_count_once(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    rows = spark.createDataFrame([(1, "b")] * 50 + [(1, "a"), (1, None)], "doc_id long, text string")
+    sample, _ = li.labelled_sample(rows, labels, {"quality": F.col("quality")}, 100)
+    assert [(r["id"], r["text"]) for r in sample.collect()] == [("1", "")]
