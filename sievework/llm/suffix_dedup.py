@@ -22,8 +22,10 @@ Long matches.  A head with one suffix cannot repeat.  Where all suffixes of a he
 segment, all its windows repeat.  Else one segment for each distinct content is fetched, in
 the order of letters, and a task builds the suffix array of their windows by doubling
 prefixes (8, 16, ... letters): windows of one rank agree in all ``MATCH`` letters, bytes and
-not hashes deciding.  Copies never gather in one task, and heads whose segments are more
-than ``HOT_BYTES`` are compared by counting 128-bit window fingerprints in a shuffle.
+not hashes deciding.  Copies never gather in one task.  A head whose segments are more than
+``HOT_BYTES`` is split by more letters: a window that holds the head has ``REACH`` letters more
+on its right or on its left, so segments are compared where they agree in either.  What is
+still larger is compared by counting 128-bit window fingerprints in a shuffle.
 
 Contents of segments with one head are told apart by 64-bit fingerprints.
 
@@ -36,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +51,8 @@ from .common import discard, join_heavy, ship_package, written
 MATCH = 200
 GRAM = 32
 BATCH_SUFFIXES = 1 << 28  # about 16 GB of text
-HOT_BYTES = 1 << 20  # of a head's distinct segments that a task compares in memory
+HOT_BYTES = 1 << 17  # of distinct segments that a task compares in one group
+REACH = (MATCH - GRAM + 1) // 2  # letters that a window has right or left of a head in it
 
 
 def sliding(values: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
@@ -219,24 +223,25 @@ def _runs(row: np.ndarray, number: np.ndarray, n: int) -> list[list[tuple[int, i
     return out
 
 
-_RANGES = "array<struct<s:int,e:int>>"
+_CONTEXT = "head binary, content long, n long, bytes binary"
+_FOUND = "head binary, content long, n long, ranges array<struct<s:int,e:int>>"
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(head, content, n, bytes) in the order of heads -> (head, content, n, ranges)."""
+    """(key, head, content, n, bytes) in the order of keys -> (head, content, n, ranges)."""
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
-        heads, contents, counts, raw = zip(*rows, strict=True)
+        keys, heads, contents, counts, raw = zip(*rows, strict=True)
         whole = np.array(counts) > 1
         data = np.frombuffer(b"".join(raw), np.uint8)
         at, row, number = _places(np.append(0, np.cumsum([len(x) for x in raw])))
-        rank = letter_ranks(data, at)
-        hit = (np.bincount(rank)[rank] > 1) | whole[row]
+        # a context is under a key once, so a rank met twice under a key is met in two places
+        numbers = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+        group = np.array([numbers[k] for k in keys], np.int64)[row]
+        _, back, met = np.unique(letter_ranks(data, at) * len(numbers) + group, return_inverse=True, return_counts=True)
+        hit = (met[back] > 1) | whole[row]
         ranges = _runs(row[hit], number[hit], len(rows))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(heads, pa.binary()), pa.array(contents, pa.int64()), pa.array(counts, pa.int64()), pa.array([[{"s": s, "e": e} for s, e in r] for r in ranges], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))],
-            ["head", "content", "n", "ranges"],
-        )
+        return _ranges_batch(heads, contents, counts, ranges)
 
     held: list[tuple] = []
     size = 0
@@ -246,25 +251,56 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield settle(held)
                 held, size = [], 0
             held.append(r)
-            size += len(r[3])
+            size += len(r[4])
     if held:
         yield settle(held)
 
 
+def _ranges_batch(heads, contents, counts, ranges: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+    lists = pa.array([[{"s": s, "e": e} for s, e in r] for r in ranges], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))
+    return pa.RecordBatch.from_arrays([pa.array(heads, pa.binary()), pa.array(contents, pa.int64()), pa.array(counts, pa.int64()), lists], ["head", "content", "n", "ranges"])
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, head, content, n, bytes) -> the same under a key for each extension of the head by ``REACH`` letters, right and left."""
+    for b in batches:
+        at, keys = [], []
+        for k, (head, raw) in enumerate(zip(b.column(1).to_pylist(), b.column(4).to_pylist(), strict=True)):
+            found, q = set(), raw.find(head)
+            while q >= 0:
+                if q + GRAM + REACH <= len(raw):
+                    found.add(b"r" + raw[q : q + GRAM + REACH])
+                if q >= REACH:
+                    found.add(b"l" + raw[q - REACH : q + GRAM])
+                q = raw.find(head, q + 1)
+            keys += [hashlib.md5(x, usedforsecurity=False).digest() for x in sorted(found)]
+            at += [k] * len(found)
+        own = pa.array(at, pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *(c.take(own) for c in b.columns[1:])], b.schema.names)
+
+
 _OTHER = tk.byte_table(4711)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(head, content, n, bytes) -> (head, content, n, number, h, g) of every window; h and g are independent fingerprints."""
+    """(key, head, content, n, bytes) -> (head, content, n, number, h, g) of every window; h and g are independent fingerprints."""
     for b in batches:
         for first in range(0, b.num_rows, 256):
             part = b.slice(first, 256)
-            raw = part.column(3).to_pylist()
+            raw = part.column(4).to_pylist()
             data = np.frombuffer(b"".join(raw), np.uint8)
             at, row, number = _places(np.append(0, np.cumsum([len(x) for x in raw])))
             h, g = (tk.span_hash(tk.prefix_hash(table[data]), at, at + MATCH).view(np.int64) for table in (tk.BYTES, _OTHER))
             own = pa.array(row)
-            yield pa.RecordBatch.from_arrays([*(c.take(own) for c in part.columns[:3]), pa.array(number.astype(np.int32)), pa.array(h), pa.array(g)], ["head", "content", "n", "number", "h", "g"])
+            yield pa.RecordBatch.from_arrays([*(c.take(own) for c in part.columns[1:4]), pa.array(number.astype(np.int32)), pa.array(h), pa.array(g)], ["head", "content", "n", "number", "h", "g"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(head, content, n, window numbers) -> (head, content, n, ranges)."""
+    for b in batches:
+        lists = [np.unique(x.values.to_numpy()) for x in b.column(3)]
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        yield _ranges_batch(b.column(0), b.column(1), b.column(2), _runs(row, np.concatenate(lists), len(lists)))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,28 +358,37 @@ def repeated_ranges(docs: DataFrame, batches: int | None = None, id_col: str = "
     distinct = written(distinct.select("head", "content", "n", "r.*"), "contents")
     wanted = distinct.groupBy("_id", "uid").agg(F.collect_list(F.struct("head", "content", "n", "start", "windows")).alias("wanted"))
     # equal rows give equal segments, whose n tells that there are several
-    found = _rows(docs, id_col, text).alias("t").join(wanted.alias("w"), _same_row("t", "w")).select("t.text", "w.wanted")
-    contexts = written(found.mapInArrow(_contexts, "head binary, content long, n long, bytes binary"), "contexts")
-    sizes = distinct.groupBy("head").agg(F.sum(F.col("windows").cast("long") + MATCH - 1).alias("bytes"))
-    hot = written(sizes.where(F.col("bytes") > hot_bytes).select("head"), "hot-heads")
-    some_hot = not hot.isEmpty()
-    mild = contexts.join(hot, "head", "left_anti") if some_hot else contexts
-    ranges = mild.repartitionByRange("head").sortWithinPartitions("head").mapInArrow(_compare, f"head binary, content long, n long, ranges {_RANGES}")
-    if some_hot:
-        many = contexts.join(hot, "head", "left_semi")
-        windows = written(many.select("head", "content", "n", "bytes").mapInArrow(_windows, "head binary, content long, n long, number int, h long, g long"), "hot-windows")
-        twice = windows.groupBy("h", "g").count().where("count > 1").select("h", "g")
-        hits = windows.join(twice, ["h", "g"], "left_semi").select("head", "content", "n", F.struct(F.col("number").alias("s"), (F.col("number") + MATCH).alias("e")).alias("r"))
-        full = many.where("n > 1").select("head", "content", "n", F.struct(F.lit(0).alias("s"), F.length("bytes").alias("e")).alias("r"))
-        ranges = ranges.union(hits.union(full).groupBy("head", "content", "n").agg(F.collect_list("r").alias("ranges")))
-    ranges = written(ranges.where(F.size("ranges") > 0).dropDuplicates(["head", "content"]), "content-ranges")
-    discard(contexts, distinct, *([windows] if some_hot else []))
+    texts = _rows(docs, id_col, text).alias("t").join(wanted.alias("w"), _same_row("t", "w")).select("t.text", "w.wanted")
+    contexts = written(texts.mapInArrow(_contexts, _CONTEXT), "contexts")
+    found, tables = [], [contexts, distinct]
+    left = contexts.select(F.col("head").alias("key"), "head", "content", "n", "bytes")
+    for deeper in (True, False):
+        hot = written(left.groupBy("key").agg(F.sum(F.length("bytes")).alias("size")).where(F.col("size") > hot_bytes).select("key"), "hot-heads")
+        tables.append(hot)
+        some_hot = not hot.isEmpty()
+        mild = left.join(hot, "key", "left_anti") if some_hot else left
+        found.append(written(mild.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_compare, _FOUND), "content-ranges"))
+        if not some_hot:
+            break
+        many = left.join(hot, "key", "left_semi").select(left.columns)
+        if deeper:
+            left = written(many.mapInArrow(_split, f"key binary, {_CONTEXT}"), "split-contexts")
+            tables.append(left)
+        else:
+            windows = written(many.dropDuplicates(["head", "content"]).mapInArrow(_windows, "head binary, content long, n long, number int, h long, g long"), "hot-windows")
+            twice = windows.groupBy("h", "g").count().where("count > 1").select("h", "g")
+            hits = windows.where("n > 1").drop("h", "g").union(windows.where("n = 1").join(twice, ["h", "g"], "left_semi").drop("h", "g"))
+            found.append(written(hits.groupBy("head", "content", "n").agg(F.collect_list("number").alias("numbers")).mapInArrow(_joined, _FOUND), "content-ranges"))
+            tables.append(windows)
+    every_range = reduce(DataFrame.union, found).where(F.size("ranges") > 0)
+    ranges = written(every_range.groupBy("head", "content").agg(F.max("n").alias("n"), F.flatten(F.collect_list("ranges")).alias("ranges")), "ranges")
+    discard(*tables, *found)
 
     whole = met.where("same").select("_id", "uid", F.struct(F.col("start").alias("s"), (F.col("start") + F.col("windows") + MATCH - 1).alias("e")).alias("r"))
     parts = join_heavy(met.where("NOT same").select("_id", "uid", "start", "head", "content"), ranges, ["head", "content"], "n", total)
     moved = parts.select("_id", "uid", "start", F.explode("ranges").alias("q")).select("_id", "uid", F.struct((F.col("start") + F.col("q.s")).alias("s"), (F.col("start") + F.col("q.e")).alias("e")).alias("r"))
     out = written(whole.union(moved).groupBy("_id", "uid").agg(F.collect_list("r").alias("ranges")), "row-ranges")
-    discard(met, ranges, hot)
+    discard(met, ranges)
     return out
 
 

@@ -171,7 +171,7 @@ def repeat_rows():
     return rows
 
 
-@pytest.mark.parametrize(("batches", "hot"), [(1, 1 << 20), (None, 1 << 20), (2, 1), (7, 3000)])
+@pytest.mark.parametrize(("batches", "hot"), [(1, 1 << 20), (None, 1 << 20), (2, 1), (7, 3000), (3, 1000), (3, 8000)])
 def test_repeats_match_brute_force(spark, monkeypatch, batches, hot):
     rows = repeat_rows()
     frame = docs(spark, rows)
