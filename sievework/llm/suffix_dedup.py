@@ -376,10 +376,11 @@ def repeated_ranges(docs: DataFrame, batches: int | None = None, id_col: str = "
             tables.append(left)
         else:
             windows = written(many.dropDuplicates(["head", "content"]).mapInArrow(_windows, "head binary, content long, n long, number int, h long, g long"), "hot-windows")
-            twice = windows.groupBy("h", "g").count().where("count > 1").select("h", "g")
-            hits = windows.where("n > 1").drop("h", "g").union(windows.where("n = 1").join(twice, ["h", "g"], "left_semi").drop("h", "g"))
+            twice = written(windows.groupBy("h", "g").agg(F.count("*").alias("c")).where("c > 1"), "repeated-windows")
+            met_twice = join_heavy(windows.where("n = 1"), twice, ["h", "g"], "c", windows.count())
+            hits = windows.where("n > 1").drop("h", "g").unionByName(met_twice.drop("h", "g"))
             found.append(written(hits.groupBy("head", "content", "n").agg(F.collect_list("number").alias("numbers")).mapInArrow(_joined, _FOUND), "content-ranges"))
-            tables.append(windows)
+            tables += [windows, twice]
     every_range = reduce(DataFrame.union, found).where(F.size("ranges") > 0)
     ranges = written(every_range.groupBy("head", "content").agg(F.max("n").alias("n"), F.flatten(F.collect_list("ranges")).alias("ranges")), "ranges")
     discard(*tables, *found)
