@@ -316,8 +316,8 @@ def _with_prefix(keyed: DataFrame, size: int, common: np.ndarray) -> DataFrame:
     return keyed.select("_id", "_h", "_text").mapInArrow(run, f"_id {keyed.schema['_id'].dataType.simpleString()}, _h long, node long, n long, prefix array<long>, common long")
 
 
-def _candidates(sets: DataFrame) -> DataFrame:
-    """Links (a, b) whose components hold every pair of sets with a similarity of 0.8.
+def _candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b), and chains (a, b) of sets to be compared among each other; with them, all pairs with a similarity of 0.8.
 
     Such sets differ in at most a ninth of their sizes' sum.  Pairs that meet in a shingle not
     known as common are counted, and go where their prefixes alone differ in more: up to the
@@ -333,7 +333,51 @@ def _candidates(sets: DataFrame) -> DataFrame:
     met = met.where("9 * (least(p1 + at2 + 1, at1 + 1 + p2) - 2 * (both + least(common1, common2))) <= n1 + n2")
     before = Window.partitionBy("g").orderBy("n", "node")
     chained = held.where("at >= p - common").select("node", "n", F.lag("node").over(before).alias("b"), F.lag("n").over(before).alias("m"))
-    return met.select(F.col("node1").alias("a"), F.col("node2").alias("b")).union(chained.where("5 * m >= 4 * n").select("node", "b").distinct())
+    return met.select(F.col("node1").alias("a"), F.col("node2").alias("b")), chained.where("5 * m >= 4 * n").select(F.col("node").alias("a"), "b").distinct()
+
+
+def _same_document(a: str, b: str):
+    return F.col(f"{a}._id").eqNullSafe(F.col(f"{b}._id")) & (F.col(f"{a}._h") == F.col(f"{b}._h"))
+
+
+def _whole_sets(keyed: DataFrame, sets: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, grams): all shingles of the given nodes."""
+    wanted = sets.join(nodes, "node", "left_semi").select("node", "best._id", "best._h").alias("w")
+    texts = keyed.alias("k").join(wanted, _same_document("k", "w")).select("w.node", "k._text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            r, h = shingle_sets(b.column(1), size)
+            cuts = np.append(0, np.cumsum(np.bincount(r, minlength=b.num_rows))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64)))], ["node", "grams"])
+
+    # rows that repeat in full give a node twice
+    return texts.mapInArrow(run, "node long, grams array<long>").dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """The pairs whose sets have a similarity of 0.8, by intersection."""
+    a, b = whole.toDF("a", "ga"), whole.toDF("b", "gb")
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), F.size(F.array_intersect("ga", "gb")).alias("both"))
+    return both.where("5 * both >= 4 * (na + nb - both)").select("a", "b")
+
+
+def _pair_links(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links whose components are those of all true pairs.
+
+    First each node's first pair (in the order of a hash) is verified; pairs inside the
+    components that this gives need no look, so a group of near copies costs as many
+    comparisons as it has members and not as it has pairs.  All other pairs are verified next.
+    """
+    order = F.xxhash64("a", "b")
+    firsts = [pairs.groupBy(k).agg(F.min_by(F.struct("a", "b"), order).alias("p")).select("p.a", "p.b") for k in "ab"]
+    chosen = written(firsts[0].union(firsts[1]).distinct(), "first-pairs")
+    sure = written(_verified(chosen, whole), "links")
+    label = written(connected_components(sure), "labels")
+    la, lb = label.toDF("a", "ra"), label.toDF("b", "rb")
+    open_ = pairs.join(la, "a", "left").join(lb, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+    rest = written(_verified(written(open_.join(chosen, ["a", "b"], "left_anti"), "open-pairs"), whole), "links")
+    return sure.union(rest)
 
 
 def similar_roots(owner: np.ndarray, hashes: np.ndarray, m: int) -> np.ndarray:
@@ -399,13 +443,30 @@ def _similar_links(size: int):
     return run
 
 
+def _group_links(keyed: DataFrame, sets: DataFrame, chains: DataFrame, size: int, block: int) -> DataFrame:
+    """Links of sets inside chained groups, compared exactly in parts of two blocks of about ``block`` shingles."""
+    groups = written(connected_components(chains).join(sets.select("node", "best", "n"), "node"), "groups")
+    blocks = written(groups.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("k"), F.count("*").alias("_c")), "group-sizes")
+    mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: j != F.col("mine"))
+    parts = F.when(F.col("k") == 1, F.array(F.lit("0.0"))).otherwise(F.transform(others, lambda j: F.concat_ws(".", F.least(j, "mine"), F.greatest(j, "mine"))))
+    dealt = join_heavy(groups, blocks, "root", "_c", groups.count()).withColumn("mine", mine)
+    dealt = written(dealt.select("root", "node", "best._id", "best._h", parts.alias("parts")), "parts")
+    texts = keyed.alias("k").join(dealt.alias("d"), _same_document("k", "d")).select(F.explode("d.parts").alias("part"), "d.root", "d.node", "k._text")
+    texts = texts.select(F.concat_ws(".", "root", "part").alias("part"), "node", "_text")
+    return texts.repartition("part").sortWithinPartitions("part").mapInArrow(_similar_links(size), "a long, b long")
+
+
 def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """The input without near copies: of each group the row with the least id stays (a null id only if no other).
 
     Groups are the components of all pairs whose sets of ``size``-word shingles have a Jaccard
-    similarity of 0.8 or more.  Candidate groups are found from prefixes of the sets and compared
-    exactly, in parts of two blocks of about ``block`` shingles.
-    Of equal rows one stays.
+    similarity of 0.8 or more.  Candidate pairs are found from prefixes of the sets and
+    verified by intersection; sets that hold little but very common shingles are compared
+    group by group, in parts of two blocks of about ``block`` shingles.  Of equal rows one stays.
+
+    Defined results: texts without words are equal to each other; case of A-Z and white space do
+    not matter; an empty table gives an empty result; columns are the input's whatever their names.
     """
     ship_package(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
@@ -414,17 +475,11 @@ def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str =
     rows = _with_prefix(keyed, size, _common_shingles(keyed.select("_h", "_text"), size))
     sets = written(rows.groupBy("node").agg(first.alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("common").alias("common")), "sets")
 
-    near = written(_candidates(sets), "candidates")
-    groups = written(connected_components(near).join(sets.select("node", "best", "n"), "node"), "groups")
-    blocks = written(groups.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("k"), F.count("*").alias("_c")), "group-sizes")
-    mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: j != F.col("mine"))
-    parts = F.when(F.col("k") == 1, F.array(F.lit("0.0"))).otherwise(F.transform(others, lambda j: F.concat_ws(".", F.least(j, "mine"), F.greatest(j, "mine"))))
-    dealt = join_heavy(groups, blocks, "root", "_c", groups.count()).withColumn("mine", mine)
-    dealt = written(dealt.select("root", "node", F.col("best._id").alias("_cid"), F.col("best._h").alias("_ch"), parts.alias("parts")), "parts")
-    texts = keyed.select("_id", "_h", "_text").join(dealt, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_h") == F.col("_ch")))
-    texts = texts.select(F.explode("parts").alias("part"), "root", "node", "_text").select(F.concat_ws(".", "root", "part").alias("part"), "node", "_text")
-    links = texts.repartition("part").sortWithinPartitions("part").mapInArrow(_similar_links(size), "a long, b long")
+    pairs, chains = (written(x, "candidates") for x in _candidates(sets))
+    whole = written(_whole_sets(keyed, sets, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), size), "whole-sets")
+    links = _pair_links(pairs, whole)
+    if not chains.isEmpty():
+        links = links.union(_group_links(keyed, sets, chains, size, block))
     comps = written(connected_components(links), "components")
 
     grouped = sets.select("node", "best").join(comps, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
