@@ -4,8 +4,10 @@ All counts come from built-in functions over the whole text, so the operator is
 narrow projection: no shuffle, no user function, one pass over the scan.
 
 Defined results: a null text counts as empty (all counts 0, ``base_failed`` true, not
-kept); columns of the input named like the metrics are replaced in ``measure`` only
-under the prefix given; null ids, repeated rows and empty tables pass through row by row.
+kept); columns of the input named like a metric are replaced by it, all others stay
+whatever their names (``keep_good`` keeps all columns as they are); null ids, repeated
+rows and empty tables pass through row by row.  Stop words are those of English, French,
+German and Spanish: for other languages take a rule table without ``stop_words``.
 """
 
 from __future__ import annotations
@@ -89,11 +91,11 @@ def _repeat_words(words: Column, n_words: Column, grams: Column) -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_stop_words, n_shouted, n_repeat_words``."""
     metrics = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_shouted", "n_repeat_words"]
-    kept = [c for c in docs.columns if c not in metrics]
-    t = F.coalesce(F.col(text), F.lit(""))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in metrics]
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     base = docs.select(
-        *kept,
+        F.struct(*kept).alias("_row"),
         _words(t).alias("_words"),
         lines.alias("_lines"),
         F.length(F.translate(t, SPACES, "")).cast("long").alias("word_chars"),
@@ -112,7 +114,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     found = F.struct(*metrics[:-1], _repeat_words(F.col("_words"), F.col("n_words"), F.col("_grams")).alias("n_repeat_words"))
     # a one-row generator keeps later filters from being pushed into, and copying, these expressions
-    return counted.select(*kept, F.explode_outer(F.array(found)).alias("_m")).select(*kept, "_m.*")
+    return counted.select("_row", F.explode_outer(F.array(found)).alias("_m")).select("_row.*", "_m.*")
 
 
 def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:

@@ -206,3 +206,13 @@ def test_ranks_are_those_of_the_letters():
 def test_repeat_edges(spark):
     assert x.remove_repeats(empty(spark)).count() == 0
     assert x.remove_repeats(docs(spark)).count() == len(TEXTS)
+
+
+def test_common_shingles_lose_no_pair(spark, monkeypatch):
+    import pyarrow as pa
+
+    rows = jaccard_rows()
+    h, n = np.unique(np.concatenate([s.shingle_sets(pa.array([t]), 5)[1] for _, t in rows]), return_counts=True)
+    known = h[n >= 2][np.argsort(n[n >= 2], kind="stable")]
+    monkeypatch.setattr(s, "_common_shingles", lambda texts, size: known)
+    assert sorted(r["doc_id"] for r in s.keep_one(docs(spark, rows), block=300).collect()) == brute_kept(rows)

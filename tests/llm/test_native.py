@@ -137,3 +137,11 @@ def test_base_digest_is_of_the_joined_spans(spark):
     found = ledger.findings(frame, ["doc_id"]).withColumn("o", s._ordered(F.col("findings"), s.RULES))
     r = found.where("doc_id = 3").select(F.sha2(s._joined(F.col("o")), 256)).first()[0]
     assert r == hashlib.sha256(brute_spans(SECRETS[2][1]).encode()).hexdigest()
+
+
+def test_rules_with_clashing_columns(spark):
+    names = ["_words", "_lines", "_grams", "_row", "_m", "n_words", "kept"]
+    df = spark.createDataFrame([(1, "a b c " * 30, *range(7)), (2, None, *range(7))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    got = {r["doc_id"]: r for r in q.apply_rules(df).collect()}
+    assert got[1]["n_words"] == 90 and got[2]["n_words"] == 0 and got[1]["_words"] == 0 and got[1]["_grams"] == 2
+    assert q.keep_good(df).columns == df.columns
