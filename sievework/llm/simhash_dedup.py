@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernels as tk
@@ -331,9 +331,12 @@ def _candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     same = [F.first(c + k).alias(c + k) for k in "12" for c in ("n", "common", "p")]
     met = met.groupBy("node1", "node2").agg(F.count("*").alias("both"), F.max("at1").alias("at1"), F.max("at2").alias("at2"), *same)
     met = met.where("9 * (least(p1 + at2 + 1, at1 + 1 + p2) - 2 * (both + least(common1, common2))) <= n1 + n2")
-    before = Window.partitionBy("g").orderBy("n", "node")
-    chained = held.where("at >= p - common").select("node", "n", F.lag("node").over(before).alias("b"), F.lag("n").over(before).alias("m"))
-    return met.select(F.col("node1").alias("a"), F.col("node2").alias("b")), chained.where("5 * m >= 4 * n").select(F.col("node").alias("a"), "b").distinct()
+    # sizes whose ratio is 0.8 or more are in one class or in two that follow each other
+    late = written(held.where("at >= p - common").select("g", F.floor(F.log("n") / F.log(F.lit(1.25))).alias("s"), "node"), "common-shingles")
+    first = written(late.groupBy("g", "s").agg(F.min("node").alias("b"), F.count("*").alias("_c")), "first-of-class")
+    own = join_heavy(late, first, ["g", "s"], "_c", late.count()).select(F.col("node").alias("a"), "b")
+    following = first.select("g", (F.col("s") + 1).alias("s"), F.col("b").alias("a")).join(first, ["g", "s"]).select("a", "b")
+    return met.select(F.col("node1").alias("a"), F.col("node2").alias("b")), own.union(following).where("a <> b").distinct()
 
 
 def _same_document(a: str, b: str):
