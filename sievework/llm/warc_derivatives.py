@@ -83,8 +83,12 @@ def _numeric(text: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         return F.when(real, F.concat(char, F.regexp_replace(part, r"^[0-9a-zA-Z]+;", ""))).otherwise(F.concat(F.lit("&#"), part))
 
-    parts = F.transform(F.split(text, "&#"), lambda p, i: F.when(i == 0, p).otherwise(decoded(p)))
-    return F.when(F.contains(text, F.lit("&#")), F.array_join(parts, "")).otherwise(text)
+    def whole(t: Column) -> Column:
+        parts = F.transform(F.split(t, "&#"), lambda p, i: F.when(i == 0, p).otherwise(decoded(p)))
+        return F.when(F.contains(t, F.lit("&#")), F.array_join(parts, "")).otherwise(t)
+
+    # the text enters through a one-element array, so that it is computed once
+    return F.get(F.transform(F.array(text), whole), 0)
 
 
 def plain_text(html: Column) -> Column:
