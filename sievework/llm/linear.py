@@ -73,12 +73,11 @@ class Ftrl:
 
     def fit(self, rows: list[Sparse], y: np.ndarray, epochs: int, seed: int = 7) -> np.ndarray:
         rng = np.random.default_rng(seed)
-        l1 = [np.where(i < DIMS, self.l1, 0.0) for i, _ in rows]
         for _ in range(epochs):
             for k in rng.permutation(len(rows)).tolist():
                 i, x = rows[k]
                 z, root = self.z[i], np.sqrt(self.n[i])
-                w = -np.sign(z) * np.maximum(np.abs(z) - l1[k], 0) / ((self.beta + root) / self.alpha + self.l2)
+                w = -np.sign(z) * np.maximum(np.abs(z) - np.where(i < DIMS, self.l1, 0.0), 0) / ((self.beta + root) / self.alpha + self.l2)
                 g = (sigmoid(float(w @ x)) - y[k]) * x
                 n = self.n[i] + g * g
                 self.z[i] = z + g - (np.sqrt(n) - root) / self.alpha * w

@@ -77,28 +77,13 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return min(max(float((p[order[k]] + below) / 2), 0.15), 0.5)
 
 
-def _featured(sample: DataFrame, names: list[str]) -> DataFrame:
-    """The sample's texts as feature numbers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = features(b.column(3))
-            slots = pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], slots, *b.columns[4:]], ["shard", "order", "id", "slots", *names])
-
-    return sample.mapInArrow(run, f"shard int, order long, id string, slots array<int>, {', '.join(f'`{c}` int' for c in names)}")
-
-
 def _fit_part(k: int, name: str):
     """Train category ``k`` on a part of a shard: all rows, or all but a fold whose rows are then predicted."""
 
     def each(table: pa.Table) -> Iterator[pa.RecordBatch]:
         part = table.column("part")[0].as_py() % (FOLDS + 1)
-        slots = table.column("slots").combine_chunks()
-        ends = slots.offsets.to_numpy() - slots.offsets[0].as_py()
-        flat = slots.flatten().to_numpy().astype(np.int64)
         earlier = np.array(table.column("earlier").to_pylist(), float).reshape(table.num_rows, k)
-        rows = [_with((s, np.ones(len(s))), e.tolist()) for s, e in zip(np.split(flat, ends[1:-1]), earlier, strict=True)]
+        rows = [_with(r, e.tolist()) for r, e in zip(features(table.column("text").combine_chunks()), earlier, strict=True)]
         y = table.column("y").to_numpy().astype(float)
         inside = table.column("order").to_numpy() % FOLDS == part
         chosen = np.flatnonzero(~inside)
@@ -124,11 +109,11 @@ def train_chain(docs: DataFrame, labels: DataFrame, train_rows: int = li.TRAIN_R
     wanted = categories or CATEGORIES
     names = list(wanted)
     sample, shards = li.labelled_sample(docs, labels, {k: F.expr(c) for k, c in wanted.items()}, train_rows, id_col, most_shards=most_shards)
-    rows = written(_featured(sample.select("shard", "order", "id", "text", *names), names).withColumn("earlier", F.expr("cast(array() as array<double>)")), "chain-rows")
+    rows = written(sample.select("shard", "order", "id", "text", *names).withColumn("earlier", F.expr("cast(array() as array<double>)")), "chain-rows")
     out, threshold = {}, np.array([1.01])
     for k, name in enumerate(names):
-        parts = rows.select(F.col("shard"), "order", "id", "slots", "earlier", F.col(name).alias("y"), F.explode(F.sequence(F.lit(0), F.lit(FOLDS))).alias("f"))
-        parts = parts.select((F.col("shard") * (FOLDS + 1) + F.col("f")).alias("part"), "order", "id", "slots", "earlier", "y")
+        parts = rows.select(F.col("shard"), "order", "id", "text", "earlier", F.col(name).alias("y"), F.explode(F.sequence(F.lit(0), F.lit(FOLDS))).alias("f"))
+        parts = parts.select((F.col("shard") * (FOLDS + 1) + F.col("f")).alias("part"), "order", "id", "text", "earlier", "y")
         dealt = parts.repartitionByRange(shards * (FOLDS + 1), "part").sortWithinPartitions("part", "order", "id")
         found = written(li.by_group(dealt, _fit_part(k, name), f"{li.WEIGHTS}, id string, p double"), "chain")
         out |= li.mean_weights(found.where("model IS NOT NULL").select("model", "slot", "w", "size"), shards)
