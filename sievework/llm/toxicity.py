@@ -30,7 +30,7 @@ from . import textkernels as tk
 from .common import written
 
 FOLDS = 3
-MOST_SHARDS = 2
+MOST_SHARDS = 3
 #: The chain in its order: category and its label.
 CATEGORIES: dict[str, Column | str] = {"junk": "quality = 0", "toxic": "toxic = 1", "toxic_prose": "toxic = 1 AND quality = 1"}
 
@@ -48,14 +48,14 @@ def features(column: pa.Array) -> list[li.Sparse]:
             longer = ends - starts > k
             parts.append((li.slots(tk.span_hash(prefix, starts[longer], starts[longer] + k), 12 + k), rows[longer]))
         for slot, _count in li.grouped(parts, len(offsets) - 1):
-            out.append((np.append(slot, li.DIMS), np.ones(len(slot) + 1)))
+            out.append((np.append(slot, li.DIMS).astype(np.int32), np.ones(len(slot) + 1, np.float32)))  # narrow: a task holds a shard of them
     return out
 
 
 def _with(row: li.Sparse, earlier: list[float]) -> li.Sparse:
     """The row with earlier categories' probabilities as dense inputs."""
     k = len(earlier)
-    return np.append(row[0], li.DIMS + 1 + np.arange(k)), np.append(row[1], 2 * np.array(earlier) - 1)
+    return np.append(row[0], (li.DIMS + 1 + np.arange(k)).astype(np.int32)), np.append(row[1], (2 * np.array(earlier) - 1).astype(np.float32))
 
 
 def _model(extras: int) -> li.Ftrl:
@@ -112,7 +112,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, train_rows: int = li.TRAIN_R
     rows = written(sample.select("shard", "order", "id", "text", *names).withColumn("earlier", F.expr("cast(array() as array<double>)")), "chain-rows")
     out, threshold = {}, np.array([1.01])
     for k, name in enumerate(names):
-        parts = rows.select(F.col("shard"), "order", "id", "text", "earlier", F.col(name).alias("y"), F.explode(F.sequence(F.lit(0), F.lit(FOLDS))).alias("f"))
+        parts = rows.select(F.col("shard"), "order", "id", "text", "earlier", F.col(name).alias("y"), F.explode(F.sequence(F.lit(0 if k + 1 < len(names) or name == "toxic" else FOLDS), F.lit(FOLDS))).alias("f"))  # nothing follows the last one
         parts = parts.select((F.col("shard") * (FOLDS + 1) + F.col("f")).alias("part"), "order", "id", "text", "earlier", "y")
         dealt = parts.repartitionByRange(shards * (FOLDS + 1), "part").sortWithinPartitions("part", "order", "id")
         found = written(li.by_group(dealt, _fit_part(k, name), f"{li.WEIGHTS}, id string, p double"), "chain")
