@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernels as tk
-from .common import join_heavy, ship_package, written
+from .common import discard, join_heavy, ship_package, written
 from .components import connected_components
 
 RADIUS = 4
@@ -486,7 +486,8 @@ def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str =
     comps = written(connected_components(links), "components")
 
     grouped = sets.select("node", "best").join(comps, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
-    chosen = grouped.select(F.col("best._id").alias("_cid"), F.col("best._h").alias("_ch"))
+    chosen = written(grouped.select(F.col("best._id").alias("_cid"), F.col("best._h").alias("_ch")), "chosen")
+    discard(sets, pairs, chains, whole, comps)
     met = keyed.drop("_text").join(chosen, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_h") == F.col("_ch")))
     return met.dropDuplicates(["_cid", "_ch"]).select("_row.*")
 
