@@ -245,14 +245,27 @@ def n03(spark, d):
     return _round(dd.duplicate_pairs(_texts(spark, d)), "cosine", digits=4)
 
 
-@query("n04_leader_clusters")
+#: The greedy scan in SQL: one step for each document with an earlier neighbour, in order; it is absorbed if one of those leads.
+_LEAD = _COS + """, ed AS MATERIALIZED (SELECT a, b FROM cp WHERE a % 2 = b % 2), od AS MATERIALIZED (SELECT b AS n, list(a) AS earlier, row_number() OVER (ORDER BY b) AS i FROM ed GROUP BY b),
+  sc AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS absorbed UNION ALL SELECT od.i, CASE WHEN list_has_all(absorbed, earlier) THEN absorbed ELSE list_append(absorbed, od.n) END FROM sc JOIN od ON od.i = sc.i + 1),
+  ab AS MATERIALIZED (SELECT unnest(arg_max(absorbed, i)) AS n FROM sc), own AS (SELECT b AS n, min(a) AS leader FROM ed WHERE b IN (SELECT n FROM ab) AND a NOT IN (SELECT n FROM ab) GROUP BY b),
+  ld AS (SELECT example_id, coalesce(leader, example_id) AS leader FROM rp LEFT JOIN own ON example_id = n),
+  mb AS (SELECT example_id, pos, lang, min(example_id) OVER (PARTITION BY lang, user_message, example_id % 2) AS rep FROM fx_docs), cl AS (SELECT mb.example_id, pos, lang, leader AS cluster FROM mb JOIN ld ON rep = ld.example_id)"""
+
+
+def _scan(views: str, text: str) -> str:
+    return sql(views, _LEAD + text).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("n04_leader_clusters", _scan("fx_docs", " SELECT example_id, leader FROM ld"))
 def n04(spark, d):
     rows = _texts(spark, d)
     reps, _ = dd.fold_copies(rows)
     return dd.leader_clusters(reps, dd.duplicate_pairs(rows))
 
 
-@query("n05_dedup")
+@query("n05_dedup", _scan("fx_docs fx_scores", """, sd AS (SELECT d.example_id, d.pos, d.task_id, coalesce(CAST(s.score AS DOUBLE), 3.0::DOUBLE) AS score FROM fx_docs d LEFT JOIN fx_scores s ON d.task_id = s.task_id AND d.user_prefix = s.user_prefix)
+  SELECT example_id, task_id, score FROM (SELECT sd.*, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, sd.pos) AS r FROM sd JOIN cl USING (example_id)) WHERE r = 1"""))
 def n05(spark, d):
     rows = _texts(spark, d)
     scored = sc.with_scores(fx(spark, d, "fx_docs").drop("user_message"), fx(spark, d, "fx_scores"))
@@ -260,7 +273,9 @@ def n05(spark, d):
     return kept.select("example_id", "task_id", "score")
 
 
-@query("n06_dedup_report")
+@query("n06_dedup_report", _scan("fx_docs", """, rk AS (SELECT CASE WHEN example_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, row_number() OVER (PARTITION BY cluster ORDER BY pos) AS r FROM cl),
+  g AS (SELECT split, count(*) AS before, count(*) FILTER (r > 1) AS removed FROM rk GROUP BY split)
+  SELECT split, before, before - removed AS after, removed, round_even(removed * 100.0::DOUBLE / before, 1) AS pct, round_even(removed * 100.0::DOUBLE / before, 1) > 30 AS warn FROM g"""))
 def n06(spark, d):
     rows = _texts(spark, d).withColumn("split", F.when(F.col("example_id") % 10 == 0, "val").otherwise("train"))
     _, removed = dd.dedup(rows.withColumn("score", F.lit(3.0)).drop("text", "tools"), dd.clusters(rows))
@@ -272,7 +287,7 @@ def n07(spark, d):
     return dd.exact_duplicates(_texts(spark, d))
 
 
-@query("l02_first_clusters")
+@query("l02_first_clusters", _scan("fx_docs", """ SELECT cluster, count(*) AS size, min(pos) AS pos, array_to_string(list_sort(list(example_id))[1:3], '|') AS members FROM cl GROUP BY cluster HAVING count(*) > 1 ORDER BY min(pos) LIMIT 20"""))
 def l02(spark, d):
     return dd.first_clusters(dd.clusters(_texts(spark, d))).withColumn("members", F.array_join("members", "|"))
 
