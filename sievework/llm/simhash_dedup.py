@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernels as tk
-from .common import discard, join_heavy, ship_package, written
+from .common import discard, giving_back, join_heavy, ship_package, written
 from .components import connected_components
 
 RADIUS = 4
@@ -108,7 +108,7 @@ def with_fingerprint(docs: DataFrame, columns: list[str], size: int, text: str =
 
     wanted = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(text).alias("_text"))
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema[:n]], "fp long"])
-    return wanted.mapInArrow(run, schema)
+    return wanted.mapInArrow(giving_back(run), schema)
 
 
 # ---- the hierarchical index --------------------------------------------------------
@@ -225,7 +225,7 @@ def hamming_links(codes: DataFrame, radius: int = RADIUS, node_limit: int = NODE
             if more:
                 cold, nodes = nodes.join(hot, "path", "left_anti"), written(nodes.join(hot, "path", "left_semi"), "split-nodes")
         sorted_ = cold.select("path", "fp").repartition("path").sortWithinPartitions("path")
-        part = sorted_.mapInArrow(_node_links(radius), "a long, b long")
+        part = sorted_.mapInArrow(giving_back(_node_links(radius)), "a long, b long")
         links = part if links is None else links.union(part)
         if not more:
             return links
@@ -281,7 +281,7 @@ def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
         for b in _slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(b.column(0), size)[1].view(np.int64))], ["g"])
 
-    some = texts.where(F.pmod("_h", F.lit(16)) == 0).select("_text").mapInArrow(run, "g long")
+    some = texts.where(F.pmod("_h", F.lit(16)) == 0).select("_text").mapInArrow(giving_back(run), "g long")
     found = some.groupBy("g").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "g").limit(COMMON_LIMIT)
     return np.ascontiguousarray(found.toArrow().column("g").to_numpy()[::-1]).view(np.uint64)
 
@@ -313,7 +313,7 @@ def _with_prefix(keyed: DataFrame, size: int, common: np.ndarray) -> DataFrame:
             prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(first.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node.view(np.int64)), pa.array(n.astype(np.int64)), prefix, pa.array(late)], ["_id", "_h", "node", "n", "prefix", "common"])
 
-    return keyed.select("_id", "_h", "_text").mapInArrow(run, f"_id {keyed.schema['_id'].dataType.simpleString()}, _h long, node long, n long, prefix array<long>, common long")
+    return keyed.select("_id", "_h", "_text").mapInArrow(giving_back(run), f"_id {keyed.schema['_id'].dataType.simpleString()}, _h long, node long, n long, prefix array<long>, common long")
 
 
 def _candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -355,7 +355,7 @@ def _whole_sets(keyed: DataFrame, sets: DataFrame, nodes: DataFrame, size: int)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64)))], ["node", "grams"])
 
     # rows that repeat in full give a node twice
-    return texts.mapInArrow(run, "node long, grams array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(giving_back(run), "node long, grams array<long>").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -457,7 +457,7 @@ def _group_links(keyed: DataFrame, sets: DataFrame, chains: DataFrame, size: int
     dealt = written(dealt.select("root", "node", "best._id", "best._h", parts.alias("parts")), "parts")
     texts = keyed.alias("k").join(dealt.alias("d"), _same_document("k", "d")).select(F.explode("d.parts").alias("part"), "d.root", "d.node", "k._text")
     texts = texts.select(F.concat_ws(".", "root", "part").alias("part"), "node", "_text")
-    return texts.repartition("part").sortWithinPartitions("part").mapInArrow(_similar_links(size), "a long, b long")
+    return texts.repartition("part").sortWithinPartitions("part").mapInArrow(giving_back(_similar_links(size)), "a long, b long")
 
 
 def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkernels as tk
-from .common import ship_package, work_dir, written
+from .common import giving_back, ship_package, work_dir, written
 
 SEQ_LEN = 2048
 ROWS_PER_BATCH = 64
@@ -348,7 +348,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, seq_len:
             _finish(store, draft, name)
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n_tokens": pa.array([packer.n_tokens], pa.int64()), "n_docs": pa.array([docs_table.num_rows], pa.int64())})
 
-    parts = written(ranged.mapInArrow(run, "part int, n_tokens long, n_docs long"), "token-manifest")
+    parts = written(ranged.mapInArrow(giving_back(run), "part int, n_tokens long, n_docs long"), "token-manifest")
     # one row per file: the running total is over the manifest, not over documents
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
@@ -398,7 +398,7 @@ def read_documents(manifest: DataFrame, path: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32", "part", "first"],
                 )
 
-    return manifest.select("part", "base").repartitionByRange(max(1, manifest.count()), "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, part int, first long")
+    return manifest.select("part", "base").repartitionByRange(max(1, manifest.count()), "part").mapInArrow(giving_back(run), "doc_id long, start long, n_tokens long, ids_crc32 long, part int, first long")
 
 
 def default_tokenizer() -> str:
