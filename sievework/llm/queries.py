@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mixing, suffix_dedup, token_files, toxicity, warc_derivatives
+from . import decontamination, periodic_runs, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mixing, suffix_dedup, token_files, toxicity, warc_derivatives
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_source_mixing": source_mixing.op10_source_mixing,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
 }
 
 ORACLE_SQL = {
