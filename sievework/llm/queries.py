@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, periodic_runs, phrase_mining, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mixing, suffix_dedup, token_files, toxicity, warc_derivatives
+from . import decontamination, html_extraction, periodic_runs, phrase_mining, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mixing, suffix_dedup, token_files, toxicity, warc_derivatives
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_source_mixing": source_mixing.op10_source_mixing,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_main_text": html_extraction.op12_main_text,
     "op13_phrase_collocations": phrase_mining.op13_phrase_collocations,
 }
 
