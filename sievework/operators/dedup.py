@@ -12,11 +12,16 @@ Equal texts are folded to one representative before the join, so copies never mu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.io import shared_folder, stored
+from ..sources.io import stored
 from .aggregates import tool_jaccard
 
 POSTINGS = 1000  # rows of a posting list in a block
@@ -99,32 +104,71 @@ def duplicate_pairs(rows: DataFrame, threshold: float = 0.85, tool_threshold: fl
     return both.where(tool_jaccard(F.col("_ta"), F.col("_tb")) >= tool_threshold).select("task_id", "a", "b", "cosine")
 
 
-def leader_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The greedy scan over the edges of one partition: the nodes that an earlier leader absorbs."""
+    found = [b.to_pandas() for b in batches]
+    edges = pd.concat(found).sort_values(["pv", "v"], kind="stable") if found else pd.DataFrame(columns=["u", "v"])
+    absorbed: set = set()
+    for v, earlier in edges.groupby("v", sort=False)["u"]:
+        if not absorbed.issuperset(earlier):
+            absorbed.add(v)
+    yield pa.RecordBatch.from_pydict({"n": pa.array(list(absorbed), pa.int64())})
+
+
+def _settled(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(leaders, absorbed): the nodes that paths of forced choices reach from a node without earlier neighbours.
+
+    A node with one open earlier neighbour leads if and only if that one does not.  Such nodes
+    form trees of pointers, which are doubled until they end; the parity of the way decides.
+    """
+    into = open_.groupBy("v").agg(F.count("*").alias("c"), F.first("u").alias("u"))
+    several = into.where("c > 1").select(F.col("v").alias("end"))
+    way = stored(into.where("c = 1").select(F.col("v").alias("n"), F.col("u").alias("end"), F.lit(True).alias("odd")), "pointers")
+    while True:
+        on = way.select(F.col("n").alias("end"), F.col("end").alias("_e"), F.col("odd").alias("_o"))
+        further = way.join(on, "end", "left")
+        if further.where("_e IS NOT NULL").isEmpty():
+            break
+        way = stored(further.select("n", F.coalesce("_e", "end").alias("end"), F.when(F.col("_o"), ~F.col("odd")).otherwise(F.col("odd")).alias("odd")), "pointers")
+    ends = open_.select(F.col("u").alias("n")).distinct().join(into.select(F.col("v").alias("n")), "n", "left_anti").select("n", F.lit(False).alias("odd"))
+    known = stored(way.join(several, "end", "left_anti").select("n", "odd").union(ends), "known")
+    leaders = known.where("NOT odd").select("n")
+    beside = open_.join(leaders.withColumnRenamed("n", "u"), "u", "left_semi").select(F.col("v").alias("n"))
+    return leaders, known.where("odd").select("n").union(beside).distinct()
+
+
+def leader_clusters(nodes: DataFrame, edges: DataFrame, finish_edges: int = 200_000) -> DataFrame:
     """(example_id, leader): scanning in order of pos, each free node leads and absorbs its free later neighbours.
 
     The leaders are the lexicographically first maximal independent set and every other
     node goes to its earliest adjacent leader; it is *not* a connected component.  Each
-    round settles all nodes without an earlier undecided neighbour; rounds are checkpointed.
+    round settles all nodes that forced choices reach (a path of any length in a logarithmic
+    number of steps) and their neighbours, until at most ``finish_edges`` edges between open
+    nodes are left, which one task scans; every round settles at least the first open node.
     """
-    shared_folder(nodes.sparkSession)  # where checkpoints go
     pos = nodes.select("example_id", "pos")
-    pa, pb = pos.toDF("a", "_pa"), pos.toDF("b", "_pb")
-    e = edges.join(pa, "a").join(pb, "b")
-    first_a = F.col("_pa") < F.col("_pb")
+    pa_, pb = pos.toDF("a", "_pa"), pos.toDF("b", "_pb")
+    e = edges.join(pa_, "a").join(pb, "b")
+    first_a = F.struct("_pa", "a") < F.struct("_pb", "b")
+    pick = lambda p, q: F.when(first_a, F.col(p)).otherwise(F.col(q))
     # earlier -> later
-    e = e.select(F.when(first_a, F.col("a")).otherwise(F.col("b")).alias("u"), F.least("_pa", "_pb").alias("pu"), F.when(first_a, F.col("b")).otherwise(F.col("a")).alias("v")).distinct().checkpoint()
-    state = e.select(F.col("u").alias("n")).union(e.select("v")).distinct().withColumn("leader", F.lit(None).cast("boolean")).checkpoint()
-    for _ in range(max_rounds):
-        if state.where("leader IS NULL").isEmpty():
+    e = stored(e.where("a <> b").select(pick("a", "b").alias("u"), pick("_pa", "_pb").alias("pu"), pick("b", "a").alias("v"), pick("_pb", "_pa").alias("pv")).distinct(), "edges")
+    gone, open_ = [], e
+    while (left := open_.count()) > 0:
+        if left <= finish_edges:
+            gone.append(stored(open_.select("u", "v", "pv").coalesce(1).mapInArrow(_finish, "n long"), "absorbed"))
             break
-        su = state.select(F.col("n").alias("u"), F.col("leader").alias("lu"))
-        seen = e.join(su, "u").groupBy("v").agg(F.max(F.coalesce("lu", F.lit(False))).alias("led"), F.max(F.col("lu").isNull()).alias("waits"))
-        new = F.when(F.col("leader").isNotNull(), F.col("leader")).when(F.coalesce("led", F.lit(False)), F.lit(False)).when(~F.coalesce("waits", F.lit(False)), F.lit(True))
-        state = state.join(seen, F.col("n") == F.col("v"), "left").select("n", new.alias("leader")).checkpoint()
-    leaders = state.where("leader").select(F.col("n").alias("u"))
-    own = e.join(leaders, "u").groupBy("v").agg(F.min_by("u", "pu").alias("leader"))
-    joined = nodes.select("example_id").join(own, F.col("example_id") == F.col("v"), "left").join(leaders.withColumnRenamed("u", "_l"), F.col("example_id") == F.col("_l"), "left")
-    return joined.select("example_id", F.when(F.col("_l").isNotNull(), F.col("example_id")).otherwise(F.coalesce("leader", "example_id")).alias("leader"))
+        leaders, absorbed = _settled(open_)
+        absorbed = stored(absorbed, "absorbed")
+        gone.append(absorbed)
+        done = leaders.union(absorbed).distinct()
+        open_ = stored(open_.join(done.withColumnRenamed("n", "u"), "u", "left_anti").join(done.withColumnRenamed("n", "v"), "v", "left_anti").select("u", "pu", "v", "pv"), "open")
+    if not gone:
+        return nodes.select("example_id", F.col("example_id").alias("leader"))
+    absorbed = reduce(DataFrame.union, gone).distinct()
+    # an absorbed node has an earlier leader beside it, any other node leads
+    own = e.join(absorbed.withColumnRenamed("n", "u"), "u", "left_anti").join(absorbed.withColumnRenamed("n", "v"), "v", "left_semi").groupBy("v").agg(F.min_by("u", F.struct("pu", "u")).alias("leader"))
+    return nodes.select("example_id").join(own.withColumnRenamed("v", "example_id"), "example_id", "left").select("example_id", F.coalesce("leader", "example_id").alias("leader"))
 
 
 def clusters(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, **how) -> DataFrame:

@@ -123,6 +123,26 @@ def test_leader_clusters_are_the_greedy_scan(spark, seed):
     assert got == greedy(n, edges)
 
 
+def leaders(spark, n, edges, **how):
+    nodes = spark.createDataFrame([(i, i) for i in range(n)], "example_id long, pos long")
+    return {x["example_id"]: x["leader"] for x in dd.leader_clusters(nodes, spark.createDataFrame(edges, "a long, b long"), **how).collect()}
+
+
+@pytest.mark.parametrize("finish_edges", [0, 200_000])
+def test_leaders_of_a_long_chain(spark, finish_edges):
+    edges = [(i, i + 1) for i in range(999)]
+    assert leaders(spark, 1000, edges, finish_edges=finish_edges) == greedy(1000, edges)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_leaders_in_rounds_are_the_greedy_scan(spark, seed):
+    """Trees of chains with some nodes of several earlier neighbours, settled without the last scan."""
+    r = random.Random(seed)
+    edges = [(max(0, i - r.choice([1, 1, 1, 7])), i) for i in range(1, 120)]
+    edges += [tuple(sorted(r.sample(range(120), 2))) for _ in range(10)]
+    assert leaders(spark, 120, edges, finish_edges=10 * seed) == greedy(120, edges)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_prefix_filter_loses_no_pair(spark, seed):
     r = random.Random(seed)
