@@ -8,6 +8,8 @@ what the skipped terms of the document that is cut earlier can add, bound a pair
 only pairs whose bound reaches the threshold are verified, and no pair is lost.  Long
 posting lists are met in numbered blocks, so that a frequent term is no hot task.
 Equal texts are folded to one representative before the join, so copies never multiply.
+Clusters take no list of all pairs: ``leader_scan`` finds leaders in batches of bounded
+work, and only leaders meet the rows behind their batch.
 """
 
 from __future__ import annotations
@@ -51,24 +53,44 @@ def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[s
     return raw.join(norm, ["task_id", "example_id"]).select("task_id", "example_id", "term", (F.col("x") / F.col("norm")).alias("w"))
 
 
-def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """(task_id, a, b, cosine) with a < b, of all pairs at or above the threshold; exact."""
-    t, cut = threshold - EPSILON, max(threshold - 0.04, 0.0)
+def postings(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """(task_id, term, example_id, w, _skipped): the terms by which each document is indexed, and the norm of those before them."""
+    cut = max(threshold - 0.04, 0.0)
     freq = vectors.groupBy("task_id", "term").agg(F.count("*").alias("df"))
     doc = Window.partitionBy("task_id", "example_id")
     before = doc.orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
     ordered = vectors.join(freq, ["task_id", "term"]).withColumn("_norm2", F.sum(F.col("w") * F.col("w")).over(before))
     skipped = F.sqrt(F.coalesce(F.max(F.when(F.col("_norm2") < cut * cut, F.col("_norm2"))).over(doc), F.lit(0.0)))
-    indexed = ordered.withColumn("_skipped", skipped).where(F.col("_norm2") >= cut * cut).select("task_id", "term", "example_id", "w", "_skipped")
-    indexed = stored(indexed, "postings")
-    blocks = indexed.groupBy("task_id", "term").agg(F.count("*").alias("_c")).where("_c > 1").select("task_id", "term", F.ceil(F.col("_c") / POSTINGS).cast("int").alias("_k"))
-    held = indexed.join(blocks, ["task_id", "term"]).withColumn("_mine", F.pmod(F.xxhash64("example_id"), F.col("_k")).cast("int"))
-    # a row meets every block of its list once: as the first of a pair of blocks or as the second
-    ahead, behind = F.sequence("_mine", F.col("_k") - 1), F.sequence(F.lit(0), "_mine")
-    one = held.select("task_id", "term", F.col("_mine").alias("_i"), F.explode(ahead).alias("_j"), F.col("example_id").alias("x"), F.col("w").alias("wx"), F.col("_skipped").alias("sx"))
-    two = held.select("task_id", "term", F.explode(behind).alias("_i"), F.col("_mine").alias("_j"), F.col("example_id").alias("y"), F.col("w").alias("wy"), F.col("_skipped").alias("sy"))
-    met = one.join(two, ["task_id", "term", "_i", "_j"]).where("x <> y AND (_i <> _j OR x < y)")
-    first = F.col("x") < F.col("y")
+    return stored(ordered.withColumn("_skipped", skipped).where(F.col("_norm2") >= cut * cut).select("task_id", "term", "example_id", "w", "_skipped"), "postings")
+
+
+def _side(rows: DataFrame, x: str, own: str, other: str, k: str) -> DataFrame:
+    """Postings as one side of a meeting: in their own block of the list, for each block of the other side's."""
+    return rows.select("task_id", "term", F.col("_mine").alias(own), F.explode(F.sequence(F.lit(0), F.col(k) - 1)).alias(other), F.col("example_id").alias(x), F.col("w").alias(f"w{x}"), F.col("_skipped").alias(f"s{x}"))
+
+
+def _met(one: DataFrame, two: DataFrame | None) -> DataFrame:
+    """Postings of ``one`` beside those of ``two`` with the same term, or each pair of ``one`` once; long lists meet in numbered blocks."""
+    lists = lambda p, k: p.groupBy("task_id", "term").agg(F.ceil(F.count("*") / POSTINGS).cast("int").alias(k), F.count("*").alias(f"{k}_n"))
+    mine = lambda p, k: p.withColumn("_mine", F.pmod(F.xxhash64("example_id"), F.col(k)).cast("int"))
+    if two is None:
+        held = mine(one.join(lists(one, "_k").where("_k_n > 1"), ["task_id", "term"]), "_k")
+        # a row meets every block of its list once: as the first of a pair of blocks or as the second
+        ahead, behind = F.sequence("_mine", F.col("_k") - 1), F.sequence(F.lit(0), "_mine")
+        x = held.select("task_id", "term", F.col("_mine").alias("_i"), F.explode(ahead).alias("_j"), F.col("example_id").alias("x"), F.col("w").alias("wx"), F.col("_skipped").alias("sx"))
+        y = held.select("task_id", "term", F.explode(behind).alias("_i"), F.col("_mine").alias("_j"), F.col("example_id").alias("y"), F.col("w").alias("wy"), F.col("_skipped").alias("sy"))
+        return x.join(y, ["task_id", "term", "_i", "_j"]).where("x <> y AND (_i <> _j OR x < y)")
+    sizes = lists(one, "_k").join(lists(two, "_l"), ["task_id", "term"])
+    x = _side(mine(one.join(sizes, ["task_id", "term"]), "_k"), "x", "_i", "_j", "_l")
+    y = _side(mine(two.join(sizes, ["task_id", "term"]), "_l"), "y", "_j", "_i", "_k")
+    return x.join(y, ["task_id", "term", "_i", "_j"])
+
+
+def _similar(one: DataFrame, two: DataFrame | None, vectors: DataFrame, threshold: float) -> DataFrame:
+    """(task_id, a, b, cosine): pairs at or above the threshold, a < b within ``one``, or a of ``one`` and b of ``two``."""
+    t = threshold - EPSILON
+    met = _met(one, two)
+    first = F.col("x") < F.col("y") if two is None else F.lit(True)
     pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
     met = met.select("task_id", pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("wx", "wy").alias("wa"), pick("wy", "wx").alias("wb"), pick("sx", "sy").alias("sa"), pick("sy", "sx").alias("sb"))
     part = met.groupBy("task_id", "a", "b").agg(
@@ -83,6 +105,11 @@ def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
     return dots.where(F.col("cosine") >= t)
 
 
+def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """(task_id, a, b, cosine) with a < b, of all pairs at or above the threshold; exact."""
+    return _similar(postings(vectors, threshold), None, vectors, threshold)
+
+
 def fold_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Representatives (least pos of equal task, text and tools) and (example_id, rep) of all rows."""
     tools = F.array_join(F.sort_array("tools"), "|")
@@ -92,16 +119,22 @@ def fold_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.join(reps.select(F.col("rep").alias("example_id")), "example_id", "left_semi"), membership
 
 
+def _prepared(rows: DataFrame, how: dict) -> tuple[DataFrame, DataFrame]:
+    """Representatives with their tools, and their vectors; counts and idf are over all rows."""
+    reps = stored(fold_copies(rows)[0].select("task_id", "example_id", "pos", "tools"), "representatives")
+    vectors = tfidf_vectors(rows, **how)
+    return reps, stored(vectors.join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w"), "vectors")
+
+
+def _same_tools(pairs: DataFrame, reps: DataFrame, tool_threshold: float) -> DataFrame:
+    ta, tb = reps.select(F.col("example_id").alias("a"), F.col("tools").alias("_ta")), reps.select(F.col("example_id").alias("b"), F.col("tools").alias("_tb"))
+    return pairs.join(ta, "a").join(tb, "b").where(tool_jaccard(F.col("_ta"), F.col("_tb")) >= tool_threshold).select("task_id", "a", "b", "cosine")
+
+
 def duplicate_pairs(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, **how) -> DataFrame:
     """(task_id, a, b, cosine) of representatives whose texts and tool sets are both similar."""
-    reps, _ = fold_copies(rows)
-    reps = stored(reps.select("example_id", "tools"), "representatives")
-    vectors = tfidf_vectors(rows, **how)  # counts and idf are over all rows
-    vectors = stored(vectors.join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w"), "vectors")
-    pairs = cosine_pairs(vectors, threshold)
-    ta, tb = reps.select(F.col("example_id").alias("a"), F.col("tools").alias("_ta")), reps.select(F.col("example_id").alias("b"), F.col("tools").alias("_tb"))
-    both = pairs.join(ta, "a").join(tb, "b")
-    return both.where(tool_jaccard(F.col("_ta"), F.col("_tb")) >= tool_threshold).select("task_id", "a", "b", "cosine")
+    reps, vectors = _prepared(rows, how)
+    return _same_tools(cosine_pairs(vectors, threshold), reps, tool_threshold)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,10 +204,62 @@ def leader_clusters(nodes: DataFrame, edges: DataFrame, finish_edges: int = 200_
     return nodes.select("example_id").join(own.withColumnRenamed("v", "example_id"), "example_id", "left").select("example_id", F.coalesce("leader", "example_id").alias("leader"))
 
 
+_PARTS = (0.0, *(0.5**k for k in range(20, -1, -1)))  # of a task's open rows, as the first of them by pos
+
+
+def _batches(open_: DataFrame, index: DataFrame, budget: float) -> DataFrame:
+    """(task_id, upto): the greatest pos up to which the open rows of a task may all meet each other.
+
+    The rows that a join of the first rows would make are counted, by the sizes of their
+    posting lists, for ``_PARTS`` of the task; the largest within the budget is taken,
+    which is at least the first row.
+    """
+    cuts = open_.groupBy("task_id").agg(F.percentile_approx("pos", list(_PARTS), 10_000).alias("_cuts"))
+    upto = [F.count(F.when(F.col("pos") <= F.get("_cuts", k), 1)).alias(f"c{k}") for k in range(len(_PARTS))]
+    sizes = index.join(cuts, "task_id").groupBy("task_id", "term").agg(*upto)
+    made = [F.sum(F.col(f"c{k}") * (F.col(f"c{k}") - 1) / 2).alias(f"m{k}") for k in range(len(_PARTS))]
+    made = sizes.groupBy("task_id").agg(*made, F.sum(f"c{len(_PARTS) - 1}").alias("_rows"))
+    most = F.greatest(F.lit(float(budget)), F.col("_rows"))
+    best = F.coalesce(*[F.when(F.col(f"m{k}") <= most, F.get("_cuts", k)) for k in range(len(_PARTS) - 1, 0, -1)], F.get("_cuts", 0))
+    # a task without postings is one batch
+    return cuts.join(made, "task_id", "left").select("task_id", F.when(F.col("_rows").isNull(), F.get("_cuts", len(_PARTS) - 1)).otherwise(best).alias("upto"))
+
+
+def leader_scan(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, budget: float = 200_000, **how) -> DataFrame:
+    """(example_id, leader) of the representatives, as ``leader_clusters`` of ``duplicate_pairs`` gives it, without making all pairs.
+
+    The open rows of a task are taken in batches in order of pos, as long as the rows of
+    their join stay within the budget or the number of their postings, whichever is more.  A batch's pairs give its
+    leaders; these alone probe the later rows, and what they absorb never meets anything
+    again, so a group of k near copies costs about k comparisons.  The state of each
+    round is written to the shared folder.
+    """
+    reps, vectors = _prepared(rows, how)
+    index = stored(postings(vectors, threshold).join(reps.select("example_id", "pos"), "example_id"), "index")
+    open_, led = reps.select("task_id", "example_id", "pos"), []
+    while True:
+        live = index.join(open_.select("example_id"), "example_id", "left_semi")
+        marked = stored(open_.join(_batches(open_, live, budget), "task_id").withColumn("now", F.col("pos") <= F.col("upto")).select("task_id", "example_id", "pos", "now"), "open")
+        batch, rest = marked.where("now"), marked.where("NOT now")
+        now, later = index.join(batch.select("example_id"), "example_id", "left_semi"), index.join(rest.select("example_id"), "example_id", "left_semi")
+        pairs = _same_tools(_similar(now, None, vectors, threshold), reps, tool_threshold)
+        led.append(stored(leader_clusters(batch, pairs), "led"))
+        if rest.isEmpty():
+            break
+        leaders = led[-1].where("example_id = leader").select("example_id")
+        hits = _same_tools(_similar(now.join(leaders, "example_id", "left_semi"), later, vectors, threshold), reps, tool_threshold)
+        by_pos = hits.join(batch.select(F.col("example_id").alias("a"), "pos"), "a")
+        led.append(stored(by_pos.groupBy(F.col("b").alias("example_id")).agg(F.min_by("a", F.struct("pos", "a")).alias("leader")), "led"))
+        open_ = rest.drop("now").join(led[-1].select("example_id"), "example_id", "left_anti").select("task_id", "example_id", "pos")
+        if open_.isEmpty():
+            break
+    return reduce(DataFrame.union, led)
+
+
 def clusters(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, **how) -> DataFrame:
     """(example_id, pos, task_id, cluster) of all rows; copies share their representative's cluster."""
-    reps, membership = fold_copies(rows)
-    led = leader_clusters(reps, duplicate_pairs(rows, threshold, tool_threshold, **how))
+    _, membership = fold_copies(rows)
+    led = leader_scan(rows, threshold, tool_threshold, **how)
     return membership.join(led.toDF("rep", "cluster"), "rep").select("example_id", "pos", "task_id", "cluster")
 
 

@@ -259,9 +259,7 @@ def _scan(views: str, text: str) -> str:
 
 @query("n04_leader_clusters", _scan("fx_docs", " SELECT example_id, leader FROM ld"))
 def n04(spark, d):
-    rows = _texts(spark, d)
-    reps, _ = dd.fold_copies(rows)
-    return dd.leader_clusters(reps, dd.duplicate_pairs(rows))
+    return dd.leader_scan(_texts(spark, d))
 
 
 @query("n05_dedup", _scan("fx_docs fx_scores", """, sd AS (SELECT d.example_id, d.pos, d.task_id, coalesce(CAST(s.score AS DOUBLE), 3.0::DOUBLE) AS score FROM fx_docs d LEFT JOIN fx_scores s ON d.task_id = s.task_id AND d.user_prefix = s.user_prefix)

@@ -157,6 +157,42 @@ def test_prefix_filter_loses_no_pair(spark, seed):
     assert got == want and want
 
 
+def near_copies(n, groups, seed=0):
+    """Texts of some groups, each with a few words changed, and texts of their own; two tool sets."""
+    r = random.Random(seed)
+    roots = [r.choices([f"w{k}" for k in range(300)], k=30) for _ in range(groups)]
+    out = []
+    for i in range(n):
+        words = list(r.choice(roots)) if r.random() < 0.8 else r.choices([f"w{k}" for k in range(300)], k=30)
+        for _ in range(r.randrange(3)):
+            words[r.randrange(30)] = f"x{r.randrange(50)}"
+        out.append((i, n - i if i % 2 else i, f"t{i % 2}", " ".join(words), ["a"] if i % 3 else ["a", "b"]))
+    return out
+
+
+TEXTS = "example_id long, pos long, task_id string, text string, tools array<string>"
+
+
+@pytest.mark.parametrize("budget", [0, 300, 10**9])
+def test_leader_scan_is_the_scan_of_all_pairs(spark, budget):
+    rows = spark.createDataFrame([*near_copies(120, 4), (900, 900, "t0", " ", []), (901, 901, "t9", "alone", [])], TEXTS)
+    reps, _ = dd.fold_copies(rows)
+    want = {tuple(x) for x in dd.leader_clusters(reps, dd.duplicate_pairs(rows)).collect()}
+    assert {tuple(x) for x in dd.leader_scan(rows, budget=budget).collect()} == want
+    assert len({x for _, x in want}) < len(want)
+
+
+def test_a_group_of_near_copies_does_not_make_all_pairs(spark, monkeypatch):
+    """Twenty thousand near copies of a text: the rows that the joins make are counted."""
+    twice = [F.when(F.col("id").bitwiseAND(1 << k) > 0, F.lit(f" w{k}")).otherwise(F.lit("")) for k in range(15)]
+    text = F.concat(F.lit(" ".join(f"w{k}" for k in range(40))), *twice)
+    ids = spark.range(20_000).select(F.col("id").alias("example_id"), F.col("id").alias("pos"), F.lit("t").alias("task_id"), text.alias("text"), F.array(F.lit("a")).alias("tools"))
+    made, met = [], dd._met
+    monkeypatch.setattr(dd, "_met", lambda one, two: (made.append(met(one, two).count()), met(one, two))[1])
+    got = dd.leader_scan(ids).groupBy("leader").count().collect()
+    assert [tuple(r) for r in got] == [(0, 20_000)] and sum(made) < 1_000_000
+
+
 SIGNALS = [
     ("t", 0.9, 5.0, 29, 0.0, False, "GENERATE"),
     ("t", 0.3, 5.0, 101, 0.0, False, "TRIM"),
