@@ -49,41 +49,38 @@ def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[s
     rank = F.row_number().over(Window.partitionBy("task_id").orderBy(F.desc("total"), "term"))
     vocabulary = terms.withColumn("_r", rank).where(F.col("_r") <= max_features).join(n, "task_id").select("task_id", "term", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
     raw = tf.join(vocabulary, ["task_id", "term"]).select("task_id", "example_id", "term", (F.col("tf") * F.col("idf")).alias("x"))
-    norm = raw.groupBy("task_id", "example_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    return raw.join(norm, ["task_id", "example_id"]).select("task_id", "example_id", "term", (F.col("x") / F.col("norm")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("example_id", "task_id")))  # of one document's terms
+    return raw.select("task_id", "example_id", "term", (F.col("x") / norm).alias("w"))
 
 
-def postings(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """(task_id, term, example_id, w, _skipped): the terms by which each document is indexed, and the norm of those before them."""
-    cut = max(threshold - 0.04, 0.0)
-    freq = vectors.groupBy("task_id", "term").agg(F.count("*").alias("df"))
-    doc = Window.partitionBy("task_id", "example_id")
-    before = doc.orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = vectors.join(freq, ["task_id", "term"]).withColumn("_norm2", F.sum(F.col("w") * F.col("w")).over(before))
-    skipped = F.sqrt(F.coalesce(F.max(F.when(F.col("_norm2") < cut * cut, F.col("_norm2"))).over(doc), F.lit(0.0)))
-    return stored(ordered.withColumn("_skipped", skipped).where(F.col("_norm2") >= cut * cut).select("task_id", "term", "example_id", "w", "_skipped"), "postings")
-
+def numbered(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """(task_id, example_id, no, w, _skipped, _indexed): vectors with a number for each list of a task's term.
 
-def _side(rows: DataFrame, x: str, own: str, other: str, k: str) -> DataFrame:
-    """Postings as one side of a meeting: in their own block of the list, for each block of the other side's."""
-    return rows.select("task_id", "term", F.col("_mine").alias(own), F.explode(F.sequence(F.lit(0), F.col(k) - 1)).alias(other), F.col("example_id").alias(x), F.col("w").alias(f"w{x}"), F.col("_skipped").alias(f"s{x}"))
+    ``_indexed`` tells by which terms a document is found, ``_skipped`` is the norm of those before them.
+    """
+    cut = max(threshold - 0.04, 0.0)
+    freq = stored(vectors.groupBy("task_id", "term").agg(F.count("*").alias("df")).withColumn("no", F.monotonically_increasing_id()), "lists")
+    doc = Window.partitionBy("example_id")
+    before = doc.orderBy(F.desc("df"), "no").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = vectors.join(freq, ["task_id", "term"]).withColumn("_norm2", F.sum(F.col("w") * F.col("w")).over(before)).withColumn("_indexed", F.col("_norm2") >= cut * cut)
+    skipped = F.sqrt(F.coalesce(F.max(F.when(~F.col("_indexed"), F.col("_norm2"))).over(doc), F.lit(0.0)))
+    return stored(ordered.withColumn("_skipped", skipped).select("task_id", "example_id", "no", "w", "_skipped", "_indexed"), "vectors")
 
 
 def _met(one: DataFrame, two: DataFrame | None) -> DataFrame:
-    """Postings of ``one`` beside those of ``two`` with the same term, or each pair of ``one`` once; long lists meet in numbered blocks."""
-    lists = lambda p, k: p.groupBy("task_id", "term").agg(F.ceil(F.count("*") / POSTINGS).cast("int").alias(k), F.count("*").alias(f"{k}_n"))
+    """Postings of ``one`` beside those of ``two`` in the same list, or each pair of ``one`` once; long lists meet in numbered blocks."""
+    lists = lambda p, k: p.groupBy("no").agg(F.ceil(F.count("*") / POSTINGS).cast("int").alias(k), F.count("*").alias(f"{k}_n"))
     mine = lambda p, k: p.withColumn("_mine", F.pmod(F.xxhash64("example_id"), F.col(k)).cast("int"))
+    side = lambda p, x, own, other, blocks: p.select("no", F.col("_mine").alias(own), F.explode(blocks).alias(other), F.col("example_id").alias(x), F.col("w").alias(f"w{x}"), F.col("_skipped").alias(f"s{x}"))
     if two is None:
-        held = mine(one.join(lists(one, "_k").where("_k_n > 1"), ["task_id", "term"]), "_k")
+        held = mine(one.join(lists(one, "_k").where("_k_n > 1"), "no"), "_k")
         # a row meets every block of its list once: as the first of a pair of blocks or as the second
-        ahead, behind = F.sequence("_mine", F.col("_k") - 1), F.sequence(F.lit(0), "_mine")
-        x = held.select("task_id", "term", F.col("_mine").alias("_i"), F.explode(ahead).alias("_j"), F.col("example_id").alias("x"), F.col("w").alias("wx"), F.col("_skipped").alias("sx"))
-        y = held.select("task_id", "term", F.explode(behind).alias("_i"), F.col("_mine").alias("_j"), F.col("example_id").alias("y"), F.col("w").alias("wy"), F.col("_skipped").alias("sy"))
-        return x.join(y, ["task_id", "term", "_i", "_j"]).where("x <> y AND (_i <> _j OR x < y)")
-    sizes = lists(one, "_k").join(lists(two, "_l"), ["task_id", "term"])
-    x = _side(mine(one.join(sizes, ["task_id", "term"]), "_k"), "x", "_i", "_j", "_l")
-    y = _side(mine(two.join(sizes, ["task_id", "term"]), "_l"), "y", "_j", "_i", "_k")
-    return x.join(y, ["task_id", "term", "_i", "_j"])
+        x, y = side(held, "x", "_i", "_j", F.sequence("_mine", F.col("_k") - 1)), side(held, "y", "_j", "_i", F.sequence(F.lit(0), "_mine"))
+        return x.join(y, ["no", "_i", "_j"]).where("x <> y AND (_i <> _j OR x < y)")
+    sizes = lists(one, "_k").join(lists(two, "_l"), "no")
+    x = side(mine(one.join(sizes, "no"), "_k"), "x", "_i", "_j", F.sequence(F.lit(0), F.col("_l") - 1))
+    y = side(mine(two.join(sizes, "no"), "_l"), "y", "_j", "_i", F.sequence(F.lit(0), F.col("_k") - 1))
+    return x.join(y, ["no", "_i", "_j"])
 
 
 def _similar(one: DataFrame, two: DataFrame | None, vectors: DataFrame, threshold: float) -> DataFrame:
@@ -92,22 +89,24 @@ def _similar(one: DataFrame, two: DataFrame | None, vectors: DataFrame, threshol
     met = _met(one, two)
     first = F.col("x") < F.col("y") if two is None else F.lit(True)
     pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
-    met = met.select("task_id", pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("wx", "wy").alias("wa"), pick("wy", "wx").alias("wb"), pick("sx", "sy").alias("sa"), pick("sy", "sx").alias("sb"))
-    part = met.groupBy("task_id", "a", "b").agg(
-        F.sum(F.col("wa") * F.col("wb")).alias("part"), F.sum(F.col("wa") * F.col("wa")).alias("qa"), F.sum(F.col("wb") * F.col("wb")).alias("qb"), F.first("sa").alias("sa"), F.first("sb").alias("sb")
+    met = met.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("wx", "wy").alias("wa"), pick("wy", "wx").alias("wb"), pick("sx", "sy").alias("sa"), pick("sy", "sx").alias("sb"))
+    part = met.groupBy("a", "b").agg(
+        F.sum(F.col("wa") * F.col("wb")).alias("part"), F.sum(F.col("wa") * F.col("wa")).alias("qa"), F.sum(F.col("wb") * F.col("wb")).alias("qb"), F.max("sa").alias("sa"), F.max("sb").alias("sb")
     )
     # beyond the earlier cut one has its skipped norm and the other at most what the met terms leave of 1
     left = lambda q: F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0 + EPSILON) - F.col(q)))
     rest = F.greatest(F.col("sa") * left("qb"), F.col("sb") * left("qa"))
-    pairs = part.where(F.col("part") + rest >= t).select("task_id", "a", "b")
-    va, vb = vectors.toDF("task_id", "a", "term", "wa"), vectors.toDF("task_id", "b", "term", "wb")
-    dots = pairs.join(va, ["task_id", "a"]).join(vb, ["task_id", "b", "term"]).groupBy("task_id", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
+    pairs = part.where(F.col("part") + rest >= t).select("a", "b")
+    va = vectors.select("task_id", F.col("example_id").alias("a"), "no", F.col("w").alias("wa"))
+    vb = vectors.select(F.col("example_id").alias("b"), "no", F.col("w").alias("wb"))
+    dots = pairs.join(va, "a").join(vb, ["b", "no"]).groupBy("task_id", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
     return dots.where(F.col("cosine") >= t)
 
 
 def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(task_id, a, b, cosine) with a < b, of all pairs at or above the threshold; exact."""
-    return _similar(postings(vectors, threshold), None, vectors, threshold)
+    v = numbered(vectors, threshold)
+    return _similar(v.where("_indexed"), None, v, threshold)
 
 
 def fold_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -123,7 +122,7 @@ def _prepared(rows: DataFrame, how: dict) -> tuple[DataFrame, DataFrame]:
     """Representatives with their tools, and their vectors; counts and idf are over all rows."""
     reps = stored(fold_copies(rows)[0].select("task_id", "example_id", "pos", "tools"), "representatives")
     vectors = tfidf_vectors(rows, **how)
-    return reps, stored(vectors.join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w"), "vectors")
+    return reps, vectors.join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w")
 
 
 def _same_tools(pairs: DataFrame, reps: DataFrame, tool_threshold: float) -> DataFrame:
@@ -216,7 +215,7 @@ def _batches(open_: DataFrame, index: DataFrame, budget: float) -> DataFrame:
     """
     cuts = open_.groupBy("task_id").agg(F.percentile_approx("pos", list(_PARTS), 10_000).alias("_cuts"))
     upto = [F.count(F.when(F.col("pos") <= F.get("_cuts", k), 1)).alias(f"c{k}") for k in range(len(_PARTS))]
-    sizes = index.join(cuts, "task_id").groupBy("task_id", "term").agg(*upto)
+    sizes = index.join(cuts, "task_id").groupBy("task_id", "no").agg(*upto)
     made = [F.sum(F.col(f"c{k}") * (F.col(f"c{k}") - 1) / 2).alias(f"m{k}") for k in range(len(_PARTS))]
     made = sizes.groupBy("task_id").agg(*made, F.sum(f"c{len(_PARTS) - 1}").alias("_rows"))
     most = F.greatest(F.lit(float(budget)), F.col("_rows"))
@@ -235,7 +234,8 @@ def leader_scan(rows: DataFrame, threshold: float = 0.85, tool_threshold: float
     round is written to the shared folder.
     """
     reps, vectors = _prepared(rows, how)
-    index = stored(postings(vectors, threshold).join(reps.select("example_id", "pos"), "example_id"), "index")
+    vectors = numbered(vectors, threshold)
+    index = stored(vectors.where("_indexed").join(reps.select("example_id", "pos"), "example_id"), "index")
     open_, led = reps.select("task_id", "example_id", "pos"), []
     while True:
         live = index.join(open_.select("example_id"), "example_id", "left_semi")
