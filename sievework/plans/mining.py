@@ -431,7 +431,12 @@ def r01(spark, d):
 def _run(spark, frame, mode: str, schema: str):
     """Run a stream until it has caught up, each batch written to the shared folder; all batches' rows."""
     out, check = io.fresh_path(spark, "batches"), io.fresh_path(spark, "stream")
-    frame.writeStream.outputMode(mode).option("checkpointLocation", check).trigger(availableNow=True).foreachBatch(lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("overwrite").parquet(f"{out}/no={i}")).start().awaitTermination()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, st.STATE_PROVIDER)
+    run = frame.writeStream.outputMode(mode).option("checkpointLocation", check).trigger(availableNow=True).foreachBatch(lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("overwrite").parquet(f"{out}/no={i}")).start()
+    spark.conf.set(provider, before)  # a query keeps the settings it was started with
+    run.awaitTermination()
     return spark.read.schema(f"{schema}, batch long").parquet(out)
 
 
@@ -463,5 +468,7 @@ def r03(spark, d):
   SELECT session_id, turn, CAST(count(*) FILTER (status = 'error') OVER (PARTITION BY session_id, grp ORDER BY turn ROWS UNBOUNDED PRECEDING) AS INT) AS failures,
     count(*) OVER w >= 15 AND count(*) FILTER (action = 'generate_data' AND status = 'success' AND added > 0) OVER w >= 3 AND count(*) FILTER (action = 'train') OVER w = 0 AS looping FROM g WINDOW w AS (PARTITION BY session_id ORDER BY turn ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)"""))
 def r04(spark, d):
-    stream = _event_stream(spark, d, "fx_actions").select("session_id", F.col("turn").cast("long").alias("turn"), "action", "status", "added")
-    return _run(spark, st.guardrails(stream, least=3), "append", st.GUARDRAILS).select("session_id", "turn", "failures", "looping")
+    # sessions are as long as the log, so none is idle
+    stream = _event_stream(spark, d, "fx_actions").select("session_id", F.col("turn").cast("long").alias("turn"), "action", "status", "added", "ts")
+    rows = _run(spark, st.guardrails(stream, least=3, delay="60 days", idle_ms=60 * 86_400_000), "append", st.GUARDRAILS)
+    return rows.where("NOT closed").select("session_id", "turn", "failures", "looping")
