@@ -4,25 +4,26 @@ Words are lower-cased runs of letters and digits (any non-ASCII byte counts as a
 Unicode lower case by one function for items and documents), so case and punctuation do not hide a copy.  For an item of w words, all windows of w
 words of a document are candidates as follows:
 
-1. A window's fingerprint is a weighted SimHash over its five-word shingles; a shingle
-   found in few items weighs more than one found in many.
+1. A window's fingerprint is the SimHash of its five-word shingles: for each bit, whether
+   more than half of their hashes have it.  Sums of bits along the text give every window's
+   in the same time, however long it is.
 2. Eight blocks of eight bits index the items of each size: sorted block values, in which
    a pattern's items are found by bisection.  Two fingerprints within ``RADIUS`` = 23 bits
    differ by at most two bits in some block, so looking up the 37 patterns within two bits
    of each block finds every item within the radius.
 3. A candidate within the radius is verified: the weight of the shingles that window and
-   item share, over the item's weight, must reach ``threshold``.  An item that shares no
+   item share, over the item's weight, must reach ``threshold``; a shingle found in few items
+   weighs more than one found in many.  An item that shares no
    shingle with the document is no candidate.
 
 A window that shares no shingle with an item of its size can never pass step 3, so only
 windows around a shared shingle are fingerprinted; this loses nothing.
 
-The benchmark is a stated query set.  How many items hold a shingle is counted once over
-all of it, in Spark.  The items are then used in blocks of about ``BLOCK_CHARS`` characters, each
+The benchmark is a stated query set, used in blocks of about ``BLOCK_CHARS`` characters, each
 broadcast (some 60 MB) and given up before the next, so what driver and tasks hold is bounded
-however many items there are; no result depends on the blocks.  Of shingles in several items the
-``COMMON_SHINGLES`` most frequent ones (by whole steps of the count) have weights of their own and
-go with each block; beyond that number the rest weigh like those in one item, for all blocks alike.
+however many items there are.  A weight counts the items of the whole benchmark: one block
+counts its own, and of several each gets the counts of its own shingles from a table that
+Spark has made of all.  Fingerprints have no weights, so no result depends on the blocks.
 
 Defined results: null or empty texts have no windows; an item of fewer than five words is
 one shingle (its whole sequence); items without words are ignored; a document shorter
@@ -40,6 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import textkernels as tk
 from .common import giving_back, ship_package, written
@@ -48,8 +50,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 23
 BLOCK_CHARS = 8_000_000
-COMMON_SHINGLES = 2_000_000
-PAIRS = 2_000_000  # pairs of windows and items that a task looks up at once
+PAIRS = 2_000_000  # pairs of windows and items that a task looks up at once,
+STRETCH = 1 << 16  # and the positions whose bits it sums
 FILTER_BITS = 22
 
 
@@ -71,64 +73,69 @@ def _shingles(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield w, tk.gram_hashes(w, min(SHINGLE, len(w))) if len(w) else w
 
 
-class Weights:
-    """A shingle's weight: log(1 + items / items that hold it)."""
-
-    def __init__(self, n_items: int, keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], np.log1p(n_items / counts[order])
-        self.unseen = float(np.log1p(n_items))
-
-    def of(self, grams: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(grams.shape, self.unseen)
-        at = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
-        return np.where(self.keys[at] == grams, self.values[at], self.unseen)
-
-
-def benchmark_weights(benchmark: DataFrame, text: str = "text") -> Weights:
-    """The weights over the whole benchmark; at most ``COMMON_SHINGLES`` of them come to the driver."""
+def shingle_counts(benchmark: DataFrame, text: str = "text") -> tuple[int, DataFrame]:
+    """The items with words, and (g, n) of the shingles that several of them hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w, grams in _shingles(b.column(0)):
                 if len(w):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.append(np.unique(grams).view(np.int64), 0)), pa.array(np.append(np.ones(len(np.unique(grams)), bool), False))], ["g", "real"])
+                    keys = np.unique(grams).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.append(keys, 0)), pa.array(np.append(np.ones(len(keys), bool), False))], ["g", "real"])
 
     ship_package(benchmark.sparkSession)
     counted = benchmark.select(F.col(text).alias("t")).mapInArrow(giving_back(run), "g long, real boolean").groupBy("real", "g").agg(F.count("*").alias("n"))
     counted = written(counted.where("n > 1 OR NOT real"), "shingle-counts")
-    n_items = counted.where("NOT real").agg(F.max("n")).first()[0] or 0
-    steps = counted.where("real").groupBy("n").agg(F.count("*").alias("c")).orderBy(F.desc("n")).toLocalIterator()
-    least, held = 2, 0
-    for r in steps:  # the distinct counts, few beside the shingles
-        held += r["c"]
-        if held > COMMON_SHINGLES:
-            least = r["n"] + 1
-            break
-    common = counted.where(F.col("real") & (F.col("n") >= least)).select("g", "n").toArrow()
-    return Weights(n_items, common.column("g").to_numpy().view(np.uint64), common.column("n").to_numpy())
+    return counted.where("NOT real").agg(F.max("n")).first()[0] or 0, counted.where("real").select("g", "n")
+
+
+def _counts_of(keys: np.ndarray, counted: DataFrame) -> np.ndarray:
+    """How many items hold each of a block's shingles, by a join with the counts of all; as many rows as keys at most."""
+    own = counted.sparkSession.createDataFrame(pa.table({"g": keys.view(np.int64)}))
+    found = counted.join(F.broadcast(own), "g").toArrow()
+    out = np.ones(len(keys), np.int64)
+    out[np.searchsorted(keys, found.column("g").to_numpy().view(np.uint64))] = found.column("n").to_numpy()
+    return out
+
+
+def prints(grams: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """SimHashes of the windows of ``size`` shingles at ascending starts, by differences of running sums, eight bits at a time."""
+    out = np.zeros((len(starts), 8), np.uint8)
+    at = 0
+    while at < len(starts):
+        first = int(starts[at])
+        to = int(np.searchsorted(starts, first + STRETCH))
+        mixed = tk.mix(grams[first : int(starts[to - 1]) + size].copy()).view(np.uint8).reshape(-1, 8)
+        s = starts[at:to] - first
+        for b in range(8):
+            sums = np.zeros((len(mixed) + 1, 8), np.int32)
+            np.cumsum(np.unpackbits(mixed[:, b : b + 1], axis=1, bitorder="little"), axis=0, out=sums[1:])
+            out[at:to, b] = np.packbits(2 * (sums[s + size] - sums[s]) > size, axis=1, bitorder="little")[:, 0]
+        at = to
+    return out.view("<u8").ravel()
 
 
 class BenchmarkIndex:
     """Items by shingle and, for each size in words, by fingerprint blocks."""
 
-    def __init__(self, item_ids: list, texts: list[str], weights: Weights):
+    def __init__(self, item_ids: list, texts: list[str], n_items: int | None = None, counted: DataFrame | None = None):
         words, grams = zip(*_shingles(pa.array(texts, pa.string())), strict=True) if texts else ((), ())
         some = [k for k, w in enumerate(words) if len(w)]
-        self.weights = weights
         self.ids = [item_ids[k] for k in some]
         self.sizes = np.array([len(words[k]) for k in some], np.int64)
         grams = [grams[k] for k in some]
         distinct = [np.unique(g, return_counts=True) for g in grams]
         every = np.concatenate([d[0] for d in distinct]) if distinct else np.zeros(0, np.uint64)
-        self.keys = np.unique(every)
+        self.keys, held = np.unique(every, return_counts=True)
+        if counted is not None:
+            held = _counts_of(self.keys, counted)
+        weights = np.log1p((len(some) if n_items is None else n_items) / held)
         owner = np.repeat(np.arange(len(some)), [len(d[0]) for d in distinct]) if some else np.zeros(0, np.int64)
         order = np.argsort(every, kind="stable")
         self.owner, self.first = owner[order], np.append(np.searchsorted(every[order], self.keys), len(every))
-        self.items = [(k, c, weights.of(k)) for k, c in distinct]
+        self.items = [(k, c, weights[np.searchsorted(self.keys, k)]) for k, c in distinct]
         self.totals = np.array([float((c * w).sum()) for _, c, w in self.items])
-        self.prints = np.array([self.print_of(g[None, :])[0] for g in grams], np.uint64)
+        self.prints = np.array([prints(g, np.zeros(1, np.int64), len(g))[0] for g in grams], np.uint64)
         # for each size: its items and, for each block, the block values in order with the items that have them
         self.blocks = {}
         for size in np.unique(self.sizes).tolist():
@@ -145,13 +152,6 @@ class BenchmarkIndex:
         out[(np.concatenate(own) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
         return out
 
-    def print_of(self, windows: np.ndarray) -> np.ndarray:
-        """Weighted SimHash of each row of shingle hashes."""
-        w = self.weights.of(windows)
-        bits = np.unpackbits(tk.mix(windows.copy()).view(np.uint8).reshape(*windows.shape, 8), axis=2, bitorder="little")
-        ones = np.einsum("ij,ijk->ik", w, bits)
-        return np.packbits(2 * ones > w.sum(axis=1)[:, None], axis=1, bitorder="little").view("<u8").ravel()
-
     def near_items(self, size: int, prints: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item, distance) of all pairs of this size within the radius, by block lookup; only ``wanted`` items, if given."""
         mine, tables = self.blocks[size]
@@ -170,12 +170,18 @@ class BenchmarkIndex:
         ok = apart <= RADIUS
         return win[ok], mine[at[ok]], apart[ok]
 
-    def similarity(self, window: np.ndarray, item: int) -> float:
-        """Weight of the shared shingles (with repeats) over the item's weight."""
+    def similarities(self, grams: np.ndarray, starts: np.ndarray, size: int, item: int) -> np.ndarray:
+        """For each window of ``size`` shingles: the weight of those shared with the item (with repeats), over the item's weight."""
         keys, counts, weights = self.items[item]
-        got, n = np.unique(window, return_counts=True)
-        _, a, b = np.intersect1d(keys, got, assume_unique=True, return_indices=True)
-        return float((np.minimum(counts[a], n[b]) * weights[a]).sum() / self.totals[item])
+        first = int(starts[0])
+        part = grams[first : int(starts[-1]) + size]
+        slot = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
+        slot = np.where(keys[slot] == part, slot, len(keys))
+        out = np.empty(len(starts))
+        for k, s in enumerate((starts - first).tolist()):
+            n = np.bincount(slot[s : s + size], minlength=len(keys) + 1)[:-1]
+            out[k] = (np.minimum(counts, n) * weights).sum() / self.totals[item]
+        return out
 
     def anchors(self, words: np.ndarray, rows: np.ndarray) -> dict[tuple[int, int], tuple[list[int], set[int]]]:
         """(row, size in words) -> word positions where the row shares a shingle with items of that size, and those items."""
@@ -209,37 +215,41 @@ class BenchmarkIndex:
                 gram = min(SHINGLE, size)
                 if span < gram:
                     continue
-                p = np.array(points)[:, None] - np.arange(span - gram + 1)[None, :]
-                starts = np.unique(p[(p >= lo) & (p + span <= hi)])
+                wide = span - gram + 1
+                edge = np.zeros(hi - lo - span + 2, np.int32)  # starts whose window holds a shared shingle
+                at = np.array(points) - lo
+                np.add.at(edge, np.clip(at - wide + 1, 0, len(edge) - 1), 1)
+                np.add.at(edge, np.minimum(at + 1, len(edge) - 1), -1)
+                starts = np.flatnonzero(np.cumsum(edge)[:-1] > 0)
                 grams = tk.gram_hashes(words[lo:hi], gram)
                 wanted = np.array(sorted(items))
-                step = max(1, min(512, PAIRS // len(self.blocks[size][0])))  # bounds the unpacked bits and the pairs
-                for at in range(0, len(starts), step):
-                    s = starts[at : at + step]
-                    windows = grams[(s - lo)[:, None] + np.arange(span - gram + 1)[None, :]]
-                    for w, item, apart in zip(*(x.tolist() for x in self.near_items(size, self.print_of(windows), wanted)), strict=True):
-                        sim = self.similarity(windows[w], item)
+                step = max(1, PAIRS // (len(_NEAR) * len(self.blocks[size][0])))
+                for s in np.split(starts, np.arange(step, len(starts), step)):
+                    win, found, apart = self.near_items(size, prints(grams, s, wide), wanted)
+                    for item in np.unique(found).tolist():
+                        mine = found == item
+                        sims = self.similarities(grams, s[win[mine]], wide, item)
+                        sim, near, first = max(zip(sims.tolist(), (-apart[mine].astype(np.int64)).tolist(), (-s[win[mine]]).tolist(), strict=True))
                         if sim >= threshold:
-                            new = (sim, -apart, -(int(s[w]) - lo), span)
                             key = (row0 + row, item)
-                            if key not in best or new > best[key]:
-                                best[key] = new
+                            best[key] = max(best.get(key, (0.0,)), (sim, near, first, span))
         return [(row, item, -at, span, -apart, sim) for (row, item), (sim, apart, at, span) in sorted(best.items())]
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text: str) -> Iterator[tuple[BenchmarkIndex, bool]]:
     """The benchmark in blocks of bounded size, streamed to the driver one partition at a time; and whether more follow."""
-    weights = benchmark_weights(benchmark, text)
-    ids, texts, held = [], [], 0
-    for r in benchmark.select(F.col(id_col).alias("i"), F.col(text).alias("t")).toLocalIterator():
+    ids, texts, held, counted = [], [], 0, (None, None)
+    for r in benchmark.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text}`").alias("t")).toLocalIterator():
         if held >= BLOCK_CHARS:
-            yield BenchmarkIndex(ids, texts, weights), True
+            if counted[1] is None:
+                counted = shingle_counts(benchmark, text)
+            yield BenchmarkIndex(ids, texts, *counted), True
             ids, texts, held = [], [], 0
         ids.append(r["i"])
         texts.append(r["t"])
         held += len(r["t"] or "")
     if ids:
-        yield BenchmarkIndex(ids, texts, weights), False
+        yield BenchmarkIndex(ids, texts, *counted), False
 
 
 def _lowered(column: pa.Array) -> pa.Array:
@@ -253,7 +263,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     wanted = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(text).alias("_text"))
     kinds = wanted.schema[0].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, start_word long, n_words long, hamming long, similarity double"
-    item_type = None
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
     out = spark.createDataFrame([], schema)
     for index, more in _blocks(benchmark, item_col, item_text):
         shared = spark.sparkContext.broadcast(index)

@@ -120,7 +120,7 @@ def test_leaks_in_blocks_of_the_benchmark(spark, monkeypatch):
 
 def test_blocks_find_all_within_the_radius():
     r = random.Random(1)
-    index = d.BenchmarkIndex(list(range(30)), [" ".join(f"{k}x{i}" for i in range(20)) for k in range(30)], d.Weights(30, np.zeros(0, np.uint64), np.zeros(0)))
+    index = d.BenchmarkIndex(list(range(30)), [" ".join(f"{k}x{i}" for i in range(20)) for k in range(30)])
     prints = np.array([int(p) ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 26))) for p in index.prints for _ in range(20)], np.uint64)
     win, item, apart = index.near_items(20, prints)
     got = {(int(a), int(b)): int(c) for a, b, c in zip(win, item, apart, strict=True)}
@@ -146,11 +146,15 @@ def brute_leaks(rows, items, threshold=0.8):
     known = {k: grams(w) for k, t in items if (w := split(t))}
     df = Counter(g for c in known.values() for g in c)
     weight = lambda g: math.log1p(len(known) / df[g])
-    found = {}
+    sizes, totals = {k: len(split(t)) for k, t in items}, {k: sum(n * weight(g) for g, n in c.items()) for k, c in known.items()}
+    found, whole = {}, {}
     for i, t in rows:
         words = split(t)
+        whole[i] = grams(words) + Counter(tuple(words[j : j + m]) for m in range(1, 5) for j in range(len(words) - m + 1))
         for k, c in known.items():
-            size, total = len(split(dict(items)[k])), sum(n * weight(g) for g, n in c.items())
+            size, total = sizes[k], totals[k]
+            if sum(min(n, whole[i][g]) * weight(g) for g, n in c.items()) < threshold * total:
+                continue  # not even the whole document holds enough
             for at in range(max(1, len(words) - size + 1)):
                 w = words[at : at + size]
                 have = grams(w) if len(w) >= 5 or len(w) == size else Counter()
@@ -180,3 +184,36 @@ def test_leaks_are_those_of_brute_force_whatever_the_blocks(spark, monkeypatch,
     assert len(got) >= 0.95 * len(want) and {(0, 25), (1, 26), (4, 28)} <= got.keys()
     kept = {x["doc_id"] for x in d.drop_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert kept == {i for i, _ in rows} - {i for i, _ in got}
+
+
+@pytest.mark.parametrize("kind", ["int", "smallint", "string", "decimal(10,0)", "date"])
+def test_item_ids_of_any_type(spark, kind):
+    items = spark.range(2).selectExpr(f"cast({'date_add(date \'2020-01-01\', cast(id AS int))' if kind == 'date' else 'id'} AS {kind}) AS item_id", "concat('one passage of words that stands in a benchmark ', id) AS text")
+    got = d.find_leaks(docs(spark, [(1, "one passage of words that stands in a benchmark 1")]), items)
+    assert dict(got.dtypes)["item_id"] == kind and got.join(items, "item_id").count() == got.count() > 0
+
+
+def test_items_of_thousands_of_words_take_bounded_memory():
+    """An item of 20,000 words in a document that holds it twice and an edited third time."""
+    import tracemalloc
+
+    r = random.Random(3)
+    item = [f"w{r.randrange(4000)}" for _ in range(20_000)]
+    edited = [x if r.random() < 0.97 else "other" for x in item]
+    index = d.BenchmarkIndex(["long"], [" ".join(item)])
+    text = pa.array([" ".join([*item, *item, "between", *edited])])
+    tracemalloc.start()
+    found = index.search(text, 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    assert found[0][:3] == (0, 0, 0) and found[0][5] == 1.0 and peak < 300e6
+    assert index.search(pa.array([" ".join(["x", *edited])]), 0.8)[0][5] > 0.8
+    assert index.search(pa.array([" ".join(item[:19_000])]), 0.999) == []
+
+
+def test_prints_of_windows_are_those_of_each_window_alone(monkeypatch):
+    monkeypatch.setattr(d, "STRETCH", 7)
+    grams = np.random.default_rng(2).integers(0, 1 << 63, 60, dtype=np.uint64)
+    starts = np.array([0, 1, 5, 6, 20, 21, 50])
+    mixed = np.unpackbits(d.tk.mix(grams.copy()).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    want = [np.packbits(2 * mixed[s : s + 9].sum(0, dtype=int) > 9, bitorder="little").view("<u8")[0] for s in starts]
+    assert d.prints(grams, starts, 9).tolist() == want
