@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Score lines in their dialects: a fraction of 1.0 or of 100, a bare number after the task, "task = number".
+from .running import running
+
+#: Score lines in their dialects: a fraction of 1.0 or of 100, a bare number after the task, "task = number".
 SCORE_PATTERNS = (
     (r"(task_\d{2}\w*):\s*([0-9.]+)/1\.0", 1.0),
     (r"(task_\d{2}\w*):\s*([0-9.]+)/100", 100.0),
@@ -52,29 +54,38 @@ def resolve_task_prefix(names: DataFrame, tasks: DataFrame) -> DataFrame:
     return g.where("n = 1 OR exact").select("name", F.when(F.col("exact"), F.col("name")).otherwise(F.col("only")).alias("task_id"))
 
 
+def section_lines(log: DataFrame) -> DataFrame:
+    """(run_id, section, task_id, line_no, line): lines numbered by the ``starting task:`` before them; earlier ones are left out.
+
+    Starts are counted in blocks of a run, so one long log is spread over many tasks.
+    """
+    start = F.contains("line", F.lit(START))
+    numbered = running(log.select("run_id", "line_no", "line"), "run_id", "line_no", section=("sum", F.when(start, 1).otherwise(0))).where("section > 0")
+    names = numbered.where(start).select("run_id", "section", F.regexp_extract("line", START + r"(\S+)", 1).alias("task_id"))
+    n, t = numbered.alias("n"), names.alias("t")
+    return n.join(t, F.col("n.run_id").eqNullSafe(F.col("t.run_id")) & (F.col("n.section") == F.col("t.section"))).select("n.run_id", "n.section", "t.task_id", "n.line_no", "n.line")
+
+
 def log_sections(log: DataFrame) -> DataFrame:
-    """(run_id, section, task_id, lines): runs cut at ``starting task:``; lines before the first are left out."""
-    w = Window.partitionBy("run_id").orderBy("line_no")
-    numbered = log.withColumn("section", F.count_if(F.contains("line", F.lit(START))).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("section > 0")
-    g = numbered.groupBy("run_id", "section").agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("lines"))
-    return g.select("run_id", "section", F.regexp_extract(F.get("lines", 0), START + r"(\S+)", 1).alias("task_id"), "lines")
-
-
-def failure_patterns(sections: DataFrame, notes_chars: int = 500, error_chars: int = 200) -> DataFrame:
-    """Sections with six flags, judge notes and error lines."""
-    text = F.array_join("lines", "\n")
-    low = F.lower(F.col("_text"))
-    has = lambda *words: _any([F.contains(low, F.lit(w)) for w in words])
-    count = lambda p: F.regexp_count(low, F.lit(p))
-    notes = F.filter("lines", lambda x: F.startswith(x, F.lit("Notes:")))
-    df = sections.withColumn("_text", text)
-    return df.select(
-        "run_id", "section", "task_id",
-        (count("tool_call") > 10).alias("excessive_tool_calls"), (has("loop") | (count("read_file") > 5)).alias("looping"), has("not found", "no such file").alias("wrong_filename"),
-        (has("pk") & has("bytes")).alias("binary_as_text"), has("truncat", "cut off").alias("truncation"), has("failed to parse transcript", "malformed").alias("malformed_output"),
-        F.substring(F.regexp_replace(F.coalesce(F.get(notes, 0), F.lit("")), r"^Notes:\s*", ""), 1, notes_chars).alias("notes"),
-        F.transform(F.filter("lines", lambda x: x.rlike(r"\bERROR\b")), lambda x: F.substring(F.trim(x), 1, error_chars)).alias("errors"),
+    """(run_id, section, task_id, lines): runs cut at ``starting task:``; for long sections take ``section_lines``."""
+    g = section_lines(log).groupBy("run_id", "section", "task_id").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("_l"))
+    return g.select("run_id", "section", "task_id", F.transform("_l", lambda x: x["line"]).alias("lines"))
+
+
+def failure_patterns(lines: DataFrame, notes_chars: int = 500, error_chars: int = 200) -> DataFrame:
+    """Sections, given as ``section_lines``, with six flags, judge notes and error lines; sums and maxima over lines only."""
+    # The words and counts by which a section shows a failure.
+    low = F.lower(F.col("line"))
+    some = lambda *words: F.max(_any([F.contains(low, F.lit(w)) for w in words]))
+    count = lambda p: F.sum(F.regexp_count(low, F.lit(p)))
+    notes = F.min_by("line", F.when(F.startswith("line", F.lit("Notes:")), F.col("line_no")))
+    error = F.when(F.col("line").rlike(r"\bERROR\b"), F.struct("line_no", F.substring(F.trim("line"), 1, error_chars).alias("line")))
+    g = lines.groupBy("run_id", "section", "task_id").agg(
+        (count("tool_call") > 10).alias("excessive_tool_calls"), (some("loop") | (count("read_file") > 5)).alias("looping"), some("not found", "no such file").alias("wrong_filename"),
+        (some("pk") & some("bytes")).alias("binary_as_text"), some("truncat", "cut off").alias("truncation"), some("failed to parse transcript", "malformed").alias("malformed_output"),
+        F.substring(F.regexp_replace(F.coalesce(F.when(F.max(F.startswith("line", F.lit("Notes:"))), notes), F.lit("")), r"^Notes:\s*", ""), 1, notes_chars).alias("notes"), F.sort_array(F.collect_list(error)).alias("_e"),
     )
+    return g.select(*[c for c in g.columns if c != "_e"], F.transform("_e", lambda x: x["line"]).alias("errors"))
 
 
 def _any(tests: list[Column]) -> Column:
@@ -88,6 +99,7 @@ def categorise_failure(score: Column, notes: Column) -> Column:
     """PASS, PARTIAL, or the keyword categories of the judge's notes joined by `` | ``."""
     n = F.lower(notes)
     has = lambda *w: _any([F.contains(n, F.lit(x)) for x in w])
+    # The keywords of each category, and the bounds of a pass and of a part of one.
     found = F.array_compact(
         F.array(
             F.when(has("truncated", "only shows", "partial"), "INCOMPLETE"),

@@ -18,6 +18,7 @@ GENERATED = f"struct<user_message:string,user:string,prompt:string,turns:{MSG},c
 JUDGE = "struct<score:int,criteria_met:array<int>,issues:array<string>,reasoning:string>"
 TOOL_ROLES = ("tool", "tool_result", "function")
 _DECODER = json.JSONDecoder()
+# Code fences around a reply.
 _FENCE_OPEN = re.compile(r"^```(?:json)?\s*", re.MULTILINE)
 _FENCE_CLOSE = re.compile(r"\s*```$", re.MULTILINE)
 

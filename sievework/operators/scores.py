@@ -10,49 +10,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import stored
+
 KEY = ["task_id", "user_prefix"]
-BUCKETS = 4096
+SKETCH = 16_384  # size of a rank sketch: a rank is off by about 0.03 percent of the rows
+STEPS = 8000  # ranks at which a sketch is read; two positions that are up to seven of them apart hold the one looked for
 
 
-def hash_bucket(order: Column) -> Column:
-    """The bucket of a hexadecimal hash: its first three digits."""
-    return F.conv(F.substring(order, 1, 3), 16, 10).cast("long")
+def hash_position(order: Column) -> Column:
+    """The place of a hexadecimal hash: its first fifteen digits as a number."""
+    return F.conv(F.substring(order, 1, 15), 16, 10).cast("long")
 
 
-def mark_first(df: DataFrame, key: list[str], order: list[Column], bucket: Column, limits: DataFrame | None = None, n_first: Column | None = None) -> DataFrame:
+def mark_first(df: DataFrame, key: list[str], order: list[Column], position: Column, limits: DataFrame | None = None, n_first: Column | None = None) -> DataFrame:
     """``df`` with ``_in``: whether the row is among the first k of its ``key`` by ``order``.
 
     k is ``n_first``, over ``_n`` (the key's rows) and the columns of ``limits`` (one row per
-    key).  ``bucket`` has to rise with the order.  Counts by bucket tell in which bucket a key's
-    k-th row lies; rows of other buckets are settled by comparison where they are, and only
-    the rows of that one bucket are ranked, so a key with a third of all rows is no hot task.
+    key).  ``position`` is a whole number that rises with the order.  Sketches, summed by key before they are moved,
+    give two positions around the k-th row; the rows before them are counted and only those
+    between them, under a thousandth of the key's, are ranked, which gives the k-th row itself.
+    Every row is then compared with it where it is, so a key with a third of all rows is no
+    hot task.  Where a sketch has missed the k-th row, all rows of the key are ranked.
+    Rows that are equal in all of ``order`` are taken together.
     """
-    rows = df.withColumn("_b", bucket)
-    per = rows.groupBy(*key, "_b").agg(F.count("*").alias("_c"))
-    whole = Window.partitionBy(*key)
-    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    sums = per.withColumns({"_n": F.sum("_c").over(whole), "_upto": F.sum("_c").over(upto)})
+    least, most = F.lit(-(2**63)).cast("long"), F.lit(2**63 - 1).cast("long")
+    own = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    narrow = stored(df.select(*key, F.coalesce(position.cast("long"), least).alias("_p"), own.alias("_o")), "order")
+    per = narrow.groupBy(*key).agg(F.count("*").alias("_n"), F.kll_sketch_agg_bigint("_p", F.lit(SKETCH)).alias("_s"))
     if limits is not None:
-        sums = sums.join(limits, key, "left")
-    sums = sums.withColumn("_k", n_first.cast("long"))
-    ends = (F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k"))
-    # a key without an edge takes all of its rows (k beyond its size) or none
-    plan = sums.groupBy(*key).agg(F.max(F.col("_k") >= F.col("_n")).alias("_all"), F.max(F.when(ends, F.col("_b"))).alias("_edge"), F.max(F.when(ends, F.col("_k") - F.col("_upto") + F.col("_c"))).alias("_left"))
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")) for k in key]
-    met = rows.alias("r").join(plan.alias("p"), same, "left").select("r.*", "p._edge", "p._left", "p._all")
-    at_edge = (F.col("_b") == F.col("_edge")) & ~F.col("_all")
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    ranked = met.where(at_edge).withColumn("_in", rank <= F.col("_left"))
-    settled = met.where(~F.coalesce(at_edge, F.lit(False))).withColumn("_in", F.col("_all") | F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False)))
-    return settled.unionByName(ranked).drop("_b", "_edge", "_left", "_all")
-
-
-def _position_bucket(df: DataFrame, pos: str = "pos") -> Column:
-    """A bucket that rises with the file position, from the least and greatest one."""
-    low, high = df.agg(F.min(pos), F.max(pos)).first()
-    if low is None:
-        return F.lit(0).cast("long")
-    return F.floor((F.col(pos) - low) / F.lit(max(1.0, (high - low + 1) / BUCKETS))).cast("long")
+        per = per.join(limits, key, "left")
+    k, n = n_first.cast("long"), F.col("_n")
+    ranks = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
+    step = F.least(F.lit(STEPS), F.greatest(F.lit(0), F.floor(k / n * STEPS))).cast("int")
+    read = per.select(*key, k.alias("_k"), F.coalesce(k >= n, F.lit(False)).alias("_all"), step.alias("_i"), F.kll_sketch_get_quantile_bigint("_s", ranks).alias("_q"))
+    low, high = F.get("_q", F.greatest(F.lit(0), F.col("_i") - 3)), F.get("_q", F.least(F.lit(STEPS), F.col("_i") + 4))
+    bounds = stored(read.select(*key, "_k", "_all", low.alias("_low"), high.alias("_high")), "bounds")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key]
+    open_ = bounds.where((F.col("_k") > 0) & ~F.col("_all"))
+    beside = lambda plan, *columns: narrow.alias("r").join(plan.alias("p"), same).select("r.*", *columns)
+    counted = beside(open_, "_low", "_high", "_k").groupBy(*key).agg(F.count_if(F.col("_p") < F.col("_low")).alias("_c"), F.count_if(F.col("_p") <= F.col("_high")).alias("_d"), *[F.first(c).alias(c) for c in ("_k", "_low", "_high")])
+    hit = (F.col("_c") < F.col("_k")) & (F.col("_d") >= F.col("_k"))
+    edge = counted.select(*key, F.when(hit, F.col("_low")).otherwise(least).alias("_low"), F.when(hit, F.col("_high")).otherwise(most).alias("_high"), F.when(hit, F.col("_k") - F.col("_c")).otherwise(F.col("_k")).alias("_left"))
+    near = beside(edge, "_low", "_high", "_left").where(F.col("_p").between(F.col("_low"), F.col("_high")))
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy("_o"))
+    cut = near.withColumn("_r", rank).where(F.col("_r") == F.col("_left")).select(*key, F.col("_o").alias("_cut"))
+    plan = bounds.alias("r").join(cut.alias("p"), same, "left").select(*[f"r.{c}" for c in key], "_all", "_cut")
+    plan = stored(plan, "cuts")
+    met = df.withColumn("_o", own).alias("r").join(plan.alias("p"), same, "left")
+    inside = F.coalesce(F.col("p._all") | (F.col("r._o") <= F.col("p._cut")), F.lit(False))
+    return met.select("r.*", inside.alias("_in")).drop("_o")
 
 
 def with_scores(examples: DataFrame, scores: DataFrame, default: float | None = 3.0) -> DataFrame:
@@ -93,7 +99,7 @@ def keep_with_floor(scored: DataFrame, least: float, floor: Column | int, limits
     >= least, or rank <= floor.  ``floor`` may use ``_n`` (the task's rows) and columns of ``limits``.
     """
     limit = F.lit(floor) if isinstance(floor, int) else floor
-    marked = mark_first(scored, ["task_id"], [F.col("pos")], _position_bucket(scored), limits, limit)
+    marked = mark_first(scored, ["task_id"], [F.col("pos"), F.col("example_id")], F.col("pos"), limits, limit)
     return marked.where(~F.col("scored") | (F.col("score") >= least) | F.col("_in")).drop("_in")
 
 
@@ -144,7 +150,7 @@ def trim_first_n(examples: DataFrame, task: str, n: int) -> DataFrame:
     """The first ``n`` rows of one task in each split file; other tasks untouched."""
     mine = F.coalesce(F.col("task_id") == task, F.lit(False))
     own = examples.where(mine)
-    first = mark_first(own, ["split"], [F.col("pos")], _position_bucket(own), None, F.lit(n)).where("_in").drop("_in")
+    first = mark_first(own, ["split"], [F.col("pos"), F.col("example_id")], F.col("pos"), None, F.lit(n)).where("_in").drop("_in")
     return examples.where(~mine).unionByName(first)
 
 
@@ -155,7 +161,7 @@ def shuffle_order(id_col: str, seed: str) -> Column:
 
 def _split(examples: DataFrame, n_val: Column, seed: str, limits: DataFrame | None = None) -> DataFrame:
     h = shuffle_order("example_id", seed)
-    marked = mark_first(examples, ["task_id"], [h, F.col("example_id")], hash_bucket(h), limits, n_val)
+    marked = mark_first(examples, ["task_id"], [h, F.col("example_id")], hash_position(h), limits, n_val)
     return marked.withColumn("split", F.when(F.col("_in"), F.lit("val")).otherwise(F.lit("train"))).drop("_in")
 
 

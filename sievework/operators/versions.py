@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running, sliding
+
 
 def count_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """(task_id, old_n, new_n, delta) of two count tables, tasks of either."""
@@ -121,8 +123,7 @@ def passing_failing(bench: DataFrame, least: float = 0.5) -> DataFrame:
 
 def budget_spend(actions: DataFrame, budget: float) -> DataFrame:
     """Running spend and what remains, by session and turn."""
-    w = Window.partitionBy("session_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return actions.withColumn("spent", F.sum("cost").over(w)).withColumn("remaining", F.lit(budget) - F.col("spent"))
+    return running(actions, "session_id", "turn", spent=("sum", F.col("cost"))).withColumn("remaining", F.lit(budget) - F.col("spent"))
 
 
 def token_cost(tokens_in, tokens_out, price_in: float = 3.0, price_out: float = 15.0):
@@ -131,24 +132,25 @@ def token_cost(tokens_in, tokens_out, price_in: float = 3.0, price_out: float =
 
 
 def last_k_events(actions: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("session_id").orderBy(F.desc("turn")))
-    return actions.withColumn("back", rank).where(F.col("back") <= k)
+    """The last ``k`` actions of each session, counted back from 1; found from counts, without ordering a session."""
+    per = actions.groupBy("session_id").agg(F.count("*").alias("_n"))
+    met = running(actions, "session_id", "turn", _i=("sum", F.lit(1))).alias("r").join(per.alias("p"), F.col("r.session_id").eqNullSafe(F.col("p.session_id")))
+    return met.select(*[f"r.{c}" for c in actions.columns], (F.col("p._n") - F.col("r._i") + 1).cast("int").alias("back")).where(F.col("back") <= k)
 
 
 def loop_detection(actions: DataFrame, window: int = 15, least: int = 8) -> DataFrame:
     """Turns at which the last ``window`` actions hold ``least`` successful, non-empty generations and no training."""
-    w = Window.partitionBy("session_id").orderBy("turn").rowsBetween(-(window - 1), 0)
     gen = (F.col("action") == "generate_data") & (F.col("status") == "success") & (F.col("added") > 0)
-    df = actions.withColumns({"n": F.count("*").over(w), "gens": F.count_if(gen).over(w), "trains": F.count_if(F.col("action") == "train").over(w)})
+    numbered = running(actions, "session_id", "turn", _i=("sum", F.lit(1)))
+    df = sliding(numbered, "session_id", "_i", window, n=F.count("*"), gens=F.count_if(gen), trains=F.count_if(F.col("action") == "train")).drop("_i")
     return df.withColumn("looping", (F.col("n") >= window) & (F.col("gens") >= least) & (F.col("trains") == 0))
 
 
 def consecutive_failures(actions: DataFrame) -> DataFrame:
     """Errors since the last success at each turn; blocked actions neither count nor reset."""
-    w = Window.partitionBy("session_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    group = F.count_if(F.col("status") == "success").over(w)
-    run = Window.partitionBy("session_id", "_g").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return actions.withColumn("_g", group).withColumn("failures", F.count_if(F.col("status") == "error").over(run)).drop("_g")
+    errors = running(actions, "session_id", "turn", _errors=("sum", F.when(F.col("status") == "error", 1).otherwise(0)))
+    at = running(errors, "session_id", "turn", _then=("max", F.when(F.col("status") == "success", F.col("_errors"))))
+    return at.withColumn("failures", F.col("_errors") - F.coalesce("_then", F.lit(0))).drop("_errors", "_then")
 
 
 def regression_check(averages: DataFrame, threshold_pct: float = 15.0) -> DataFrame:

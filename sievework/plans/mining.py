@@ -80,7 +80,7 @@ def p31(spark, d):
   contains(t, 'not found') OR contains(t, 'no such file') AS wrong_filename, contains(t, 'pk') AND contains(t, 'bytes') AS binary_as_text, contains(t, 'truncat') OR contains(t, 'cut off') AS truncation, contains(t, 'failed to parse transcript') OR contains(t, 'malformed') AS malformed_output,
   substr(regexp_extract(txt, 'Notes:\s*([^\n]*)', 1), 1, 500) AS notes FROM lo"""))
 def p32(spark, d):
-    return lg.failure_patterns(lg.log_sections(_log(spark, d))).drop("errors")
+    return lg.failure_patterns(lg.section_lines(_log(spark, d))).drop("errors")
 
 
 _CAT = _SEC + _SCORED + r""", nc AS (SELECT sx.run_id, sx.task_id, sl.score, lower(regexp_extract(txt, 'Notes:\s*([^\n]*)', 1)) AS n FROM sx JOIN sl ON sx.run_id = sl.run_id AND sx.task_id = sl.task_id),
@@ -91,7 +91,7 @@ _CAT = _SEC + _SCORED + r""", nc AS (SELECT sx.run_id, sx.task_id, sl.score, low
 
 def _categorised(spark, d):
     log = _log(spark, d)
-    sections = lg.failure_patterns(lg.log_sections(log)).select("run_id", "task_id", "notes")
+    sections = lg.failure_patterns(lg.section_lines(log)).select("run_id", "task_id", "notes")
     scored = sections.join(lg.scores_of_lines(log, rd.task_table(spark)), ["run_id", "task_id"])
     return scored.select("run_id", "task_id", "score", lg.categorise_failure(F.col("score"), F.col("notes")).alias("category"))
 

@@ -300,6 +300,47 @@ def test_mark_first_is_a_rank(spark, limit):
     assert got == want
 
 
+def test_first_rows_of_a_task_whose_positions_have_gaps(spark, monkeypatch):
+    """Positions in partitions 2**33 apart, as monotonic ids have: few rows are ranked for one task with most rows."""
+    df = spark.range(0, 40_000, 1, 8).select(F.monotonically_increasing_id().alias("pos"), F.col("id").alias("example_id"), F.when(F.col("id") % 10 == 0, "b").otherwise("hot").alias("task_id"))
+    tables = {}
+    monkeypatch.setattr(sc, "stored", lambda x, label: tables.setdefault(label, io.stored(x, label)))
+    got = sc.mark_first(df, ["task_id"], [F.col("pos"), F.col("example_id")], F.col("pos"), None, F.lit(12_345))
+    assert {r["task_id"]: r["count"] for r in got.where("_in").groupBy("task_id").count().collect()} == {"hot": 12_345, "b": 4000}
+    want = df.where("task_id = 'hot'").orderBy("pos").limit(12_345).agg(F.max("pos")).first()[0]
+    assert got.where("_in AND task_id = 'hot'").agg(F.max("pos")).first()[0] == want
+    near = tables["order"].join(tables["bounds"].where("NOT _all"), "task_id").where("_p BETWEEN _low AND _high").count()
+    assert 0 < near <= 36  # of 36,000 rows, a thousandth
+
+
+@pytest.mark.parametrize("width", [1, 7, 10_000])
+def test_running_values_are_those_of_one_window(spark, width):
+    from sievework.operators import running as ru
+
+    r = random.Random(width)
+    rows = [(r.choice([1, 1, 1, 2, None]), i * r.choice([1, 1, 50]) + 1000 * i, r.randint(-5, 9), r.choice([None, 1, 5, 9])) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, t long, x long, y long")
+    w = sc.Window.partitionBy("k").orderBy("t").rowsBetween(sc.Window.unboundedPreceding, 0)
+    want = df.withColumns({"s": F.sum("x").over(w), "m": F.max("y").over(w)}).collect()
+    got = ru.running(df, "k", "t", width * 500, s=("sum", F.col("x")), m=("max", F.col("y"))).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    numbered = ru.running(df, "k", "t", 5, i=("sum", F.lit(1)))
+    three = sc.Window.partitionBy("k").orderBy("t").rowsBetween(-2, 0)
+    got = ru.sliding(numbered, "k", "i", 3, max(width, 3), n=F.count("*"), s=F.sum("x")).drop("i").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, df.withColumns({"n": F.count("*").over(three), "s": F.sum("x").over(three)}).collect()))
+
+
+def test_sections_of_one_long_log(spark):
+    """A million lines of one run: every task numbers a part of them."""
+    n = 1_000_000
+    line = F.when(F.col("id") % 1000 == 5, F.concat(F.lit("starting task: task_"), (F.col("id") % 23).cast("string"))).when(F.col("id") % 1000 == 9, "Notes: fine").otherwise("tool_call")
+    log = spark.range(n).select(F.lit("r").alias("run_id"), F.col("id").alias("line_no"), line.alias("line"))
+    found = lg.failure_patterns(lg.section_lines(log))
+    row = found.agg(F.count("*"), F.max("section"), F.count_if("excessive_tool_calls"), F.count_if(F.col("notes") == "fine")).first()
+    assert tuple(row) == (1000, 1000, 1000, 1000)
+    assert lg.section_lines(log).count() == n - 5
+
+
 def test_long_posting_lists_meet_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(dd, "POSTINGS", 3)
     test_prefix_filter_loses_no_pair(spark, 5)
