@@ -20,9 +20,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import giving_back, ship_package
 
 DATE = "2024-01-01T00:00:00Z"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -156,21 +156,117 @@ def derive(source: DataFrame) -> DataFrame:
     return out.select("id", "r.record_type", "r.record_id", "r.refers_to", "uri", "r.block_digest", "source_digest", "r.headers", "r.block")
 
 
+_MAGIC = b"\x1f\x8b\x08"
+_CHUNK, _LINE = 1 << 20, 1 << 16
+LONGEST = 256 << 20  # bytes of a record that a task holds
 RESPONSE = "id string, uri string, date string, http_headers string, body string, payload_digest string, block_digest string, record_id string"
 
 
-def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of an uncompressed WARC stream; ends at the first line that is no record."""
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
+class _Damaged(Exception):
+    """A gzip member that cannot be read on."""
+
+
+class _Bytes:
+    """The plain bytes of a WARC file, member by member where it is packed; what lies between members is passed over."""
+
+    def __init__(self, raw, packed: bool):
+        self.raw, self.packed, self.member = raw, packed, None
+        self.held, self.ahead = bytearray(), b""
+
+    def _more(self) -> bool:
+        """Hold more bytes; false at the end of the file."""
+        if not self.packed:
+            chunk = self.raw.read(_CHUNK)
+            self.held += chunk
+            return bool(chunk)
+        while True:
+            if not self.ahead:
+                self.ahead = self.raw.read(_CHUNK)
+                if not self.ahead:
+                    if self.member is not None:
+                        self.member = None
+                        raise EOFError
+                    return False
+            if self.member is None:
+                at = self.ahead.find(_MAGIC)
+                if at < 0:  # the first bytes of a member may be the last of this chunk
+                    chunk = self.raw.read(_CHUNK)
+                    self.ahead = self.ahead[-2:] + chunk if chunk else b""
+                    continue
+                self.ahead, self.member = self.ahead[at:], zlib.decompressobj(31)
+            try:
+                out = self.member.decompress(self.ahead, _CHUNK)
+            except zlib.error as e:
+                self.member, self.ahead = None, self.ahead[1:]
+                raise _Damaged from e
+            if self.member.eof:
+                self.ahead, self.member = self.member.unused_data, None
+            else:
+                self.ahead = self.member.unconsumed_tail
+            if out:
+                self.held += out
+                return True
+
+    def line(self) -> bytes:
+        """The next line, or as much of it as a header line may have."""
+        at = 0
+        while (end := self.held.find(b"\n", at)) < 0 and len(self.held) < _LINE:
+            at = len(self.held)
+            if not self._more():
+                break
+        return self.take(end + 1 if end >= 0 else min(len(self.held), _LINE))
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n and self._more():
+            pass
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
+
+    def skip(self, n: int) -> None:
+        while n > 0 and (self.held or self._more()):
+            k = min(n, len(self.held))
+            del self.held[:k]
+            n -= k
+
+
+def _records(stream: _Bytes, longest: int) -> Iterator[tuple[dict[str, str], bytes] | str]:
+    """(headers, block) of each record, or the reason why one is skipped; then the next that begins like a record is looked for."""
+    lost = False
+    while True:
+        try:
+            line = stream.line()
+            if not line:
+                return
+            if not line.startswith(b"WARC/"):
+                if line.strip() and not lost:
+                    lost = True
+                    yield "bytes that are no record"
+                continue
+            lost, head, lines = False, {}, 0
+            while (line := stream.line()).strip() and lines < 1000:
+                name, _, value = line.decode("utf-8", "replace").partition(":")
+                head[name.strip().lower()] = value.strip()
+                lines += 1
+            length = head.get("content-length", "0")
+            if not re.fullmatch(r"[0-9]{1,18}", length):
+                lost = True
+                yield "a length that is no number"
+            elif int(length) > longest:
+                stream.skip(int(length))
+                yield "a record over the bound"
+            else:
+                block = stream.take(int(length))
+                if len(block) < int(length):
+                    yield "a record that is cut off"
+                    return
+                yield head, block
+        except _Damaged:
+            stream.held.clear()
+            yield "a damaged member"
+        except EOFError:
+            yield "a record that is cut off"
             return
-        head: dict[str, str] = {}
-        while (line := stream.readline()).strip():
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            head[name.strip().lower()] = value.strip()
-        yield head, stream.read(int(head.get("content-length", 0)))
 
 
 def _sha1(raw: bytes) -> str:
@@ -192,39 +288,47 @@ def _response(head: dict[str, str], block: bytes) -> tuple:
     )
 
 
-def read_responses(spark: SparkSession, path: str, glob: str = "*.warc*", batch_bytes: int = 8 << 20) -> DataFrame:
-    """The response records of WARC files (plain or gzip), in the form that ``derive`` takes; ``id`` is the record's own.
-
-    Each file is streamed by one task, a record at a time; a crawl has many files of bounded
-    size.  Other record types are skipped; a truncated last record ends its file.
-    """
+def _read(spark: SparkSession, path: str, glob: str, longest: int, schema: str, batch_bytes: int, take) -> DataFrame:
+    """Rows that ``take`` makes of the records of files, each file streamed by one task."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("path")
-    names = [f.split()[0] for f in RESPONSE.split(", ")]
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for name in b.column(0).to_pylist():
-                store, file = fs.FileSystem.from_uri(name)
-                with store.open_input_file(file) as raw:
-                    packed = raw.read(2) == b"\x1f\x8b"
-                    raw.seek(0)
-                    held, size = [], 0
-                    with gzip.open(raw) if packed else io.BufferedReader(raw) as stream:
-                        try:
-                            for head, block in _records(stream):
-                                if head.get("warc-type") == "response":
-                                    held.append(_response(head, block))
-                                    size += len(block)
-                                if size >= batch_bytes:
-                                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names)
-                                    held, size = [], 0
-                        except EOFError:
-                            pass
-                    if held:
+        for name in (x for b in batches for x in b.column(0).to_pylist()):
+            store, file = fs.FileSystem.from_uri(name)
+            with store.open_input_file(file) as raw:
+                packed = raw.read(2) == _MAGIC[:2]
+                raw.seek(0)
+                held, size = [], 0
+                for record in _records(_Bytes(raw, packed), longest):
+                    if row := take(name, record):
+                        held.append(row)
+                        size += len(record[1])
+                    if size >= batch_bytes:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names)
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names)
+
+    return files.repartition("path").mapInArrow(giving_back(run), schema)
+
+
+def read_responses(spark: SparkSession, path: str, glob: str = "*.warc*", batch_bytes: int = 8 << 20, longest: int = LONGEST) -> DataFrame:
+    """The response records of WARC files (plain or gzip), in the form that ``derive`` takes; ``id`` is the record's own.
+
+    Each file is streamed by one task, a record at a time; a crawl has many files of bounded
+    size.  Other record types are left out.  What cannot be read is skipped up to the next record or
+    gzip member and costs no other record: lengths that are no number, damaged members, bytes
+    between members, cut-off ends, records of over ``longest`` bytes.  ``read_skipped`` lists them.
+    """
+    return _read(spark, path, glob, longest, RESPONSE, batch_bytes, lambda _, r: _response(*r) if not isinstance(r, str) and r[0].get("warc-type") == "response" else None)
+
 
-    return files.repartition("path").mapInArrow(run, RESPONSE)
+def read_skipped(spark: SparkSession, path: str, glob: str = "*.warc*", longest: int = LONGEST) -> DataFrame:
+    """(file, reason, n): what ``read_responses`` skips."""
+    rows = _read(spark, path, glob, longest, "file string, reason string", 1 << 20, lambda name, r: (name, r) if isinstance(r, str) else None)
+    return rows.groupBy("file", "reason").agg(F.count("*").alias("n"))
 
 
 def response_records(source: DataFrame) -> DataFrame:

@@ -236,3 +236,39 @@ def test_repeated_rows_of_one_label_count_once(spark):
     rows = spark.createDataFrame([(1, "b")] * 50 + [(1, "a"), (1, None)], "doc_id long, text string")
     sample, _ = li.labelled_sample(rows, labels, {"quality": F.col("quality")}, 100)
     assert [(r["id"], r["text"]) for r in sample.collect()] == [("1", "")]
+
+
+def test_bad_warc_files_cost_no_other_record(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    record = lambda k, length=None: b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: " + k + b"\r\nContent-Length: " + (str(len(http + k)).encode() if length is None else length) + b"\r\n\r\n" + http + k + b"\r\n\r\n"
+    noise = lambda n: bytes(np.random.default_rng(n).integers(32, 127, n, dtype=np.uint8))
+    packed = gzip.compress(record(b"damaged") + noise(500))
+    files = {
+        "word.warc": record(b"a1") + record(b"bad", b"abc") + record(b"a2"),
+        "negative.warc": record(b"b1") + record(b"bad", b"-5") + record(b"b2"),
+        "member.warc.gz": gzip.compress(record(b"c1")) + packed[:60] + b"\xff" * 40 + packed[100:] + gzip.compress(record(b"c2")),
+        "trailing.warc.gz": gzip.compress(record(b"d1")) + b"\0" * 700 + b"rubbish" + gzip.compress(record(b"d2")) + b"more rubbish",
+        "cut.warc.gz": gzip.compress(record(b"e1")) + gzip.compress(record(b"cut"))[:-20],
+        "long.warc": record(b"f1") + record(b"x" * 5000) + record(b"f2"),
+        "rubbish.warc": noise(200_000) + b"\n" + record(b"g1"),
+        "empty.warc": b"",
+        "good.warc": record(b"h1"),
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    got = w.read_responses(spark, f"file://{tmp_path}", longest=3000)
+    want = ["a1", "a2", "b1", "b2", "c1", "c2", "d1", "d2", "e1", "f1", "f2", "g1", "h1"]
+    assert sorted(r["id"] for r in got.collect()) == want
+    assert w.derive(got).count() == 2 * len(want)
+    skipped = {(r["file"].rsplit("/", 1)[1], r["reason"]) for r in w.read_skipped(spark, f"file://{tmp_path}", longest=3000).collect()}
+    assert {f for f, _ in skipped} == {"word.warc", "negative.warc", "member.warc.gz", "cut.warc.gz", "long.warc", "rubbish.warc"}
+
+
+def test_responses_of_pages_go_through_files(spark):
+    """The pages of the tables written as WARC files and read back give the derivatives of the query."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    path = work_dir(spark, "pages-warc")
+    w.write_warc(w.response_records(w.responses(pages)), path).count()
+    columns = ["record_type", "record_id", "refers_to", "uri", "block_digest", "source_digest", "headers", "block"]
+    got = sorted(tuple(r) for r in w.derive(w.read_responses(spark, path)).select(columns).collect())
+    assert got == sorted(tuple(r) for r in w.op7_warc_derivatives(spark, "/root/testdata/sf0.001").select(columns).collect())
