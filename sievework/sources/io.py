@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.running import running
+
 EXAMPLE = "task_id string, source string, messages array<struct<role:string,content:string>>"
 SCORE = "struct<score:int,criteria_met:array<int>,issues:array<string>,reasoning:string,error:string,task_id:string,source:string>"
 STATE = "struct<model_history:array<struct<version:int,ollama_name:string,avg_score:double,scores:map<string,double>,timestamp:string>>>"
@@ -67,10 +69,43 @@ def scan_with_split(spark: SparkSession, train: str, val: str) -> DataFrame:
     return scan_tolerant(spark, train).withColumn("split", F.lit("train")).unionByName(scan_tolerant(spark, val).withColumn("split", F.lit("val")))
 
 
+def _numbered(raw: DataFrame, *columns) -> DataFrame:
+    """Rows of a text scan with their number in their file: the place in the split plus the rows of earlier splits."""
+    meta = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    rows = stored(raw.select(*columns, *meta, F.monotonically_increasing_id().alias("id")), "numbered")  # ids are fixed from here on
+    blocks = rows.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    base = blocks.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).select("file", "block", "base")
+    return rows.join(base, ["file", "block"]).withColumn("no", F.col("id") + F.col("base")).drop("id", "base", "block")
+
+
+def scan_map(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Files of one JSON object each as (file, key, value), an object of any size read in splits.
+
+    The text is cut at commas.  Whether a piece begins inside a string, and how deep, follows
+    from the quotes and brackets before it, counted in blocks of a file; the pieces between two commas of
+    the outer object are one entry, which is parsed by itself (``kind`` is the type of its value).
+    A key that stands twice gives two rows.
+    """
+    pieces = _numbered(spark.read.option("lineSep", ",").text(path), F.col("value").alias("piece"))
+    bare = pieces.withColumn("_e", F.regexp_replace("piece", r"(?s)\\.", ""))
+    quotes = F.length("_e") - F.length(F.replace("_e", F.lit('"')))
+    quoted = running(bare, "file", "no", _q=("sum", quotes))
+    inside = (F.col("_q") - quotes) % 2 == 1
+    outer = F.regexp_replace(F.when(inside, F.regexp_replace("_e", r'^[^"]*("|$)', "")).otherwise(F.col("_e")), r'"[^"]*("|$)', "")
+    marked = quoted.select("file", "no", "piece", inside.alias("_in"), (F.regexp_count(outer, F.lit(r"[{\[]")) - F.regexp_count(outer, F.lit(r"[}\]]"))).alias("_d"))
+    deep = running(marked, "file", "no", depth=("sum", F.col("_d"))).withColumn("_before", F.col("depth") - F.col("_d"))
+    starts = running(deep, "file", "no", entry=("sum", F.when(~F.col("_in") & (F.col("_before") <= 1), 1).otherwise(0)))
+    whole = starts.groupBy("file", "entry").agg(F.sort_array(F.collect_list(F.struct("no", "piece"))).alias("_p"), F.min("_before").alias("_first"), F.min("depth").alias("_last"))
+    text = F.array_join(F.transform("_p", lambda x: x["piece"]), ",")
+    text = F.when(F.col("_first") == 0, F.regexp_replace(text, r"^[^{]*\{", "")).otherwise(text)
+    text = F.when(F.col("_last") == 0, F.regexp_replace(text, r"\}\s*$", "")).otherwise(text)
+    return whole.select("file", F.explode(F.from_json(F.concat(F.lit("{"), text, F.lit("}")), f"map<string,{kind}>")).alias("key", "value"))
+
+
 def scan_scores(spark: SparkSession, path: str) -> DataFrame:
     """A map file ``"task|prefix" -> score`` (either separator) as rows (task_id, user_prefix, score, issues, error)."""
-    text = spark.read.text(path, wholetext=True)
-    rows = text.select(F.explode(F.from_json("value", f"map<string,{SCORE}>")).alias("key", "s"))
+    rows = scan_map(spark, path, SCORE).select("key", F.col("value").alias("s"))
     prefix = F.regexp_replace("key", r"(?s)^[^|:]*(?:\||::)", "")
     return rows.select(F.coalesce("s.task_id", F.regexp_extract("key", r"^([^|:]*)", 1)).alias("task_id"), prefix.alias("user_prefix"), "s.score", "s.issues", "s.error")
 
@@ -117,11 +152,9 @@ def scan_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_run_scores(spark: SparkSession, path: str) -> DataFrame:
     """Score files as (model, run, task_id, score); named ``<model>_run<k>.scores.json`` or in folders ``model=``/``run=``."""
-    text = spark.read.text(path, wholetext=True)
-    name = F.col("_metadata.file_path")
-    of = lambda p: F.regexp_extract(name, p, 1)
+    of = lambda p: F.regexp_extract("file", p, 1)
     model = F.coalesce(F.nullif(of(r"model=([^/]+)/"), F.lit("")), of(r"([^/]+)_run\d+\.scores\.json$"))
-    return text.select(model.alias("model"), of(r"(?:_run|/run=)(\d+)(?:\.scores\.json$|/)").cast("int").alias("run"), F.explode(F.from_json("value", "map<string,double>")).alias("task_id", "score"))
+    return scan_map(spark, path, "double").select(model.alias("model"), of(r"(?:_run|/run=)(\d+)(?:\.scores\.json$|/)").cast("int").alias("run"), F.col("key").alias("task_id"), F.col("value").alias("score"))
 
 
 def sink_overwrite(examples: DataFrame, root: str, version: int) -> str:

@@ -341,6 +341,28 @@ def test_sections_of_one_long_log(spark):
     assert lg.section_lines(log).count() == n - 5
 
 
+def test_a_map_in_one_file_is_read_by_several_tasks(spark, tmp_path):
+    """200,000 scores with keys and texts that hold every sign the reader cuts or counts by."""
+    import json
+
+    odd = ['a, "b" {c} [d]', "\\\\", 'end\\\\"', "x,y,,", "}{", '"', "é,漢", "line\nbreak, and tab\t"]
+    scores = {f"task_{i % 23:02d}|{odd[i % 8]} {i}": {"score": i % 6, "issues": [odd[(i + k) % 8] for k in range(i % 3)], "error": odd[i % 5] if i % 7 == 0 else None} for i in range(200_000)}
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "scores.json").write_text(json.dumps(scores, indent=2))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 20)
+    try:
+        got = io.scan_scores(spark, f"file://{tmp_path}/s")
+        assert spark.read.option("lineSep", ",").text(f"file://{tmp_path}/s").rdd.getNumPartitions() >= 8
+        rows = {f"{r['task_id']}|{r['user_prefix']}": (r["score"], r["issues"], r["error"]) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows == {k: (v["score"], v["issues"], v["error"]) for k, v in scores.items()}
+    for n, text in enumerate(["{}", " {\n}\n", '{"m": 0.5}', '{"a":1.0,"b":0.25}\n']):
+        (tmp_path / f"m_run{n}.scores.json").write_text(text)
+    got = io.scan_run_scores(spark, f"file://{tmp_path}/m_run*.scores.json").collect()
+    assert sorted(tuple(r) for r in got) == [("m", 2, "m", 0.5), ("m", 3, "a", 1.0), ("m", 3, "b", 0.25)]
+
+
 def test_long_posting_lists_meet_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(dd, "POSTINGS", 3)
     test_prefix_filter_loses_no_pair(spark, 5)
