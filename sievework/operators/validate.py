@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .. import refdata as rd
 from ..functions import text as tx
+from ..sources.io import stored
+from . import scores
 from .features import CALL, call_names, tool_calls
 
 BAD = ("critical", "high")
@@ -199,6 +201,13 @@ def issue_breakdown(found: DataFrame) -> DataFrame:
     return found.groupBy("check").agg(F.count("*").alias("n"), F.count_distinct("example_id").alias("examples"))
 
 
+def clean_and_resplit(examples: DataFrame, found: DataFrame, share: float = 0.1, least: int = 2, seed: str = "s") -> tuple[DataFrame, DataFrame]:
+    """The examples without any issue, split anew into train and val by task, and the breakdown of the issues; these are stored once for both."""
+    found = stored(found, "issues")
+    clean = examples.join(found.select("example_id").distinct(), "example_id", "left_anti")
+    return scores.stratified_split(clean, share, least, seed), issue_breakdown(found)
+
+
 def structural_summary(examples: DataFrame, found: DataFrame) -> DataFrame:
     """One row: total, clean (no issue at all) and critical (any critical issue)."""
     per = found.groupBy("example_id").agg(F.max(F.col("severity") == "critical").alias("critical"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import refdata as rd
 from ..functions import text as tx
 from ..operators import features as ft
+from ..operators import registry
 from ..operators import validate as va
 from ..sources.io import stored
 from .fixtures import agent_examples, agent_table, examples, fx, nested, sql
@@ -306,6 +307,42 @@ def v28(spark, d):
     return va.issue_breakdown(va.issues(agent_table(spark, d)))
 
 
+@query("v28_clean_resplit", sql(_EX, ISSUES + """, c AS (SELECT example_id, task_id, row_number() OVER (PARTITION BY task_id ORDER BY md5(CAST(example_id AS VARCHAR) || 's'), example_id) AS r, count(*) OVER (PARTITION BY task_id) AS n FROM fx_agent_ex WHERE example_id NOT IN (SELECT example_id FROM issues))
+  SELECT example_id, task_id, CASE WHEN r <= least(n, greatest(2, round_even(n * 0.1::DOUBLE, 0))) THEN 'val' ELSE 'train' END AS split FROM c"""))
+def v28_clean_resplit(spark, d):
+    e = agent_table(spark, d)
+    return va.clean_and_resplit(e, va.issues(e))[0].select("example_id", "task_id", "split")
+
+
+_REVIEWED = f"""{CALLS}, tv AS (SELECT example_id, count(*) FILTER (valid) AS k FROM calls GROUP BY example_id),
+  rk AS (SELECT e.example_id, e.task_id, coalesce(k, 0) AS k, row_number() OVER (PARTITION BY e.task_id ORDER BY md5(CAST(e.example_id AS VARCHAR) || 'r'), e.example_id) AS r, count(*) OVER (PARTITION BY e.task_id) AS n FROM fx_agent_ex e LEFT JOIN tv ON e.example_id = tv.example_id),
+  tk AS (SELECT task_id, any_value(n) AS n, string_agg(CAST(example_id AS VARCHAR), ',' ORDER BY r) || ' ' || sum(k) AS shown, CAST(right(task_id, 2) AS INT) % 5 AS m FROM rk WHERE r <= 3 GROUP BY task_id)
+  SELECT task_id, CASE WHEN m = 0 THEN NULL WHEN m = 1 THEN 'GOOD' WHEN n % 3 = 0 THEN 'UNKNOWN' WHEN n % 3 = 1 THEN 'GOOD' ELSE 'BAD' END AS verdict,
+    CASE WHEN m IN (0, 1) THEN NULL WHEN n % 3 = 0 THEN 'no verdict on ' || shown ELSE shown END AS reasoning, CASE WHEN m = 0 THEN 'no ground truth' END AS skipped FROM tk"""
+
+
+@query("v30_review_with", sql(_EX, _REVIEWED))
+def v30_review_with(spark, d):
+    """The reviewer hook with a reviewer that looks at sizes alone; some tasks have a verdict, some no ground truth."""
+
+    def reviewer(tasks):
+        import json
+
+        out = []
+        for n, sample in zip(tasks["n"], tasks["sample"], strict=True):
+            shown = f"{','.join(str(s['example_id']) for s in sample)} {sum(len(s['tools']) for s in sample)}"
+            reply = json.dumps({"verdict": "GOOD" if n % 3 == 1 else "BAD", "reasoning": shown, "issues": ["x"]})
+            out.append(f"no verdict on {shown}" if n % 3 == 0 else f"```json\n{reply}\n```" if n % 2 else reply)
+        return out
+
+    e = agent_table(spark, d)
+    number = F.right("task_id", F.lit(2)).cast("int") % 5
+    tasks = e.select("task_id").distinct()
+    known = tasks.where(number == 1).select("task_id", F.lit("GOOD").alias("verdict"))
+    out = registry.review_with(e, tasks.where(number != 0).select("task_id", F.lit("a task").alias("truth")), reviewer, known)
+    return out.select("task_id", "verdict", "reasoning", "skipped")
+
+
 @query("v29_structural_summary", sql(_EX, ISSUES + """, per AS (SELECT example_id, bool_or(severity = 'critical') AS c FROM issues GROUP BY example_id)
   SELECT count(*) AS total, count(*) FILTER (c IS NULL) AS clean, count(*) FILTER (c) AS critical FROM fx_agent_ex e LEFT JOIN per ON e.example_id = per.example_id"""))
 def v29(spark, d):

@@ -392,3 +392,32 @@ def test_score_with_resumes_and_survives_a_bad_scorer(spark):
         raise ValueError("no model")
 
     assert {(r["score"], r["error"]) for r in score_with(ex, broken).collect()} == {(0, "no model")}
+
+    def picky(batch):
+        if "y" in set(batch):
+            raise ValueError("not this one")
+        return pd.DataFrame({"score": batch.str.len()})
+
+    many = spark.createDataFrame([(i, "t", f"p{i}", "y" if i == 3 else "x" * i) for i in range(1, 9)], ex.schema).coalesce(1)
+    got = {r["user_prefix"]: (r["score"], r["error"]) for r in score_with(many, picky).collect()}
+    assert got == {f"p{i}": (i, None) if i != 3 else (0, "not this one") for i in range(1, 9)}
+
+
+def test_reviews_by_task(spark):
+    """Replies of all kinds; a reviewer that fails for one task costs that task alone."""
+    from sievework.operators.registry import review_with
+
+    chats = [(i, i, t, "train", None, GOOD) for i, t in enumerate(["a"] * 9 + ["b"] * 2 + ["c", "d", "e"])]
+    ex = spark.createDataFrame(chats, EX)
+    truth = spark.createDataFrame([(t, f"do {t}") for t in "abc"], "task_id string, truth string")
+
+    def reviewer(tasks):
+        if "c" in set(tasks["task_id"]):
+            raise ValueError("no model for c")
+        assert all(len(s) <= 3 and list(s[0]["tools"]) == ["read_file", "write_file"] and list(s[0]["written"]) == ["a"] and s[0]["final"] == "Done." for s in tasks["sample"])
+        return ['```json\n{"verdict": "NEEDS_WORK", "issues": ["i"], "recommendation": "r"}\n```' if t == "a" else "[1] is no verdict" for t in tasks["task_id"]]
+
+    known = spark.createDataFrame([("e", "BAD")], "task_id string, verdict string")
+    got = {r["task_id"]: r for r in review_with(ex, truth, reviewer, known).collect()}
+    assert {k: (r["verdict"], r["skipped"]) for k, r in got.items()} == {"a": ("NEEDS_WORK", None), "b": ("UNKNOWN", None), "c": (None, "no model for c"), "d": (None, "no ground truth"), "e": ("BAD", None)}
+    assert got["a"]["issues"] == ["i"] and got["a"]["recommendation"] == "r" and got["b"]["reasoning"] == "[1] is no verdict"
