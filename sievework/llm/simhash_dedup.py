@@ -5,9 +5,11 @@ hierarchy of nodes, each standing for a masked bit pattern that its fingerprints
 
 * Upper nodes fix one block of bits.  Two fingerprints within ``radius`` bits agree on
   at least one of ``radius + 1`` blocks, so every link lies below some upper node with no
-  difference accumulated so far, and nodes with other patterns are never compared.  The
-  nodes are shuffle keys.  A node with too many fingerprints is split the same way on its
-  remaining bits, again and again, which deals hot groups over many tasks.
+  difference there, and nodes with other patterns are never compared.  A link goes to the first block
+  it agrees on: those before it have taken a difference each, and what is left of the radius
+  bounds the bits after it.  The nodes are shuffle keys.  A node with too many fingerprints is
+  split by what its bits may still differ in (a child of the i-th block has radius - i + 1 children
+  and not radius + 1), again and again, which deals hot groups over many tasks.
 * Below an upper node, the task sorts the fingerprints by Gray rank and factors runs of
   them into group nodes (mask of the bits all share, pattern under the mask).  Two groups
   whose patterns differ on more than ``radius`` commonly masked bits are pruned whole.
@@ -193,41 +195,66 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
 
-def _below(nodes: DataFrame, width: int, radius: int) -> DataFrame:
-    """Each fingerprint below ``radius + 1`` child nodes: (path, rest, fp); ``rest`` has the bits not fixed yet.
+Segment = tuple[int, int, int]  # lowest bit, width, differences that may still fall into it
 
-    A child's path is its parent's followed by the block's number and its bits.
+
+def _splits(segments: tuple[Segment, ...]) -> list[tuple[int, int, tuple[Segment, ...]]]:
+    """(lowest bit, width, segments left) of the block that each child of a node fixes.
+
+    The first segment has ``r`` differences at most, so of its ``r + 1`` blocks one has none.
+    Child j is where block j is the first without: the j blocks before it have taken a
+    difference each, which leaves ``r - j`` for the bits after it and ``r - j + 1`` for each of them.
+    A segment with more bits than differences can be split again.
     """
-    children, at = [], width
-    for i, w in enumerate(_block_widths(width, radius + 1)):
+    (off, width, r), *rest = segments
+    at, before, out = off + width, [], []
+    for j, w in enumerate(_block_widths(width, r + 1)):
         at -= w
-        key = F.shiftrightunsigned("rest", at).bitwiseAND(F.lit((1 << w) - 1))
-        high = F.shiftleft(F.shiftrightunsigned("rest", at + w), at) if at + w < 64 else F.lit(0).cast("long")
-        rest = high.bitwiseOR(F.col("rest").bitwiseAND(F.lit((1 << at) - 1)))
-        path = F.concat_ws(".", "path", F.lit(str(i)), key.cast("string"))
-        children.append(F.struct(path.alias("path"), rest.alias("rest")))
-    return nodes.select("fp", F.explode(F.array(*children)).alias("n")).select("n.path", "n.rest", "fp")
+        left = [(off, at - off, r - j), *((o, n, r - j + 1) for o, n in before), *rest]
+        out.append((at, w, tuple(s for s in left if s[1] > s[2])))
+        before.append((at, w))
+    return out
+
+
+def _below(nodes: DataFrame, kinds: list[tuple[Segment, ...]]) -> tuple[DataFrame, list[tuple[Segment, ...]]]:
+    """Each fingerprint below the child nodes of its node: (path, kind, fp), and the segments by kind.
+
+    A child's path is its parent's followed by the block's number and its bits.
+    """
+    made: list[tuple[Segment, ...]] = []
+    children = None
+    for k, segments in enumerate(kinds):
+        own = []
+        for j, (at, w, left) in enumerate(_splits(segments)):
+            key = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << w) - 1))
+            own.append(F.struct(F.concat_ws(".", "path", F.lit(str(j)), key.cast("string")).alias("path"), F.lit(len(made)).alias("kind")))
+            made.append(left)
+        mine = F.col("kind") == k
+        children = F.when(mine, F.array(*own)) if children is None else children.when(mine, F.array(*own))
+    return nodes.select("fp", F.explode(children).alias("n")).select("n.path", "n.kind", "fp"), made
 
 
 def hamming_links(codes: DataFrame, radius: int = RADIUS, node_limit: int = NODE_LIMIT) -> DataFrame:
     """``codes`` (fp long, distinct) -> links (a, b) whose components are those of all pairs within ``radius`` bits."""
     ship_package(codes.sparkSession)
-    nodes, width, links = codes.select(F.lit("").alias("path"), F.col("fp").alias("rest"), "fp"), 64, None
+    nodes, kinds, links = codes.select(F.lit("").alias("path"), F.lit(0).alias("kind"), "fp"), [((0, 64, radius),)], None
     while True:
-        nodes = _below(nodes, width, radius)
-        width -= min(_block_widths(width, radius + 1))  # rest never has more bits
-        # a node of w open bits has at most 2**w fingerprints, so splitting ends by itself
-        more = width > radius and 1 << min(width, 62) > node_limit
+        nodes, made = _below(nodes, kinds)
+        # every split fixes bits, so splitting ends by itself
+        ends = [k for k, left in enumerate(made) if not left]
+        large = nodes.groupBy("path", "kind").count().where((F.col("count") > node_limit) & ~F.col("kind").isin(ends))
+        hot = written(large.select("path", "kind"), "hot-nodes")
+        open_ = sorted(r["kind"] for r in hot.select("kind").distinct().collect())  # of a few dozen kinds
         cold = nodes
-        if more:
-            hot = written(nodes.groupBy("path").count().where(F.col("count") > node_limit).select("path"), "hot-nodes")
-            more = not hot.isEmpty()
-            if more:
-                cold, nodes = nodes.join(hot, "path", "left_anti"), written(nodes.join(hot, "path", "left_semi"), "split-nodes")
+        if open_:
+            renamed = F.create_map(*[F.lit(x) for k in enumerate(open_) for x in reversed(k)])[F.col("kind")]
+            paths = hot.select("path")
+            cold, nodes = nodes.join(paths, "path", "left_anti"), written(nodes.join(paths, "path", "left_semi").withColumn("kind", renamed), "split-nodes")
+            kinds = [made[k] for k in open_]
         sorted_ = cold.select("path", "fp").repartition("path").sortWithinPartitions("path")
         part = sorted_.mapInArrow(giving_back(_node_links(radius)), "a long, b long")
         links = part if links is None else links.union(part)
-        if not more:
+        if not open_:
             return links
 
 
