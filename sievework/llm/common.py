@@ -34,7 +34,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, label: str, **options) -> DataFrame:
+def written(df: DataFrame, label: str, partition_by: str | None = None, **options) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     The files outlive lost executors, and later steps never recompute what led to them.
@@ -45,7 +45,7 @@ def written(df: DataFrame, label: str, **options) -> DataFrame:
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.options(**options).parquet(path)
+        df.write.options(**options).parquet(path, partitionBy=partition_by)
     finally:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

@@ -51,6 +51,7 @@ from .common import discard, join_heavy, ship_package, written
 MATCH = 200
 GRAM = 32
 BATCH_SUFFIXES = 1 << 28  # about 16 GB of text
+SLOTS = 63  # folders of the table of suffixes; a batch has one or more
 HOT_BYTES = 1 << 17  # of distinct segments that a task compares in one group
 REACH = (MATCH - GRAM + 1) // 2  # letters that a window has right or left of a head in it
 
@@ -329,11 +330,12 @@ def _same_row(a: str, b: str):
 
 
 def index_in_batches(every: DataFrame, batches: int) -> LevelFamily:
-    """The family of the suffixes, dealt over batches by their rows."""
+    """The family of the suffixes; a batch reads its own folders of a table that is partitioned by ``slot``."""
     family = LevelFamily()
-    number = F.pmod(F.xxhash64("_id", "uid"), F.lit(batches))
+    if "slot" not in every.columns:
+        every = every.withColumn("slot", F.pmod(F.xxhash64("_id", "uid"), F.lit(SLOTS)))
     for k in range(batches):
-        family.add(every.where(number == k))
+        family.add(every.where(F.col("slot") % batches == k))
     return family
 
 
@@ -341,12 +343,13 @@ def repeated_ranges(docs: DataFrame, batches: int | None = None, id_col: str = "
     """(_id, uid, ranges): the byte ranges of each row that repeat elsewhere, for rows that have any.
 
     ``batches``: how many batches the family is built from; by default a number that grows
-    with the suffixes and leaves at least two levels standing (3, 7, 15, ...).
+    with the suffixes up to ``SLOTS`` and leaves at least two levels standing (3, 7, ... 63); then batches grow.
     """
-    every = written(suffixes(docs, id_col, text), "suffixes")
+    # a task writes to one slot, so there are as many files as tasks
+    every = written(suffixes(docs, id_col, text).withColumn("slot", F.spark_partition_id() % SLOTS), "suffixes", partition_by="slot")
     total = every.count()
     if batches is None:
-        batches = max(3, (1 << (total // BATCH_SUFFIXES).bit_length()) - 1)
+        batches = min(SLOTS, max(3, (1 << (total // BATCH_SUFFIXES).bit_length()) - 1))
     family = index_in_batches(every, batches)
     shared = written(family.shared(), "shared-heads")
     family.drop()
