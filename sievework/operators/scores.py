@@ -40,7 +40,7 @@ def mark_first(df: DataFrame, key: list[str], order: list[Column], position: Col
     if limits is not None:
         per = per.join(limits, key, "left")
     k, n = n_first.cast("long"), F.col("_n")
-    ranks = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
+    ranks = F.split(F.lit(" ".join(repr(i / STEPS) for i in range(STEPS + 1))), " ").cast("array<double>")  # the function takes constants only
     step = F.least(F.lit(STEPS), F.greatest(F.lit(0), F.floor(k / n * STEPS))).cast("int")
     read = per.select(*key, k.alias("_k"), F.coalesce(k >= n, F.lit(False)).alias("_all"), step.alias("_i"), F.kll_sketch_get_quantile_bigint("_s", ranks).alias("_q"))
     low, high = F.get("_q", F.greatest(F.lit(0), F.col("_i") - 3)), F.get("_q", F.least(F.lit(STEPS), F.col("_i") + 4))
