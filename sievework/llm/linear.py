@@ -9,7 +9,7 @@ narrow pass over all documents.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +40,56 @@ def bigrams(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return tk.gram_hashes(words, 2)[same], rows[:-1][same]
 
 
-def grouped(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct feature numbers and their counts for each of ``n`` rows, from (numbers, rows) parts."""
+def distinct(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct feature numbers of ``n`` rows one after the other, their counts and the rows' offsets, from (numbers, rows) parts."""
     slot = np.concatenate([p[0] for p in parts])
     row = np.concatenate([p[1] for p in parts])
     keys, counts = np.unique(row << BITS | slot, return_counts=True)
-    cuts = np.searchsorted(keys, np.arange(n + 1) << BITS)
-    slot = keys & DIMS - 1
+    return keys & DIMS - 1, counts, np.searchsorted(keys, np.arange(n + 1) << BITS)
+
+
+def grouped(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct feature numbers and their counts for each of ``n`` rows."""
+    slot, counts, cuts = distinct(parts, n)
     return [(slot[a:b], counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+class Flat(Sequence):
+    """Rows of 0/1 features in one array of numbers with offsets, each with a bias and dense extras.
+
+    A row's own arrays are made when it is asked for, so many rows cost four bytes a feature.
+    """
+
+    def __init__(self, slot: np.ndarray, cuts: np.ndarray, dense: np.ndarray, chosen: np.ndarray | None = None):
+        self.slot, self.cuts, self.dense = slot, cuts, dense
+        self.chosen = np.arange(len(cuts) - 1) if chosen is None else chosen
+        self.tail = (DIMS + np.arange(1 + dense.shape[1])).astype(slot.dtype)
+
+    def only(self, chosen: np.ndarray) -> Flat:
+        return Flat(self.slot, self.cuts, self.dense, self.chosen[chosen])
+
+    def __len__(self) -> int:
+        return len(self.chosen)
+
+    def __getitem__(self, k: int) -> Sparse:
+        r = self.chosen[k]
+        i = np.concatenate([self.slot[self.cuts[r] : self.cuts[r + 1]], self.tail])
+        x = np.ones(len(i), np.float32)
+        x[len(i) - self.dense.shape[1] :] = self.dense[r]
+        return i, x
+
+
+def margins(w: np.ndarray, slot: np.ndarray, cuts: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """Dot products of a model with rows of 0/1 features, their bias and dense extras."""
+    n = len(cuts) - 1
+    own = np.bincount(np.repeat(np.arange(n), np.diff(cuts)), w[slot].astype(float), n)
+    return own + float(w[DIMS]) + dense @ w[DIMS + 1 :].astype(float)
+
+
+def sigmoids(s: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(s, -35.0, 35.0)))
+
+
 def epochs(rows: int, updates: int = 24_000) -> int:
     """Passes over a shard: more over a small one, so that each model sees about as many updates."""
     return max(3, min(40, updates // max(rows, 1)))
@@ -71,7 +111,7 @@ class Ftrl:
         l1[DIMS:] = 0
         return -np.sign(z) * np.maximum(np.abs(z) - l1[at], 0) / ((self.beta + np.sqrt(self.n[at])) / self.alpha + self.l2)
 
-    def fit(self, rows: list[Sparse], y: np.ndarray, epochs: int, seed: int = 7) -> np.ndarray:
+    def fit(self, rows: Sequence[Sparse], y: np.ndarray, epochs: int, seed: int = 7) -> np.ndarray:
         rng = np.random.default_rng(seed)
         for _ in range(epochs):
             for k in rng.permutation(len(rows)).tolist():

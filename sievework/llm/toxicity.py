@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import linear as li
 from . import textkernels as tk
-from .common import written
+from .common import giving_back, written
 
 FOLDS = 3
 MOST_SHARDS = 3
@@ -35,8 +35,8 @@ MOST_SHARDS = 3
 CATEGORIES: dict[str, Column | str] = {"junk": "quality = 0", "toxic": "toxic = 1", "toxic_prose": "toxic = 1 AND quality = 1"}
 
 
-def features(column: pa.Array) -> list[li.Sparse]:
-    out: list[li.Sparse] = []
+def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct feature numbers of each chunk of whole texts, and the offsets of its rows."""
     for _, data, offsets in tk.chunks(column):
         data = tk.LOWER[data]
         starts, ends, rows = tk.word_bounds(data, offsets, tk.IS_PUNCT)
@@ -47,15 +47,20 @@ def features(column: pa.Array) -> list[li.Sparse]:
         for k in (4, 5, 6):
             longer = ends - starts > k
             parts.append((li.slots(tk.span_hash(prefix, starts[longer], starts[longer] + k), 12 + k), rows[longer]))
-        for slot, _count in li.grouped(parts, len(offsets) - 1):
-            out.append((np.append(slot, li.DIMS).astype(np.int32), np.ones(len(slot) + 1, np.float32)))  # narrow: a task holds a shard of them
-    return out
+        slot, _counts, cuts = li.distinct(parts, len(offsets) - 1)
+        yield slot.astype(np.int32), cuts  # narrow: a task holds a shard of them
 
 
-def _with(row: li.Sparse, earlier: list[float]) -> li.Sparse:
-    """The row with earlier categories' probabilities as dense inputs."""
-    k = len(earlier)
-    return np.append(row[0], (li.DIMS + 1 + np.arange(k)).astype(np.int32)), np.append(row[1], (2 * np.array(earlier) - 1).astype(np.float32))
+def _flat(column: pa.Array, earlier: np.ndarray) -> li.Flat:
+    """All rows of a column, with earlier categories' probabilities as dense inputs."""
+    parts = list(features(column))
+    ends = np.cumsum([0, *(len(slot) for slot, _ in parts)])
+    cuts = np.concatenate([[0], *(c[1:] + end for (_, c), end in zip(parts, ends[:-1], strict=True))])
+    return li.Flat(np.concatenate([np.zeros(0, np.int32), *(slot for slot, _ in parts)]), cuts, dense(earlier))
+
+
+def dense(p: np.ndarray) -> np.ndarray:
+    return 2 * p - 1
 
 
 def _model(extras: int) -> li.Ftrl:
@@ -83,21 +88,21 @@ def _fit_part(k: int, name: str):
     def each(table: pa.Table) -> Iterator[pa.RecordBatch]:
         part = table.column("part")[0].as_py() % (FOLDS + 1)
         earlier = np.array(table.column("earlier").to_pylist(), float).reshape(table.num_rows, k)
-        rows = [_with(r, e.tolist()) for r, e in zip(features(table.column("text").combine_chunks()), earlier, strict=True)]
+        rows = _flat(table.column("text").combine_chunks(), earlier)
         y = table.column("y").to_numpy().astype(float)
         inside = table.column("order").to_numpy() % FOLDS == part
         chosen = np.flatnonzero(~inside)
-        w = _model(k).fit([rows[i] for i in chosen], y[chosen], li.epochs(len(chosen)))
+        w = _model(k).fit(rows.only(chosen), y[chosen], li.epochs(len(chosen)))
         if part == FOLDS:
             b = li.weight_rows(name, w)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(b.num_rows, pa.string()), pa.nulls(b.num_rows, pa.float64())], [*b.schema.names, "id", "p"])
         elif inside.any():
             at = np.flatnonzero(inside)
-            p = np.array([li.sigmoid(float(w[rows[i][0]] @ rows[i][1])) for i in at])
+            p = li.sigmoids(li.margins(w, rows.slot, rows.cuts, rows.dense))[at]
             none = [pa.nulls(len(at), t) for t in (pa.string(), pa.int64(), pa.float64(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*none, table.column("id").combine_chunks().take(pa.array(at)), pa.array(p)], ["model", "slot", "w", "size", "id", "p"])
 
-    return each
+    return giving_back(each)
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, train_rows: int = li.TRAIN_ROWS, categories: dict[str, str] | None = None, id_col: str = "doc_id", most_shards: int = MOST_SHARDS) -> dict[str, np.ndarray]:
@@ -132,12 +137,12 @@ def score_chain(docs: DataFrame, models: dict[str, np.ndarray], id_col: str = "d
     names = [k for k in models if k != "threshold"]
 
     def score(column: pa.Array) -> dict[str, np.ndarray]:
-        rows = features(column)
-        p = np.zeros((len(rows), len(names)))
-        for j, row in enumerate(rows):
+        p, row = np.zeros((len(column), len(names))), 0
+        for slot, cuts in features(column):
+            own = p[row : row + len(cuts) - 1]
             for k, name in enumerate(names):
-                i, x = _with(row, p[j, :k].tolist())
-                p[j, k] = li.sigmoid(float(shared.value[name][i] @ x))
+                own[:, k] = li.sigmoids(li.margins(shared.value[name], slot, cuts, dense(own[:, :k])))
+            row += len(own)
         return {f"p_{c}": np.ascontiguousarray(p[:, k]) for k, c in enumerate(names)}
 
     return li.mapped(docs, id_col, text, score, ", ".join(f"`p_{c}` double" for c in names))

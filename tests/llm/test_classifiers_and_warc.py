@@ -9,12 +9,14 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import xxhash
 from edge import TEXTS, docs, empty
 from pyarrow import fs
 from pyspark.sql import functions as F
 
 from sievework.llm import linear as li
 from sievework.llm import quality_classifier as q
+from sievework.llm import textkernels as tk
 from sievework.llm import toxicity as x
 from sievework.llm import warc_derivatives as w
 from sievework.llm.common import work_dir
@@ -272,3 +274,94 @@ def test_responses_of_pages_go_through_files(spark):
     columns = ["record_type", "record_id", "refers_to", "uri", "block_digest", "source_digest", "headers", "block"]
     got = sorted(tuple(r) for r in w.derive(w.read_responses(spark, path)).select(columns).collect())
     assert got == sorted(tuple(r) for r in w.op7_warc_derivatives(spark, "/root/testdata/sf0.001").select(columns).collect())
+
+
+def plain_slots(text):
+    """The feature numbers of a text, one word at a time."""
+    full = (1 << 64) - 1
+    base = tk._BASE
+
+    def mixed(h):
+        h ^= h >> 30
+        h = h * 0xBF58476D1CE4E5B9 & full
+        h ^= h >> 27
+        h = h * 0x94D049BB133111EB & full
+        return h ^ h >> 31
+
+    def hashed(word):
+        return mixed(sum(int(tk.BYTES[b]) * pow(base, j, 1 << 64) for j, b in enumerate(word)) & full)
+
+    def slot(h, salt):
+        return mixed(h ^ salt * 0x9E3779B97F4A7C15 & full) >> 64 - li.BITS
+
+    words = re.findall(rb"[A-Za-z0-9\x80-\xff]+", (text or "").encode())
+    words = [w.lower() for w in words]
+    hashes = [hashed(w) for w in words]
+    found = {slot(h, 11) for h in hashes}
+    for a, b in zip(hashes, hashes[1:]):
+        h = 2
+        for k, one in enumerate((a, b)):
+            h = (h ^ one) * int(tk._GRAM[k]) & full
+            h ^= h >> 29
+        found.add(slot(h, 12))
+    return sorted(found | {slot(hashed(w[:k]), 12 + k) for w in words for k in (4, 5, 6) if len(w) > k})
+
+
+def plain_chain(rows, labels):
+    """The whole chain of operator 9 without Spark: models, threshold and scores by id."""
+    chain = [("junk", lambda q, t: q == 0), ("toxic", lambda q, t: t == 1), ("toxic_prose", lambda q, t: t == 1 and q == 1)]
+    texts, slots = dict(rows), {}
+    order = {i: np.uint64(xxhash.xxh64_intdigest(b"order", xxhash.xxh64_intdigest(str(i).encode(), 42))).astype(np.int64) for i, _, _ in labels}
+    train = sorted(labels, key=lambda r: (order[r[0]], str(r[0])))
+    slots = {i: plain_slots(t) for i, t in rows}
+    given = {i: [] for i, _, _ in labels}
+
+    def row(i, earlier):
+        n = len(slots[i]) + 1
+        return np.array([*slots[i], *range(li.DIMS, li.DIMS + 1 + len(earlier))]), np.array([1.0] * n + [2 * p - 1 for p in earlier])
+
+    def fit(chosen, said):
+        data = [row(i, given[i]) for i, _, _ in chosen]
+        return plain_ftrl(data, [float(said(q_, t)) for _, q_, t in chosen], li.epochs(len(chosen)), 0.1, 1.0, 1.0, 1.0)
+
+    def p(w, i, earlier):
+        at, v = row(i, earlier)
+        return li.sigmoid(sum(w.get(a, 0.0) * b for a, b in zip(at.tolist(), v.tolist(), strict=True)))
+
+    models, threshold = [], 1.01
+    for name, said in chain:
+        models.append(fit(train, said))
+        out = {}
+        for fold in range(x.FOLDS):
+            w = fit([r for r in train if order[r[0]] % x.FOLDS != fold], said)
+            out |= {i: p(w, i, given[i]) for i, _, _ in train if order[i] % x.FOLDS == fold}
+        if name == "toxic":
+            y = np.array([float(said(q_, t)) for _, q_, t in train])
+            threshold = x.best_threshold(np.array([out[i] for i, _, _ in train]), y)
+        given = {i: [*given[i], out[i]] for i in given}
+    scores = {}
+    for i in texts:
+        got = []
+        for w in models:
+            got.append(p(w, i, got))
+        scores[i] = got
+    return threshold, scores
+
+
+def test_toxicity_is_the_plain_chain(spark):
+    """Features, order, folds, chain, threshold and scores of 60 labelled and 20 other short texts."""
+    r = random.Random(5)
+    bad, junk, plain = ("Scum", "idiots", "wretched", "vermin"), ("xx##", "9912", "lorem"), ("river", "stone", "évening", "window", "carry", "under", "market")
+    rows, labels = [(100, None), (101, "")], []
+    for i in range(80):
+        toxic, low = r.random() < 0.3, r.random() < 0.3
+        rows.append((i, " ".join(r.choice(bad if toxic and r.random() < 0.4 else junk if low and r.random() < 0.5 else plain) for _ in range(r.randrange(1, 12)))))
+        if i < 60:
+            labels.append((i, int(not low), int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    models = x.train_chain(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    threshold, want = plain_chain(rows, labels)
+    got = {g["doc_id"]: [g["p_junk"], g["p_toxic"], g["p_toxic_prose"]] for g in x.score_chain(frame, models).collect()}
+    assert got.keys() == want.keys() and np.isclose(float(models["threshold"][0]), threshold)
+    assert np.allclose([got[i] for i in want], list(want.values()), atol=1e-5)
+    assert max(v[1] for v in want.values()) - min(v[1] for v in want.values()) > 0.3
