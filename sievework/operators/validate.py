@@ -95,15 +95,21 @@ def required_tool_issues(examples: DataFrame, required: dict[str, tuple[str, ...
 
 
 def repetition_issues(calls: DataFrame, same_call: int = 3, same_name: int = 20) -> DataFrame:
-    """The same call more than ``same_call`` times, the same tool more than ``same_name`` times, per example."""
-    valid = calls.where("valid")
+    """The same call more than ``same_call`` times, the same tool more than ``same_name`` times, per example.
+
+    Calls are the same if their JSON is, by its first 200 characters with sorted keys at every depth: the order of keys
+    and white space don't count, types do (1 is not "1", but 1 is 1.0).  A call that has a key twice is compared
+    by its arguments as text.  Both counts come from one aggregate, so calls are parsed and shuffled once.
+    """
     entries = F.transform(F.array_sort(F.map_entries(F.coalesce("arguments", F.expr("cast(map() as map<string,string>)")))), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))))
-    canonical = F.substring(F.concat(F.coalesce("name", F.lit("")), F.lit("("), F.array_join(entries, ","), F.lit(")")), 1, 200)
-    loops = valid.groupBy("example_id", "task_id", canonical.alias("call")).count().where(F.col("count") > same_call)
-    many = valid.groupBy("example_id", "task_id", F.coalesce("name", F.lit("")).alias("name")).count().where(F.col("count") > same_name)
-    a = loops.select("example_id", "task_id", F.lit("high").alias("severity"), F.lit("repetitive_tool_calls").alias("check"), F.concat(F.col("count").cast("string"), F.lit(" x "), F.substring("call", 1, 100)).alias("detail"))
-    b = many.select("example_id", "task_id", F.lit("medium").alias("severity"), F.lit("excessive_tool_calls").alias("check"), F.concat(F.col("count").cast("string"), F.lit(" x "), "name").alias("detail"))
-    return a.unionByName(b)
+    name = F.coalesce("name", F.lit(""))
+    shown = F.substring(F.concat(name, F.lit("("), F.array_join(entries, ","), F.lit(")")), 1, 200)
+    same = F.substring(F.coalesce(F.to_json(F.try_parse_json("raw")), shown), 1, 200)
+    key = ["example_id", "task_id", "name"]
+    counted = calls.where("valid").select("example_id", "task_id", name.alias("name"), same.alias("same"), shown.alias("call")).groupBy(*key, "same").agg(F.count("*").alias("n"), F.min("call").alias("call"))
+    many = counted.groupBy(*key).agg(F.sum("n").alias("n")).where(F.col("n") > same_name)
+    found = lambda rows, severity, check, of: rows.select("example_id", "task_id", F.lit(severity).alias("severity"), F.lit(check).alias("check"), F.concat(F.col("n").cast("string"), F.lit(" x "), of).alias("detail"))
+    return found(counted.where(F.col("n") > same_call), "high", "repetitive_tool_calls", F.substring("call", 1, 100)).unionByName(found(many, "medium", "excessive_tool_calls", F.col("name")))
 
 
 def issues(examples: DataFrame) -> DataFrame:

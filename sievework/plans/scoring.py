@@ -78,6 +78,13 @@ def f03(spark, d):
     return sc.filter_min_score(_docs(spark, d), fx(spark, d, "fx_scores")).select("example_id")
 
 
+@query("f03_apply_by_name", sql(_DS, _J + " SELECT task_id, count(*) AS n FROM js WHERE coalesce(score, 5) >= 4 GROUP BY task_id"))
+def f03_apply_by_name(spark, d):
+    """Operators chained by name, as a configuration would: rows with a score of four or none, counted by task."""
+    kept = registry.apply(_docs(spark, d), "filter_min_score", scores=fx(spark, d, "fx_scores"), least=4)
+    return registry.apply(kept, "count_per_task").select("task_id", F.col("n"))
+
+
 _RANK = _J + ", rk AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY pos) AS rn, count(*) OVER (PARTITION BY task_id) AS n FROM js)"
 
 

@@ -421,3 +421,22 @@ def test_reviews_by_task(spark):
     got = {r["task_id"]: r for r in review_with(ex, truth, reviewer, known).collect()}
     assert {k: (r["verdict"], r["skipped"]) for k, r in got.items()} == {"a": ("NEEDS_WORK", None), "b": ("UNKNOWN", None), "c": (None, "no model for c"), "d": (None, "no ground truth"), "e": ("BAD", None)}
     assert got["a"]["issues"] == ["i"] and got["a"]["recommendation"] == "r" and got["b"]["reasoning"] == "[1] is no verdict"
+
+
+def test_same_calls_by_their_typed_arguments(spark):
+    """Key order and space don't tell calls apart, also inside arguments; types do; a doubled key falls back to text."""
+    nested = ['{"q": {"a": 1, "b": [1, null]}, "r": "x"}', '{"r":"x","q":{"b":[1,null],"a":1}}', '{"q": {"b": [1, null], "a": 1}, "r": "x"}', '{"r": "x", "q": {"a": 1,   "b": [1, null]}}']
+    cases = {
+        "nested": nested,
+        "types": ['{"k": 1}', '{"k": "1"}'] * 2,
+        "nulls": ['{"k": null}', '{"k": "null"}'] * 2,
+        "numbers": ['{"k": 1}', '{"k": 1.0}'] * 2,
+        "lists": ['{"k": [1, 2]}', '{"k": [2, 1]}'] * 2,
+        "twice": ['{"k": 1, "k": 2}'] * 4,
+        "no object": ["[1]"] * 4,
+    }
+    for what, args in cases.items():
+        got = va.repetition_issues(ft.tool_calls(example(spark, [("assistant", call("bash", a)) for a in args]))).collect()
+        assert [r["check"] for r in got] == (["repetitive_tool_calls"] if what in ("nested", "numbers", "twice", "no object") else []), what
+    several = example(spark, [("assistant", call("bash", f'{{"k": {i}}}')) for i in range(21)] + [("assistant", call("bash", '{"k": 0}'))] * 4)
+    assert sorted(r["detail"] for r in va.repetition_issues(ft.tool_calls(several)).collect()) == ["25 x bash", "5 x bash(k=0)"]
