@@ -3,9 +3,11 @@
 import base64
 import gzip
 import hashlib
+import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
@@ -276,42 +278,51 @@ def test_responses_of_pages_go_through_files(spark):
     assert got == sorted(tuple(r) for r in w.op7_warc_derivatives(spark, "/root/testdata/sf0.001").select(columns).collect())
 
 
-def plain_slots(text):
-    """The feature numbers of a text, one word at a time."""
-    full = (1 << 64) - 1
-    base = tk._BASE
+FULL = (1 << 64) - 1
+
+
+def mixed(h):
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 & FULL
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB & FULL
+    return h ^ h >> 31
+
+
+def hashed(word):
+    return mixed(sum(int(tk.BYTES[b]) * pow(tk._BASE, j, 1 << 64) for j, b in enumerate(word)) & FULL)
+
+
+def run_of(hashes):
+    h = len(hashes)
+    for k, one in enumerate(hashes):
+        h = (h ^ one) * int(tk._GRAM[k]) & FULL
+        h ^= h >> 29
+    return h
+
 
-    def mixed(h):
-        h ^= h >> 30
-        h = h * 0xBF58476D1CE4E5B9 & full
-        h ^= h >> 27
-        h = h * 0x94D049BB133111EB & full
-        return h ^ h >> 31
+def slot_of(h, salt):
+    return mixed(h ^ salt * 0x9E3779B97F4A7C15 & FULL) >> 64 - li.BITS
 
-    def hashed(word):
-        return mixed(sum(int(tk.BYTES[b]) * pow(base, j, 1 << 64) for j, b in enumerate(word)) & full)
 
-    def slot(h, salt):
-        return mixed(h ^ salt * 0x9E3779B97F4A7C15 & full) >> 64 - li.BITS
+def hash_of_two(i, word):
+    """Spark's xxhash64 of an id as text and a word."""
+    return int(np.uint64(xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(str(i).encode(), 42))).astype(np.int64))
 
-    words = re.findall(rb"[A-Za-z0-9\x80-\xff]+", (text or "").encode())
-    words = [w.lower() for w in words]
+
+def plain_slots(text):
+    """The feature numbers of a text for operator 9, one word at a time."""
+    words = [w.lower() for w in re.findall(rb"[A-Za-z0-9\x80-\xff]+", (text or "").encode())]
     hashes = [hashed(w) for w in words]
-    found = {slot(h, 11) for h in hashes}
-    for a, b in zip(hashes, hashes[1:]):
-        h = 2
-        for k, one in enumerate((a, b)):
-            h = (h ^ one) * int(tk._GRAM[k]) & full
-            h ^= h >> 29
-        found.add(slot(h, 12))
-    return sorted(found | {slot(hashed(w[:k]), 12 + k) for w in words for k in (4, 5, 6) if len(w) > k})
+    found = {slot_of(h, 11) for h in hashes} | {slot_of(run_of(two), 12) for two in zip(hashes, hashes[1:])}
+    return sorted(found | {slot_of(hashed(w[:k]), 12 + k) for w in words for k in (4, 5, 6) if len(w) > k})
 
 
 def plain_chain(rows, labels):
     """The whole chain of operator 9 without Spark: models, threshold and scores by id."""
     chain = [("junk", lambda q, t: q == 0), ("toxic", lambda q, t: t == 1), ("toxic_prose", lambda q, t: t == 1 and q == 1)]
-    texts, slots = dict(rows), {}
-    order = {i: np.uint64(xxhash.xxh64_intdigest(b"order", xxhash.xxh64_intdigest(str(i).encode(), 42))).astype(np.int64) for i, _, _ in labels}
+    texts = dict(rows)
+    order = {i: hash_of_two(i, b"order") for i, _, _ in labels}
     train = sorted(labels, key=lambda r: (order[r[0]], str(r[0])))
     slots = {i: plain_slots(t) for i, t in rows}
     given = {i: [] for i, _, _ in labels}
@@ -365,3 +376,46 @@ def test_toxicity_is_the_plain_chain(spark):
     assert got.keys() == want.keys() and np.isclose(float(models["threshold"][0]), threshold)
     assert np.allclose([got[i] for i in want], list(want.values()), atol=1e-5)
     assert max(v[1] for v in want.values()) - min(v[1] for v in want.values()) > 0.3
+
+
+def plain_quality(text):
+    """The features of a text for operator 5: numbers and values, one word at a time."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    kind = lambda b: b"a" if b > 127 or 97 <= b < 123 else b"A" if 65 <= b < 91 else b"0" if 48 <= b < 58 else bytes([b])
+    count = Counter()
+    for salt, hashes in ((1, [hashed(w) for w in words]), (3, [hashed(b"".join(k for k, _ in itertools.groupby(map(kind, w)))) for w in words])):
+        count.update(slot_of(h, salt) for h in hashes)
+        count.update(slot_of(run_of(two), salt + 1) for two in zip(hashes, hashes[1:]))
+    threes = Counter(zip(words, words[1:], words[2:]))
+    for n in threes.values():
+        count[slot_of(mixed(n.bit_length()), 5)] += n
+    at = sorted(count)
+    v = np.log1p([count[i] for i in at]) if at else np.zeros(0)
+    return np.array([*at, li.DIMS]), np.append(v / max(np.sqrt(v @ v), 1e-9), 1.0)
+
+
+def test_quality_is_the_plain_model(spark, monkeypatch):
+    """Features, order, shards, averaged weights and scores of 60 labelled and 22 other short texts."""
+    monkeypatch.setattr(li, "SHARD_ROWS", 20)
+    r = random.Random(9)
+    good, low = ("river", "Stone", "évening", "window", "carry.", "under"), ("BUY!!", "$$$", "click", "9912", "now")
+    rows, labels = [(100, None), (101, " \n ")], []
+    for i in range(80):
+        junk = r.random() < 0.4
+        rows.append((i, " ".join(r.choice(low if junk and r.random() < 0.6 else good) for _ in range(r.randrange(0, 14)))))
+        if i < 60:
+            labels.append((i, int(not junk)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    weights = q.train_quality(frame, spark.createDataFrame(labels, "doc_id long, quality int"))
+    data = {i: plain_quality(t) for i, t in rows}
+    shards = [sorted((hash_of_two(i, b"order"), i, y) for i, y in labels if (hash_of_two(i, b"sample") >> 20) % 3 == k) for k in range(3)]
+    mean = Counter()
+    for part in shards:
+        assert part
+        for at, w in plain_ftrl([data[i] for _, i, _ in part], [float(y) for _, _, y in part], li.epochs(len(part), 72_000), 0.5, 1.0, 0.05, 0.1).items():
+            mean[at] += w / 3
+    assert np.allclose([weights[at] for at in mean], list(mean.values())) and np.count_nonzero(weights) <= len(mean)
+    got = {g["doc_id"]: g["score"] for g in q.score_quality(frame, weights).collect()}
+    want = {i: li.sigmoid(sum(mean[a] * b for a, b in zip(at.tolist(), v.tolist(), strict=True))) for i, (at, v) in data.items()}
+    assert got.keys() == want.keys() and np.allclose([got[i] for i in want], list(want.values()), atol=1e-5)
+    assert max(want.values()) - min(want.values()) > 0.5
