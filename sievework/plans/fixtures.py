@@ -87,6 +87,25 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_taskdocs": (("part",), """
         SELECT p_partkey AS doc_id, '---' || chr(10) || 'id: task_' || lpad(CAST(p_partkey % 30 AS STRING), 2, '0') || chr(10) || 'name: ' || p_name || chr(10) || 'category: ' || p_brand || chr(10) || '---' || chr(10) ||
                '# Prompt' || chr(10) || 'Save the list as `file_' || CAST(p_size AS STRING) || '.txt` please.' || chr(10) || '## Expected Behavior' || chr(10) || '| price | ' || CAST(CAST(p_retailprice AS INT) AS STRING) || ' |' || chr(10) || 'It says "' || p_type || '" there.' AS body FROM part"""),
+    # the same of many shapes: parts that are missing, repeated, misplaced or malformed
+    "fx_taskdocs_mixed": (("part",), """
+        SELECT p_partkey AS doc_id, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '---' || chr(10) || 'id: task' || chr(10) || '---' || chr(10) END || 'Text before any heading' || chr(10) ||
+               CASE p_partkey % 3 WHEN 0 THEN '# Prompt' WHEN 1 THEN '##  PROMPT ' ELSE '### prompt' END || chr(10) || 'Save the list as `file_' || CAST(p_size AS STRING) || '.txt`.' || chr(10) ||
+               CASE WHEN p_partkey % 6 = 0 THEN '#### Notes' || chr(10) || 'keep # this' || chr(10) ELSE chr(10) END ||
+               '## Expected  Behavior' || chr(10) || CASE p_partkey % 8 WHEN 0 THEN '**Output**: `http://host/a.txt`' WHEN 1 THEN '**File**: `dir/b b.txt`' ELSE '#none' END || chr(10) ||
+               CASE WHEN p_partkey % 5 = 0 THEN '# Prompt' || chr(10) || 'Again, create "other_' || CAST(p_size AS STRING) || '.csv".' || chr(10) ELSE '' END ||
+               CASE WHEN p_partkey % 7 = 0 THEN '## Empty' ELSE '' END AS body,
+               '| # | Expected Answer |' || chr(10) || '|---|---|' || chr(10) || '| 1 | ' || CAST(p_size AS STRING) || ' |' || chr(10) || '|  22 |' || CASE WHEN p_partkey % 3 = 0 THEN '---none' ELSE p_brand END || '|' || chr(10) ||
+               'It Should say "' || p_type || '" or `not this`' || chr(10) || 'correct: ' || CASE WHEN p_partkey % 4 = 0 THEN '"' || repeat('y', 120) || '"' ELSE '` c_' || CAST(p_size AS STRING) || ' `' END AS answers, p_size, p_brand, p_type FROM part"""),
+    "fx_request_ids": (("conversations",), """
+        SELECT conv_id, CASE conv_id % 5 WHEN 0 THEN 'dynamic__task_01__terse__000' || CAST(conv_id AS STRING) WHEN 1 THEN 'dynamic__task_02' WHEN 2 THEN 'topup____terse__abc' WHEN 3 THEN 'gap__task_03__terse__7__extra' ELSE 'plain' END AS custom_id
+        FROM (SELECT DISTINCT conv_id FROM conversations) c"""),
+    "fx_blob_log": (("fx_bench",), """
+        SELECT version AS run_id, 4 * CAST(right(task_id, 2) AS INT) + part AS line_no, line FROM (
+          SELECT version, task_id, 0 AS part, 'INFO {"' || task_id || '": 0.125, "other": 2} {"' || task_id || '_x": 1} done' AS line FROM fx_bench
+          UNION ALL SELECT version, task_id, 1, '{"task_99": 0.5} then {"a": 1, "' || task_id || '": ' || CAST(CAST(floor(score * 100) AS INT) AS STRING) || '}' FROM fx_bench WHERE CAST(right(task_id, 2) AS INT) % 3 = 0
+          UNION ALL SELECT version, task_id, 2, '{"' || task_id || '": null}' FROM fx_bench WHERE CAST(right(task_id, 2) AS INT) % 4 = 0
+          UNION ALL SELECT version, task_id, 3, 'cut {"' || task_id || '": 0.9' FROM fx_bench WHERE CAST(right(task_id, 2) AS INT) % 5 = 0) t"""),
     "fx_causes": (("nation", "region"), "SELECT r_regionkey AS diagnosis_id, r_name AS cause, 'fix ' || lower(r_name) AS fix, 'task_' || lpad(CAST(n_nationkey % 23 AS STRING), 2, '0') AS task_id FROM nation JOIN region ON n_regionkey = r_regionkey"),
     "fx_fixes": (("nation",), "SELECT 'task_' || lpad(CAST(n_nationkey % 23 AS STRING), 2, '0') AS task_id, 'regenerate' AS action, 'reason ' || lower(n_name) AS reason FROM nation WHERE n_nationkey % 3 = 0"),
     "fx_targets": (("fx_bench", "fx_snapshot"), """

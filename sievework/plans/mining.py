@@ -61,6 +61,13 @@ def p29(spark, d):
     return lg.scores_of_blobs(log, rd.task_table(spark))
 
 
+@query("p29_blobs_of_many_shapes", sql("fx_bench", """
+  SELECT version AS run_id, task_id, CASE WHEN CAST(right(task_id, 2) AS INT) % 3 = 0 THEN floor(score * 100)::DOUBLE ELSE 0.125::DOUBLE END AS score FROM fx_bench"""))
+def p29_many_shapes(spark, d):
+    """Two objects on a line, later lines, nulls, unknown tasks and objects that are cut off."""
+    return lg.scores_of_blobs(fx(spark, d, "fx_blob_log"), rd.task_table(spark))
+
+
 @query("p30_resolve_task_prefix", """WITH n AS (SELECT DISTINCT 'task_' || CAST(p_partkey % 40 AS VARCHAR) AS name FROM part), r AS (SELECT 'task_' || lpad(CAST(i AS VARCHAR), 2, '0') AS task_id FROM range(0, 23) t(i)),
   m AS (SELECT name, count(*) AS c, min(task_id) AS first_id, bool_or(task_id = name) AS exact FROM n JOIN r ON starts_with(task_id, name) GROUP BY name) SELECT name, CASE WHEN exact THEN name ELSE first_id END AS task_id FROM m WHERE c = 1 OR exact""")
 def p30(spark, d):
@@ -180,6 +187,29 @@ def p24(spark, d):
     return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("doc_id"), F.array_join(ps.expected_values(body), "|").alias("vals"))
 
 
+@query("p22_sections_of_many_shapes", sql("fx_taskdocs_mixed", """
+  SELECT doc_id, 'prompt' AS heading, CASE WHEN doc_id % 5 = 0 THEN 'Again, create "other_' || p_size || '.csv".' ELSE 'Save the list as `file_' || p_size || '.txt`.' || CASE WHEN doc_id % 6 = 0 THEN chr(10) || '#### Notes' || chr(10) || 'keep # this' ELSE '' END END AS content FROM fx_taskdocs_mixed
+  UNION ALL SELECT doc_id, 'expected  behavior', CASE doc_id % 8 WHEN 0 THEN '**Output**: `http://host/a.txt`' WHEN 1 THEN '**File**: `dir/b b.txt`' ELSE '#none' END FROM fx_taskdocs_mixed
+  UNION ALL SELECT doc_id, 'empty', '' FROM fx_taskdocs_mixed WHERE doc_id % 7 = 0"""))
+def p22_many_shapes(spark, d):
+    """With and without front matter, headings of three levels, repeated (the last counts), empty, and deeper ones that are content."""
+    return ps.sections(fx(spark, d, "fx_taskdocs_mixed"))
+
+
+@query("p23_files_of_many_shapes", sql("fx_taskdocs_mixed", """
+  SELECT doc_id, concat_ws('|', 'file_' || p_size || '.txt', CASE WHEN doc_id % 5 = 0 THEN 'other_' || p_size || '.csv' END, CASE WHEN doc_id % 8 = 1 THEN 'dir/b b.txt' END) AS files FROM fx_taskdocs_mixed"""))
+def p23_many_shapes(spark, d):
+    """One to three files in the patterns' order, each once; an address is none."""
+    return fx(spark, d, "fx_taskdocs_mixed").select("doc_id", F.array_join(ps.expected_files(F.col("body")), "|").alias("files"))
+
+
+@query("p24_values_of_many_shapes", sql("fx_taskdocs_mixed", """
+  SELECT doc_id, concat_ws('|', p_size::VARCHAR, CASE WHEN doc_id % 3 <> 0 THEN p_brand END, p_type, CASE WHEN doc_id % 4 <> 0 THEN 'c_' || p_size END) AS vals FROM fx_taskdocs_mixed"""))
+def p24_many_shapes(spark, d):
+    """A table's head and rule, cells of dashes and quotes of 100 letters or more are no values."""
+    return fx(spark, d, "fx_taskdocs_mixed").select("doc_id", F.array_join(ps.expected_values(F.col("answers")), "|").alias("vals"))
+
+
 @query("p25_map_task_ids", sql("fx_taskdocs", " SELECT doc_id, CASE WHEN id = 'task_29' THEN 'task_00' WHEN id = 'task_28' THEN 'task_01' ELSE id END AS task_id FROM (SELECT doc_id, regexp_extract(body, 'id: (task_[0-9]+)', 1) AS id FROM fx_taskdocs) t"))
 def p25(spark, d):
     docs = fx(spark, d, "fx_taskdocs").select("doc_id", ps.front_matter(F.col("body"))["id"].alias("task_id"))
@@ -191,6 +221,14 @@ def p26(spark, d):
     return fx(spark, d, "fx_generated").select("custom_id", *[c.alias(k) for k, c in ps.request_id(F.col("custom_id")).items()])
 
 
+@query("p26_request_ids_of_many_shapes", sql("fx_request_ids", """
+  SELECT conv_id, CASE conv_id % 5 WHEN 2 THEN 'topup' WHEN 3 THEN 'gap' WHEN 4 THEN 'plain' ELSE 'dynamic' END AS kind, CASE conv_id % 5 WHEN 0 THEN 'task_01' WHEN 1 THEN 'task_02' WHEN 2 THEN '' WHEN 3 THEN 'task_03' END AS task_id,
+    CASE WHEN conv_id % 5 IN (0, 2, 3) THEN 'terse' END AS variation_id, CASE conv_id % 5 WHEN 0 THEN CAST(conv_id AS INT) WHEN 3 THEN 7 END AS request_no FROM fx_request_ids"""))
+def p26_many_shapes(spark, d):
+    """Ids with one to five parts, an empty one, and a number that is none."""
+    return fx(spark, d, "fx_request_ids").select("conv_id", *[c.alias(k) for k, c in ps.request_id(F.col("custom_id")).items()])
+
+
 @query("p34_flatten_diagnosis", sql("fx_causes fx_fixes", """, a AS (SELECT task_id, string_agg(cause, '; ' ORDER BY diagnosis_id) AS root_cause, string_agg(fix, '; ' ORDER BY diagnosis_id) AS fix FROM (SELECT DISTINCT * FROM fx_causes) GROUP BY task_id), b AS (SELECT task_id, arg_max(action, reason) AS action, max(reason) AS reason FROM fx_fixes GROUP BY task_id)
   SELECT coalesce(a.task_id, b.task_id) AS task_id, coalesce(root_cause, reason) AS root_cause, coalesce(fix, 'Action: ' || action) AS fix, coalesce(reason, '') AS reason, action FROM a FULL JOIN b ON a.task_id = b.task_id"""))
 def p34(spark, d):
