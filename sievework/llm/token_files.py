@@ -14,7 +14,8 @@ partition, so a retried task replaces nothing half-written.
 
 Defined results: a null or empty text is the end id alone; null doc_ids come first; equal
 ids are ordered by a hash of their text; very long texts span as many rows as they need;
-an empty table gives an empty result.
+an empty table gives an empty result.  Ids are cast to long: an id that is text and no
+number fails the job (in Spark's ANSI mode, its default).
 """
 
 from __future__ import annotations
