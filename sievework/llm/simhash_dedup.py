@@ -43,6 +43,7 @@ COMMON = 4  # documents of the sample that hold a shingle before it is sorted la
 COMMON_LIMIT = 200_000  # shingles known to be common
 SLICE = 256  # rows whose shingles are held at once
 BLOCK = 500_000  # shingles in a block of a candidate group; a task holds two
+UNPACKED = 1 << 18  # shingles whose bits are unpacked at once
 
 
 # ---- fingerprints ------------------------------------------------------------------
@@ -75,6 +76,22 @@ def _shingle_spans(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np
     return data, s[order], e[order], r[order]
 
 
+def _majority(h: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, SimHash) of the rows that have hashes; ``r``, the row of each hash, is in order."""
+    first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+    ends = np.append(first[1:], len(r))
+    ones = np.zeros((len(first), 64), np.int64)
+    lo = 0
+    while lo < len(first):  # bounds the unpacked bits
+        a = first[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, a + UNPACKED, "right")))
+        bits = np.unpackbits(h[a : ends[hi - 1]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones[lo:hi] = np.add.reduceat(bits, first[lo:hi] - a, axis=0, dtype=np.int32)
+        lo = hi
+    major = np.packbits(2 * ones > (ends - first)[:, None], axis=1, bitorder="little")
+    return r[first], np.ascontiguousarray(major).view("<u8").ravel()
+
+
 def fingerprints(column: pa.Array, size: int) -> np.ndarray:
     """64-bit SimHash of each row over word shingles, repeats included; no words: 0."""
     out = np.zeros(len(column), np.uint64)
@@ -85,16 +102,8 @@ def fingerprints(column: pa.Array, size: int) -> np.ndarray:
             continue
         raw = data.tobytes()
         h = np.array([digest(raw[a:b], 42) for a, b in zip(s.tolist(), e.tolist(), strict=True)], np.uint64)
-        first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        total = np.diff(np.append(first, len(r)))
-        ones = np.zeros((len(first), 64), np.int64)
-        for lo in range(0, len(first), 256):  # bounds the unpacked bits
-            hi = min(lo + 256, len(first))
-            a, b = first[lo], first[hi] if hi < len(first) else len(r)
-            bits = np.unpackbits(h[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones[lo:hi] = np.add.reduceat(bits, first[lo:hi] - a, axis=0, dtype=np.int32)
-        major = np.packbits(2 * ones > total[:, None], axis=1, bitorder="little")
-        out[row + r[first]] = np.ascontiguousarray(major).view("<u8").ravel()
+        at, code = _majority(h, r)
+        out[row + at] = code
     return out
 
 
@@ -270,7 +279,7 @@ def near_duplicates(docs: DataFrame, columns: list[str], size: int = 4, radius:
     return join_heavy(rows, lookup, "fp", "_n", rows.count()).select(*[f"`{c}`" for c in columns], "fp", "component")
 
 
-# ---- the exact join of the pipeline -------------------------------------------------
+# ---- near copies of the pipeline: the index, an exact check, and the pairs beyond its radius ----
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +323,7 @@ def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def _with_prefix(keyed: DataFrame, size: int, common: np.ndarray) -> DataFrame:
-    """_id, _h, ``node`` (digest of the shingle set), ``n`` (its size), ``prefix`` and ``common`` (how many of the prefix, its last ones, are common).
+    """_id, _h, ``node`` (digest of the shingle set), ``fp`` (its SimHash), ``n`` (its size), ``prefix`` and ``common`` (how many of the prefix, its last ones, are common).
 
     Two sets with a similarity of 0.8 share at least 0.8 n shingles of either, so whatever
     the order, the first n // 5 + 1 of one and of the other have one in common.
@@ -329,6 +338,10 @@ def _with_prefix(keyed: DataFrame, size: int, common: np.ndarray) -> DataFrame:
             ends = np.cumsum(n)
             raw = h.tobytes()
             node = np.array([xxhash.xxh64_intdigest(raw[8 * (e - k) : 8 * e], 7) if k else 0 for k, e in zip(n.tolist(), ends.tolist(), strict=True)], np.uint64)
+            fp = np.zeros(b.num_rows, np.uint64)
+            if len(h):
+                at, code = _majority(h, r)
+                fp[at] = code
             rank = np.zeros(len(h), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, h), len(known) - 1)
@@ -338,23 +351,33 @@ def _with_prefix(keyed: DataFrame, size: int, common: np.ndarray) -> DataFrame:
             first, late = h[order], np.bincount(r[order], rank[order] > 0, minlength=b.num_rows).astype(np.int64)
             cuts = np.concatenate([[0], np.cumsum(np.where(n > 0, n // 5 + 1, 0))]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(first.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node.view(np.int64)), pa.array(n.astype(np.int64)), prefix, pa.array(late)], ["_id", "_h", "node", "n", "prefix", "common"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(n.astype(np.int64)), prefix, pa.array(late)], ["_id", "_h", "node", "fp", "n", "prefix", "common"])
+
+    return keyed.select("_id", "_h", "_text").mapInArrow(giving_back(run), f"_id {keyed.schema['_id'].dataType.simpleString()}, _h long, node long, fp long, n long, prefix array<long>, common long")
+
 
-    return keyed.select("_id", "_h", "_text").mapInArrow(giving_back(run), f"_id {keyed.schema['_id'].dataType.simpleString()}, _h long, node long, n long, prefix array<long>, common long")
+def _index_links(sets: DataFrame, radius: int) -> DataFrame:
+    """(a, b): sets to the representative of their fingerprint, and those along the links of the Gray-order index."""
+    codes = written(sets.groupBy("fp").agg(F.min("node").alias("b"), F.count("*").alias("_c")), "codes")
+    own = join_heavy(sets.select("fp", F.col("node").alias("a")), codes, "fp", "_c", sets.count()).select("a", "b")
+    one, two = (codes.select(F.col("fp").alias(c), F.col("b").alias("n" + c)) for c in "ab")
+    near = hamming_links(codes.select("fp"), radius).distinct().join(one, "a").join(two, "b").select("na", "nb")
+    return own.union(near).where("a <> b").distinct()
 
 
 def _candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b), and chains (a, b) of sets to be compared among each other; with them, all pairs with a similarity of 0.8.
+    """Pairs (a, b), and chains (a, b) of sets to be compared among each other; with them and the links that gave ``root``, all components at 0.8.
 
-    Such sets differ in at most a ninth of their sizes' sum.  Pairs that meet in a shingle not
+    Sets of one ``root`` are joined already and do not meet again.  Sets with a similarity of
+    0.8 differ in at most a ninth of their sizes' sum.  Pairs that meet in a shingle not
     known as common are counted, and go where their prefixes alone differ in more: up to the
     lesser of the prefixes' ends all of that prefix is seen, and the other up to its last shared place.
     Common shingles are only left in prefixes of sets that have little else; those are chained.
     """
-    held = sets.select("node", "n", "common", F.size("prefix").alias("p"), F.posexplode("prefix").alias("at", "g"))
-    rare = held.where("at < p - common").select("g", "node", "n", "common", "p", "at")
+    held = sets.select("node", "root", "n", "common", F.size("prefix").alias("p"), F.posexplode("prefix").alias("at", "g"))
+    rare = held.where("at < p - common").select("g", "node", "root", "n", "common", "p", "at")
     one, two = (rare.select("g", *[F.col(c).alias(c + k) for c in rare.columns[1:]]) for k in "12")
-    met = one.join(two, "g").where("node1 < node2 AND 5 * least(n1, n2) >= 4 * greatest(n1, n2)")
+    met = one.join(two, "g").where("node1 < node2 AND root1 <> root2 AND 5 * least(n1, n2) >= 4 * greatest(n1, n2)")
     same = [F.first(c + k).alias(c + k) for k in "12" for c in ("n", "common", "p")]
     met = met.groupBy("node1", "node2").agg(F.count("*").alias("both"), F.max("at1").alias("at1"), F.max("at2").alias("at2"), *same)
     met = met.where("9 * (least(p1 + at2 + 1, at1 + 1 + p2) - 2 * (both + least(common1, common2))) <= n1 + n2")
@@ -385,6 +408,10 @@ def _whole_sets(keyed: DataFrame, sets: DataFrame, nodes: DataFrame, size: int)
     return texts.mapInArrow(giving_back(run), "node long, grams array<long>").dropDuplicates(["node"])
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
 def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """The pairs whose sets have a similarity of 0.8, by intersection."""
     a, b = whole.toDF("a", "ga"), whole.toDF("b", "gb")
@@ -392,8 +419,8 @@ def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return both.where("5 * both >= 4 * (na + nb - both)").select("a", "b")
 
 
-def _pair_links(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """Links whose components are those of all true pairs.
+def _pair_links(pairs: DataFrame, whole: DataFrame, found: DataFrame) -> DataFrame:
+    """Links that with those ``found`` before have the components of all true pairs.
 
     First each node's first pair (in the order of a hash) is verified; pairs inside the
     components that this gives need no look, so a group of near copies costs as many
@@ -403,7 +430,7 @@ def _pair_links(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     firsts = [pairs.groupBy(k).agg(F.min_by(F.struct("a", "b"), order).alias("p")).select("p.a", "p.b") for k in "ab"]
     chosen = written(firsts[0].union(firsts[1]).distinct(), "first-pairs")
     sure = written(_verified(chosen, whole), "links")
-    label = written(connected_components(sure), "labels")
+    label = written(connected_components(sure.union(found)), "labels")
     la, lb = label.toDF("a", "ra"), label.toDF("b", "rb")
     open_ = pairs.join(la, "a", "left").join(lb, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
     rest = written(_verified(written(open_.join(chosen, ["a", "b"], "left_anti"), "open-pairs"), whole), "links")
@@ -487,13 +514,15 @@ def _group_links(keyed: DataFrame, sets: DataFrame, chains: DataFrame, size: int
     return texts.repartition("part").sortWithinPartitions("part").mapInArrow(giving_back(_similar_links(size)), "a long, b long")
 
 
-def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str = "text", block: int = BLOCK, radius: int = RADIUS) -> DataFrame:
     """The input without near copies: of each group the row with the least id stays (a null id only if no other).
 
     Groups are the components of all pairs whose sets of ``size``-word shingles have a Jaccard
-    similarity of 0.8 or more.  Candidate pairs are found from prefixes of the sets and
-    verified by intersection; sets that hold little but very common shingles are compared
-    group by group, in parts of two blocks of about ``block`` shingles.  Of equal rows one stays.
+    similarity of 0.8 or more.  SimHash fingerprints of the sets go through the Gray-order
+    index, and its links within ``radius`` bits are verified by intersection.  Pairs of 0.8 that no
+    such radius is sure to reach are completed exactly between the components found so far: candidates from
+    prefixes of the sets, verified alike; sets that hold little but very common shingles are
+    compared group by group, in parts of two blocks of about ``block`` shingles.  Of equal rows one stays.
 
     Defined results: texts without words are equal to each other; case of A-Z and white space do
     not matter; an empty table gives an empty result; columns are the input's whatever their names.
@@ -503,11 +532,19 @@ def keep_one(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text: str =
     keyed = docs.select(row, F.col(f"`{id_col}`").alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"), F.col(text).alias("_text"))
     first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("_id"), F.col("_h").alias("_h")))
     rows = _with_prefix(keyed, size, _common_shingles(keyed.select("_h", "_text"), size))
-    sets = written(rows.groupBy("node").agg(first.alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("common").alias("common")), "sets")
+    values = [F.first(c).alias(c) for c in ("fp", "n", "prefix", "common")]
+    distinct = written(rows.groupBy("node").agg(first.alias("best"), *values), "distinct-sets")
+
+    near = written(_index_links(distinct, radius), "index-links")
+    whole = written(_whole_sets(keyed, distinct, _ends(near), size), "whole-sets")
+    found = written(_verified(near, whole), "near-links")
+    label = written(connected_components(found), "near-labels")
+    sets = written(distinct.join(label, "node", "left").withColumn("root", F.coalesce("root", "node")), "sets")
+    discard(distinct, near, whole, label)
 
     pairs, chains = (written(x, "candidates") for x in _candidates(sets))
-    whole = written(_whole_sets(keyed, sets, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), size), "whole-sets")
-    links = _pair_links(pairs, whole)
+    whole = written(_whole_sets(keyed, sets, _ends(pairs), size), "whole-sets")
+    links = found.union(_pair_links(pairs, whole, found))
     if not chains.isEmpty():
         links = links.union(_group_links(keyed, sets, chains, size, block))
     comps = written(connected_components(links), "components")

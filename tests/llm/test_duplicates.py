@@ -145,6 +145,41 @@ def test_keep_one_is_the_join_at_080(spark, block):
     assert sorted(r["doc_id"] for r in s.keep_one(docs(spark, rows), block=block).collect()) == want
 
 
+def set_fingerprint(grams):
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
+
+
+def test_keep_one_takes_its_links_from_the_index(spark, monkeypatch):
+    words = [f"w{i * 7919 % 3001}" for i in range(900)]
+    rows = [(i, " ".join([*words[: 90 * i], "edit", *words[90 * i :]])) for i in range(5)]
+    rows += [(9, " ".join(words[:450] + [f"z{i}" for i in range(450)]))]
+    seen = []
+    links = s.hamming_links
+
+    def recorded(codes, *a):
+        seen.extend(r["fp"] & (1 << 64) - 1 for r in codes.collect())
+        return links(codes, *a)
+
+    monkeypatch.setattr(s, "hamming_links", recorded)
+    monkeypatch.setattr(s, "_candidates", lambda sets: (spark.createDataFrame([], "a long, b long"),) * 2)
+    assert sorted(r["doc_id"] for r in s.keep_one(docs(spark, rows)).collect()) == [0, 9]
+    w = [t.split() for _, t in rows]
+    assert sorted(seen) == sorted({set_fingerprint({" ".join(x[i : i + 5]) for i in range(len(x) - 4)}) for x in w})
+
+
+def test_keep_one_checks_the_links_of_the_index(spark):
+    rows = jaccard_rows()
+    for radius in (1, 16):  # few links, and many below 0.8
+        assert sorted(r["doc_id"] for r in s.keep_one(docs(spark, rows), radius=radius).collect()) == brute_kept(rows)
+
+
+def test_joined_sets_do_not_meet_again(spark):
+    one = [(k, root, 5, 0, [1, 2]) for k, root in ((1, 1), (2, 1), (3, 3))]
+    sets = spark.createDataFrame(one, "node long, root long, n long, common long, prefix array<long>")
+    assert sorted(tuple(r) for r in s._candidates(sets)[0].collect()) == [(1, 3), (2, 3)]
+
+
 def brute_repeats(rows, match=200):
     raw = [(t or "").encode() for _, t in rows]
     seen = Counter(b[i : i + match] for b in raw for i in range(len(b) - match + 1))
