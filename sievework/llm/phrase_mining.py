@@ -7,15 +7,17 @@ position, and a table G_k of those phrases with their counts (Houtsma and Swami,
   distinct words, and one 32-bit number for each position in piece order, -1 between pieces.
 * G_k: Spark groups and sums the phrases, counted inside each block before they are moved,
   and keeps the frequent ones, each with a number of its own.
-* R_k is semi-joined with G_k on the phrases of each block (not on every occurrence), and
-  written with the infrequent positions as -1.
+* R_k keeps the phrases of G_k, and is written with the infrequent positions as -1.  The words
+  of each block (not every occurrence) are semi-joined with G_1.  From two words on nothing is
+  joined: the places of a phrase in its blocks are sorted together and counted as one group,
+  and those of a frequent group stay, as SETM does it.
 * R_k merge-joined with itself on piece and adjacent position gives the candidates of level
   k + 1: blocks are sorted, so a position meets the next one by a single scan.  A longer
   phrase is the pair of numbers of its first and its last k words.
 
 Nothing whole passes through one task: a block is bounded by ``BLOCK_BYTES`` (or one text),
-grouping and joining are Spark's, and G_k is broadcast only when its counted rows are at most
-``BROADCAST_ROWS``; beyond it the same join is a shuffle join.
+grouping and joining are Spark's, a group has one row for each block, and G_1 is broadcast only
+when its counted rows are at most ``BROADCAST_ROWS``; beyond it the same join is a shuffle join.
 
 Defined results: null and empty texts have no words; a null language is ``und``; phrases never
 cross pieces or texts; equal scores go by count and then by phrase; repeated rows count as
@@ -45,6 +47,7 @@ _GAP = _PIECE.copy()
 _GAP[[0x20, 0x09]] = True
 _OCCURRENCES = "block long, lang string, n_words long, words array<string>, counts array<long>, seq binary"
 _LEVEL = "block long, lang string, seq binary, ids array<long>"
+_CANDIDATES = "block long, place long, left long, right long, n long"
 
 
 def _numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
@@ -109,37 +112,17 @@ def _pairs(seq: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return at, left * k + right
 
 
-def _level(batch: pa.RecordBatch) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
-    """Rows of a level: block, language, the sequence of places in ``ids``, ids."""
-    for i in range(batch.num_rows):
-        seq = np.frombuffer(batch.column("seq")[i].as_buffer(), "<i4")
-        yield batch.column("block")[i].as_py(), batch.column("lang")[i].as_py(), seq, batch.column("ids")[i].values.to_numpy(zero_copy_only=False)
-
-
-def _pieces(columns: dict[str, np.ndarray], fixed: dict[str, object], rows: int = 1 << 17) -> Iterator[pa.RecordBatch]:
-    """Record batches of bounded size; ``fixed`` columns have one value."""
-    n = len(next(iter(columns.values())))
-    for at in range(0, n, rows):
-        part = {c: pa.array(v[at : at + rows], pa.int64()) for c, v in columns.items()}
-        size = min(rows, n - at)
-        yield pa.RecordBatch.from_pydict({**{c: pa.array([v] * size) if isinstance(v, str) else pa.array(np.full(size, v)) for c, v in fixed.items()}, **part})
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates of the next level with their counts in each block."""
+def _candidates(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """Candidates of the next level: the distinct pairs of each block by their place in it, with their counts."""
     for batch in batches:
-        for _, lang, seq, ids in _level(batch):
-            _, code = _pairs(seq, len(ids))
-            u, n = np.unique(code, return_counts=True)
-            yield from _pieces({"left": ids[u // max(len(ids), 1)], "right": ids[u % max(len(ids), 1)], "n": n}, {"lang": lang})
-
-
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct candidates of each block, by their place in it."""
-    for batch in batches:
-        for block, _, seq, ids in _level(batch):
-            u = np.unique(_pairs(seq, len(ids))[1])
-            yield from _pieces({"place": np.arange(len(u)), "left": ids[u // max(len(ids), 1)], "right": ids[u % max(len(ids), 1)]}, {"block": block})
+        for i in range(batch.num_rows):
+            seq = np.frombuffer(batch.column("seq")[i].as_buffer(), "<i4")
+            ids = batch.column("ids")[i].values.to_numpy(zero_copy_only=False)
+            u, n = np.unique(_pairs(seq, len(ids))[1], return_counts=True)
+            for at in range(0, len(u), rows):
+                code = u[at : at + rows]
+                columns = [np.full(len(code), batch.column("block")[i].as_py()), np.arange(at, at + len(code)), ids[code // len(ids)], ids[code % len(ids)], n[at : at + rows]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["block", "place", "left", "right", "n"])
 
 
 def _recoded(pairs: bool):
@@ -172,18 +155,32 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> DataFrame:
-    """G_k: (lang, keys, f, id) of the phrases with at least ``least`` occurrences."""
-    g = rows.groupBy("lang", *keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    """G_k: (keys, f, id) of the phrases with at least ``least`` occurrences."""
+    g = rows.groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     return written(g.withColumn("id", F.monotonically_increasing_id()), label)
 
 
-def _semi_join(members: DataFrame, groups: DataFrame, keys: list[str], level: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Each block of a level with ``kept``: the places of its frequent phrases and their ids."""
+def _frequent_places(rows: DataFrame, least: int, label: str) -> DataFrame:
+    """G_k with its places in R_k: (block, place, left, right, f, id, first), the candidates of each block that are frequent.
+
+    A phrase is named by the least number of its rows, and ``first`` marks that row.
+    """
+    phrase = Window.partitionBy("left", "right")
+    counted = rows.withColumn("_row", F.monotonically_increasing_id()).withColumns({"f": F.sum("n").over(phrase), "id": F.min("_row").over(phrase)})
+    return _stored(counted.where(F.col("f") >= least).select("block", "place", "left", "right", "f", "id", (F.col("_row") == F.col("id")).alias("first")), label)
+
+
+def _semi_join(members: DataFrame, groups: DataFrame, keys: list[str], broadcast_rows: int) -> DataFrame:
+    """(block, place, id) of the members that are in G_k."""
     g = groups.select(*keys, "id")
     if g.count() <= broadcast_rows:
         g = F.broadcast(g)
-    kept = members.join(g, keys).groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("kept"))
-    return level.join(kept, "block")
+    return members.join(g, keys)
+
+
+def _with_kept(level: DataFrame, places: DataFrame) -> DataFrame:
+    """Each block of a level with ``kept``: the places of its frequent phrases and their ids."""
+    return level.join(places.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("kept")), "block")
 
 
 def frequent_phrases(docs: DataFrame, max_words: int = 3, least: int = 10, text: str = "text", lang: str = "lang", broadcast_rows: int = BROADCAST_ROWS) -> tuple[list[DataFrame], DataFrame]:
@@ -198,22 +195,28 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, least: int = 10, text:
     level = _stored(source.mapInArrow(giving_back(_blocks), _OCCURRENCES), "occurrences-1")
     n = written(level.groupBy("lang").agg(F.sum("n_words").alias("n")), "words")
     words = level.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("_w")).select("lang", F.col("_w.words").alias("phrase"), F.col("_w.counts").alias("n"))
-    g = _frequent(words, ["phrase"], least, "groups-1")
+    g = _frequent(words, ["lang", "phrase"], least, "groups-1")
     found = [g.select("lang", "id", "phrase", F.col("phrase").alias("last"), "f", F.array("f").alias("pre"), F.array("f").alias("suf"), F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"))]
     members = level.select("block", "lang", F.posexplode("words").alias("place", "phrase"))
-    joined = _semi_join(members, g, ["lang", "phrase"], level.select("block", "lang", "seq"), broadcast_rows)
+    joined = _with_kept(level.select("block", "lang", "seq"), _semi_join(members, g, ["lang", "phrase"], broadcast_rows))
+    spent = [level]
     for k in range(2, max_words + 1):
-        before, level = level, _stored(joined.mapInArrow(giving_back(_recoded(pairs=k > 2)), _LEVEL), f"occurrences-{k - 1}")
-        discard(before)
-        g = _frequent(level.mapInArrow(giving_back(_counted), "lang string, left long, right long, n long"), ["left", "right"], least, f"groups-{k}")
-        one = found[-1].select(F.col("id").alias("left"), F.col("phrase").alias("_head"), F.col("pre").alias("_pre"))
+        level = _stored(joined.mapInArrow(giving_back(_recoded(pairs=k > 2)), _LEVEL), f"occurrences-{k - 1}")
+        discard(*spent)
+        spent = [level]
+        rows = level.mapInArrow(giving_back(_candidates), _CANDIDATES)
+        if k < max_words:
+            places = _frequent_places(rows, least, f"places-{k}")
+            spent.append(places)
+            joined = _with_kept(level, places)
+            g = places.where("first").select("left", "right", "f", "id")
+        else:
+            g = _frequent(rows, ["left", "right"], least, f"groups-{k}")
+        one = found[-1].select("lang", F.col("id").alias("left"), F.col("phrase").alias("_head"), F.col("pre").alias("_pre"))
         two = found[-1].select(F.col("id").alias("right"), "last", F.col("suf").alias("_suf"))
         whole = g.join(one, "left").join(two, "right")
         found.append(written(whole.select("lang", "id", F.concat_ws(" ", "_head", "last").alias("phrase"), "last", "f", F.concat("_pre", F.array("f")).alias("pre"), F.concat("_suf", F.array("f")).alias("suf"), "left", "right"), f"phrases-{k}"))
-        if k < max_words:
-            members = level.mapInArrow(giving_back(_distinct), "block long, place long, left long, right long")
-            joined = _semi_join(members, g, ["left", "right"], level, broadcast_rows)
-    discard(level)
+    discard(*spent)
     return found, n
 
 

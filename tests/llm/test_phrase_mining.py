@@ -79,3 +79,22 @@ def test_edges(spark):
     rows = [(t, "en") for _, t in TEXTS]
     assert sorted(tuple(r) for r in pm.collocations(docs(spark)).collect()) == brute(rows)
     assert pm.collocations(frame(spark, [(None, None), ("one", "en"), ("...", "fr")])).count() == 0
+
+
+def test_phrases_of_a_block_are_not_joined_with_their_groups(spark, monkeypatch):
+    monkeypatch.setattr(pm, "BLOCK_BYTES", 200)
+    rows, kind, seen = frame(spark, ROWS), type(spark.range(0)), []
+    join = kind.join
+    monkeypatch.setattr(kind, "join", lambda self, other, on=None, *how: seen.append(on) or join(self, other, on, *how))
+    found, _ = pm.frequent_phrases(rows, max_words=4, least=3)
+    assert seen and ["left", "right"] not in seen
+    for g in found:
+        assert len({r["id"] for r in g.collect()}) == g.count() > 0
+
+
+def test_places_of_frequent_candidates_stay(spark):
+    n = {(1, 2): [6, 4], (2, 1): [9], (1, 3): [10], (2, 3): [1] * 10, (3, 2): [3, 3, 3]}
+    rows = [(block, 10 * left + right, left, right, c) for (left, right), counts in n.items() for block, c in enumerate(counts)]
+    got = pm._frequent_places(spark.createDataFrame(rows, pm._CANDIDATES).repartition(5), 10, "places").collect()
+    assert sorted((r["block"], r["place"], r["left"], r["right"], r["f"]) for r in got) == sorted((*r[:4], 10) for r in rows if sum(n[r[2:4]]) >= 10)
+    assert {(r["left"], r["right"]) for r in got if r["first"]} == {(1, 2), (1, 3), (2, 3)} and sum(r["first"] for r in got) == len({r["id"] for r in got}) == 3
