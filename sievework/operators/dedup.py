@@ -1,15 +1,11 @@
 """Near duplicates by TF-IDF cosine and tool-set similarity inside each task.
 
-Rows are (example_id, pos, task_id, text, tools array<string>).  The similarity join is an
-equi-join on (task, term) with an exact prefix filter: terms go in one global order, most
-frequent first, and a document is indexed only by the terms from where its running norm
-reaches a cut a little below the threshold.  The products of shared indexed terms, plus
-what the skipped terms of the document that is cut earlier can add, bound a pair's cosine from above:
-only pairs whose bound reaches the threshold are verified, and no pair is lost.  Long
-posting lists are met in numbered blocks, so that a frequent term is no hot task.
+Rows are (example_id, pos, task_id, text, tools array<string>).  The similarity join
+(``similarity``) compares the vectors of a task in blocks, by products of sketches that bound
+a pair's cosine from above; what they leave is verified, and no pair is lost.
 Equal texts are folded to one representative before the join, so copies never multiply.
-Clusters take no list of all pairs: ``leader_scan`` finds leaders in batches of bounded
-work, and only leaders meet the rows behind their batch.
+Clusters take no list of all pairs: ``leader_scan`` counts a row's similar rows, and lists
+them only where there are few.
 """
 
 from __future__ import annotations
@@ -24,10 +20,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.io import stored
-from .aggregates import tool_jaccard
+from . import similarity as sim
 
-POSTINGS = 1000  # rows of a posting list in a block
-EPSILON = 1e-9  # so that the order of summation cannot flip a pair at the threshold
+POSTINGS = 1_000_000  # weights of a block of vectors
+LINKS = 100  # similar rows for each linked row, up to which they are listed
 
 
 def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[str, ...] | str = ()) -> DataFrame:
@@ -53,60 +49,25 @@ def tfidf_vectors(rows: DataFrame, max_features: int = 5000, stop_words: tuple[s
     return raw.select("task_id", "example_id", "term", (F.col("x") / norm).alias("w"))
 
 
-def numbered(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """(task_id, example_id, no, w, _skipped, _indexed): vectors with a number for each list of a task's term.
-
-    ``_indexed`` tells by which terms a document is found, ``_skipped`` is the norm of those before them.
-    """
-    cut = max(threshold - 0.04, 0.0)
-    freq = stored(vectors.groupBy("task_id", "term").agg(F.count("*").alias("df")).withColumn("no", F.monotonically_increasing_id()), "lists")
-    doc = Window.partitionBy("example_id")
-    before = doc.orderBy(F.desc("df"), "no").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = vectors.join(freq, ["task_id", "term"]).withColumn("_norm2", F.sum(F.col("w") * F.col("w")).over(before)).withColumn("_indexed", F.col("_norm2") >= cut * cut)
-    skipped = F.sqrt(F.coalesce(F.max(F.when(~F.col("_indexed"), F.col("_norm2"))).over(doc), F.lit(0.0)))
-    return stored(ordered.withColumn("_skipped", skipped).select("task_id", "example_id", "no", "w", "_skipped", "_indexed"), "vectors")
+def _packed(vectors: DataFrame, threshold: float, tool_threshold: float | None = None) -> DataFrame:
+    """Blocks of vectors, and what makes two of them similar."""
+    blocks = sim.packed(vectors, threshold, POSTINGS, tool_threshold is not None)
+    blocks._asked = threshold, tool_threshold
+    return blocks
 
 
 def _met(one: DataFrame, two: DataFrame | None) -> DataFrame:
-    """Postings of ``one`` beside those of ``two`` in the same list, or each pair of ``one`` once; long lists meet in numbered blocks."""
-    lists = lambda p, k: p.groupBy("no").agg(F.ceil(F.count("*") / POSTINGS).cast("int").alias(k), F.count("*").alias(f"{k}_n"))
-    mine = lambda p, k: p.withColumn("_mine", F.pmod(F.xxhash64("example_id"), F.col(k)).cast("int"))
-    side = lambda p, x, own, other, blocks: p.select("no", F.col("_mine").alias(own), F.explode(blocks).alias(other), F.col("example_id").alias(x), F.col("w").alias(f"w{x}"), F.col("_skipped").alias(f"s{x}"))
-    if two is None:
-        held = mine(one.join(lists(one, "_k").where("_k_n > 1"), "no"), "_k")
-        # a row meets every block of its list once: as the first of a pair of blocks or as the second
-        x, y = side(held, "x", "_i", "_j", F.sequence("_mine", F.col("_k") - 1)), side(held, "y", "_j", "_i", F.sequence(F.lit(0), "_mine"))
-        return x.join(y, ["no", "_i", "_j"]).where("x <> y AND (_i <> _j OR x < y)")
-    sizes = lists(one, "_k").join(lists(two, "_l"), "no")
-    x = side(mine(one.join(sizes, "no"), "_k"), "x", "_i", "_j", F.sequence(F.lit(0), F.col("_l") - 1))
-    y = side(mine(two.join(sizes, "no"), "_l"), "y", "_j", "_i", F.sequence(F.lit(0), F.col("_k") - 1))
-    return x.join(y, ["no", "_i", "_j"])
-
-
-def _similar(one: DataFrame, two: DataFrame | None, vectors: DataFrame, threshold: float) -> DataFrame:
-    """(task_id, a, b, cosine): pairs at or above the threshold, a < b within ``one``, or a of ``one`` and b of ``two``."""
-    t = threshold - EPSILON
-    met = _met(one, two)
-    first = F.col("x") < F.col("y") if two is None else F.lit(True)
-    pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
-    met = met.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("wx", "wy").alias("wa"), pick("wy", "wx").alias("wb"), pick("sx", "sy").alias("sa"), pick("sy", "sx").alias("sb"))
-    part = met.groupBy("a", "b").agg(
-        F.sum(F.col("wa") * F.col("wb")).alias("part"), F.sum(F.col("wa") * F.col("wa")).alias("qa"), F.sum(F.col("wb") * F.col("wb")).alias("qb"), F.max("sa").alias("sa"), F.max("sb").alias("sb")
-    )
-    # beyond the earlier cut one has its skipped norm and the other at most what the met terms leave of 1
-    left = lambda q: F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0 + EPSILON) - F.col(q)))
-    rest = F.greatest(F.col("sa") * left("qb"), F.col("sb") * left("qa"))
-    pairs = part.where(F.col("part") + rest >= t).select("a", "b")
-    va = vectors.select("task_id", F.col("example_id").alias("a"), "no", F.col("w").alias("wa"))
-    vb = vectors.select(F.col("example_id").alias("b"), "no", F.col("w").alias("wb"))
-    dots = pairs.join(va, "a").join(vb, ["b", "no"]).groupBy("task_id", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
-    return dots.where(F.col("cosine") >= t)
+    """(task_id, a, b, cosine): similar pairs, a < b within the blocks of ``one``, or a of ``one`` and b of ``two``."""
+    return sim.pairs(one, two, *one._asked)
 
 
 def cosine_pairs(vectors: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(task_id, a, b, cosine) with a < b, of all pairs at or above the threshold; exact."""
-    v = numbered(vectors, threshold)
-    return _similar(v.where("_indexed"), None, v, threshold)
+    terms = vectors.groupBy("task_id", "term").agg(F.count("*").alias("df"))
+    numbers = terms.select("task_id", "term", (F.row_number().over(Window.partitionBy("task_id").orderBy(F.desc("df"), "term")) - 1).alias("no"))
+    lists = vectors.join(numbers, ["task_id", "term"]).groupBy("task_id", "example_id").agg(F.sort_array(F.collect_list(F.struct("no", "w"))).alias("v"))
+    rows = lists.select("task_id", "example_id", F.col("example_id").alias("pos"), F.expr("cast(null as array<string>)").alias("tools"), F.col("v.no").alias("no"), F.col("v.w").alias("w"))
+    return _met(_packed(sim.written(rows, "vectors"), threshold), None)
 
 
 def fold_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -119,21 +80,17 @@ def fold_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _prepared(rows: DataFrame, how: dict) -> tuple[DataFrame, DataFrame]:
-    """Representatives with their tools, and their vectors; counts and idf are over all rows."""
+    """Representatives with their tools, and those that have a vector with it; counts and idf are over all rows."""
     reps = stored(fold_copies(rows)[0].select("task_id", "example_id", "pos", "tools"), "representatives")
-    vectors = tfidf_vectors(rows, **how)
-    return reps, vectors.join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w")
-
+    return reps, sim.term_rows(rows, reps, **how)
 
-def _same_tools(pairs: DataFrame, reps: DataFrame, tool_threshold: float) -> DataFrame:
-    ta, tb = reps.select(F.col("example_id").alias("a"), F.col("tools").alias("_ta")), reps.select(F.col("example_id").alias("b"), F.col("tools").alias("_tb"))
-    return pairs.join(ta, "a").join(tb, "b").where(tool_jaccard(F.col("_ta"), F.col("_tb")) >= tool_threshold).select("task_id", "a", "b", "cosine")
 
-
-def duplicate_pairs(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, **how) -> DataFrame:
-    """(task_id, a, b, cosine) of representatives whose texts and tool sets are both similar."""
-    reps, vectors = _prepared(rows, how)
-    return _same_tools(cosine_pairs(vectors, threshold), reps, tool_threshold)
+def duplicate_pairs(rows: DataFrame, threshold: float = 0.85, tool_threshold: float | None = 0.8, **how) -> DataFrame:
+    """(task_id, a, b, cosine) of representatives whose texts and tool sets are both similar; any tool sets if ``tool_threshold`` is None."""
+    vectors = _prepared(rows, how)[1]
+    blocks = _packed(vectors, threshold, tool_threshold)
+    sim.discard(vectors)
+    return _met(blocks, None)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,57 +160,46 @@ def leader_clusters(nodes: DataFrame, edges: DataFrame, finish_edges: int = 200_
     return nodes.select("example_id").join(own.withColumnRenamed("v", "example_id"), "example_id", "left").select("example_id", F.coalesce("leader", "example_id").alias("leader"))
 
 
-_PARTS = (0.0, *(0.5**k for k in range(20, -1, -1)))  # of a task's open rows, as the first of them by pos
-
-
-def _batches(open_: DataFrame, index: DataFrame, budget: float) -> DataFrame:
-    """(task_id, upto): the greatest pos up to which the open rows of a task may all meet each other.
-
-    The rows that a join of the first rows would make are counted, by the sizes of their
-    posting lists, for ``_PARTS`` of the task; the largest within the budget is taken,
-    which is at least the first row.
-    """
-    cuts = open_.groupBy("task_id").agg(F.percentile_approx("pos", list(_PARTS), 10_000).alias("_cuts"))
-    upto = [F.count(F.when(F.col("pos") <= F.get("_cuts", k), 1)).alias(f"c{k}") for k in range(len(_PARTS))]
-    sizes = index.join(cuts, "task_id").groupBy("task_id", "no").agg(*upto)
-    made = [F.sum(F.col(f"c{k}") * (F.col(f"c{k}") - 1) / 2).alias(f"m{k}") for k in range(len(_PARTS))]
-    made = sizes.groupBy("task_id").agg(*made, F.sum(f"c{len(_PARTS) - 1}").alias("_rows"))
-    most = F.greatest(F.lit(float(budget)), F.col("_rows"))
-    best = F.coalesce(*[F.when(F.col(f"m{k}") <= most, F.get("_cuts", k)) for k in range(len(_PARTS) - 1, 0, -1)], F.get("_cuts", 0))
-    # a task without postings is one batch
-    return cuts.join(made, "task_id", "left").select("task_id", F.when(F.col("_rows").isNull(), F.get("_cuts", len(_PARTS) - 1)).otherwise(best).alias("upto"))
-
-
 def leader_scan(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, budget: float = 200_000, **how) -> DataFrame:
-    """(example_id, leader) of the representatives, as ``leader_clusters`` of ``duplicate_pairs`` gives it, without making all pairs.
+    """(example_id, leader) of the representatives, as ``leader_clusters`` of ``duplicate_pairs`` gives it, without listing all pairs.
 
-    The open rows of a task are taken in batches in order of pos, as long as the rows of
-    their join stay within the budget or the number of their postings, whichever is more.  A batch's pairs give its
-    leaders; these alone probe the later rows, and what they absorb never meets anything
-    again, so a group of k near copies costs about k comparisons.  The state of each
-    round is written to the shared folder.
+    A round counts the similar rows before and after each open row.  If there are at most
+    ``LINKS`` for each linked row, or ``budget``, they are listed and scanned.  Otherwise
+    the rows with none before them lead, what they reach is absorbed, and the others stay
+    open; a group of k near copies takes one round and lists nothing.  In the end each absorbed
+    row finds its first leader.  Every round settles at least the first open row of each task.
     """
-    reps, vectors = _prepared(rows, how)
-    vectors = numbered(vectors, threshold)
-    index = stored(vectors.where("_indexed").join(reps.select("example_id", "pos"), "example_id"), "index")
-    open_, led = reps.select("task_id", "example_id", "pos"), []
+    reps, open_ = _prepared(rows, how)
+    blocks, linked, gone = _packed(open_, threshold, tool_threshold), None, []
     while True:
-        live = index.join(open_.select("example_id"), "example_id", "left_semi")
-        marked = stored(open_.join(_batches(open_, live, budget), "task_id").withColumn("now", F.col("pos") <= F.col("upto")).select("task_id", "example_id", "pos", "now"), "open")
-        batch, rest = marked.where("now"), marked.where("NOT now")
-        now, later = index.join(batch.select("example_id"), "example_id", "left_semi"), index.join(rest.select("example_id"), "example_id", "left_semi")
-        pairs = _same_tools(_similar(now, None, vectors, threshold), reps, tool_threshold)
-        led.append(stored(leader_clusters(batch, pairs), "led"))
-        if rest.isEmpty():
+        links = sim.written(sim.link_counts(blocks, threshold, tool_threshold), "links")
+        sim.discard(blocks)
+        total, n = links.agg(F.coalesce(F.sum("before"), F.lit(0)), F.count("*")).first()
+        if not total:
             break
-        leaders = led[-1].where("example_id = leader").select("example_id")
-        hits = _same_tools(_similar(now.join(leaders, "example_id", "left_semi"), later, vectors, threshold), reps, tool_threshold)
-        by_pos = hits.join(batch.select(F.col("example_id").alias("a"), "pos"), "a")
-        led.append(stored(by_pos.groupBy(F.col("b").alias("example_id")).agg(F.min_by("a", F.struct("pos", "a")).alias("leader")), "led"))
-        open_ = rest.drop("now").join(led[-1].select("example_id"), "example_id", "left_anti").select("task_id", "example_id", "pos")
-        if open_.isEmpty():
+        open_ = sim.written(open_.join(links, "example_id"), "linked")
+        linked = linked or open_
+        if total <= max(budget, LINKS * n):
+            listed = sim.written(_met(_packed(open_.drop("before", "after"), threshold, tool_threshold), None), "pairs")
+            last = leader_clusters(open_.select("example_id", "pos"), listed)
+            if not gone:
+                return reps.select("example_id").join(last, "example_id", "left").select("example_id", F.coalesce("leader", "example_id").alias("leader"))
+            gone.append(last.where("leader <> example_id").select("example_id"))
             break
-    return reduce(DataFrame.union, led)
+        leads, others = open_.where("before = 0"), open_.where("before > 0")
+        blocks = [_packed(x.drop("before", "after"), threshold, tool_threshold) for x in (leads, others)]
+        absorbed = sim.written(sim.first_links(*blocks, threshold, tool_threshold), "absorbed").select("example_id")
+        for x in blocks:
+            sim.discard(x)
+        gone.append(absorbed)
+        open_ = sim.written(others.drop("before", "after").join(absorbed, "example_id", "left_anti"), "open")
+        blocks = _packed(open_, threshold, tool_threshold)
+    if not gone:
+        return reps.select("example_id", F.col("example_id").alias("leader"))
+    absorbed = sim.written(reduce(DataFrame.union, gone), "absorbed")
+    both = [_packed(linked.drop("before", "after").join(absorbed, "example_id", kind), threshold, tool_threshold) for kind in ("left_anti", "left_semi")]
+    led = sim.first_links(*both, threshold, tool_threshold)
+    return reps.select("example_id").join(led, "example_id", "left").select("example_id", F.coalesce("leader", "example_id").alias("leader"))
 
 
 def clusters(rows: DataFrame, threshold: float = 0.85, tool_threshold: float = 0.8, **how) -> DataFrame:
