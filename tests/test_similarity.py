@@ -103,3 +103,33 @@ def test_every_way_through_a_unit(tmp_path, monkeypatch, limits):
             assert {(i, j) for i, j, _ in found} == set(want) and len(found) == len(want) > 10
             assert all(abs(c - want[i, j]) < 1e-12 for i, j, c in found)
             assert {p for i, j, _ in sim._near(x, other, 0.5, least, False) for p in zip(i.tolist(), j.tolist(), strict=True)} == set(want)
+
+
+@pytest.mark.parametrize("links", [0, 1, 100])
+def test_rounds_of_leaders(spark, monkeypatch, links):
+    """Chains and groups; with few links allowed, leaders come in rounds."""
+    monkeypatch.setattr(dd, "LINKS", links)
+    r, rows = random.Random(links), []
+    words = [f"w{k}" for k in range(200)]
+    for g in range(6):
+        text = r.choices(words, k=30)
+        for _ in range(25):
+            text = [*text]
+            text[r.randrange(30)] = r.choice(words)
+            rows.append((len(rows), r.randrange(40), f"t{g % 2}", " ".join(text), ["a"] if r.random() < 0.8 else ["b"]))
+    df = spark.createDataFrame(rows, TEXTS)
+    pairs = dd.duplicate_pairs(df, 0.8)
+    want = {tuple(x) for x in dd.leader_clusters(dd.fold_copies(df)[0], pairs).collect()}
+    rounds, first = [], sim.first_links
+    monkeypatch.setattr(sim, "first_links", lambda *a: (rounds.append(1), first(*a))[1])
+    assert {tuple(x) for x in dd.leader_scan(df, 0.8, budget=0).collect()} == want
+    assert len({x for _, x in want}) < len(want) and (len(rounds) > 1) == (links < 100)
+
+
+def test_rows_without_links_take_one_round(spark):
+    rows = spark.createDataFrame([x for x in common_words(600) if x[0] % 10 != 9], TEXTS)
+    spark.sparkContext.setJobGroup("one-round", "")
+    assert dd.leader_scan(rows, budget=0).where("example_id <> leader").isEmpty()
+    made = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-round"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert made < 60
