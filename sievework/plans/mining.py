@@ -268,10 +268,7 @@ _COS = _VEC + _FOLD + ", vr AS (SELECT * FROM vec WHERE example_id IN (SELECT ex
 
 @query("n02_cosine_pairs", sql("fx_docs", _COS + " SELECT task_id, a, b, round(cosine, 4) AS cosine FROM cp"))
 def n02(spark, d):
-    rows = _texts(spark, d)
-    reps, _ = dd.fold_copies(rows)
-    vectors = dd.tfidf_vectors(rows).join(reps.select("example_id"), "example_id", "left_semi").select("task_id", "example_id", "term", "w")
-    return _round(dd.cosine_pairs(vectors), "cosine", digits=4)
+    return _round(dd.duplicate_pairs(_texts(spark, d), tool_threshold=None), "cosine", digits=4)
 
 
 _DUP = sql("fx_docs", _COS + " SELECT task_id, a, b, round(cosine, 4) AS cosine FROM cp WHERE a % 2 = b % 2")

@@ -77,7 +77,7 @@ def block(path, rows, threshold):
     return sim._Block(fs.LocalFileSystem(), str(path))
 
 
-@pytest.mark.parametrize("limits", [{}, {"COLUMNS": 4}, {"DENSE": 10**9, "TILE": 7}, {"DENSE": 0, "ENTRIES": 50}, {"DENSE": 10**9, "PRODUCT": 0}, {"PRODUCT": 10**9, "SLACK": 2.0}])
+@pytest.mark.parametrize("limits", [{}, {"COLUMNS": 4}, {"COLUMNS": 4, "LOOKUP": 10**9}, {"LOOKUP": 10**9, "TILE": 7}, {"LOOKUP": 0, "ENTRIES": 50}, {"LOOKUP": 10**9, "SLACK": 2.0}])
 def test_every_way_through_a_unit(tmp_path, monkeypatch, limits):
     for k, v in limits.items():
         monkeypatch.setattr(sim, k, v)
