@@ -133,3 +133,14 @@ def test_rows_without_links_take_one_round(spark):
     made = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-round"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert made < 60
+
+
+def test_first_clusters_in_one_round(spark):
+    rows = common_words(300)
+    spark.sparkContext.setJobGroup("first-clusters", "")
+    got = [tuple(x) for x in dd.first_clusters(dd.clusters(spark.createDataFrame(rows, TEXTS), budget=0), k=5).select("cluster", "size", "pos", "members").collect()]
+    made = len(spark.sparkContext.statusTracker().getJobIdsForGroup("first-clusters"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    pairs = [min(rows[i - 1 : i + 1], key=lambda x: x[1]) for i in range(9, 300, 10)]
+    assert got == [(x[0], 2, x[1], [x[0] // 10 * 10 + 8, x[0] // 10 * 10 + 9]) for x in sorted(pairs, key=lambda x: x[1])[:5]]
+    assert made < 120
